@@ -28,16 +28,16 @@ def _orient(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
-        e.select(F.col("v").alias("x"), F.col("u").alias("y"))
-    )
-    mins = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
-    return _orient(
-        both.filter(F.col("y") > F.col("x")).join(mins, "x").select(F.col("y").alias("u"), F.col("m").alias("v"))
-    )
+    """Every node's larger neighbours are linked to the smallest node of its
+    closed neighbourhood. With edges kept as (u > v), node v's minimum is
+    min(v, its smaller neighbours), so each edge (u, v) becomes (u, m(v)).
+    One output row per input edge: no growth, duplicates go in small-star."""
+    mins = e.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
+    return e.join(mins, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
+    """Every node and its smaller neighbours are linked to the smallest."""
     mins = e.groupBy("u").agg(F.min("v").alias("m"))
     linked = e.join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _orient(linked.unionByName(mins.select("u", F.col("m").alias("v"))))

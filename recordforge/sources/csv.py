@@ -60,7 +60,8 @@ def read_csv(spark: SparkSession, path: str, columns=None, numeric=("latitude",
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header, UTF-8, overwrite; nulls and '' both as empty cells.
+    """Header, UTF-8, overwrite; nulls and '' both as empty cells;
+    blanks around values are kept (Spark's writer trims them by default).
     Output is a directory of part files (no coalesce to one task)."""
     (
         df.write.mode("overwrite")
@@ -68,6 +69,8 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
