@@ -7,6 +7,13 @@ so a hub with millions of edges is spread by the shuffle (and by AQE's skew
 join split). The edge set is checkpointed to the shared checkpoint folder
 every round, which cuts the lineage and survives executor loss.
 
+Before the first round an exact local contraction runs: edges are
+rebalanced by an optional ``group`` column (a block no edge crosses, e.g. the
+cohort), AQE splits oversized partitions, and each task replaces its edges by
+``node -> smallest node of its local component`` (union-find over that
+task's edges only). Any partitioning keeps the components unchanged; when
+groups fit in a task the graph is already a star forest and no round runs.
+
 Result: one row per node that has an edge, ``component`` = smallest node id.
 """
 
@@ -15,8 +22,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+
 from ..session import checkpoint_dir
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _contract(batches):
+    """Union-find over one task's edges; emits (node, local root) pairs."""
+    parent: dict[int, int] = {}
+
+    def find(x):
+        root = x
+        while parent.get(root, root) != root:
+            root = parent[root]
+        while x != root:
+            nxt = parent.get(x, x)
+            parent[x] = root
+            x = nxt
+        return root
+
+    for batch in batches:
+        us = batch.column("u").to_pylist()
+        vs = batch.column("v").to_pylist()
+        for a, b in zip(us, vs):
+            ra, rb = find(a), find(b)
+            if ra != rb:
+                if ra < rb:
+                    parent[rb] = ra
+                else:
+                    parent[ra] = rb
+            else:
+                parent.setdefault(a, a)
+                parent.setdefault(b, b)
+    nodes = np.fromiter(parent.keys(), dtype=np.int64, count=len(parent))
+    roots = np.fromiter((find(x) for x in nodes.tolist()), dtype=np.int64, count=len(nodes))
+    keep = nodes != roots
+    if keep.any():
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(roots[keep])], names=["u", "v"])
+
 
 def _orient(edges: DataFrame) -> DataFrame:
     """Undirected edges as (u, v) with u > v, no self loops, distinct."""
@@ -43,20 +92,34 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _orient(linked.unionByName(mins.select("u", F.col("m").alias("v"))))
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 64) -> DataFrame:
-    """(node, component) for every node of ``edges`` (long ids)."""
+def _is_star_forest(e: DataFrame) -> bool:
+    parents = e.select(F.col("v").alias("u")).distinct()
+    return e.join(parents, "u", "left_semi").isEmpty()
+
+
+def connected_components(
+    edges: DataFrame, src: str = "src", dst: str = "dst", group: str | None = None, max_rounds: int = 64
+) -> DataFrame:
+    """(node, component) for every node of ``edges`` (long ids); self-loops
+    are ignored, so a node seen only in a self-loop is not listed.
+
+    ``group`` (optional) names a column no edge crosses; it only steers the
+    local contraction's partitioning and never changes the result.
+    """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    e = _orient(edges.select(F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")))
-    e = e.checkpoint()
-    for _ in range(max_rounds):
-        e = _small_star(_large_star(e)).checkpoint()
-        # converged when the edges form stars: no parent is itself a child
-        parents = e.select(F.col("v").alias("u")).distinct()
-        if e.join(parents, "u", "left_semi").isEmpty():
-            break
+    cols = [F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")]
+    if group is not None:
+        local = edges.select(group, *cols).hint("rebalance", group).select("u", "v")
     else:
-        raise RuntimeError("connected components did not converge")
+        local = edges.select(*cols)
+    e = _orient(local.mapInArrow(_contract, "u bigint, v bigint")).checkpoint()
+    rounds = 0
+    while not _is_star_forest(e):
+        if rounds == max_rounds:
+            raise RuntimeError("connected components did not converge")
+        e = _small_star(_large_star(e)).checkpoint()
+        rounds += 1
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component"))
     ).distinct()

@@ -50,7 +50,7 @@ def _key_table(keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     star = (
         k.join(reps, ["cohort", "key"])
         .filter(F.col("node") != F.col("rep"))
-        .select(F.col("node").alias("src"), F.col("rep").alias("dst"))
+        .select("cohort", F.col("node").alias("src"), F.col("rep").alias("dst"))
     )
     return reps.withColumnRenamed("rep", "node"), star
 
@@ -60,7 +60,7 @@ def fuzzy_edges(
     address_threshold: int = config.FUZZY_ADDRESS_THRESHOLD,
     name_threshold: int = config.FUZZY_NAME_CITY_THRESHOLD,
 ) -> DataFrame:
-    """D3: all match edges (src, dst) between pool records.
+    """D3: all match edges (cohort, src, dst) between pool records.
 
     An edge exists iff the addresses reach ``address_threshold`` or the
     name+city keys reach ``name_threshold`` (the reference falls through
@@ -71,7 +71,7 @@ def fuzzy_edges(
     out = []
     for column, t in (("addr_key", address_threshold), ("nc_key", name_threshold)):
         reps, star = _key_table(keys, column)
-        sim = similarity_join(reps, t).select(F.col("node_a").alias("src"), F.col("node_b").alias("dst"))
+        sim = similarity_join(reps, t).select("cohort", F.col("node_a").alias("src"), F.col("node_b").alias("dst"))
         out += [star, sim]
     edges = out[0]
     for e in out[1:]:
@@ -90,7 +90,7 @@ def fuzzy_clusters(pool: DataFrame, node: str = "_rid", **kw) -> DataFrame:
     cluster. ``pool`` must carry the id column ``node``."""
     keys = match_keys(pool, node=node, **{k: v for k, v in kw.items() if k in ("cohort", "address", "name")})
     th = {k: v for k, v in kw.items() if k in ("address_threshold", "name_threshold")}
-    comps = connected_components(fuzzy_edges(keys, **th), "src", "dst")
+    comps = connected_components(fuzzy_edges(keys, **th), "src", "dst", group="cohort")
     return (
         pool.select(node)
         .join(comps.withColumnRenamed("node", node), node, "left")

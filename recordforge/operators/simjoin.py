@@ -13,11 +13,17 @@ Plan (all DataFrame operations, work grows with the data, no driver loop):
   where partner lengths come from the exact length band
   ``la <= lb <= la * (200 - t) / t``; shorter-length packets pair only with
   packets that can still reach the threshold.
-* Each packet pair is one row carrying both key lists; rows are spread by a
-  hash of the pair and scored by a vectorised Arrow task
-  (:class:`~recordforge.functions.similarity.PairScorer`) that emits only
-  matching pairs. Candidate pairs exist only inside that task's memory and
-  are bounded by ``packet_size ** 2`` per row.
+* Each packet pair is one row carrying both key lists, scored by a
+  vectorised Arrow task (:class:`~recordforge.functions.similarity.PairScorer`)
+  that emits only matching pairs. Candidate pairs exist only inside that
+  task's memory, at most ``packet_size ** 2`` per row. Rows are grouped by
+  their first packet; a large cohort has many such packets, so the work of
+  one cohort spreads over many tasks.
+
+Every pair of a cohort inside the length band is scored (the threshold of
+85 on short strings admits no selective exact signature: pigeonhole segments
+would be ~3 characters long), but pairs are never rows: shuffled volume is
+``packets x partner packets``, not ``keys ** 2``.
 """
 
 from __future__ import annotations
@@ -183,26 +189,26 @@ def similarity_join(
         .groupBy("cohort", "len", "sub")
         .agg(F.collect_list(F.struct("node", "key")).alias("items"))
     )
-    meta = sizes.select("cohort", "len", F.explode(F.sequence(F.lit(0), F.col("nsub") - 1)).alias("sub"))
+    # every packet, with the key lengths its partners may have
     max_partner = F.floor(F.col("len") * F.lit(200 - t) / F.lit(t)).cast("int")
-    left = meta.select(
+    wanted = sizes.select(
         "cohort",
         F.col("len").alias("la"),
-        F.col("sub").alias("sa"),
-        F.explode(F.sequence(F.col("len"), max_partner)).alias("lb"),
-    )
-    right = meta.select("cohort", F.col("len").alias("lb"), F.col("sub").alias("sb"))
-    pairs = left.join(right, ["cohort", "lb"]).filter((F.col("la") < F.col("lb")) | (F.col("sa") <= F.col("sb")))
+        F.explode(F.sequence(F.lit(0), F.col("nsub") - 1)).alias("sa"),
+        max_partner.alias("lmax"),
+    ).select("cohort", "la", "sa", F.explode(F.sequence(F.col("la"), F.col("lmax"))).alias("lb"))
     pa_ = packets.select(
         "cohort", F.col("len").alias("la"), F.col("sub").alias("sa"), F.col("items").alias("items_a")
     )
     pb_ = packets.select(
         "cohort", F.col("len").alias("lb"), F.col("sub").alias("sb"), F.col("items").alias("items_b")
     )
+    # packet pairs with the b side attached, then the a side; rows end up
+    # grouped by a-packet, and the many a-packets spread the work
     blocks = (
-        pairs.join(pa_, ["cohort", "la", "sa"])
-        .join(pb_, ["cohort", "lb", "sb"])
-        .repartition("cohort", "la", "sa", "lb", "sb")
+        wanted.join(pb_, ["cohort", "lb"])
+        .filter((F.col("la") < F.col("lb")) | (F.col("sa") <= F.col("sb")))
+        .join(pa_, ["cohort", "la", "sa"])
         .select(
             "cohort",
             ((F.col("la") == F.col("lb")) & (F.col("sa") == F.col("sb"))).alias("same"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_exact, dedup_fuzzy
 from ..operators.impute import impute_city, impute_price
@@ -14,11 +15,16 @@ def prepare(df: DataFrame) -> DataFrame:
     return df.transform(normalise).transform(impute_price).transform(impute_city)
 
 
-def run_cleaning(df: DataFrame, order_by=("id",), **fuzzy) -> DataFrame:
+def run_cleaning(df: DataFrame, order_by=("id",), key: str = "google_place_id", **fuzzy) -> DataFrame:
     """The reference order: nulls, text, names, price, type, URL, price
-    chain, city, exact-key dedup, fuzzy dedup."""
-    return (
-        prepare(df)
-        .transform(lambda d: dedup_exact(d, order_by=order_by))
-        .transform(lambda d: dedup_fuzzy(d, order_by=order_by, **fuzzy))
-    )
+    chain, city, exact-key dedup, fuzzy dedup.
+
+    Exact dedup passes null-key rows through untouched and fuzzy dedup only
+    looks at null-key rows, so the two branches are planned side by side
+    from the prepared table (the fuzzy pool never waits for, or recomputes,
+    the exact-key aggregation).
+    """
+    p = prepare(df)
+    keyed = dedup_exact(p.filter(F.col(key).isNotNull()), key=key, order_by=order_by)
+    pooled = dedup_fuzzy(p.filter(F.col(key).isNull()), key=key, order_by=order_by, **fuzzy)
+    return keyed.unionByName(pooled)
