@@ -189,25 +189,33 @@ def similarity_join(
         .groupBy("cohort", "len", "sub")
         .agg(F.collect_list(F.struct("node", "key")).alias("items"))
     )
-    # every packet, with the key lengths its partners may have
+    # every packet pair to score, as ids only: partner lengths from the exact
+    # band, then each partner length's sub-packets (sizes is one row per
+    # (cohort, length), small enough for AQE to broadcast)
     max_partner = F.floor(F.col("len") * F.lit(200 - t) / F.lit(t)).cast("int")
-    wanted = sizes.select(
-        "cohort",
-        F.col("len").alias("la"),
-        F.explode(F.sequence(F.lit(0), F.col("nsub") - 1)).alias("sa"),
-        max_partner.alias("lmax"),
-    ).select("cohort", "la", "sa", F.explode(F.sequence(F.col("la"), F.col("lmax"))).alias("lb"))
+    partner_subs = sizes.select("cohort", F.col("len").alias("lb"), F.col("nsub").alias("nb"))
+    wanted = (
+        sizes.select(
+            "cohort",
+            F.col("len").alias("la"),
+            F.explode(F.sequence(F.lit(0), F.col("nsub") - 1)).alias("sa"),
+            max_partner.alias("lmax"),
+        )
+        .select("cohort", "la", "sa", F.explode(F.sequence(F.col("la"), F.col("lmax"))).alias("lb"))
+        .join(partner_subs, ["cohort", "lb"])
+        .select("cohort", "la", "sa", "lb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("sb"))
+        .filter((F.col("la") < F.col("lb")) | (F.col("sa") <= F.col("sb")))
+    )
     pa_ = packets.select(
         "cohort", F.col("len").alias("la"), F.col("sub").alias("sa"), F.col("items").alias("items_a")
     )
     pb_ = packets.select(
         "cohort", F.col("len").alias("lb"), F.col("sub").alias("sb"), F.col("items").alias("items_b")
     )
-    # packet pairs with the b side attached, then the a side; rows end up
-    # grouped by a-packet, and the many a-packets spread the work
+    # attach both key lists; each join key names exactly one packet, so no
+    # join key fans out beyond the packets that really pair with it
     blocks = (
-        wanted.join(pb_, ["cohort", "lb"])
-        .filter((F.col("la") < F.col("lb")) | (F.col("sa") <= F.col("sb")))
+        wanted.join(pb_, ["cohort", "lb", "sb"])
         .join(pa_, ["cohort", "la", "sa"])
         .select(
             "cohort",
