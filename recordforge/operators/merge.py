@@ -82,20 +82,33 @@ def survivor_order(order_by=("id",), columns=None) -> Column:
     return F.struct(-completeness_expr(columns), *cols)
 
 
-def _midpoint(df: DataFrame, keys: list[str], c: str, tail: int) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(F.col(_ORDER).desc())
-    last = (
-        df.select(*keys, _ORDER, c)
-        .filter(F.col(c).isNotNull() & ~F.isnan(F.col(c)))
-        .withColumn("__rn", F.row_number().over(w))
-        .filter(F.col("__rn") <= tail)
+def _midpoints(df: DataFrame, keys: list[str], columns: list[str], tail: int) -> DataFrame:
+    """Running midpoints of ``columns`` per group, from one stacked branch:
+    (key, order, column, value) rows, the last ``tail`` non-null values per
+    (key, column) kept by a partial window group limit, then folded."""
+    stacked = (
+        df.select(
+            *keys,
+            _ORDER,
+            F.explode(
+                F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in columns])
+            ).alias("__m"),
+        )
+        .select(*keys, _ORDER, "__m.c", "__m.x")
+        .filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
     )
-    folded = F.aggregate(
-        F.array_sort(F.collect_list(F.struct(F.col(_ORDER).alias("o"), F.col(c).alias("x")))),
-        F.lit(None).cast("double"),
-        lambda acc, s: F.when(acc.isNull(), s["x"]).otherwise((acc + s["x"]) / F.lit(2.0)),
-    )
-    return last.groupBy(*keys).agg(folded.alias(c))
+    w = Window.partitionBy(*keys, "c").orderBy(F.col(_ORDER).desc())
+    last = stacked.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= tail)
+
+    def fold(c):
+        items = F.collect_list(F.when(F.col("c") == F.lit(c), F.struct(F.col(_ORDER).alias("o"), F.col("x"))))
+        return F.aggregate(
+            F.array_sort(items),
+            F.lit(None).cast("double"),
+            lambda acc, s: F.when(acc.isNull(), s["x"]).otherwise((acc + s["x"]) / F.lit(2.0)),
+        )
+
+    return last.groupBy(*keys).agg(*[fold(c).alias(c) for c in columns])
 
 
 def merge_groups(
@@ -128,6 +141,6 @@ def merge_groups(
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("__n")]
     merged = d.groupBy(*keys).agg(*aggs)
-    for c in mids:
-        merged = merged.join(_midpoint(d, keys, c, tail), keys, "left")
+    if mids:
+        merged = merged.join(_midpoints(d, keys, mids, tail), keys, "left")
     return merged.select(*[c for c in columns], *[k for k in keys if k not in columns])

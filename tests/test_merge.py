@@ -90,3 +90,23 @@ def test_merois_three(spark):
     # survivor order: ids 1, 2 (9 cells) then 3 (7 cells): ((34.0 + 34.2) / 2 + 34.4) / 2
     assert r.latitude == ((34.0 + 34.2) / 2 + 34.4) / 2
     assert r.longitude == (-118.0 + -118.2) / 2
+
+
+def test_long_group_midpoint_close_to_fold(spark):
+    rng = random.Random(3)
+    vals = [34.0 + rng.random() for _ in range(150)]
+    rows = [(f"{i:04d}", "g", v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "id string, google_place_id string, latitude double")
+    got = merge_groups(df, ["google_place_id"], columns=["id", "google_place_id", "latitude"],
+                       order_by=("id",)).collect()[0].latitude
+    acc = None
+    for v in vals:
+        acc = v if acc is None else (acc + v) / 2.0
+    assert abs(got - acc) <= 4 * abs(acc) * 2.0 ** -52
+
+
+def test_midpoint_limit_is_partial(spark):
+    df = spark.createDataFrame([("1", "g", 1.0)], "id string, google_place_id string, latitude double")
+    plan = merge_groups(df, ["google_place_id"], columns=["id", "google_place_id", "latitude"]) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
