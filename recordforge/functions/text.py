@@ -46,23 +46,15 @@ def py_title(c) -> Column:
     """Python ``str.title()``.
 
     A word restarts after any uncased character (``joe's`` -> ``Joe'S``),
-    unlike ``initcap`` which only restarts after blanks. The string is split
-    into maximal cased / uncased runs; cased runs become Upper+lower.
+    unlike ``initcap`` which only restarts after a blank. A blank is put
+    after every uncased character, ``initcap`` (lower-case all, title-case
+    each character after a blank) runs, and the added blanks are removed
+    again. Stays in codegen; titlecase digraphs and ligatures follow Java's
+    titlecase mapping like Python's.
     """
-    runs = F.regexp_extract_all(
-        col_(c), F.lit(f"([{CASED_CLASS}]+|[^{CASED_CLASS}]+)"), F.lit(1)
-    )
-    cased = f"^[{CASED_CLASS}]"
-    return F.array_join(
-        F.transform(
-            runs,
-            lambda r: F.when(
-                r.rlike(cased),
-                F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30))),
-            ).otherwise(r),
-        ),
-        "",
-    )
+    uncased = f"([^{CASED_CLASS}])"
+    spaced = F.regexp_replace(col_(c), uncased, "$1 ")
+    return F.regexp_replace(F.initcap(spaced), uncased + " ", "$1")
 
 
 def match_key(c) -> Column:

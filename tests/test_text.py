@@ -18,9 +18,9 @@ def test_strip_matches_python(spark):
 
 
 def test_title_matches_python(spark):
-    df = spark.createDataFrame([(s,) for s in SAMPLES if "ß" not in s], "s string")
+    df = spark.createDataFrame([(s,) for s in SAMPLES], "s string")
     got = [r[0] for r in df.select(py_title(F.col("s"))).collect()]
-    assert got == [s.title() for s in SAMPLES if "ß" not in s]
+    assert got == [s.title() for s in SAMPLES]
 
 
 def test_match_key_and_sorted_tokens(spark):
