@@ -55,3 +55,27 @@ def test_entry(spark):
     rows = df.collect()
     assert rows and df.columns == ["romantic_label", "count", "pct"]
     assert abs(sum(r.pct for r in rows) - 100.0) < 1e-6
+
+
+def test_partition_count_invariance(spark, sf_small):
+    """The cleaned table does not depend on the number of shuffle partitions."""
+    from recordforge.plans.catalog import clean
+
+    out = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out.append(sorted(tuple(r) for r in clean(spark, sf_small).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
+
+
+def test_exact_dedup_idempotent(spark, sf_small):
+    from recordforge.operators.dedup import dedup_exact
+    from recordforge.plans.catalog import prepared
+
+    once = dedup_exact(prepared(spark, sf_small))
+    twice = dedup_exact(once)
+    assert sorted(tuple(r) for r in once.collect()) == sorted(tuple(r) for r in twice.collect())
