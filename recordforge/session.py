@@ -26,6 +26,26 @@ _LOCAL_DEFAULTS = {
 }
 
 
+# Settings we recommend for a large cluster (pass to the cluster's session
+# builder). Nothing in the library needs them for correctness.
+CLUSTER_CONF = {
+    # AQE: runtime partition coalescing, skew-join splitting, and runtime
+    # broadcast only of sides measured below the threshold
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # start wide enough that no shuffle partition exceeds executor memory at
+    # 100 TB; AQE merges the small ones
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Arrow batches for the similarity kernel and the contraction step
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+
+
 def build_session(master: str | None = None, app: str = "recordforge", **conf) -> SparkSession:
     """Session for local runs and tests. Cluster jobs pass their own session."""
     builder = SparkSession.builder.appName(app)
