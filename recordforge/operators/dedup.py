@@ -85,12 +85,17 @@ def pool_with_ids(pool: DataFrame, node: str = "_rid") -> DataFrame:
     return pool.withColumn(node, F.monotonically_increasing_id()).checkpoint()
 
 
+def fuzzy_components(pool: DataFrame, node: str = "_rid", **kw) -> DataFrame:
+    """D3 + D4: (node, component) for pool records that have a match edge."""
+    keys = match_keys(pool, node=node, **{k: v for k, v in kw.items() if k in ("cohort", "address", "name")})
+    th = {k: v for k, v in kw.items() if k in ("address_threshold", "name_threshold")}
+    return connected_components(fuzzy_edges(keys, **th), "src", "dst", group="cohort")
+
+
 def fuzzy_clusters(pool: DataFrame, node: str = "_rid", **kw) -> DataFrame:
     """(node, cluster) for every pool record; singletons are their own
     cluster. ``pool`` must carry the id column ``node``."""
-    keys = match_keys(pool, node=node, **{k: v for k, v in kw.items() if k in ("cohort", "address", "name")})
-    th = {k: v for k, v in kw.items() if k in ("address_threshold", "name_threshold")}
-    comps = connected_components(fuzzy_edges(keys, **th), "src", "dst", group="cohort")
+    comps = fuzzy_components(pool, node, **kw)
     return (
         pool.select(node)
         .join(comps.withColumnRenamed("node", node), node, "left")
@@ -105,10 +110,18 @@ def dedup_fuzzy(
     rules=None,
     **kw,
 ) -> DataFrame:
-    """Fuzzy-merge the rows without an exact key; keyed rows pass."""
+    """Fuzzy-merge the rows without an exact key; keyed rows pass.
+
+    Records without any match edge are single-row clusters, which every rule
+    leaves unchanged, so they pass through; only clustered records are
+    shuffled into the merge aggregation.
+    """
     columns = df.columns
     pool = pool_with_ids(df.filter(F.col(key).isNull()))
-    clusters = fuzzy_clusters(pool, **kw)
-    grouped = pool.join(clusters, "_rid")
-    merged = merge_groups(grouped, ["cluster"], columns=columns, order_by=order_by, rules=rules)
-    return df.filter(F.col(key).isNotNull()).unionByName(merged.select(*columns))
+    comps = fuzzy_components(pool, **kw).withColumnRenamed("node", "_rid")
+    tagged = pool.join(comps, "_rid", "left")
+    single = tagged.filter(F.col("component").isNull()).select(*columns)
+    merged = merge_groups(
+        tagged.filter(F.col("component").isNotNull()), ["component"], columns=columns, order_by=order_by, rules=rules
+    )
+    return df.filter(F.col(key).isNotNull()).unionByName(single).unionByName(merged.select(*columns))
