@@ -288,19 +288,20 @@ def fuzzy_ctes(src: str = "prepared") -> list[str]:
         "UNION ALL SELECT rep_a, rep_b FROM addr_pairs UNION ALL SELECT rep_a, rep_b FROM nc_pairs)",
         "edges2 AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges)",
         "reach(node, root) AS (SELECT id, id FROM pool UNION SELECT e.b, r.root FROM reach r JOIN edges2 e ON r.node = e.a)",
-        "clusters AS (SELECT node AS id, min(root) AS cluster_id FROM reach GROUP BY node)",
+        "clusters AS MATERIALIZED (SELECT node AS id, min(root) AS cluster_id FROM reach GROUP BY node)",
         f"pool_comp AS (SELECT p.*, c.cluster_id, {completeness()} AS comp FROM pool p JOIN clusters c USING (id))",
         f"fuzzy_merged AS ({merge_select('pool_comp', 'cluster_id')})",
     ]
 
 
 def clean_ctes() -> list[str]:
+    # MATERIALIZED: evaluate the recursive components once, not per reference
     return base_ctes() + [
         f"keyed AS (SELECT *, {completeness()} AS comp FROM prepared WHERE google_place_id IS NOT NULL)",
         f"exact_merged AS ({merge_select('keyed', 'google_place_id')})",
     ] + fuzzy_ctes() + [
-        f"clean AS (SELECT {', '.join(COLS)} FROM exact_merged UNION ALL SELECT {', '.join(COLS)} FROM fuzzy_merged)",
-        f"enriched AS ({enrich_select('clean')})",
+        f"clean AS MATERIALIZED (SELECT {', '.join(COLS)} FROM exact_merged UNION ALL SELECT {', '.join(COLS)} FROM fuzzy_merged)",
+        f"enriched AS MATERIALIZED ({enrich_select('clean')})",
     ]
 
 
