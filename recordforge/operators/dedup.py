@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import sorted_tokens
+from ..functions.text import match_key, sorted_tokens
 from .components import connected_components
 from .merge import merge_groups
 from .normalise import composite_key_expr
-from ..functions.text import match_key
 from .simjoin import similarity_join
 
 
@@ -42,7 +41,7 @@ def match_keys(
     )
 
 
-def _key_table(keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+def key_table(keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """Distinct (cohort, key) with a representative node, and the star edges
     linking every other record of that key to its representative."""
     k = keys.select("node", "cohort", F.col(column).alias("key")).filter(F.length("key") > 0)
@@ -70,7 +69,7 @@ def fuzzy_edges(
     """
     out = []
     for column, t in (("addr_key", address_threshold), ("nc_key", name_threshold)):
-        reps, star = _key_table(keys, column)
+        reps, star = key_table(keys, column)
         sim = similarity_join(reps, t).select("cohort", F.col("node_a").alias("src"), F.col("node_b").alias("dst"))
         out += [star, sim]
     edges = out[0]

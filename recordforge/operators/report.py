@@ -12,12 +12,20 @@ def pipeline_metrics(raw: DataFrame, clean: DataFrame, enriched: DataFrame) -> D
     """A1: row counts per stage, duplicates removed and output column count.
     The later counts are scalar subqueries (one value each, no join)."""
     n = F.count(F.lit(1))
-    return raw.agg(n.alias("rows_in")).select(
-        "rows_in",
-        clean.agg(n).scalar().alias("rows_clean"),
-        enriched.agg(n).scalar().alias("rows_enriched"),
-        (F.col("rows_in") - clean.agg(n).scalar()).alias("duplicates_removed"),
-        F.lit(len(enriched.columns)).cast("bigint").alias("columns"),
+    return (
+        raw.agg(n.alias("rows_in"))
+        .select(
+            "rows_in",
+            clean.agg(n).scalar().alias("rows_clean"),
+            enriched.agg(n).scalar().alias("rows_enriched"),
+        )
+        .select(
+            "rows_in",
+            "rows_clean",
+            "rows_enriched",
+            (F.col("rows_in") - F.col("rows_clean")).alias("duplicates_removed"),
+            F.lit(len(enriched.columns)).cast("bigint").alias("columns"),
+        )
     )
 
 

@@ -28,15 +28,14 @@ would be ~3 characters long), but pairs are never rows: shuffled volume is
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-import sys
-
-from pyspark import cloudpickle
-
 from .. import config
 from ..functions import similarity as _similarity
 from ..functions.similarity import PairScorer
@@ -94,7 +93,7 @@ class _Chunk:
 
     def _reset(self):
         self.strings, self.nodes, self.cohorts = [], [], []
-        self.ia, self.ib, self.pair_cohort = [], [], []
+        self.ia, self.ib = [], []
         self.pairs = 0
 
     def add(self, cohort, same, a_keys, a_nodes, b_keys, b_nodes):

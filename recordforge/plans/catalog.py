@@ -17,9 +17,9 @@ from ..functions.text import match_key
 from ..operators import classify as C
 from ..operators import normalise as N
 from ..operators import score as R
-from ..operators.dedup import dedup_exact, dedup_fuzzy, fuzzy_clusters, match_keys, pool_with_ids, _key_table
+from ..operators.dedup import dedup_exact, dedup_fuzzy, fuzzy_clusters, key_table, match_keys, pool_with_ids
 from ..operators.merge import merge_groups
-from ..operators.profile import null_counts, null_profile, nulls_filled
+from ..operators.profile import null_profile, nulls_filled
 from ..operators.report import pipeline_metrics, score_summary, top_distinct, top_values, value_distribution
 from ..operators.simjoin import similarity_join
 from ..session import scratch_path
@@ -146,7 +146,7 @@ def _pool(spark, sf):
 
 def _pairs(spark, sf, column, threshold):
     keys = match_keys(_pool(spark, sf))
-    reps, _ = _key_table(keys, column)
+    reps, _ = key_table(keys, column)
     return similarity_join(reps, threshold).select("cohort", "key_a", "key_b")
 
 
