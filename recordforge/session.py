@@ -61,7 +61,10 @@ def build_session(master: str | None = None, app: str = "recordforge", **conf) -
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is named."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -75,4 +78,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir")
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
