@@ -43,6 +43,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     # Arrow batches for the similarity kernel and the contraction step
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # remove checkpoint files (pool ids, component rounds) once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -105,3 +105,20 @@ def test_components_any_partitioning(spark):
     grouped = df.withColumn("g", (F.col("src") >= 400).cast("int"))
     got = {r.node: r.component for r in connected_components(grouped, group="g").collect()}
     assert got == exp
+
+
+def test_single_hot_cohort_split_into_packets(spark, sf_small):
+    """Every pool record in one cohort, packets of 8 keys: same pairs as
+    scoring all pairs at once."""
+    from recordforge.operators.dedup import key_table, match_keys, pool_with_ids
+    from recordforge.plans.catalog import prepared
+
+    pool = pool_with_ids(prepared(spark, sf_small).filter(F.col("google_place_id").isNull()))
+    keys = match_keys(pool).withColumn("cohort", F.lit("hot"))
+    reps, _ = key_table(keys, "addr_key")
+    got = {(r.key_a, r.key_b) for r in similarity_join(reps, 70, packet_size=8).collect()}
+    ks = [r.key for r in reps.select("key").collect()]
+    ia, ib = np.triu_indices(len(ks), 1)
+    hit = PairScorer(ks).matches(ia, ib, 70)
+    assert got == {tuple(sorted((ks[i], ks[j]))) for i, j in zip(ia[hit], ib[hit])}
+    assert len(got) > 0
