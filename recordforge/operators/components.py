@@ -19,14 +19,13 @@ Result: one row per node that has an edge, ``component`` = smallest node id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 import sys
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
@@ -98,13 +97,15 @@ def _is_star_forest(e: DataFrame) -> bool:
 
 
 def connected_components(
-    edges: DataFrame, src: str = "src", dst: str = "dst", group: str | None = None, max_rounds: int = 64
+    edges: DataFrame, src: str = "src", dst: str = "dst", group: str | None = None, max_rounds: int | None = None
 ) -> DataFrame:
     """(node, component) for every node of ``edges`` (long ids); self-loops
     are ignored, so a node seen only in a self-loop is not listed.
 
     ``group`` (optional) names a column no edge crosses; it only steers the
     local contraction's partitioning and never changes the result.
+    Rounds run until the edges form a star forest (O(log^2 n) rounds in the
+    worst case); ``max_rounds`` is only a guard for callers who want one.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
@@ -116,7 +117,7 @@ def connected_components(
     e = _orient(local.mapInArrow(_contract, "u bigint, v bigint")).checkpoint()
     rounds = 0
     while not _is_star_forest(e):
-        if rounds == max_rounds:
+        if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError("connected components did not converge")
         e = _small_star(_large_star(e)).checkpoint()
         rounds += 1
