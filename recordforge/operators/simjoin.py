@@ -9,10 +9,11 @@ Plan (all DataFrame operations, work grows with the data, no driver loop):
   a hash into ``ceil(n / packet_size)`` sub-packets, so a packet holds about
   ``packet_size`` keys however large the cohort is (a city with a third of
   all rows becomes many packets, not one task).
-* Packet pairs are generated by an equi-join on ``(cohort, partner length)``
-  where partner lengths come from the exact length band
-  ``la <= lb <= la * (200 - t) / t``; shorter-length packets pair only with
-  packets that can still reach the threshold.
+* Packet pairs are enumerated as ids only: each packet lists the partner
+  lengths of the exact length band ``la <= lb <= la * (200 - t) / t`` and
+  every sub-packet of those lengths (from the per-(cohort, length) size
+  table). Key lists are then attached by equi-joins on one packet id each, so
+  no join key fans out beyond the packets that really pair with it.
 * Each packet pair is one row carrying both key lists, scored by a
   vectorised Arrow task (:class:`~recordforge.functions.similarity.PairScorer`)
   that emits only matching pairs. Candidate pairs exist only inside that
