@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.profile import null_profile, nulls_filled
 from ..operators.report import pipeline_metrics, score_summary, top_distinct, top_values, value_distribution
@@ -24,16 +25,33 @@ def run_job(
     out_dir: str,
     weights: dict | None = None,
     write_csv_outputs: bool = True,
+    stage_metrics: dict | None = None,
 ) -> dict[str, DataFrame]:
     """Writes ``clean`` and ``enriched`` under ``out_dir``; returns the report
-    tables (lazy DataFrames over the written outputs)."""
+    tables (lazy DataFrames over the written outputs).
+
+    If ``stage_metrics`` is a dict it receives the stage log figures of the
+    reference (rows out of cleaning; rows, mean and median score out of
+    enrichment), gathered by ``observe`` during the two writes: no extra job.
+    """
     validate_schema(raw)
     clean_path = os.path.join(out_dir, "clean.parquet")
     enriched_path = os.path.join(out_dir, "enriched.parquet")
-    run_cleaning(raw).write.mode("overwrite").parquet(clean_path)
+    n = F.count(F.lit(1)).alias("rows")
+    clean_obs, enrich_obs = Observation("cleaning"), Observation("enrichment")
+    run_cleaning(raw).observe(clean_obs, n).write.mode("overwrite").parquet(clean_path)
     clean = spark.read.parquet(clean_path)
-    run_enrichment(clean, weights).write.mode("overwrite").parquet(enriched_path)
+    score = F.col("romantic_score")
+    (
+        run_enrichment(clean, weights)
+        .observe(enrich_obs, n, F.avg(score).alias("mean"), F.median(score).alias("median"))
+        .write.mode("overwrite")
+        .parquet(enriched_path)
+    )
     enriched = spark.read.parquet(enriched_path)
+    if stage_metrics is not None:
+        stage_metrics["cleaning"] = clean_obs.get
+        stage_metrics["enrichment"] = enrich_obs.get
     if write_csv_outputs:
         write_csv(clean, os.path.join(out_dir, "clean_csv"))
         write_csv(enriched, os.path.join(out_dir, "enriched_csv"))

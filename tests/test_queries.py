@@ -79,3 +79,20 @@ def test_exact_dedup_idempotent(spark, sf_small):
     once = dedup_exact(prepared(spark, sf_small))
     twice = dedup_exact(once)
     assert sorted(tuple(r) for r in once.collect()) == sorted(tuple(r) for r in twice.collect())
+
+
+def test_batch_job_writes_and_reports(spark, sf_small):
+    from recordforge.plans.batch import run_job
+    from recordforge.plans.catalog import loaded
+    from recordforge.session import scratch_path
+
+    stages = {}
+    raw = loaded(spark, sf_small)
+    reports = run_job(spark, raw, scratch_path(spark, "job-test"), stage_metrics=stages)
+    m = reports["metrics"].first()
+    assert m.rows_in == raw.count() and m.columns == 19
+    assert stages["cleaning"]["rows"] == m.rows_clean == m.rows_enriched
+    assert stages["enrichment"]["rows"] == m.rows_clean
+    summary = reports["summary"].first()
+    assert abs(stages["enrichment"]["mean"] - summary.mean) < 1e-6
+    assert stages["enrichment"]["median"] == summary.median
