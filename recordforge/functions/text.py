@@ -81,6 +81,43 @@ def regex_literal(text: str) -> str:
     return "".join(out)
 
 
+# ---------------------------------------------------------------------------
+# Rule tables as one SQL expression string: a 100-branch CASE built from
+# Column objects costs thousands of driver->JVM calls per query; parsed from
+# text it is one call. Inputs are column names.
+# ---------------------------------------------------------------------------
+
+
+def sql_lit(v) -> str:
+    """Spark SQL literal for a rule value (strings escaped, doubles exact)."""
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ref(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def contains_any_sql(x: str, tokens) -> str:
+    """True iff any token is a substring of ``x``; null -> false."""
+    return "coalesce(" + " OR ".join(f"contains({x}, {sql_lit(t)})" for t in tokens) + ", false)"
+
+
+def first_keyword_sql(x: str, rules) -> str:
+    """Value of the first rule whose keyword is a substring of ``x``."""
+    return "CASE " + " ".join(f"WHEN contains({x}, {sql_lit(k)}) THEN {sql_lit(v)}" for k, v in rules) + " END"
+
+
+def lookup_sql(x: str, mapping: dict) -> str:
+    """``mapping.get(x)``: unknown and null give null."""
+    return f"CASE {x} " + " ".join(f"WHEN {sql_lit(k)} THEN {sql_lit(v)}" for k, v in mapping.items()) + " END"
+
+
 def any_contains(c, tokens) -> Column:
     """True iff any token is a substring; null input -> False."""
     c = col_(c)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import any_contains, map_lookup, py_strip
+from ..functions.text import any_contains, contains_any_sql, lookup_sql, map_lookup, py_strip, sql_lit, sql_ref
 
 
 def np_round(x: Column, decimals: int) -> Column:
@@ -83,12 +83,27 @@ def signal_columns(
     category: str = "cuisine_category",
     website: str = "website",
 ) -> dict[str, Column]:
+    """R1-R6 over column names; the rule tables are written as SQL text (one
+    driver call per signal), the same expressions as the Column helpers."""
+    one, half, zero = sql_lit(1.0), sql_lit(0.5), sql_lit(0.0)
+    default = (config.PRICE_POINT_DEFAULT - 1.0) / 3.0
+    price_num = lookup_sql(sql_ref(price), {k: float(v) for k, v in config.PRICE_POINT_NUMERIC.items()})
+    lname = f"coalesce(lower({sql_ref(name)}), '')"
+    fancy = ", ".join(sql_lit(t) for t in config.FANCY_PRIMARY_TYPES)
+    affinity = lookup_sql(sql_ref(category), {k: float(v) for k, v in config.CUISINE_ROMANCE_SCORE.items()})
     return {
-        "price_point": ordinal_signal(F.col(price)),
-        "address": any_token_signal(F.col(address)),
-        "fancy_type": membership_signal(F.col(ptype)),
-        "name_keyword": keyword_tier_signal(F.col(name)),
-        "cuisine": affinity_signal(F.col(category)),
+        "price_point": F.expr(
+            f"least(greatest(coalesce(({price_num} - {one}) / {sql_lit(3.0)}, {sql_lit(default)}), {zero}), {one})"
+        ),
+        "address": F.expr(
+            f"CAST({contains_any_sql(f'lower({sql_ref(address)})', config.HIGH_TICKET_ADDRESS_TOKENS)} AS DOUBLE)"
+        ),
+        "fancy_type": F.expr(f"CAST(coalesce(lower({sql_ref(ptype)}) IN ({fancy}), false) AS DOUBLE)"),
+        "name_keyword": F.expr(
+            f"CASE WHEN {contains_any_sql(lname, config.ROMANTIC_NAME_KEYWORDS_HIGH)} THEN {one} "
+            f"WHEN {contains_any_sql(lname, config.ROMANTIC_NAME_KEYWORDS_MEDIUM)} THEN {half} ELSE {zero} END"
+        ),
+        "cuisine": F.expr(f"coalesce({affinity}, {sql_lit(float(config.DEFAULT_CUISINE_AFFINITY))})"),
         "has_website": presence_signal(F.col(website)),
     }
 

@@ -176,17 +176,17 @@ def q_clean_pipeline(spark, sf):
 
 def q_classify_lookup(spark, sf):
     d = prepared(spark, sf)
-    return d.select("id", "primary_type", C.lookup_expr(F.col("primary_type")).alias("cuisine"))
+    return d.select("id", "primary_type", C.lookup_expr("primary_type").alias("cuisine"))
 
 
 def q_classify_keywords(spark, sf):
     d = prepared(spark, sf)
-    return d.select("id", "name", C.keyword_expr(F.col("name")).alias("cuisine"))
+    return d.select("id", "name", C.keyword_expr("name").alias("cuisine"))
 
 
 def q_classify_keywords_part(spark, sf):
     p = read_table(spark, sf, "part").select("p_partkey", "p_name")
-    return p.select("p_partkey", "p_name", C.keyword_expr(F.col("p_name")).alias("cuisine"))
+    return p.select("p_partkey", "p_name", C.keyword_expr("p_name").alias("cuisine"))
 
 
 def q_classify_waterfall(spark, sf):
