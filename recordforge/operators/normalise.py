@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .. import config
-from ..functions.text import collapse_ws, match_key, py_rstrip_chars, py_strip, py_title
+from ..functions.text import collapse_ws, match_key, py_rstrip_chars, py_strip, py_title, sql_lit, sql_ref
 
 
 def _string_columns(df: DataFrame) -> list[str]:
@@ -20,12 +20,13 @@ def null_sentinels(df: DataFrame, sentinels=None, columns=None) -> DataFrame:
     """O1: exact-match sentinel strings become null (string columns only)."""
     sentinels = list(config.NULL_STRINGS if sentinels is None else sentinels)
     cols = set(columns or _string_columns(df))
-    return df.select(
-        *[
-            F.when(~F.col(c).isin(sentinels), F.col(c)).alias(c) if c in cols else F.col(c)
-            for c in df.columns
-        ]
-    )
+    listed = ", ".join(sql_lit(v) for v in sentinels)
+
+    def nulled(c):
+        ref = sql_ref(c)
+        return F.expr(f"CASE WHEN {ref} IN ({listed}) THEN NULL ELSE {ref} END").alias(c)
+
+    return df.select(*[nulled(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def strip_columns(df: DataFrame, columns=None) -> DataFrame:
