@@ -32,3 +32,10 @@ def test_schema_check(spark):
     df = spark.createDataFrame([("1",)], "id string")
     with pytest.raises(ValueError, match="missing required columns"):
         validate_schema(df)
+
+
+def test_missing_input_raises(spark):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        read_csv(spark, os.path.join(tempfile.mkdtemp(prefix="rf-none-"), "absent.csv")).count()
