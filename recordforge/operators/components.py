@@ -92,8 +92,12 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def _is_star_forest(e: DataFrame) -> bool:
-    parents = e.select(F.col("v").alias("u")).distinct()
-    return e.join(parents, "u", "left_semi").isEmpty()
+    """Every child has exactly one parent and no parent is a child: then each
+    component is one star around its smallest node (one job)."""
+    children = e.groupBy("u").agg(F.count_distinct("v").alias("parents"))
+    parents = e.select(F.col("v").alias("u")).distinct().withColumn("is_parent", F.lit(True))
+    bad = children.join(parents, "u", "left").filter((F.col("parents") > 1) | F.col("is_parent").isNotNull())
+    return bad.isEmpty()
 
 
 def connected_components(

@@ -122,3 +122,14 @@ def test_single_hot_cohort_split_into_packets(spark, sf_small):
     hit = PairScorer(ks).matches(ia, ib, 70)
     assert got == {tuple(sorted((ks[i], ks[j]))) for i, j in zip(ia[hit], ib[hit])}
     assert len(got) > 0
+
+
+def test_components_node_with_two_local_roots(spark):
+    """Edges of one component in different tasks: the contraction gives node 3
+    two roots (1 and 2); the rounds must still join 1, 2 and 3."""
+    a = spark.createDataFrame([(1, 3)], "src long, dst long")
+    b = spark.createDataFrame([(2, 3)], "src long, dst long")
+    df = a.union(b)
+    assert df.rdd.getNumPartitions() >= 2
+    got = sorted((r.node, r.component) for r in connected_components(df).collect())
+    assert got == [(1, 1), (2, 1), (3, 1)]
