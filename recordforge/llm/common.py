@@ -56,3 +56,62 @@ def salted(df: DataFrame, salt: str = "_salt", n: int = SALTS) -> DataFrame:
 
 def salt_of(*cols, n: int = SALTS):
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
+
+
+#: Rows up to which a materialised side may be broadcast (narrow rows; some tens of MB at most).
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A materialised narrow side, broadcast only if its counted rows are few; else it is shuffled."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def grouped(batches, n_keys: int):
+    """Arrow tables of rows that agree in the first ``n_keys`` columns, from batches sorted by them."""
+    import numpy as np
+    import pyarrow as pa
+
+    held: list = []
+
+    def key(batch, i):
+        return tuple(batch.column(c)[i].as_py() for c in range(n_keys))
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        change = np.zeros(n - 1, dtype=bool)
+        for c in range(n_keys):
+            values = np.asarray(batch.column(c))
+            change |= values[1:] != values[:-1]
+        starts = np.concatenate([[0], np.nonzero(change)[0] + 1, [n]])
+        if held and key(held[-1], held[-1].num_rows - 1) != key(batch, 0):
+            yield pa.Table.from_batches(held)
+            held = []
+        for lo, hi in zip(starts[:-2], starts[1:-1]):
+            yield pa.Table.from_batches([*held, batch.slice(lo, hi - lo)])
+            held = []
+        held.append(batch.slice(starts[-2], n - starts[-2]))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def merge_labels(pairs: "np.ndarray", n: int) -> "np.ndarray":  # noqa: F821
+    """The smallest member reachable from each of 0..n-1 over the (k, 2) ``pairs``."""
+    import numpy as np
+
+    label = np.arange(n)
+    if len(pairs):
+        a, b = pairs[:, 0], pairs[:, 1]
+        while True:
+            low = np.minimum(label[a], label[b])
+            new = label.copy()
+            np.minimum.at(new, label[a], low)
+            np.minimum.at(new, label[b], low)
+            new = np.minimum(new, new[new])
+            new = new[new]
+            if (new == label).all():
+                break
+            label = new
+    return label

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, seekable_tokens, source_mixing
+from . import language_id, lsh_forest, packing, seekable_tokens, source_mixing
 from .common import table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_char")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -22,5 +27,9 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op7_token_files, op8_source_mix)}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op6_best_fit_packing, op7_token_files, op8_source_mix, op10_ngram_jaccard)}
 ORACLE_SQL = {"op8_source_mix": source_mixing.ORACLE}
