@@ -51,7 +51,7 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def suffix_automaton(codes) -> tuple[list[dict[int, int]], int]:
+def suffix_automaton(codes) -> list[dict[int, int]]:
     """The transitions of the suffix automaton of ``codes``; state 0 is the root."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
@@ -78,7 +78,7 @@ def suffix_automaton(codes) -> tuple[list[dict[int, int]], int]:
                     p = link[p]
                 link[q] = link[state] = clone
         last = state
-    return moves, last
+    return moves
 
 
 def restart_table(moves: list[dict[int, int]]) -> np.ndarray:
@@ -123,17 +123,25 @@ def to_classes(texts: list[str | None], classes: np.ndarray) -> tuple[np.ndarray
 class Model:
     """Languages in order, their tables one after another, and each sample's log2 length."""
 
-    def __init__(self, samples: dict[str, list[str]]):
-        self.languages = sorted(k for k, v in samples.items() if any(c.isalpha() for t in v for c in t))
-        texts = [t for k in self.languages for t in samples[k]]
-        self.classes = letter_classes(texts) if texts else None
-        tables, self.bits = [], []
-        for k in self.languages:
-            codes, begins = to_classes(samples[k], self.classes)
-            own = np.concatenate([codes[b : min(e, b + DOC_CLASSES)] for b, e in zip(begins[:-1], begins[1:])])[:SAMPLE_CLASSES]
-            tables.append(restart_table(suffix_automaton(own.tolist())[0]))
-            self.bits.append(np.log2(max(2, len(own))))
-        self.tables = tables
+    def __init__(self, languages: list[str], classes: np.ndarray | None, tables: list[np.ndarray], bits: list[float]):
+        self.languages, self.classes, self.tables, self.bits = languages, classes, tables, bits
+
+    def parts(self) -> tuple:
+        """Plain data to broadcast: executors need not have this package."""
+        return self.languages, self.classes, self.tables, self.bits
+
+    @classmethod
+    def train(cls, samples: dict[str, list[str]]) -> Model:
+        languages = sorted(k for k, v in samples.items() if any(c.isalpha() for t in v for c in t))
+        texts = [t for k in languages for t in samples[k]]
+        classes = letter_classes(texts) if texts else None
+        tables, bits = [], []
+        for k in languages:
+            codes, bounds = to_classes(samples[k], classes)
+            own = np.concatenate([codes[b : min(e, b + DOC_CLASSES)] for b, e in zip(bounds[:-1], bounds[1:])])[:SAMPLE_CLASSES]
+            tables.append(restart_table(suffix_automaton(own.tolist())))
+            bits.append(float(np.log2(max(2, len(own)))))
+        return cls(languages, classes, tables, bits)
 
     def phrases(self, texts: list[str | None], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
         """(phrases by text and language, classes by text)."""
@@ -187,7 +195,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     chosen = hashed.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= sample_docs)
     picked = chosen.select("lang", "doc_id", "h").collect()  # at most sample_docs for each language
     if not picked:
-        return Model({})
+        return Model.train({})
     ids = sorted({r["doc_id"] for r in picked if r["doc_id"] is not None})
     want = {(r["lang"], r["h"]) for r in picked}
     texts = (
@@ -200,21 +208,22 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     for r in sorted(texts, key=lambda r: (r["lang"], r["h"])):
         if (r["lang"], r["h"]) in want:
             samples.setdefault(r["lang"], []).append(r["text"])
-    return Model(samples)
+    return Model.train(samples)
 
 
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, bits_per_char), one row per row of ``docs``."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def predict(batches):
         import pyarrow as pa
 
+        fitted = Model(*held.value)
         for batch in batches:
             for at, n in text_slices(batch, "text", 8_000_000):
                 part = batch.slice(at, n)
-                lang, score, bits = held.value.predict(part.column(1).to_pylist())
+                lang, score, bits = fitted.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())],
                     ["doc_id", "lang_pred", "score", "bits_per_char"],
@@ -232,15 +241,16 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is not ``und``."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def keep(batches):
         import pyarrow as pa
 
+        fitted = Model(*held.value)
         for batch in batches:
             for at, n in text_slices(batch, text, 8_000_000):
                 part = batch.slice(at, n)
-                lang, _, _ = held.value.predict(part.column(part.schema.get_field_index(text)).to_pylist())
+                lang, _, _ = fitted.predict(part.column(part.schema.get_field_index(text)).to_pylist())
                 yield part.filter(pa.array([x != UNDETERMINED for x in lang]))
 
     return docs.mapInArrow(keep, docs.schema)
