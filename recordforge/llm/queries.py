@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, lsh_forest, packing, seekable_tokens, source_mixing
+from . import binary_neardup, graph_ann, language_id, lsh_forest, packing, seekable_tokens, source_mixing
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_char")
 
 
+def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -27,9 +31,14 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return graph_ann.nearest(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.jaccard_join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op6_best_fit_packing, op7_token_files, op8_source_mix, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_neardup, op6_best_fit_packing, op7_token_files, op8_source_mix, op9_graph_neighbours, op10_ngram_jaccard)}
 ORACLE_SQL = {"op8_source_mix": source_mixing.ORACLE}
