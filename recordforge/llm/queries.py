@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_neardup, graph_ann, language_id, lsh_forest, packing, seekable_tokens, source_mixing
+from . import binary_neardup, chat_preferences, graph_ann, html_consensus, language_id, lsh_forest, packing, seekable_tokens, source_mixing
 from .common import table
 
 
+def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat_preferences.format_pairs(chat_preferences.swapped_answers(turns))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_char")
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -40,5 +49,5 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.jaccard_join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_neardup, op6_best_fit_packing, op7_token_files, op8_source_mix, op9_graph_neighbours, op10_ngram_jaccard)}
-ORACLE_SQL = {"op8_source_mix": source_mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_language_id, op4_html_main_text, op5_embedding_neardup, op6_best_fit_packing, op7_token_files, op8_source_mix, op9_graph_neighbours, op10_ngram_jaccard)}
+ORACLE_SQL = {"op1_preference_pairs": chat_preferences.ORACLE, "op8_source_mix": source_mixing.ORACLE}
