@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_neardup, chat_preferences, graph_ann, html_consensus, language_id, lsh_forest, packing, seekable_tokens, source_mixing
+from . import binary_neardup, chat_preferences, graph_ann, html_consensus, language_id, license_scan, lsh_forest, packing, seekable_tokens, source_mixing
 from .common import table
 
 
@@ -19,6 +19,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_char")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    span = F.transform("hits", lambda h: F.concat_ws(":", h["license"], h["first"].cast("string"), h["end"].cast("string")))
+    return rows.select("doc_id", "n_words", "license", F.round("coverage", 6).alias("coverage"), F.array_join(span, " ").alias("hits"))
+
+
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_consensus.main_text(table(spark, sf_dir, "pages"))
 
@@ -49,5 +55,5 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.jaccard_join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_language_id, op4_html_main_text, op5_embedding_neardup, op6_best_fit_packing, op7_token_files, op8_source_mix, op9_graph_neighbours, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_language_id, op3_license_scan, op4_html_main_text, op5_embedding_neardup, op6_best_fit_packing, op7_token_files, op8_source_mix, op9_graph_neighbours, op10_ngram_jaccard)}
 ORACLE_SQL = {"op1_preference_pairs": chat_preferences.ORACLE, "op8_source_mix": source_mixing.ORACLE}
