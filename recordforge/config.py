@@ -319,8 +319,3 @@ ENRICHED_COLUMNS = [
 # Distinct match keys per similarity-join packet; a packet pair is one unit
 # of work in the block join, so this bounds per-task memory and time.
 SIMJOIN_PACKET_SIZE = 256
-
-# The running-midpoint fold halves the weight of every earlier value, so
-# values more than this many steps before the end change the result by less
-# than 2**-64 of its magnitude (below double precision).
-MIDPOINT_TAIL = 64

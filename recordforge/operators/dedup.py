@@ -12,15 +12,19 @@ from .merge import merge_groups
 from .normalise import composite_key_expr
 from .simjoin import similarity_join
 
+# Shares that a key's rows are dealt into; a key's representative is copied as often.
+KEY_SALTS = 16
 
-def dedup_exact(df: DataFrame, key: str = "google_place_id", order_by=("id",), rules=None) -> DataFrame:
-    """Merge rows sharing a non-null key; null-key rows pass through.
 
-    Single-row groups come out unchanged under every rule, so no count or
-    anti-join is needed: one partial aggregation over the keyed rows.
-    """
-    keyed = df.filter(F.col(key).isNotNull())
-    merged = merge_groups(keyed, [key], columns=df.columns, order_by=order_by, rules=rules)
+def merge_keyed(keyed: DataFrame, key: str, order_by=("id",), rules=None, reuse: bool = True) -> DataFrame:
+    """D1 on rows whose key is not null. Single-row groups come out unchanged
+    under every rule, so no count or anti-join is needed."""
+    return merge_groups(keyed, [key], columns=keyed.columns, order_by=order_by, rules=rules, reuse=reuse)
+
+
+def dedup_exact(df: DataFrame, key: str = "google_place_id", order_by=("id",), rules=None) -> DataFrame:
+    """Merge rows sharing a non-null key; null-key rows pass through."""
+    merged = merge_keyed(df.filter(F.col(key).isNotNull()), key, order_by, rules)
     return merged.unionByName(df.filter(F.col(key).isNull()))
 
 
@@ -46,8 +50,12 @@ def key_table(keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     linking every other record of that key to its representative."""
     k = keys.select("node", "cohort", F.col(column).alias("key")).filter(F.length("key") > 0)
     reps = k.groupBy("cohort", "key").agg(F.min("node").alias("rep"))
+    # a key may be hot (all nameless rows of a city share one): both sides are dealt by salt, too
+    salt = F.pmod(F.xxhash64("node"), F.lit(KEY_SALTS)).cast("int")
+    spread = reps.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(KEY_SALTS - 1))))
     star = (
-        k.join(reps, ["cohort", "key"])
+        k.withColumn("salt", salt)
+        .join(spread, ["cohort", "key", "salt"])
         .filter(F.col("node") != F.col("rep"))
         .select("cohort", F.col("node").alias("src"), F.col("rep").alias("dst"))
     )
@@ -84,11 +92,18 @@ def pool_with_ids(pool: DataFrame, node: str = "_rid") -> DataFrame:
     return pool.withColumn(node, F.monotonically_increasing_id()).checkpoint()
 
 
-def fuzzy_components(pool: DataFrame, node: str = "_rid", **kw) -> DataFrame:
+def fuzzy_components(
+    pool: DataFrame,
+    node: str = "_rid",
+    cohort: str = "city",
+    address: str = "display_address",
+    name: str = "name",
+    address_threshold: int = config.FUZZY_ADDRESS_THRESHOLD,
+    name_threshold: int = config.FUZZY_NAME_CITY_THRESHOLD,
+) -> DataFrame:
     """D3 + D4: (node, component) for pool records that have a match edge."""
-    keys = match_keys(pool, node=node, **{k: v for k, v in kw.items() if k in ("cohort", "address", "name")})
-    th = {k: v for k, v in kw.items() if k in ("address_threshold", "name_threshold")}
-    return connected_components(fuzzy_edges(keys, **th), "src", "dst", group="cohort")
+    keys = match_keys(pool, node=node, cohort=cohort, address=address, name=name)
+    return connected_components(fuzzy_edges(keys, address_threshold, name_threshold), "src", "dst", group="cohort")
 
 
 def fuzzy_clusters(pool: DataFrame, node: str = "_rid", **kw) -> DataFrame:
@@ -102,25 +117,25 @@ def fuzzy_clusters(pool: DataFrame, node: str = "_rid", **kw) -> DataFrame:
     )
 
 
-def dedup_fuzzy(
-    df: DataFrame,
-    key: str = "google_place_id",
-    order_by=("id",),
-    rules=None,
-    **kw,
-) -> DataFrame:
-    """Fuzzy-merge the rows without an exact key; keyed rows pass.
+def merge_pool(rows: DataFrame, order_by=("id",), rules=None, **fuzzy) -> DataFrame:
+    """D5 on the pool, the rows without an exact key.
 
     Records without any match edge are single-row clusters, which every rule
     leaves unchanged, so they pass through; only clustered records are
     shuffled into the merge aggregation.
     """
-    columns = df.columns
-    pool = pool_with_ids(df.filter(F.col(key).isNull()))
-    comps = fuzzy_components(pool, **kw).withColumnRenamed("node", "_rid")
+    columns = rows.columns
+    pool = pool_with_ids(rows)
+    comps = fuzzy_components(pool, **fuzzy).withColumnRenamed("node", "_rid")
     tagged = pool.join(comps, "_rid", "left")
     single = tagged.filter(F.col("component").isNull()).select(*columns)
     merged = merge_groups(
         tagged.filter(F.col("component").isNotNull()), ["component"], columns=columns, order_by=order_by, rules=rules
     )
-    return df.filter(F.col(key).isNotNull()).unionByName(single).unionByName(merged.select(*columns))
+    return single.unionByName(merged.select(*columns))
+
+
+def dedup_fuzzy(df: DataFrame, key: str = "google_place_id", order_by=("id",), rules=None, **fuzzy) -> DataFrame:
+    """Fuzzy-merge the rows without an exact key; keyed rows pass."""
+    pool = df.filter(F.col(key).isNull())
+    return df.filter(F.col(key).isNotNull()).unionByName(merge_pool(pool, order_by, rules, **fuzzy))

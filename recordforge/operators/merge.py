@@ -18,23 +18,25 @@ partial (map-side) aggregation — a huge group is never gathered in one task:
 ``min_by(value, when(cond, order))`` plays the part of ``FILTER (WHERE cond)``
 because ``min_by`` ignores null orderings.
 
-The midpoint fold weighs a value by ``2**-(steps after it)``, so only the
-last :data:`~recordforge.config.MIDPOINT_TAIL` values of a group can move the
-double result. A ``row_number() <= tail`` filter (planned by Spark as a
-partial window group limit before the shuffle) keeps just those, then the
-fold runs over that bounded list. Groups up to that size are bit-identical
-to a sequential fold.
+The midpoint depends on every value and its place, so it is reduced in runs:
+over a run of ``m`` values the fold is the map ``acc -> acc * 2**-m + b``, and
+such maps compose in order. Values are range-partitioned by (group, survivor
+order), each task folds its run of a group, and the few runs of a group are
+composed. A group that holds a third of all rows is spread over tasks by its
+order; a group that fits one run is bit-identical to a sequential fold, and one
+cut into runs differs from it by rounding only. No value is left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from .. import config
 from ..functions.text import py_strip
-from .normalise import completeness_expr
+from ..session import checkpoint_dir
+from .normalise import completeness_expr, float_columns
 
 DEFAULT_RULES = {
     "display_address": "longest",
@@ -76,16 +78,19 @@ def _rule_expr(df: DataFrame, c: str, rule: str, generic: str) -> Column:
     raise ValueError(f"unknown merge rule {rule!r} for column {c!r}")
 
 
-def survivor_order(order_by=("id",), columns=None) -> Column:
+def survivor_order(order_by=("id",), columns=None, floats=()) -> Column:
     """M1: completeness descending, then the caller's order columns."""
     cols = [F.col(c) for c in order_by]
-    return F.struct(-completeness_expr(columns), *cols)
+    return F.struct(-completeness_expr(columns, floats), *cols)
 
 
-def _midpoints(df: DataFrame, keys: list[str], columns: list[str], tail: int) -> DataFrame:
+def _fold(values: Column, start: Column) -> Column:
+    return F.aggregate(values, start, lambda acc, s: (acc + s["x"]) / F.lit(2.0))
+
+
+def _midpoints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Running midpoints of ``columns`` per group, from one stacked branch:
-    (key, order, column, value) rows, the last ``tail`` non-null values per
-    (key, column) kept by a partial window group limit, then folded."""
+    (key, column, order, value) rows, folded run by run."""
     stacked = (
         df.select(
             *keys,
@@ -97,18 +102,31 @@ def _midpoints(df: DataFrame, keys: list[str], columns: list[str], tail: int) ->
         .select(*keys, _ORDER, "__m.c", "__m.x")
         .filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
     )
-    w = Window.partitionBy(*keys, "c").orderBy(F.col(_ORDER).desc())
-    last = stacked.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= tail)
+    dealt = stacked.repartitionByRange(*keys, "c", _ORDER).withColumn("__run", F.spark_partition_id())
+    run = F.array_sort(F.collect_list(F.struct(F.col(_ORDER).alias("o"), F.col("x"))))
+    runs = dealt.groupBy(*keys, "c", "__run").agg(run.alias("v"))
+    runs = runs.select(
+        *keys,
+        "c",
+        F.struct(
+            "__run",
+            _fold(F.slice("v", 2, F.size("v")), F.element_at("v", 1)["x"]).alias("head"),
+            _fold(F.col("v"), F.lit(0.0)).alias("b"),
+            F.pow(F.lit(2.0), -F.size("v")).alias("a"),
+        ).alias("r"),
+    )
 
-    def fold(c):
-        items = F.collect_list(F.when(F.col("c") == F.lit(c), F.struct(F.col(_ORDER).alias("o"), F.col("x"))))
+    def compose(c):
+        items = F.array_sort(F.collect_list(F.when(F.col("c") == F.lit(c), F.col("r"))))
         return F.aggregate(
-            F.array_sort(items),
+            items,
             F.lit(None).cast("double"),
-            lambda acc, s: F.when(acc.isNull(), s["x"]).otherwise((acc + s["x"]) / F.lit(2.0)),
+            lambda acc, r: F.when(acc.isNull(), r["head"])
+            .when(F.abs(acc) == F.lit(float("inf")), acc + r["b"])  # 0 * inf is not a number
+            .otherwise(acc * r["a"] + r["b"]),
         )
 
-    return last.groupBy(*keys).agg(*[fold(c).alias(c) for c in columns])
+    return runs.groupBy(*keys).agg(*[compose(c).alias(c) for c in columns])
 
 
 def merge_groups(
@@ -118,17 +136,19 @@ def merge_groups(
     order_by=("id",),
     rules: dict | None = None,
     generic: str = config.GENERIC_TYPE,
-    tail: int = config.MIDPOINT_TAIL,
+    reuse: bool = True,
 ) -> DataFrame:
     """One row per group of ``keys`` built by the survivorship ``rules``.
 
     ``columns`` are the record columns (default: all but helper keys); they
-    define completeness and the output column order.
+    define completeness and the output column order. With ``reuse`` the input
+    is written to the checkpoint folder if the rules read it more than once;
+    callers whose input is already written pass False.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     columns = list(columns or [c for c in df.columns if c not in keys])
     rules = {**DEFAULT_RULES, **(rules or {})}
-    d = df.withColumn(_ORDER, survivor_order(order_by, columns))
+    d = df.withColumn(_ORDER, survivor_order(order_by, columns, float_columns(df)))
     aggs, mids = [], []
     for c in columns:
         if c in keys:
@@ -140,7 +160,10 @@ def merge_groups(
             aggs.append(_rule_expr(d, c, rule, generic).alias(c))
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("__n")]
+    if mids and reuse:
+        checkpoint_dir(df.sparkSession)
+        d = d.checkpoint()
     merged = d.groupBy(*keys).agg(*aggs)
     if mids:
-        merged = merged.join(_midpoints(d, keys, mids, tail), keys, "left")
+        merged = merged.join(_midpoints(d, keys, mids), keys, "left")
     return merged.select(*[c for c in columns], *[k for k in keys if k not in columns])

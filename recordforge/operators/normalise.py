@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from .. import config
 from ..functions.text import collapse_ws, match_key, py_rstrip_chars, py_strip, py_title, sql_lit, sql_ref
@@ -70,11 +70,6 @@ def clean_url(df: DataFrame, column: str = "website", min_length: int = config.M
     return df.withColumn(column, url_expr(F.col(column), min_length))
 
 
-def with_match_key(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Lower / strip / collapse whitespace; null -> ''."""
-    return df.withColumn(out, match_key(F.col(column)))
-
-
 def composite_key_expr(*columns: str) -> Column:
     """Columns joined by one blank (nulls as '') and normalised as O7."""
     parts = []
@@ -85,16 +80,21 @@ def composite_key_expr(*columns: str) -> Column:
     return match_key(F.concat(*parts))
 
 
-def completeness_expr(columns) -> Column:
-    """Number of non-null cells across ``columns`` (blank counts)."""
+def completeness_expr(columns, floats=()) -> Column:
+    """Number of non-null cells across ``columns`` (blank counts; in the
+    floating-point columns ``floats`` a NaN does not)."""
     return reduce(
         lambda a, b: a + b,
-        [F.col(c).isNotNull().cast("int") for c in columns],
+        [(F.col(c).isNotNull() & ~F.isnan(c) if c in floats else F.col(c).isNotNull()).cast("int") for c in columns],
     )
 
 
+def float_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))]
+
+
 def with_completeness(df: DataFrame, out: str = "completeness") -> DataFrame:
-    return df.withColumn(out, completeness_expr(df.columns))
+    return df.withColumn(out, completeness_expr(df.columns, float_columns(df)))
 
 
 def normalise(df: DataFrame, text_columns=None) -> DataFrame:
@@ -110,6 +110,6 @@ def normalise(df: DataFrame, text_columns=None) -> DataFrame:
 
 __all__ = [
     "null_sentinels", "strip_columns", "name_case", "name_case_expr", "lower_strip",
-    "clean_url", "url_expr", "with_match_key", "composite_key_expr", "completeness_expr",
+    "clean_url", "url_expr", "composite_key_expr", "completeness_expr",
     "with_completeness", "normalise", "collapse_ws",
 ]

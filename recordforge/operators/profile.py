@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+
+def missing(df: DataFrame, column: str) -> Column:
+    c = F.col(column)
+    return c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, (DoubleType, FloatType)) else c.isNull()
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """(column, nulls) for every column, computed in a single scan."""
-    counts = df.agg(
-        *[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in df.columns]
-    )
+    """(column, nulls) for every column, computed in a single scan. A NaN counts
+    as null, as it does where the table came from a text file."""
+    counts = df.agg(*[F.count_if(missing(df, c)).cast("bigint").alias(c) for c in df.columns])
     return counts.unpivot([], df.columns, "column", "nulls")
 
 

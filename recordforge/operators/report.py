@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .profile import null_profile, nulls_filled
@@ -42,14 +42,11 @@ def score_summary(df: DataFrame, score: str = "romantic_score", digits: int = 6)
 
 
 def value_distribution(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
-    """A5: count and share (%) per value; the total is a scalar subquery."""
+    """A5: count and share (%) per value; the total is the sum of the counts,
+    one row per value, so the input is read once."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.select(
-        column,
-        "count",
-        F.round(F.lit(100.0) * F.col("count") / total, digits).alias("pct"),
-    )
+    total = F.sum("count").over(Window.partitionBy())
+    return counts.select(column, "count", F.round(F.lit(100.0) * F.col("count") / total, digits).alias("pct"))
 
 
 def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:

@@ -1,78 +1,53 @@
-"""Closed-form merge rules vs a sequential pairwise fold (property test)."""
+"""Merge rules against hand-worked rows, and the midpoint against a plain loop."""
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from recordforge.operators.merge import merge_groups
 
 COLS = ["id", "name", "city", "display_address", "google_place_id", "latitude", "longitude",
         "price_point", "primary_type", "website"]
 
 
-def _missing(v):
-    return v is None or str(v).strip() == ""
-
-
-def _mixed(s):
-    return s != s.upper() and s != s.lower()
-
-
-def sequential_fold(rows):
-    """Expected result: rows folded left to right in survivor order."""
-    acc = dict(rows[0])
-    for row in rows[1:]:
-        before = dict(acc)
-        for c in COLS:
-            a, b = acc[c], row[c]
-            if _missing(b):
-                continue
-            if _missing(a):
-                acc[c] = b
-            elif c == "display_address" and len(b) > len(a):
-                acc[c] = b
-            elif c == "website" and len(b) < len(a):
-                acc[c] = b
-            elif c == "primary_type" and a.strip().lower() == "restaurant":
-                acc[c] = b
-            elif c == "name" and not _mixed(a) and _mixed(b):
-                acc[c] = b
-        for c in ("latitude", "longitude"):
-            if before[c] is not None and row[c] is not None:
-                acc[c] = (before[c] + row[c]) / 2.0
-    return acc
+SCHEMA = ", ".join(f"{c} {'double' if c in ('latitude', 'longitude') else 'string'}" for c in COLS)
 
 
-def _rand_row(rng, gid, i):
-    pick = lambda *xs: rng.choice(xs)
-    return {
-        "id": f"{gid:03d}-{i:02d}",
-        "name": pick(None, "", "  ", "merois", "MEROIS", "Merois", "MeRoIs 2"),
-        "city": pick(None, "", "LA", "Los Angeles"),
-        "display_address": pick(None, "", "1 A St", "1 A Street", "1 A Street, LA", "22 B"),
-        "google_place_id": f"g{gid}",
-        "latitude": pick(None, 34.0 + rng.random(), 34.5),
-        "longitude": pick(None, -118.0 - rng.random()),
-        "price_point": pick(None, "", "high", "low"),
-        "primary_type": pick(None, "", "restaurant", "Restaurant ", "bar", "cafe"),
-        "website": pick(None, "", "http://m.com", "http://m.com/x?utm=1", "http://mm.com"),
-    }
-
-
-def test_rules_equal_sequential_fold(spark):
-    rng = random.Random(7)
+def merged(spark, column, values, **other):
+    """The value of ``column`` after merging rows 0, 1, ... that are equally complete, in this order."""
     rows = []
-    for g in range(300):
-        n = rng.randint(1, 7)
-        rows += [_rand_row(rng, g, i) for i in range(n)]
-    schema = ", ".join(f"{c} {'double' if c in ('latitude', 'longitude') else 'string'}" for c in COLS)
-    df = spark.createDataFrame([tuple(r[c] for c in COLS) for r in rows], schema)
-    got = {r.google_place_id: r.asDict() for r in merge_groups(df, ["google_place_id"], columns=COLS).collect()}
-    groups = {}
-    for r in rows:
-        groups.setdefault(r["google_place_id"], []).append(r)
-    for g, members in groups.items():
-        comp = lambda r: sum(v is not None for v in r.values())
-        ordered = sorted(members, key=lambda r: (-comp(r), r["id"]))
-        assert got[g] == sequential_fold(ordered), g
+    for i, v in enumerate(values):
+        row = dict.fromkeys(COLS) | {"id": str(i), "google_place_id": "g"} | other | {column: v}
+        # one more filled cell makes up for a null, so completeness does not reorder the rows
+        row["price_point" if column != "price_point" else "city"] = "x" if v is None else None
+        rows.append(tuple(row[c] for c in COLS))
+    return merge_groups(spark.createDataFrame(rows, SCHEMA), ["google_place_id"], columns=COLS).collect()[0][column]
+
+
+@pytest.mark.parametrize(
+    ("column", "values", "expected"),
+    [
+        ("city", ["LA", "Los Angeles"], "LA"),  # first
+        ("city", [None, "", "  ", "LA"], "LA"),  # first that is not blank
+        ("city", ["", "  "], ""),  # all blank: the first row's
+        ("city", [None, None], None),
+        ("display_address", ["1 A St", "1 A Street", "2 B Street"], "1 A Street"),  # longest, ties to the earlier
+        ("display_address", ["", None, "22 B"], "22 B"),
+        ("website", ["http://m.com/x", "http://m.com", "http://n.com"], "http://m.com"),  # shortest, ties to the earlier
+        ("website", ["", "http://m.com"], "http://m.com"),
+        ("primary_type", ["restaurant", "bar", "cafe"], "bar"),  # first that is not generic
+        ("primary_type", ["restaurant", None, "restaurant"], "restaurant"),
+        ("primary_type", ["restaurant", "Restaurant "], "Restaurant "),  # generic only: the last present one
+        ("name", ["merois", "MEROIS", "Merois", "MeRoIs"], "Merois"),  # first in mixed case
+        ("name", [None, "MEROIS", "merois"], "MEROIS"),
+        ("latitude", [34.0, 34.5, 35.0], 34.625),  # ((34 + 34.5) / 2 + 35) / 2
+        ("latitude", [None, 34.0, None, 35.0], 34.5),
+        ("latitude", [None, None], None),
+    ],
+)
+def test_rule(spark, column, values, expected):
+    assert merged(spark, column, values) == expected
 
 
 def test_merois_three(spark):
@@ -92,21 +67,42 @@ def test_merois_three(spark):
     assert r.longitude == (-118.0 + -118.2) / 2
 
 
-def test_long_group_midpoint_close_to_fold(spark):
-    rng = random.Random(3)
-    vals = [34.0 + rng.random() for _ in range(150)]
-    rows = [(f"{i:04d}", "g", v) for i, v in enumerate(vals)]
-    df = spark.createDataFrame(rows, "id string, google_place_id string, latitude double")
-    got = merge_groups(df, ["google_place_id"], columns=["id", "google_place_id", "latitude"],
-                       order_by=("id",)).collect()[0].latitude
+def loop(values):
     acc = None
-    for v in vals:
+    for v in values:
         acc = v if acc is None else (acc + v) / 2.0
-    assert abs(got - acc) <= 4 * abs(acc) * 2.0 ** -52
+    return acc
+
 
+def midpoint(spark, values, partitions):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that runs are many
+    try:
+        df = spark.createDataFrame([(f"{i:06d}", "g", float(v)) for i, v in enumerate(values)], "id string, g string, latitude double")
+        out = merge_groups(df.repartition(partitions), ["g"], columns=["id", "g", "latitude"])
+        return out.collect()[0].latitude
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
-def test_midpoint_limit_is_partial(spark):
-    df = spark.createDataFrame([("1", "g", 1.0)], "id string, google_place_id string, latitude double")
-    plan = merge_groups(df, ["google_place_id"], columns=["id", "google_place_id", "latitude"]) \
-        ._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+
+def test_midpoint_weighs_every_value(spark):
+    rng = random.Random(3)
+    values = [34.0 + rng.random() for _ in range(1000)]
+    assert midpoint(spark, values, 5) == pytest.approx(loop(values), rel=1e-12)
+    first_huge = [1e300] + [1.0] * 69
+    assert midpoint(spark, first_huge, 3) == pytest.approx(loop(first_huge), rel=1e-9)
+    assert midpoint(spark, [float("inf")] + [1.0] * 1999, 3) == float("inf")
+    assert midpoint(spark, [1.0] * 3000, 3) == 1.0
+
+
+def test_hot_group_is_spread_over_tasks(spark):
+    """The runs of one group come out of more than one partition."""
+    df = spark.range(20_000).select(F.lit("g").alias("g"), F.col("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = df.repartitionByRange("g", "id").withColumn("p", F.spark_partition_id())
+        assert dealt.select("p").distinct().count() > 1
+        plan = merge_groups(df.withColumn("latitude", F.rand()), ["g"], columns=["id", "g", "latitude"])._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
