@@ -11,10 +11,13 @@ The kernel is vectorised with numpy over all candidate pairs of a chunk:
    histograms is a lower bound of the InDel distance, so pairs with
    ``100 * L1 > (100 - t) * (la + lb)`` cannot match;
 3. exact LCS length by the bit-parallel recurrence of Allison-Dix / Hyyrö
-   (``V = (V + U) | (V - U)``) on uint64 words when the shorter string has at
-   most 64 characters, and on Python integers otherwise.
+   (``V = (V + U) | (V - U)``) on arrays of uint64 words, as many as the
+   shorter string needs. Beyond ``MAX_WORDS`` words the same recurrence runs on
+   Python integers, whose additions are then the faster ones.
 
-Both filters are lossless; only step 3 decides.
+Both filters are lossless; only step 3 decides. Step 3 works through the
+remaining pairs in slices of at most ``SLICE_BYTES`` of masks and characters, by
+ascending length, so one long string costs its own slice only.
 """
 
 from __future__ import annotations
@@ -22,7 +25,9 @@ from __future__ import annotations
 import numpy as np
 
 WORD = 64
+MAX_WORDS = 16
 HIST_BUCKETS = 64
+SLICE_BYTES = 32_000_000
 
 
 def encode(strings) -> tuple[list[np.ndarray], np.ndarray]:
@@ -55,32 +60,12 @@ class PairScorer:
 
     def __init__(self, strings):
         self.strings = list(strings)
-        codes, lens = encode(self.strings)
-        self.lens = lens
-        n = len(codes)
-        flat = np.concatenate(codes) if n and lens.sum() else np.zeros(0, np.uint32)
-        vocab, vidx = np.unique(flat, return_inverse=True)
-        self.nvocab = len(vocab)
-        owner = np.repeat(np.arange(n), lens)
-        starts = np.concatenate([[0], np.cumsum(lens)[:-1]]) if n else np.zeros(0, np.int64)
-        pos = np.arange(len(flat)) - np.repeat(starts, lens)
+        self.codes, self.lens = encode(self.strings)
+        n = len(self.codes)
         # character histogram folded into HIST_BUCKETS buckets (still a bound)
-        hist = np.zeros((n, HIST_BUCKETS), dtype=np.int32)
-        np.add.at(hist, (owner, vidx % HIST_BUCKETS), 1)
-        self.hist = hist
-        # match masks for the (<= 64 chars) prefix-free short side
-        short = pos < WORD
-        pm = np.zeros((n, self.nvocab + 1), dtype=np.uint64)
-        np.bitwise_or.at(
-            pm,
-            (owner[short], vidx[short]),
-            np.left_shift(np.uint64(1), pos[short].astype(np.uint64)),
-        )
-        self.pm = pm
-        maxlen = int(lens.max()) if n else 0
-        chars = np.full((n, max(maxlen, 1)), self.nvocab, dtype=np.int64)
-        chars[owner, pos] = vidx
-        self.chars = chars
+        flat = np.concatenate(self.codes).astype(np.int64) if n and self.lens.sum() else np.zeros(0, np.int64)
+        cell = np.repeat(np.arange(n), self.lens) * HIST_BUCKETS + flat % HIST_BUCKETS
+        self.hist = np.bincount(cell, minlength=n * HIST_BUCKETS).reshape(n, HIST_BUCKETS).astype(np.int32)
 
     def matches(self, ia: np.ndarray, ib: np.ndarray, threshold: int) -> np.ndarray:
         """Boolean mask over pairs (ia[k], ib[k]) with similarity >= threshold."""
@@ -90,48 +75,88 @@ class PairScorer:
         tot = la + lb
         ok = (200 * np.minimum(la, lb) >= t * tot) & (tot > 0)
         idx = np.nonzero(ok)[0]
-        if len(idx):
-            l1 = np.abs(self.hist[ia[idx]] - self.hist[ib[idx]]).sum(axis=1)
-            keep = 100 * l1 <= (100 - t) * tot[idx]
-            ok[idx[~keep]] = False
-            idx = idx[keep]
+        for at in range(0, len(idx), 100_000):
+            part = idx[at : at + 100_000]
+            l1 = np.abs(self.hist[ia[part]] - self.hist[ib[part]]).sum(axis=1)
+            ok[part[100 * l1 > (100 - t) * tot[part]]] = False
+        idx = np.nonzero(ok)[0]
         if not len(idx):
             return ok
         # orient: short side first
-        a = ia[idx].copy()
-        b = ib[idx].copy()
-        swap = self.lens[a] > self.lens[b]
-        a[swap], b[swap] = ib[idx][swap], ia[idx][swap]
-        lcs = np.zeros(len(idx), dtype=np.int64)
-        small = self.lens[a] <= WORD
-        if small.any():
-            lcs[small] = self._lcs_words(a[small], b[small])
-        for k in np.nonzero(~small)[0]:
-            lcs[k] = _lcs_bigint(self.strings[a[k]], self.strings[b[k]])
-        good = 200 * lcs >= t * tot[idx]
-        ok[idx[~good]] = False
+        swap = la[idx] > lb[idx]
+        a = np.where(swap, ib[idx], ia[idx])
+        b = np.where(swap, ia[idx], ib[idx])
+        lcs = self._lcs(a, b)
+        ok[idx[200 * lcs < t * tot[idx]]] = False
         return ok
 
-    def _lcs_words(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        la = self.lens[a]
-        lb = self.lens[b]
+    def _lcs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), dtype=np.int64)
+        words = -(-self.lens[a] // WORD)
+        order = np.lexsort((self.lens[b], words))
+        long = np.searchsorted(words[order], MAX_WORDS, side="right")
+        for k in order[long:]:
+            out[k] = _lcs_bigint(self.strings[a[k]], self.strings[b[k]])
+        order = order[:long]
+        at = 0
+        while at < len(order):
+            to = min(len(order), at + 65_536)
+            # halve the slice until its masks and characters fit
+            while to - at > 1 and self._slice_bytes(a[order[at:to]], b[order[at:to]]) > SLICE_BYTES:
+                to = at + (to - at) // 2
+            part = order[at:to]
+            out[part] = self._lcs_words(a[part], b[part], int(words[part[-1]]))
+            at = to
+        return out
+
+    def _slice_bytes(self, a: np.ndarray, b: np.ndarray) -> int:
+        short = np.unique(a)
+        longest = int(self.lens[b].max())
+        words = -(-int(self.lens[short].max()) // WORD)
+        vocab = len(np.unique(np.concatenate([self.codes[i] for i in short])))
+        return 8 * words * (len(short) * (vocab + 1) + 4 * len(a)) + 4 * longest * len(np.unique(b))
+
+    def _lcs_words(self, a: np.ndarray, b: np.ndarray, words: int) -> np.ndarray:
+        la, lb = self.lens[a], self.lens[b]
         order = np.argsort(-lb, kind="stable")
         a, b, la, lb = a[order], b[order], la[order], lb[order]
-        v = np.full(len(a), np.uint64(0xFFFFFFFFFFFFFFFF), dtype=np.uint64)
-        steps = int(lb.max()) if len(lb) else 0
+        short, own_a = np.unique(a, return_inverse=True)
+        long, own_b = np.unique(b, return_inverse=True)
+        vocab, flat = np.unique(np.concatenate([self.codes[i] for i in short]), return_inverse=True)
+        owner = np.repeat(np.arange(len(short)), self.lens[short])
+        pos = np.arange(len(flat)) - np.repeat(np.cumsum(self.lens[short]) - self.lens[short], self.lens[short])
+        masks = np.zeros((len(short), len(vocab) + 1, words), dtype=np.uint64)
+        np.bitwise_or.at(masks, (owner, flat, pos // WORD), np.left_shift(np.uint64(1), (pos % WORD).astype(np.uint64)))
+        steps = int(lb.max())
+        chars = np.full((len(long), steps), len(vocab), dtype=np.int32)  # the last column of the masks is empty
+        for row, i in enumerate(long):
+            code = self.codes[i]
+            spot = np.searchsorted(vocab, code)
+            known = (spot < len(vocab)) & (vocab[np.minimum(spot, len(vocab) - 1)] == code)
+            chars[row, : len(code)] = np.where(known, spot, len(vocab))
+        v = np.full((words, len(a)), np.uint64(0xFFFFFFFFFFFFFFFF), dtype=np.uint64)
         active = len(a)
         for k in range(steps):
             # pairs are sorted by lb desc, so the still-running ones are a prefix
             while active and lb[active - 1] <= k:
                 active -= 1
-            c = self.chars[b[:active], k]
-            u = v[:active] & self.pm[a[:active], c]
-            v[:active] = (v[:active] + u) | (v[:active] - u)
-        full = np.uint64(0xFFFFFFFFFFFFFFFF)
-        shift = (np.uint64(WORD) - la.astype(np.uint64)) % np.uint64(WORD)
-        mask = np.where(la >= WORD, full, np.right_shift(full, shift))
-        mask = np.where(la == 0, np.uint64(0), mask)
-        zeros = la - np.bitwise_count(v & mask).astype(np.int64)
+            mask = masks[own_a[:active], chars[own_b[:active], k]]
+            carry = np.zeros(active, dtype=np.uint64)
+            for w in range(words):
+                vw = v[w, :active]
+                u = vw & mask[:, w]
+                total = vw + u
+                over = total < vw
+                total += carry
+                over |= total < carry
+                v[w, :active] = total | (vw ^ u)
+                carry = over.astype(np.uint64)
+        # zeros of V within the short string's length
+        zeros = np.zeros(len(a), dtype=np.int64)
+        for w in range(words):
+            held = np.clip(la - w * WORD, 0, WORD)
+            keep = np.where(held >= WORD, np.uint64(0xFFFFFFFFFFFFFFFF), np.left_shift(np.uint64(1), held.astype(np.uint64) % np.uint64(WORD)) - np.uint64(1))
+            zeros += held - np.bitwise_count(v[w] & keep).astype(np.int64)
         out = np.empty(len(a), dtype=np.int64)
         out[order] = zeros
         return out

@@ -2,17 +2,18 @@
 
 Alternating *large-star* / *small-star* rounds (Kiveris et al., "Connected
 Components in MapReduce and Beyond", SoCC 2014). Every round is a few
-partial aggregations and joins; no node's neighbourhood is ever collected,
-so a hub with millions of edges is spread by the shuffle (and by AQE's skew
-join split). The edge set is checkpointed to the shared checkpoint folder
+partial aggregations and joins; no node's neighbourhood is ever collected. The
+edges of a hub are dealt by salt as well as by node when they are joined with
+the nodes' minima, of which each salt has a copy, so a hub with a third of all
+edges is spread over tasks. The edge set is checkpointed to the shared checkpoint folder
 every round, which cuts the lineage and survives executor loss.
 
 Before the first round an exact local contraction runs: edges are
 rebalanced by an optional ``group`` column (a block no edge crosses, e.g. the
-cohort), AQE splits oversized partitions, and each task replaces its edges by
-``node -> smallest node of its local component`` (union-find over that
-task's edges only). Any partitioning keeps the components unchanged; when
-groups fit in a task the graph is already a star forest and no round runs.
+cohort), AQE splits oversized partitions, and each task replaces its edges,
+``CONTRACT_EDGES`` at a time, by ``node -> smallest node of its local
+component``. Any partitioning keeps the components unchanged; when groups fit
+in one such step the graph is already a star forest and no round runs.
 
 Result: one row per node that has an edge, ``component`` = smallest node id.
 """
@@ -32,38 +33,46 @@ from ..session import checkpoint_dir
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Edges that a task holds at a time while it contracts them.
+CONTRACT_EDGES = 1_000_000
+#: Shares that a node's edges are dealt into.
+EDGE_SALTS = 16
+
+
+def smallest_reachable(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, smallest node of each one's component) of the edges (u, v)."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for at in (a, b, label[a], label[b]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            return nodes, nodes[label]
+        label = new
+
+
 def _contract(batches):
-    """Union-find over one task's edges; emits (node, local root) pairs."""
-    parent: dict[int, int] = {}
-
-    def find(x):
-        root = x
-        while parent.get(root, root) != root:
-            root = parent[root]
-        while x != root:
-            nxt = parent.get(x, x)
-            parent[x] = root
-            x = nxt
-        return root
+    """Edges as (node, local root), a bounded number of edges at a time."""
+
+    def step(us, vs):
+        nodes, roots = smallest_reachable(np.concatenate(us), np.concatenate(vs))
+        keep = nodes != roots
+        return pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(roots[keep])], names=["u", "v"])
 
+    us, vs, held = [], [], 0
     for batch in batches:
-        us = batch.column("u").to_pylist()
-        vs = batch.column("v").to_pylist()
-        for a, b in zip(us, vs):
-            ra, rb = find(a), find(b)
-            if ra != rb:
-                if ra < rb:
-                    parent[rb] = ra
-                else:
-                    parent[ra] = rb
-            else:
-                parent.setdefault(a, a)
-                parent.setdefault(b, b)
-    nodes = np.fromiter(parent.keys(), dtype=np.int64, count=len(parent))
-    roots = np.fromiter((find(x) for x in nodes.tolist()), dtype=np.int64, count=len(nodes))
-    keep = nodes != roots
-    if keep.any():
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(roots[keep])], names=["u", "v"])
+        us.append(np.asarray(batch.column("u")))
+        vs.append(np.asarray(batch.column("v")))
+        held += batch.num_rows
+        if held >= CONTRACT_EDGES:
+            yield step(us, vs)
+            us, vs, held = [], [], 0
+    if held:
+        yield step(us, vs)
 
 
 def _orient(edges: DataFrame) -> DataFrame:
@@ -75,19 +84,32 @@ def _orient(edges: DataFrame) -> DataFrame:
     )
 
 
+def _salt(node: str):
+    return F.pmod(F.xxhash64(node), F.lit(EDGE_SALTS)).cast("int").alias("salt")
+
+
+def _minima(e: DataFrame) -> DataFrame:
+    """(u, m): the smallest neighbour of every node with smaller ones."""
+    return e.groupBy("u").agg(F.min("v").alias("m"))
+
+
+def _per_salt(mins: DataFrame) -> DataFrame:
+    return mins.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(EDGE_SALTS - 1))))
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     """Every node's larger neighbours are linked to the smallest node of its
     closed neighbourhood. With edges kept as (u > v), node v's minimum is
     min(v, its smaller neighbours), so each edge (u, v) becomes (u, m(v)).
     One output row per input edge: no growth, duplicates go in small-star."""
-    mins = e.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
-    return e.join(mins, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+    mins = _per_salt(_minima(e)).withColumnRenamed("u", "v")
+    return e.select("u", "v", _salt("u")).join(mins, ["v", "salt"], "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest."""
-    mins = e.groupBy("u").agg(F.min("v").alias("m"))
-    linked = e.join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    mins = _minima(e)
+    linked = e.select("u", "v", _salt("v")).join(_per_salt(mins), ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _orient(linked.unionByName(mins.select("u", F.col("m").alias("v"))))
 
 
@@ -101,7 +123,12 @@ def _is_star_forest(e: DataFrame) -> bool:
 
 
 def connected_components(
-    edges: DataFrame, src: str = "src", dst: str = "dst", group: str | None = None, max_rounds: int | None = None
+    edges: DataFrame,
+    src: str = "src",
+    dst: str = "dst",
+    group: str | None = None,
+    max_rounds: int | None = None,
+    contract: bool = True,
 ) -> DataFrame:
     """(node, component) for every node of ``edges`` (long ids); self-loops
     are ignored, so a node seen only in a self-loop is not listed.
@@ -110,6 +137,7 @@ def connected_components(
     local contraction's partitioning and never changes the result.
     Rounds run until the edges form a star forest (O(log^2 n) rounds in the
     worst case); ``max_rounds`` is only a guard for callers who want one.
+    ``contract=False`` leaves out the local contraction.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
@@ -118,7 +146,9 @@ def connected_components(
         local = edges.select(group, *cols).hint("rebalance", group).select("u", "v")
     else:
         local = edges.select(*cols)
-    e = _orient(local.mapInArrow(_contract, "u bigint, v bigint")).checkpoint()
+    if contract:
+        local = local.mapInArrow(_contract, "u bigint, v bigint")
+    e = _orient(local).checkpoint()
     rounds = 0
     while not _is_star_forest(e):
         if max_rounds is not None and rounds >= max_rounds:

@@ -5,26 +5,26 @@ keys of the same cohort whose token-sort similarity reaches the threshold.
 
 Plan (all DataFrame operations, work grows with the data, no driver loop):
 
-* Keys are grouped into *packets* of one cohort and one key length, split by
-  a hash into ``ceil(n / packet_size)`` sub-packets, so a packet holds about
-  ``packet_size`` keys however large the cohort is (a city with a third of
-  all rows becomes many packets, not one task).
-* Packet pairs are enumerated as ids only: each packet lists the partner
-  lengths of the exact length band ``la <= lb <= la * (200 - t) / t`` and
-  every sub-packet of those lengths (from the per-(cohort, length) size
-  table). Key lists are then attached by equi-joins on one packet id each, so
-  no join key fans out beyond the packets that really pair with it.
-* Each packet pair is one row carrying both key lists, scored by a
-  vectorised Arrow task (:class:`~recordforge.functions.similarity.PairScorer`)
-  that emits only matching pairs. Candidate pairs exist only inside that
-  task's memory, at most ``packet_size ** 2`` per row. Rows are grouped by
-  their first packet; a large cohort has many such packets, so the work of
-  one cohort spreads over many tasks.
-
-Every pair of a cohort inside the length band is scored (the threshold of
-85 on short strings admits no selective exact signature: pigeonhole segments
-would be ~3 characters long), but pairs are never rows: shuffled volume is
-``packets x partner packets``, not ``keys ** 2``.
+* Keys are range-partitioned by cohort, length and the counts of a few character
+  classes, and cut in that order into *packets* of one cohort, one length and at
+  most ``packet_size`` keys. A cohort that holds a third of all rows is spread
+  over tasks by its order; no task ever gathers more than its range.
+* A packet keeps the least and largest count of every class. One inserted or
+  deleted character changes one count by one, so two packets whose boxes differ
+  by more than the edits the threshold allows hold no match: such pairs of
+  packets are dropped, and so are those outside the exact length band
+  ``la <= lb <= la * (200 - t) / t``. Only ids and boxes take part in that.
+* Key lists are attached to the remaining packet pairs by equi-joins on one
+  packet id each. Each packet pair is one row carrying both key lists, scored by
+  a vectorised Arrow task (:class:`~recordforge.functions.similarity.PairScorer`)
+  that emits only matching pairs. Candidate pairs exist only inside that task's
+  memory, at most ``packet_size ** 2`` per row, and a task flushes by pairs and
+  by bytes.
+
+Packets are written once to the checkpoint folder, so a recomputed task cannot
+cut them differently. Every pair of a cohort that the length and the class
+counts admit is scored (the threshold of 85 on short strings admits no selective
+exact signature: pigeonhole segments would be ~3 characters long).
 """
 
 from __future__ import annotations
@@ -34,12 +34,13 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import similarity as _similarity
 from ..functions.similarity import PairScorer
+from ..session import checkpoint_dir
 
 # The scoring task and its kernel travel with the job (pickled by value), so
 # executors need numpy and pyarrow but not this package installed.
@@ -48,8 +49,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EDGE_SCHEMA = "cohort string, key_a string, key_b string, node_a bigint, node_b bigint"
 
-# candidate pairs scored per vectorised call inside a task
+# candidate pairs and bytes of strings scored per vectorised call inside a task
 _CHUNK_PAIRS = 200_000
+_CHUNK_BYTES = 32_000_000
+
+# Character classes whose counts order the keys and bound their distance.
+_CLASSES = ["01234", "56789", "ae", "iou", "bcdfgh", "jklmn", "pqrs", "tvwxyz"]
+# Shares that the packets of one cohort and length are dealt into when paired.
+_PAIR_SALTS = 16
 
 
 def _score_blocks(threshold: int):
@@ -75,7 +82,7 @@ def _score_blocks(threshold: int):
                     cohort[r], bool(same[r]),
                     a_keys[a0:a1], a_nodes[a0:a1], b_keys[b0:b1], b_nodes[b0:b1],
                 )
-                if buf.pairs >= _CHUNK_PAIRS:
+                if buf.pairs >= _CHUNK_PAIRS or buf.bytes >= _CHUNK_BYTES:
                     out = buf.flush(threshold)
                     if out is not None:
                         yield out
@@ -95,11 +102,15 @@ class _Chunk:
     def _reset(self):
         self.strings, self.nodes, self.cohorts = [], [], []
         self.ia, self.ib = [], []
-        self.pairs = 0
+        self.pairs = self.bytes = 0
 
     def add(self, cohort, same, a_keys, a_nodes, b_keys, b_nodes):
         base = len(self.strings)
         na = len(a_keys)
+        if same and na < 2:
+            return
+        # code points and histogram of each string
+        self.bytes += sum(4 * len(k) + 260 for k in (a_keys if same else [*a_keys, *b_keys]))
         self.strings.extend(a_keys)
         self.nodes.append(np.asarray(a_nodes, dtype=np.int64))
         if same:
@@ -178,50 +189,41 @@ def similarity_join(
         .filter(F.length("key") > 0)
         .withColumn("len", F.length("key"))
     )
-    sizes = (
-        k.groupBy("cohort", "len")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("nsub", F.ceil(F.col("n") / F.lit(packet_size)).cast("int"))
-    )
-    packets = (
-        k.join(sizes.select("cohort", "len", "nsub"), ["cohort", "len"])
-        .withColumn("sub", F.pmod(F.xxhash64("key"), F.col("nsub")).cast("int"))
-        .groupBy("cohort", "len", "sub")
-        .agg(F.collect_list(F.struct("node", "key")).alias("items"))
-    )
-    # every packet pair to score, as ids only: partner lengths from the exact
-    # band, then each partner length's sub-packets (sizes is one row per
-    # (cohort, length), small enough for AQE to broadcast)
-    max_partner = F.floor(F.col("len") * F.lit(200 - t) / F.lit(t)).cast("int")
-    partner_subs = sizes.select("cohort", F.col("len").alias("lb"), F.col("nsub").alias("nb"))
-    wanted = (
-        sizes.select(
-            "cohort",
-            F.col("len").alias("la"),
-            F.explode(F.sequence(F.lit(0), F.col("nsub") - 1)).alias("sa"),
-            max_partner.alias("lmax"),
-        )
-        .select("cohort", "la", "sa", F.explode(F.sequence(F.col("la"), F.col("lmax"))).alias("lb"))
-        .join(partner_subs, ["cohort", "lb"])
-        .select("cohort", "la", "sa", "lb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("sb"))
-        .filter((F.col("la") < F.col("lb")) | (F.col("sa") <= F.col("sb")))
-    )
-    pa_ = packets.select(
-        "cohort", F.col("len").alias("la"), F.col("sub").alias("sa"), F.col("items").alias("items_a")
-    )
-    pb_ = packets.select(
-        "cohort", F.col("len").alias("lb"), F.col("sub").alias("sb"), F.col("items").alias("items_b")
-    )
-    # attach both key lists; each join key names exactly one packet, so no
-    # join key fans out beyond the packets that really pair with it
+    packets = _packets(k, packet_size)
     blocks = (
-        wanted.join(pb_, ["cohort", "lb", "sb"])
-        .join(pa_, ["cohort", "la", "sa"])
-        .select(
-            "cohort",
-            ((F.col("la") == F.col("lb")) & (F.col("sa") == F.col("sb"))).alias("same"),
-            "items_a",
-            "items_b",
-        )
+        _packet_pairs(packets, t)
+        .join(packets.select(F.col("packet").alias("b"), F.col("items").alias("items_b")), "b")
+        .join(packets.select(F.col("packet").alias("a"), "cohort", F.col("items").alias("items_a")), "a")
+        .select("cohort", (F.col("a") == F.col("b")).alias("same"), "items_a", "items_b")
     )
     return blocks.mapInArrow(_score_blocks(t), EDGE_SCHEMA)
+
+
+def _packets(k: DataFrame, packet_size: int) -> DataFrame:
+    """(packet, cohort, len, items, lo, hi): keys cut in the order of their class counts."""
+    lower = F.lower("key")
+    counts = F.array(*[F.length(lower) - F.length(F.translate(lower, chars, "")) for chars in _CLASSES])
+    dealt = k.withColumn("counts", counts).repartitionByRange("cohort", "len", "counts", "key")
+    dealt = dealt.withColumn("part", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy("part", "cohort", "len").orderBy("counts", "key")) - 1
+    cut = dealt.withColumn("sub", F.floor(place / packet_size))
+    bounds = [f(F.col("counts")[i]).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max)) for i in range(len(_CLASSES))]
+    packed = cut.groupBy("part", "cohort", "len", "sub").agg(F.collect_list(F.struct("node", "key")).alias("items"), *bounds)
+    checkpoint_dir(k.sparkSession)
+    return packed.drop("part", "sub").withColumn("packet", F.monotonically_increasing_id()).checkpoint()
+
+
+def _packet_pairs(packets: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) ids of the packet pairs that length and class counts admit; a packet pairs with itself, too."""
+    boxes = [f"{n}{i}" for n in ("lo", "hi") for i in range(len(_CLASSES))]
+    salt = F.pmod(F.xxhash64("packet"), F.lit(_PAIR_SALTS)).cast("int")
+    left = packets.select("cohort", F.col("packet").alias("a"), F.col("len").alias("la"), salt.alias("salt"), *[F.col(c).alias(f"a_{c}") for c in boxes])
+    left = left.withColumn("lb", F.explode(F.sequence("la", F.floor(F.col("la") * F.lit(200 - threshold) / F.lit(threshold)).cast("int"))))
+    right = packets.select("cohort", F.col("packet").alias("b"), F.col("len").alias("lb"), *[F.col(c).alias(f"b_{c}") for c in boxes])
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_PAIR_SALTS - 1))))
+    apart = [
+        F.greatest(F.lit(0), F.col(f"a_lo{i}") - F.col(f"b_hi{i}"), F.col(f"b_lo{i}") - F.col(f"a_hi{i}")) for i in range(len(_CLASSES))
+    ]
+    edits = sum(apart[1:], apart[0])
+    admitted = (edits * 100 <= (F.col("la") + F.col("lb")) * (100 - threshold)) & ((F.col("la") < F.col("lb")) | (F.col("a") <= F.col("b")))
+    return left.join(right, ["cohort", "lb", "salt"]).filter(admitted).select("a", "b")

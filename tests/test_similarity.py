@@ -133,3 +133,58 @@ def test_components_node_with_two_local_roots(spark):
     assert df.rdd.getNumPartitions() >= 2
     got = sorted((r.node, r.component) for r in connected_components(df).collect())
     assert got == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_long_keys_among_short_ones():
+    """Keys of several words and one of 20,000 characters, with bounded slices."""
+    rng = random.Random(8)
+    xs = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([30, 130, 500, 1100]))) for _ in range(30)]
+    xs += [x[:-2] + "zz" for x in xs] + ["ab" * 10_000, "ab" * 9_990 + "b" * 20]
+    sc = PairScorer(xs)
+    ia, ib = np.triu_indices(len(xs), 1)
+    got = sc.matches(ia, ib, 85)
+    short = [k for k in range(len(ia)) if len(xs[ia[k]]) + len(xs[ib[k]]) < 2000]
+    for k in short:
+        assert got[k] == (200 * _dp(xs[ia[k]], xs[ib[k]]) >= 85 * (len(xs[ia[k]]) + len(xs[ib[k]])))
+    assert got[-1]
+
+
+def test_one_key_packets_are_not_held():
+    from recordforge.operators.simjoin import _Chunk
+
+    chunk = _Chunk()
+    for k in range(1000):
+        chunk.add("c", True, [f"key {k}"], [k], [f"key {k}"], [k])
+    assert not chunk.strings and not chunk.pairs
+
+
+def test_hot_cohort_packets_come_from_many_tasks(spark):
+    from recordforge.operators.simjoin import _packets
+
+    keys = spark.range(20_000).select(
+        F.lit("hot").alias("cohort"), F.substring(F.md5(F.col("id").cast("string")), 1, 12).alias("key"), F.col("id").alias("node"), F.lit(12).alias("len")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        packets = _packets(keys, 64)
+        sizes = [r.n for r in packets.select(F.size("items").alias("n")).collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= 64
+        per_task = packets.groupBy(F.spark_partition_id()).agg(F.sum(F.size("items")).alias("n")).collect()
+        assert len(per_task) > 3 and max(r.n for r in per_task) < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hub_edges_are_dealt_by_salt(spark):
+    from recordforge.operators import components
+
+    edges = spark.range(1, 50_001).select(F.lit(0).cast("long").alias("v"), F.col("id").alias("u"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = edges.select("u", "v", components._salt("u")).repartition("v", "salt")
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 2 and max(sizes) < 35_000
+        got = connected_components(edges.select(F.col("u").alias("src"), F.col("v").alias("dst")), contract=False)
+        assert got.filter("component != 0").isEmpty() and got.count() == 50_001
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
