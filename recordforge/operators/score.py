@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import any_contains, contains_any_sql, lookup_sql, map_lookup, py_strip, sql_lit, sql_ref
+from ..functions.text import contains_any_sql, lookup_sql, py_strip, sql_lit, sql_ref
 
 
 def np_round(x: Column, decimals: int) -> Column:
@@ -19,47 +19,6 @@ def np_round(x: Column, decimals: int) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
-def ordinal_signal(c: Column, mapping: dict | None = None, default: float | None = None) -> Column:
-    """Map to 1..4, (x-1)/3, unknown/null -> default, clipped to [0, 1]."""
-    mapping = config.PRICE_POINT_NUMERIC if mapping is None else mapping
-    default = config.PRICE_POINT_DEFAULT if default is None else default
-    lo, hi = 1.0, 4.0
-    span = hi - lo
-    scaled = (map_lookup(c, mapping) - F.lit(lo)) / F.lit(span)
-    filled = F.coalesce(scaled, F.lit((default - lo) / span))
-    return F.least(F.greatest(filled, F.lit(0.0)), F.lit(1.0))
-
-
-def any_token_signal(c: Column, tokens=None) -> Column:
-    """R2: 1.0 if any token is a substring of lower(c), else 0.0."""
-    tokens = config.HIGH_TICKET_ADDRESS_TOKENS if tokens is None else tokens
-    return any_contains(F.lower(c), tokens).cast("double")
-
-
-def membership_signal(c: Column, members=None) -> Column:
-    """1.0 if lower(c) is in the set (null -> 0.0)."""
-    members = config.FANCY_PRIMARY_TYPES if members is None else members
-    return F.coalesce(F.lower(c).isin(list(members)), F.lit(False)).cast("double")
-
-
-def keyword_tier_signal(c: Column, high=None, medium=None) -> Column:
-    """1.0 if any HIGH keyword occurs, else 0.5 for MEDIUM, else 0.0."""
-    high = config.ROMANTIC_NAME_KEYWORDS_HIGH if high is None else high
-    medium = config.ROMANTIC_NAME_KEYWORDS_MEDIUM if medium is None else medium
-    low = F.coalesce(F.lower(c), F.lit(""))
-    return (
-        F.when(any_contains(low, high), F.lit(1.0))
-        .when(any_contains(low, medium), F.lit(0.5))
-        .otherwise(F.lit(0.0))
-    )
-
-
-def affinity_signal(c: Column, mapping: dict | None = None, default: float = config.DEFAULT_CUISINE_AFFINITY) -> Column:
-    """Category affinity, unknown -> default."""
-    mapping = config.CUISINE_ROMANCE_SCORE if mapping is None else mapping
-    return F.coalesce(map_lookup(c, mapping), F.lit(default))
-
-
 def presence_signal(c: Column) -> Column:
     """1.0 for a non-null, non-blank value."""
     return F.coalesce(F.length(py_strip(c)) > 0, F.lit(False)).cast("double")
@@ -75,6 +34,19 @@ SIGNALS = [
 ]
 
 
+#: The rule tables of R1-R5; a caller may replace any of them.
+SIGNAL_RULES = {
+    "price_numeric": config.PRICE_POINT_NUMERIC,
+    "price_default": config.PRICE_POINT_DEFAULT,
+    "address_tokens": config.HIGH_TICKET_ADDRESS_TOKENS,
+    "fancy_types": config.FANCY_PRIMARY_TYPES,
+    "name_high": config.ROMANTIC_NAME_KEYWORDS_HIGH,
+    "name_medium": config.ROMANTIC_NAME_KEYWORDS_MEDIUM,
+    "affinity": config.CUISINE_ROMANCE_SCORE,
+    "affinity_default": config.DEFAULT_CUISINE_AFFINITY,
+}
+
+
 def signal_columns(
     price: str = "price_point",
     address: str = "display_address",
@@ -82,28 +54,34 @@ def signal_columns(
     name: str = "name",
     category: str = "cuisine_category",
     website: str = "website",
+    rules: dict | None = None,
 ) -> dict[str, Column]:
-    """R1-R6 over column names; the rule tables are written as SQL text (one
-    driver call per signal), the same expressions as the Column helpers."""
+    """R1-R6 over column names: ordinal min-max, any token, set membership, best
+    keyword tier, category affinity, presence. ``rules`` replaces entries of
+    ``SIGNAL_RULES``. The tables are written as SQL text (one driver call per signal)."""
+    unknown = set(rules or {}) - set(SIGNAL_RULES)
+    if unknown:
+        raise ValueError(f"unknown signal rules: {sorted(unknown)}")
+    rule = SIGNAL_RULES | (rules or {})
     one, half, zero = sql_lit(1.0), sql_lit(0.5), sql_lit(0.0)
-    default = (config.PRICE_POINT_DEFAULT - 1.0) / 3.0
-    price_num = lookup_sql(sql_ref(price), {k: float(v) for k, v in config.PRICE_POINT_NUMERIC.items()})
+    default = (rule["price_default"] - 1.0) / 3.0
+    price_num = lookup_sql(sql_ref(price), {k: float(v) for k, v in rule["price_numeric"].items()})
     lname = f"coalesce(lower({sql_ref(name)}), '')"
-    fancy = ", ".join(sql_lit(t) for t in config.FANCY_PRIMARY_TYPES)
-    affinity = lookup_sql(sql_ref(category), {k: float(v) for k, v in config.CUISINE_ROMANCE_SCORE.items()})
+    fancy = ", ".join(sql_lit(t) for t in rule["fancy_types"])
+    affinity = lookup_sql(sql_ref(category), {k: float(v) for k, v in rule["affinity"].items()})
     return {
         "price_point": F.expr(
             f"least(greatest(coalesce(({price_num} - {one}) / {sql_lit(3.0)}, {sql_lit(default)}), {zero}), {one})"
         ),
         "address": F.expr(
-            f"CAST({contains_any_sql(f'lower({sql_ref(address)})', config.HIGH_TICKET_ADDRESS_TOKENS)} AS DOUBLE)"
+            f"CAST({contains_any_sql(f'lower({sql_ref(address)})', rule['address_tokens'])} AS DOUBLE)"
         ),
         "fancy_type": F.expr(f"CAST(coalesce(lower({sql_ref(ptype)}) IN ({fancy}), false) AS DOUBLE)"),
         "name_keyword": F.expr(
-            f"CASE WHEN {contains_any_sql(lname, config.ROMANTIC_NAME_KEYWORDS_HIGH)} THEN {one} "
-            f"WHEN {contains_any_sql(lname, config.ROMANTIC_NAME_KEYWORDS_MEDIUM)} THEN {half} ELSE {zero} END"
+            f"CASE WHEN {contains_any_sql(lname, rule['name_high'])} THEN {one} "
+            f"WHEN {contains_any_sql(lname, rule['name_medium'])} THEN {half} ELSE {zero} END"
         ),
-        "cuisine": F.expr(f"coalesce({affinity}, {sql_lit(float(config.DEFAULT_CUISINE_AFFINITY))})"),
+        "cuisine": F.expr(f"coalesce({affinity}, {sql_lit(float(rule['affinity_default']))})"),
         "has_website": presence_signal(F.col(website)),
     }
 

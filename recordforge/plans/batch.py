@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.profile import null_profile, nulls_filled
 from ..operators.report import pipeline_metrics, score_summary, top_distinct, top_values, value_distribution
-from ..sources.csv import validate_schema, write_csv
+from ..sources.csv import read_csv, validate_schema, write_csv
 from .cleaning import run_cleaning
 from .enrichment import run_enrichment
 
@@ -57,6 +57,7 @@ def run_job(
         write_csv(enriched, os.path.join(out_dir, "enriched_csv"))
     return {
         "metrics": pipeline_metrics(raw, clean, enriched),
+        "nulls_loaded": null_profile(raw),
         "nulls_filled": nulls_filled(raw, clean),
         "nulls_left": null_profile(clean),
         "summary": score_summary(enriched),
@@ -65,3 +66,8 @@ def run_job(
         "top": top_distinct(enriched, 10, ascending=False),
         "bottom": top_distinct(enriched, 5, ascending=True),
     }
+
+
+def run_csv_job(spark: SparkSession, path: str, out_dir: str, multi_line: bool = True, **options) -> dict[str, DataFrame]:
+    """The job from a CSV path to clean and enriched CSV (and Parquet) under ``out_dir``."""
+    return run_job(spark, read_csv(spark, path, multi_line=multi_line), out_dir, **options)

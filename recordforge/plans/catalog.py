@@ -7,16 +7,18 @@ DuckDB oracle's (:mod:`recordforge.plans.oracle`).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import match_key
+from ..functions.text import match_key, sorted_tokens
 from ..operators import classify as C
 from ..operators import normalise as N
 from ..operators import score as R
+from ..operators.components import connected_components
 from ..operators.dedup import dedup_exact, dedup_fuzzy, fuzzy_clusters, key_table, match_keys, pool_with_ids
 from ..operators.merge import merge_groups
 from ..operators.profile import null_profile, nulls_filled
@@ -25,6 +27,7 @@ from ..operators.simjoin import similarity_join
 from ..session import scratch_path
 from ..sources.csv import apply_load_types, read_csv, write_csv
 from ..sources.fixture import raw_venues, read_table
+from .batch import run_csv_job
 from .cleaning import prepare, run_cleaning
 from .enrichment import run_enrichment
 
@@ -42,6 +45,9 @@ ALT_WEIGHTS = {
 }
 
 
+PART_THRESHOLD = 70
+
+
 def loaded(spark, sf):
     """Raw venues as a CSV load delivers them (load sentinels are null)."""
     return apply_load_types(raw_venues(spark, sf))
@@ -106,7 +112,7 @@ def q_match_key(spark, sf):
 
 def q_completeness(spark, sf):
     d = loaded(spark, sf)
-    return d.select("id", N.completeness_expr(d.columns).cast("bigint").alias("completeness"))
+    return d.select("id", N.completeness_expr(d.columns, N.float_columns(d)).cast("bigint").alias("completeness"))
 
 
 def q_impute_chain(spark, sf):
@@ -158,6 +164,37 @@ def q_fuzzy_pairs_name(spark, sf):
     return _pairs(spark, sf, "nc_key", config.FUZZY_NAME_CITY_THRESHOLD)
 
 
+def q_fuzzy_pairs_part(spark, sf):
+    """Near part names of a brand: the join on given text, whole strings."""
+    name = sorted_tokens(match_key(F.col("p_name")))
+    parts = read_table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("cohort"), name.alias("key"))
+    reps = parts.filter(F.length("key") > 0).groupBy("cohort", "key").agg(F.min("p_partkey").alias("node"))
+    return similarity_join(reps, PART_THRESHOLD).select("cohort", "key_a", "key_b", "node_a", "node_b")
+
+
+def q_order_part_components(spark, sf):
+    """Connected orders and parts (an order is 2k, a part 2k + 1), by star rounds alone."""
+    items = read_table(spark, sf, "lineitem")
+    edges = items.select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst"))
+    return connected_components(edges, contract=False)
+
+
+def q_merge_nation(spark, sf):
+    """Customers merged by nation: groups of any size, the balances' running midpoint in key order."""
+    rows = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_name", "c_acctbal")
+    rules = {"c_name": "longest", "c_acctbal": "midpoint"}
+    out = merge_groups(rows, ["c_nationkey"], order_by=("c_custkey",), columns=["c_custkey", "c_name", "c_acctbal"], rules=rules)
+    return out.select("c_nationkey", "c_custkey", "c_name", F.round("c_acctbal", 6).alias("c_acctbal"))
+
+
+def q_csv_job(spark, sf):
+    """The whole job from a CSV path to enriched CSV; the enriched table."""
+    path, out = scratch_path(spark, "venues-csv"), scratch_path(spark, "csv-job")
+    write_csv(raw_venues(spark, sf), path)
+    run_csv_job(spark, path, out)
+    return spark.read.parquet(os.path.join(out, "enriched.parquet"))
+
+
 def q_fuzzy_clusters(spark, sf):
     pool = _pool(spark, sf)
     cl = fuzzy_clusters(pool).join(pool.select("_rid", "id"), "_rid")
@@ -265,6 +302,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_exact": q_dedup_exact,
     "fuzzy_pairs": q_fuzzy_pairs,
     "fuzzy_pairs_name": q_fuzzy_pairs_name,
+    "fuzzy_pairs_part": q_fuzzy_pairs_part,
+    "order_part_components": q_order_part_components,
+    "merge_nation": q_merge_nation,
+    "csv_job": q_csv_job,
     "fuzzy_clusters": q_fuzzy_clusters,
     "dedup_fuzzy": q_dedup_fuzzy,
     "clean_pipeline": q_clean_pipeline,

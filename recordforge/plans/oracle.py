@@ -12,7 +12,7 @@ from ..functions.text import PY_WHITESPACE, regex_literal
 from ..operators.score import SIGNALS
 from ..sources.csv import load_nulls
 from ..sources.fixture import venues_sql_duckdb
-from .catalog import ALT_WEIGHTS
+from .catalog import ALT_WEIGHTS, PART_THRESHOLD
 
 CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 COLS = config.REQUIRED_COLUMNS
@@ -355,6 +355,19 @@ def build() -> dict[str, str]:
     fz = b + fuzzy_ctes()
     sq["fuzzy_pairs"] = with_(fz, "SELECT cohort, key_a, key_b FROM addr_pairs")
     sq["fuzzy_pairs_name"] = with_(fz, "SELECT cohort, key_a, key_b FROM nc_pairs")
+    part = (
+        f"part_reps AS (SELECT p_brand AS cohort, {sorttok(match('p_name'))} AS key, min(p_partkey) AS rep FROM part "
+        f"WHERE {sorttok(match('p_name'))} <> '' GROUP BY ALL)"
+    )
+    sq["fuzzy_pairs_part"] = with_(
+        [part], f"SELECT cohort, key_a, key_b, rep_a AS node_a, rep_b AS node_b FROM ({pairs_select('part_reps', PART_THRESHOLD)})"
+    )
+    sq["merge_nation"] = (
+        "SELECT c_nationkey, min(c_custkey) AS c_custkey, first(c_name ORDER BY length(c_name) DESC, c_custkey) AS c_name, "
+        f"round(list_reduce(list(CAST(c_acctbal AS DOUBLE) ORDER BY c_custkey), lambda a, x: (a + x) / {dbl(2.0)}), 6) AS c_acctbal "
+        "FROM customer GROUP BY c_nationkey"
+    )
+    sq["csv_job"] = with_(clean_ctes(), "SELECT * FROM enriched")
     sq["fuzzy_clusters"] = with_(fz, "SELECT id, cluster_id FROM clusters")
     sq["dedup_fuzzy"] = with_(fz, f"SELECT {sel} FROM fuzzy_merged")
     cl = clean_ctes()

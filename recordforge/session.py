@@ -1,13 +1,17 @@
 """Session construction and the shared scratch location.
 
 On a cluster the operator reads ``spark.checkpoint.dir`` (a shared, reliable
-folder named by the cluster). Only when it is unset — local runs and tests —
-do we create one ourselves.
+folder named by the cluster). Where it is unset, a local master gets a folder of
+its own, which is removed when the driver ends; any other master raises, since
+executors would not see the driver's folders.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -25,30 +29,7 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
-}
-
-
-# Settings we recommend for a large cluster (pass to the cluster's session
-# builder). Nothing in the library needs them for correctness.
-CLUSTER_CONF = {
-    # AQE: runtime partition coalescing, skew-join splitting, and runtime
-    # broadcast only of sides measured below the threshold
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    # start wide enough that no shuffle partition exceeds executor memory at
-    # 100 TB; AQE merges the small ones
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    # Arrow batches for the similarity kernel and the contraction step
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    # remove checkpoint files (pool ids, component rounds) once unreferenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -65,6 +46,11 @@ def build_session(master: str | None = None, app: str = "recordforge", **conf) -
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (local-cluster is not)."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is named."""
     try:
@@ -76,7 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="recordforge-ckpt-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .. import config
 from ..operators.normalise import null_sentinels
@@ -31,32 +31,52 @@ def validate_schema(df: DataFrame, required=None) -> DataFrame:
 
 
 def apply_load_types(df: DataFrame, numeric=("latitude", "longitude")) -> DataFrame:
-    """Null the load sentinels on text, then ``try_cast`` numeric columns."""
+    """Null the load sentinels on text, then ``try_cast`` numeric columns; a
+    numeric column that is double already has its NaN nulled."""
     df = null_sentinels(df, load_nulls(), [c for c in df.columns if c not in numeric])
     casts = {}
     for c in numeric:
-        if c in df.columns and not isinstance(df.schema[c].dataType, DoubleType):
+        if c in df.columns and isinstance(df.schema[c].dataType, DoubleType):
+            casts[c] = F.when(~F.isnan(c), F.col(c))
+        elif c in df.columns:
             v = F.when(~F.col(c).cast("string").isin(load_nulls()), F.col(c).cast("string"))
             casts[c] = v.try_cast("double")
     return df.withColumns(casts) if casts else df
 
 
-def read_csv(spark: SparkSession, path: str, columns=None, numeric=("latitude", "longitude")) -> DataFrame:
+_BEYOND = "__beyond_header"
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    columns=None,
+    numeric=("latitude", "longitude"),
+    multi_line: bool = True,
+    position: str | None = None,
+) -> DataFrame:
     """CSV with a header, every column read as text (leading zeros kept),
-    quoted multi-line cells and doubled quotes as in RFC 4180, sentinels
-    nulled, numeric columns cast. Missing path raises."""
+    quoted cells and doubled quotes as in RFC 4180, sentinels nulled, numeric
+    columns cast. Missing path raises. Rows with fewer cells than the header are
+    padded with nulls; rows with more raise.
+
+    ``multi_line=False`` is for files whose cells hold no line break: Spark can
+    then split a file over tasks. ``position`` names a column that orders rows
+    as they stand in the file(s), for ``order_by`` of the merges.
+    """
     columns = config.REQUIRED_COLUMNS if columns is None else columns
-    # no schema inference: header names, every column text
-    df = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    return validate_schema(apply_load_types(df, numeric), columns)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    header = reader.option("inferSchema", False).csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in [*header, _BEYOND]])
+    df = reader.option("mode", "PERMISSIVE").schema(schema).csv(path)
+    fits = F.when(F.col(_BEYOND).isNull(), True).otherwise(F.raise_error(F.lit("a CSV row has more cells than the header")))
+    df = df.filter(fits.cast("boolean"))
+    names = list(header)
+    if position:
+        place = [F.col("_metadata.file_path"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")]
+        df = df.withColumn(position, F.concat_ws("#", *place, F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")))
+        names.append(position)
+    return validate_schema(apply_load_types(df.select(*names), numeric), columns)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -73,7 +93,3 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-
-
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)

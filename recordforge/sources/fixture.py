@@ -29,7 +29,7 @@ WITH b AS (
   FROM b
 )
 SELECT CAST(k AS STRING) AS id,
-  CASE WHEN k % 61 = 0 THEN 'null' WHEN k % 67 = 0 THEN 'SPQR' WHEN r = 1 THEN lower(stem) WHEN r = 2 AND v % 2 = 0 THEN '  ' || upper(stem)
+  CASE WHEN k % 61 = 0 THEN 'null' WHEN k % 67 = 0 THEN 'SPQR' WHEN k % 13 = 5 THEN stem || 'e' WHEN r = 1 THEN lower(stem) WHEN r = 2 AND v % 2 = 0 THEN '  ' || upper(stem)
     ELSE stem || CASE WHEN k % 5 = 0 THEN ' ' ELSE '' END END AS name,
   CASE WHEN k % 17 = 0 THEN 'n/a' WHEN k % 19 = 0 THEN '' ELSE town END AS city,
   CASE WHEN k % 23 = 0 THEN 'NULL'

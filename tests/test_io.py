@@ -39,3 +39,39 @@ def test_missing_input_raises(spark):
 
     with pytest.raises(AnalysisException):
         read_csv(spark, os.path.join(tempfile.mkdtemp(prefix="rf-none-"), "absent.csv")).count()
+
+
+def _write(text):
+    path = os.path.join(tempfile.mkdtemp(prefix="rf-csv-"), "in.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    return path
+
+
+def test_short_rows_are_padded_and_long_rows_raise(spark):
+    head = ",".join(config.REQUIRED_COLUMNS)
+    got = read_csv(spark, _write(f"{head}\n2,A,B,C\n1,D\n")).orderBy("id").collect()
+    assert [(r.id, r.name, r.city, r.website) for r in got] == [("1", "D", None, None), ("2", "A", "B", None)]
+    for extra in (",x", ",x,y"):
+        with pytest.raises(Exception, match="more cells"):
+            read_csv(spark, _write(f"{head}\n1,2,3,4,5,6,7,8,9,10{extra}\n")).select("id").collect()
+
+
+def test_position_orders_rows_as_in_the_file(spark):
+    rows = "".join(f"{i},n{i}\n" for i in (5, 10, 2, 7))
+    df = read_csv(spark, _write("id,name\n" + rows), columns=["id"], numeric=(), position="at", multi_line=False)
+    assert [r.id for r in df.orderBy("at").collect()] == ["5", "10", "2", "7"]
+
+
+def test_checkpoint_folder_only_made_on_a_local_master():
+    from recordforge.session import is_local
+
+    assert is_local("local") and is_local("local[4]") and is_local("local[*]")
+    assert not is_local("local-cluster[3,2,1024]") and not is_local("yarn") and not is_local("spark://host:7077")
+
+
+def test_nan_counts_as_null(spark):
+    from recordforge.operators.profile import null_profile
+
+    df = spark.createDataFrame([("a", float("nan")), (None, 1.0)], "s string, x double")
+    assert {(r.column, r.nulls) for r in null_profile(df).collect()} == {("s", 1), ("x", 1)}
