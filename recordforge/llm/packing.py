@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_value, materialise, text_slices
-from .tokens import END_ID, ChunkEncoder
+from .tokens import ENCODE_BYTES, END_ID, ChunkEncoder
 
 by_value(__name__)
 
@@ -94,11 +94,12 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
         enc = ChunkEncoder(tokenizer)
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for at, n in text_slices(batch, "text"):
+            for at, n in text_slices(batch, "text", ENCODE_BYTES):
                 part = batch.slice(at, n)
                 rows = []
-                for key, ids in zip(part.column(0).to_pylist(), enc.ids(part.column(1).to_pylist())):
-                    ids += end
+                flat, offsets = enc.encode(part.column(1))
+                for key, lo, hi in zip(part.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                    ids = flat[lo:hi].tobytes() + end
                     for k, lo in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[lo : lo + 4 * capacity]
                         rows.append((key, k, lo // 4, len(piece) // 4, zlib.crc32(piece), piece if with_ids else None))
