@@ -82,14 +82,18 @@ def suffix_automaton(codes) -> list[dict[int, int]]:
 
 
 def restart_table(moves: list[dict[int, int]]) -> np.ndarray:
-    """uint32 by state * ALPHABET + class: next state * ALPHABET; the top bit is set where a phrase ended before it."""
-    table = np.zeros((len(moves), ALPHABET), dtype=np.uint32)
+    """uint32 by state * ALPHABET + class: next state * ALPHABET; the top bit is set where a phrase begins.
+
+    The last state is the one between phrases, in which a text starts and which
+    a class that the sample does not have leads to, a phrase of its own."""
+    between = len(moves)
+    table = np.zeros((between + 1, ALPHABET), dtype=np.uint32)
     for c in range(ALPHABET):
-        table[:, c] = moves[0].get(c, 0) * ALPHABET + (1 << 31)
+        table[:, c] = moves[0].get(c, between) * ALPHABET + (1 << 31)
     for s, out in enumerate(moves):
         for c, to in out.items():
             table[s, c] = to * ALPHABET
-    table[:, PADDING] = np.arange(len(moves), dtype=np.uint32) * ALPHABET
+    table[:, PADDING] = np.arange(between + 1, dtype=np.uint32) * ALPHABET
     return table.ravel()
 
 
@@ -160,17 +164,17 @@ class Model:
         grid[np.arange(window) >= length[:, None]] = PADDING
         grid = np.ascontiguousarray(grid.T)
         for k, table in enumerate(self.tables):
-            state = np.zeros(len(owner), dtype=np.uint32)
-            ended = np.ones(len(owner), dtype=np.uint32)
+            state = np.full(len(owner), len(table) - ALPHABET, dtype=np.uint32)
+            begun = np.zeros(len(owner), dtype=np.uint32)
             at = np.empty(len(owner), dtype=np.int64)
             flag = np.empty(len(owner), dtype=np.uint32)
             for c in grid:
                 np.add(state, c, out=at, casting="unsafe")
                 np.take(table, at, out=state, mode="clip")
                 np.right_shift(state, 31, out=flag)
-                ended += flag
+                begun += flag
                 state &= 0x7FFFFFFF
-            counts[:, k] = np.bincount(owner, weights=ended, minlength=len(texts)).astype(np.int64)
+            counts[:, k] = np.bincount(owner, weights=begun, minlength=len(texts)).astype(np.int64)
         return counts, sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
