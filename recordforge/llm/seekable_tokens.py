@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import by_value, text_slices
-from .tokens import END_ID, ChunkEncoder
+from .tokens import ENCODE_BYTES, END_ID, ChunkEncoder
 
 by_value(__name__)
 
@@ -158,14 +158,15 @@ def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text
         tmp = f"{path}.{uuid.uuid4().hex}.tmp"
         enc, end = ChunkEncoder(tokenizer), np.asarray([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for at, n in text_slices(batch, "text"):
+            for at, n in text_slices(batch, "text", ENCODE_BYTES):
                 part = batch.slice(at, n)
                 if writer is None and n:
                     fs.create_dir(f"{base}/ids", recursive=True)
                     out = fs.open_output_stream(tmp)
                     writer = SeekableWriter(out, frame_ids)
-                for key, ids in zip(part.column(0).to_pylist(), enc.ids(part.column(1).to_pylist())):
-                    writer.add(key, ids + end)
+                flat, offsets = enc.encode(part.column(1))
+                for key, lo, hi in zip(part.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                    writer.add(key, flat[lo:hi].tobytes() + end)
         if writer is None:
             return
         writer.close()
@@ -205,7 +206,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                         arrays = [pa.array([d for d, _ in docs], pa.int64()), pa.array(at.astype(np.int64)), pa.array(n), pa.array([i for _, i in docs], pa.binary())]
                         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids"])
 
-    return files.repartition("shard").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return files.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def token_files(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
