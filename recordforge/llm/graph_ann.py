@@ -68,7 +68,8 @@ def beam_search(points: np.ndarray, graph: np.ndarray, entry: int, queries: np.n
         fresh = near >= 0
         near = np.where(fresh, near, 0)
         fresh &= ~seen[active[:, None], near]
-        seen[active[:, None], near] |= fresh
+        row, col = np.nonzero(fresh)
+        seen[active[row], near[row, col]] = True
         found = np.einsum("qkd,qd->qk", points[near], queries[active])
         found = np.where(fresh, found, -np.inf)
         all_ids = np.concatenate([ids[active], np.where(fresh, near, -1)], axis=1)
@@ -90,17 +91,24 @@ def beam_search(points: np.ndarray, graph: np.ndarray, entry: int, queries: np.n
     return ids, sims, walked
 
 
+def once(rows: np.ndarray) -> np.ndarray:
+    """Each row's entries, descending, with repeated ones replaced by -1 at the end."""
+    rows = -np.sort(-rows, axis=1)
+    rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = -1
+    return -np.sort(-rows, axis=1)
+
+
 def robust_prune(points: np.ndarray, centre: np.ndarray, candidates: np.ndarray, alpha: float, degree: int) -> np.ndarray:
     """For each of ``centre`` (indices) at most ``degree`` of its ``candidates`` (-1: none): near and diverse ones."""
-    m, c = candidates.shape
-    order = np.sort(candidates, axis=1)
-    twice = np.concatenate([np.zeros((m, 1), dtype=bool), order[:, 1:] == order[:, :-1]], axis=1)
-    candidates = np.where(twice | (order == centre[:, None]), -1, order)
+    m = len(candidates)
+    candidates = once(candidates)
+    candidates = np.where(candidates == centre[:, None], -1, candidates)
     own = points[candidates]
     far = 2 - 2 * np.einsum("mcd,md->mc", own, points[centre])  # squared distances
     far = np.where(candidates >= 0, far, np.inf)
     between = 2 - 2 * np.matmul(own, own.transpose(0, 2, 1))
     kept = np.full((m, degree), -1, dtype=np.int64)
+    c = candidates.shape[1]
     left = far.copy()
     rows = np.arange(m)
     for k in range(min(degree, c)):
@@ -126,7 +134,7 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
         graph = np.where(every == np.arange(n)[:, None], -1, every)
         return graph, entry
     graph = rng.integers(0, n, (n, degree))
-    graph = np.where(graph == np.arange(n)[:, None], -1, graph)
+    graph = once(np.where(graph == np.arange(n)[:, None], -1, graph))
     for relax in (1.0, alpha):
         order = rng.permutation(n)
         for lo in range(0, n, batch):
@@ -142,11 +150,10 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
             target, first, count = np.unique(dst, return_index=True, return_counts=True)
             back = np.full((len(target), int(count.max())), -1, dtype=np.int64)
             back[np.repeat(np.arange(len(target)), count), np.arange(len(dst)) - np.repeat(first, count)] = src
-            merged = np.concatenate([graph[target], back], axis=1)
+            merged = once(np.concatenate([graph[target], back], axis=1))
             held = (merged >= 0).sum(axis=1)
             easy = held <= degree
-            packed = -np.sort(-merged, axis=1)  # absent ones last
-            graph[target[easy]] = packed[easy][:, :degree]
+            graph[target[easy]] = merged[easy][:, :degree]
             for at in range(0, int((~easy).sum()), batch):
                 t = np.nonzero(~easy)[0][at : at + batch]
                 graph[target[t]] = robust_prune(points, target[t], merged[t], relax, degree)
@@ -218,7 +225,8 @@ def search(shards: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEA
                     for query, vector, original, found in zip(qid[lo : lo + batch], own, q[lo : lo + batch], near):
                         found = found[found >= 0]
                         score = exact[found] @ vector
-                        top = found[score >= np.partition(score, max(0, len(score) - k - 1))[max(0, len(score) - k - 1)]]
+                        kth = max(0, len(score) - k - 1)  # one more than asked for: the query may be among them
+                        top = found[score >= np.partition(score, kth)[kth] - 1e-9]
                         who = np.concatenate([ids[offsets[x] : offsets[x + 1]] for x in top])
                         each = np.repeat(cosines(raw[top], original), offsets[top + 1] - offsets[top])
                         other = who != query

@@ -61,7 +61,7 @@ SKIP_WORDS = {
 }
 #: Class names that begin so say something of the page, like no-sidebar.
 STATES = {"no", "not", "has", "with", "without", "is"}
-CONTAINERS = {"page", "article", "main", "section", "div", "td", "body", "blockquote", "center", "li", "dd", "form", "table", "html"}
+CONTAINERS = {"page", "article", "main", "section", "div", "td", "body", "center", "form", "html"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
