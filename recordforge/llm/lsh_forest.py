@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import by_value, grouped, materialise, merge_labels, small_side, text_slices
+from .common import block_pairs, by_value, grouped, materialise, merge_labels, small_side, text_slices
 
 by_value(__name__)
 
@@ -325,10 +325,3 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     class_id = F.coalesce("class_id", "doc_id")
     kept = F.coalesce(class_id == F.col("doc_id"), F.lit(True))
     return rows.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), kept.alias("kept"))
-
-
-def block_pairs(rows: DataFrame) -> DataFrame:
-    """Each row once for each pair (p, q) of blocks, p <= q, that its own block is part of; ``blocks`` counts its group's."""
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.withColumn("p", F.least("block", "_other")).withColumn("q", F.greatest("block", "_other")).drop("_other")
