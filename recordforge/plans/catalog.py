@@ -179,12 +179,12 @@ def q_order_part_components(spark, sf):
     return connected_components(edges, contract=False)
 
 
-def q_merge_nation(spark, sf):
-    """Customers merged by nation: groups of any size, the balances' running midpoint in key order."""
-    rows = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_name", "c_acctbal")
+def q_merge_segment(spark, sf):
+    """Customers merged by market segment: groups of any size, the balances' running midpoint in key order."""
+    rows = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name", "c_acctbal")
     rules = {"c_name": "longest", "c_acctbal": "midpoint"}
-    out = merge_groups(rows, ["c_nationkey"], order_by=("c_custkey",), columns=["c_custkey", "c_name", "c_acctbal"], rules=rules)
-    return out.select("c_nationkey", "c_custkey", "c_name", F.round("c_acctbal", 6).alias("c_acctbal"))
+    out = merge_groups(rows, ["c_mktsegment"], order_by=("c_custkey",), columns=["c_custkey", "c_name", "c_acctbal"], rules=rules)
+    return out.select("c_mktsegment", "c_custkey", "c_name", F.round("c_acctbal", 6).alias("c_acctbal"))
 
 
 def q_csv_job(spark, sf):
@@ -304,7 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fuzzy_pairs_name": q_fuzzy_pairs_name,
     "fuzzy_pairs_part": q_fuzzy_pairs_part,
     "order_part_components": q_order_part_components,
-    "merge_nation": q_merge_nation,
+    "merge_segment": q_merge_segment,
     "csv_job": q_csv_job,
     "fuzzy_clusters": q_fuzzy_clusters,
     "dedup_fuzzy": q_dedup_fuzzy,

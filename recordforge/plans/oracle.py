@@ -362,10 +362,10 @@ def build() -> dict[str, str]:
     sq["fuzzy_pairs_part"] = with_(
         [part], f"SELECT cohort, key_a, key_b, rep_a AS node_a, rep_b AS node_b FROM ({pairs_select('part_reps', PART_THRESHOLD)})"
     )
-    sq["merge_nation"] = (
-        "SELECT c_nationkey, min(c_custkey) AS c_custkey, first(c_name ORDER BY length(c_name) DESC, c_custkey) AS c_name, "
+    sq["merge_segment"] = (
+        "SELECT c_mktsegment, min(c_custkey) AS c_custkey, first(c_name ORDER BY length(c_name) DESC, c_custkey) AS c_name, "
         f"round(list_reduce(list(CAST(c_acctbal AS DOUBLE) ORDER BY c_custkey), lambda a, x: (a + x) / {dbl(2.0)}), 6) AS c_acctbal "
-        "FROM customer GROUP BY c_nationkey"
+        "FROM customer GROUP BY c_mktsegment"
     )
     sq["csv_job"] = with_(clean_ctes(), "SELECT * FROM enriched")
     sq["fuzzy_clusters"] = with_(fz, "SELECT id, cluster_id FROM clusters")

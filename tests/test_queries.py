@@ -13,7 +13,7 @@ from recordforge.plans.catalog import QUERIES
 CHECKED = [
     "csv_roundtrip", "null_profile", "norm_case", "norm_url_pages", "match_key", "impute_chain",
     "impute_extract", "merge_coords", "dedup_exact", "fuzzy_pairs", "fuzzy_clusters", "clean_pipeline",
-    "fuzzy_pairs_name", "fuzzy_pairs_part", "merge_nation", "csv_job", "classify_keywords_part", "score_label", "enrich_pipeline", "report_summary", "report_top",
+    "fuzzy_pairs_name", "fuzzy_pairs_part", "merge_segment", "csv_job", "classify_keywords_part", "score_label", "enrich_pipeline", "report_summary", "report_top",
 ]
 
 
