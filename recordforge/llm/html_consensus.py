@@ -1,14 +1,15 @@
 """Main text of web pages by consensus host paths (operator 4).
 
 First pass: every page is parsed into elements; each container (an element
-other than inline markup) is scored by the text of its own blocks, less that in
-links, with a share of its children's score, and its path is generalised: the
-tags from the root down, each with its class names, digits as ``#``. Each page
-votes for its best path with its score. Spark adds up the votes of a host per
+that holds blocks) is scored by the text of its own blocks, less that in links,
+with a share of its children's score, and its path is generalised: the tags from
+the root down, each with its class names, digits as ``#``. The best path gives
+way to that of an article around it, or of a container around it that holds a
+heading of its own. Each page votes for its best path with its score. Spark adds up the votes of a host per
 path and picks the path with the most; ties go to the shorter, then the smaller
-path. Second pass: every page is parsed again, and the first element at its
-host's winning path is extracted; a page that has none falls back to its own
-best path.
+path. Second pass: every page is parsed again, and the elements at its host's
+winning path are extracted; a page that has none falls back to its own best
+path.
 
 Extraction skips menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments inside the container, by tag and by whole
@@ -31,7 +32,7 @@ from html import unescape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, by_value, materialise, salt_of, salted, text_slices
+from .common import BROADCAST_ROWS, by_value, frugal, materialise, salt_of, salted, text_slices
 
 by_value(__name__)
 
@@ -55,8 +56,8 @@ SKIP_TAGS = {"nav", "footer", "aside", "form", "button", "select", "menu", "dial
 SKIP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 SKIP_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
-    "cookie", "cookies", "disqus", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
-    "pager", "pagination", "popup", "promo", "promoted", "related", "replies", "reply", "share", "sharing", "sidebar", "social", "sponsor",
+    "cookie", "cookies", "discussion", "disqus", "feedback", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
+    "pager", "pagination", "popup", "promo", "promoted", "related", "replies", "reply", "responses", "share", "sharing", "sidebar", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "widget", "widgets",
 }
 #: Class names that begin so say something of the page, like no-sidebar.
@@ -193,31 +194,50 @@ def close_open(now: Element, root: Element, kinds: set, scope: set, on_text) ->
     return now
 
 
+def container_of(e: Element | None) -> Element | None:
+    """The nearest container at or above ``e``."""
+    while e is not None and e.parent is not None and (e.inline or e.tag not in CONTAINERS):
+        e = e.parent
+    return e
+
+
 def best_paths(html: str) -> list[tuple[str, float]]:
-    """The containers' paths with their scores: own text less links, and half of that of their blocks."""
+    """The containers' paths with their scores, best first: own text less links, and half of that of their blocks."""
     scores: dict[str, float] = {}
+    around: dict[str, tuple[str, bool]] = {}  # the path that gives way -> the one it gives way to
 
     def on_text(e: Element, text: str | None) -> None:
         if text is None or e.skip or text.isspace():
             return
         size = len(_SPACE.sub(" ", text).strip())
-        weight = -size if any(x.tag == "a" for x in inline_lineage(e)) else size
-        block = e
-        while block.parent is not None and (block.inline or block.tag not in CONTAINERS):
-            block = block.parent
-        share = float(weight)
+        share = float(-size if any(x.tag == "a" for x in inline_lineage(e)) else size)
+        block = container_of(e)
+        if any(x.tag in HEADINGS for x in until(e, block)):
+            heads.add(block.path)
         for _ in range(3):  # the block's container, and less to those around it
-            if block is None or not block.path:
+            if block is None:
                 break
-            key = block.path
-            scores[key] = scores.get(key, 0.0) + share
+            if block.path not in scores:
+                up = container_of(block.parent)
+                around[block.path] = (up.path if up else "", block.tag == "article")
+            scores[block.path] = scores.get(block.path, 0.0) + share
             share /= 2
-            block = block.parent
-            while block is not None and block.parent is not None and (block.inline or block.tag not in CONTAINERS):
-                block = block.parent
+            block = container_of(block.parent) if block.parent else None
 
+    heads: set[str] = set()
     parse(html, on_text)
-    return sorted(((p, s) for p, s in scores.items() if s > 0), key=lambda x: (-x[1], len(x[0]), x[0]))
+    ranked = sorted(((p, s) for p, s in scores.items() if s > 0), key=lambda x: (-x[1], len(x[0]), x[0]))
+    if not ranked:
+        return []
+    path, score = ranked[0]
+    best, up = path, path
+    while up in around and not around[up][1]:  # up to the nearest article
+        up = around[up][0]
+        if up not in around or up.rpartition(">")[2].partition(".")[0] in ("page", "html", "body"):
+            break
+        if around[up][1] or up in heads:
+            best = up
+    return [(best, score), *(x for x in ranked if x[0] != best)]
 
 
 def inline_lineage(e: Element):
@@ -227,10 +247,10 @@ def inline_lineage(e: Element):
 
 
 def extract(html: str, path: str) -> str | None:
-    """The main text of the first element at ``path``; None if there is none."""
+    """The main text of the elements at ``path``; None if there is none."""
     blocks: list[str] = []
     current: list[str] = []
-    target: list[Element] = []
+    seen = False
 
     def container(e: Element) -> Element | None:
         for x in lineage(e):
@@ -246,6 +266,7 @@ def extract(html: str, path: str) -> str | None:
                 blocks.append(text)
 
     def on_text(e: Element, text: str | None) -> None:
+        nonlocal seen
         if text is None:
             flush()
             return
@@ -254,15 +275,13 @@ def extract(html: str, path: str) -> str | None:
         own = container(e)
         if own is None:
             return
-        if not target:
-            target.append(own)
-        if own is not target[0] or below_skip(e, own):
-            return
-        current.append(text)
+        seen = True
+        if not below_skip(e, own):
+            current.append(text)
 
     parse(html, on_text)
     flush()
-    return " ".join(blocks) if target else None
+    return " ".join(blocks) if seen else None
 
 
 def below_skip(e: Element, top: Element) -> bool:
@@ -306,7 +325,7 @@ def votes(pages: DataFrame) -> DataFrame:
                     kinds = [pa.string(), pa.string(), pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["host", "path", "score"])
 
-    return pages.select("host", "html").mapInArrow(run, "host string, path string, score double")
+    return pages.select("host", "html").mapInArrow(frugal(run), "host string, path string, score double")
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -345,4 +364,4 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
                 )
 
     kind = joined.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint, path string")
+    return joined.mapInArrow(frugal(run), f"page_id {kind}, url string, text string, n_chars bigint, path string")

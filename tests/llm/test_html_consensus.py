@@ -24,6 +24,9 @@ def own(html):
         ("<div class='page no-sidebar'><p>Whole text.</p></div>", "Whole text."),
         ("<div><p title='a > b'>attr</p></div>", "attr"),
         ("<ul><li>one<li>two</ul><table><tr><td>three<td>four</table>", "one two three four"),
+        ("<article><h1>Title</h1><div class='text'><p>One long paragraph.</p></div><div><p>Two.</p></div></article>", "Title One long paragraph. Two."),
+        ("<body><h1>Site</h1><div class='post'><h2>Title</h2><div><p>The long text of it.</p></div></div></body>", "Title The long text of it."),
+        ("<body><div class='part'><p>Part one.</p></div><div class='part'><p>Part two.</p></div></body>", "Part one. Part two."),
         ("plain &amp; simple", "plain & simple"),
         ("<p>unclosed <i>tags", "unclosed tags"),
         ("<article><p>a<b>b</p><p>c</b>d</p></article>", "ab cd"),
