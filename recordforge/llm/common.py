@@ -32,6 +32,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def frugal(task):
+    """``task`` over Arrow batches; what it has freed goes back to the system at its end,
+    since Python workers outlive their tasks and keep it otherwise."""
+
+    def run(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # in glibc
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def text_slices(batch, column: str, max_chars: int = 1_000_000):
     """Row ranges of an Arrow batch that hold about ``max_chars`` bytes of text (one row at least)."""
     import numpy as np

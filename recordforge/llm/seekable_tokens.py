@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import by_value, text_slices
+from .common import by_value, frugal, text_slices
 from .tokens import ENCODE_BYTES, END_ID, ChunkEncoder
 
 by_value(__name__)
@@ -135,11 +135,14 @@ class SeekableReader:
             at += 4 * length
         return out
 
+    def frames_of(self, doc_id: int) -> range:
+        """The frames whose range holds this id."""
+        lo = int(np.searchsorted(self.directory["last"], doc_id, side="left"))
+        return range(lo, max(lo, int(np.searchsorted(self.directory["first"], doc_id, side="right"))))
+
     def find(self, doc_id: int) -> list[bytes]:
         """The ids of every document with this id; decompresses only frames whose range holds it."""
-        lo = int(np.searchsorted(self.directory["last"], doc_id, side="left"))
-        hi = int(np.searchsorted(self.directory["first"], doc_id, side="right"))
-        return [ids for k in range(lo, hi) for d, ids in self.frame(k) if d == doc_id]
+        return [ids for k in self.frames_of(doc_id) for d, ids in self.frame(k) if d == doc_id]
 
 
 def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text",
@@ -178,13 +181,14 @@ def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
+    rows.mapInArrow(frugal(write), MANIFEST).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
+def read_token_files(spark: SparkSession, folder: str, only: list[int] | None = None) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document in the files, ids as little-endian u32 bytes;
-    ``start`` counts the ids of all documents before it, over all files."""
+    ``start`` counts the ids of all documents before it, over all files. With a list ``only`` of
+    ids, nothing but the frames that may hold them is read and decompressed."""
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = manifest.select("shard", "path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
@@ -198,15 +202,19 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 path = f"{base}/ids/{name}"
                 with fs.open_input_file(path) as source:
                     reader = SeekableReader(source, source.size())
-                    for k in range(len(reader.frames)):
+                    before = start + np.concatenate([[0], np.cumsum(reader.directory["ids"].astype(np.int64))])
+                    wanted = range(len(reader.frames)) if only is None else sorted({k for d in only for k in reader.frames_of(d)})
+                    for k in wanted:
                         docs = reader.frame(k)
                         n = np.asarray([len(i) // 4 for _, i in docs], dtype=np.int64)
-                        at = start + np.concatenate([[0], np.cumsum(n)[:-1]])
-                        start += int(n.sum())
+                        at = before[k] + np.concatenate([[0], np.cumsum(n)[:-1]])
+                        if only is not None:
+                            own = [i for i, (d, _) in enumerate(docs) if d in only]
+                            docs, n, at = [docs[i] for i in own], n[own], at[own]
                         arrays = [pa.array([d for d, _ in docs], pa.int64()), pa.array(at.astype(np.int64)), pa.array(n), pa.array([i for _, i in docs], pa.binary())]
                         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids"])
 
-    return files.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return files.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(frugal(read), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def token_files(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:

@@ -24,7 +24,7 @@ by_value(__name__)
 DEFAULT_FILE = "word_bpe_49k.json"
 END_ID = 1
 #: Text that is encoded at once.
-ENCODE_BYTES = 8_000_000
+ENCODE_BYTES = 4_000_000
 
 
 def tokenizer_path(path: str | None) -> str:
@@ -52,7 +52,7 @@ def worker_store() -> dict:
 class ChunkEncoder:
     """encode(texts) -> all ids in one array, and where each text's begin."""
 
-    def __init__(self, path: str | None = None, max_words: int = 800_000):
+    def __init__(self, path: str | None = None, max_words: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
