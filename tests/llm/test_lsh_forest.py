@@ -68,6 +68,13 @@ def test_kept_rows_repeats_null_ids_extra_columns(docs):
     assert J.jaccard_join(docs([])).collect() == []
 
 
+def test_repeated_rows_in_a_group(docs):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (2, " ".join([*words[:-1], "x"])), (9, "a text of its own that is not alike")]
+    got = {(r.doc_id, r.class_id, r.n_links) for r in J.jaccard_join(docs(rows)).collect()}
+    assert got == {(1, 1, 2), (2, 1, 2), (9, 9, 0)}
+
+
 def test_prefix_reaches_the_recall():
     for recall in (0.9, 0.99, 0.9995):
         d = J.least_prefix(0.8, recall)

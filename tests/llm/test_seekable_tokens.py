@@ -59,7 +59,7 @@ def test_damage_is_found():
         S.SeekableReader(io.BytesIO(b"x" * 40), 40)
 
 
-def test_files_round_trip(docs, tmp_path):
+def test_files_round_trip(spark, docs, tmp_path):
     rows = [(i * 3, f"Text number {i}, of some length " * (i % 5)) for i in range(200)] + [(7, None), (8, ""), (9, "long " * 50_000), (9, "again")]
     got = S.token_files(docs(rows).repartition(6), str(tmp_path / "files"), frame_ids=100).orderBy("start").collect()
     tok = Tokenizer.from_file(tokenizer_path(None))
@@ -68,6 +68,8 @@ def test_files_round_trip(docs, tmp_path):
         want = np.asarray([*tok.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
         assert (r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) == (key, at, len(want), zlib.crc32(want.tobytes()))
         at += len(want)
+    some = S.read_token_files(spark, str(tmp_path / "files"), only=[9, 300, 1]).orderBy("start").collect()
+    assert some == [r for r in got if r.doc_id in (9, 300)]
     assert not [f for f in os.listdir(tmp_path / "files" / "ids") if f.endswith(".tmp")]
 
 
