@@ -8,12 +8,12 @@ the nodes' minima, of which each salt has a copy, so a hub with a third of all
 edges is spread over tasks. The edge set is checkpointed to the shared checkpoint folder
 every round, which cuts the lineage and survives executor loss.
 
-Before the first round an exact local contraction runs: edges are
-rebalanced by an optional ``group`` column (a block no edge crosses, e.g. the
-cohort), AQE splits oversized partitions, and each task replaces its edges,
-``CONTRACT_EDGES`` at a time, by ``node -> smallest node of its local
-component``. Any partitioning keeps the components unchanged; when groups fit
-in one such step the graph is already a star forest and no round runs.
+Contraction saves rounds: a task replaces its edges, ``CONTRACT_EDGES`` at a time,
+by ``node -> smallest node of its local component``, which keeps the components
+whatever the partitioning. Edges with a ``group`` column (a block no edge crosses,
+e.g. the cohort) are rebalanced by it (AQE splits oversized partitions) and
+contracted before the first round. Once a table of edges is counted to fit one
+step, that step ends the work; larger tables go through rounds.
 
 Result: one row per node that has an edge, ``component`` = smallest node id.
 """
@@ -146,11 +146,16 @@ def connected_components(
         local = edges.select(group, *cols).hint("rebalance", group).select("u", "v")
     else:
         local = edges.select(*cols)
-    if contract:
+    if contract and group is not None:
         local = local.mapInArrow(_contract, "u bigint, v bigint")
     e = _orient(local).checkpoint()
     rounds = 0
-    while not _is_star_forest(e):
+    while True:
+        if contract and e.count() <= CONTRACT_EDGES:  # few enough for one step of one task
+            e = e.coalesce(1).mapInArrow(_contract, "u bigint, v bigint").checkpoint()
+            break
+        if _is_star_forest(e):
+            break
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError("connected components did not converge")
         e = _small_star(_large_star(e)).checkpoint()
