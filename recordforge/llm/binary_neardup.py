@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import block_pairs, by_value, frugal, grouped, materialise
+from .common import block_pairs, by_value, grouped, map_batches, materialise
 
 by_value(__name__)
 
@@ -148,7 +148,7 @@ def codes(vectors: DataFrame, bits: int, band: int, tables: int) -> DataFrame:
                         ["node", "copies", "dim", "code", "own", "raw", "keys"],
                     )
 
-    return vectors.mapInArrow(frugal(run), "node bigint, copies bigint, dim int, code binary, own double, raw binary, keys array<bigint>")
+    return map_batches(vectors, run, "node bigint, copies bigint, dim int, code binary, own double, raw binary, keys array<bigint>")
 
 
 def block_of(group, dim: int) -> dict:
@@ -220,7 +220,7 @@ def unite_in_buckets(rows: DataFrame, threshold: float, bits: int, epsilon: floa
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(held).T], ["src", "dst"])
 
-    return rows.mapInArrow(frugal(run), "src bigint, dst bigint")
+    return map_batches(rows, run, "src bigint, dst bigint")
 
 
 def compare_blocks(rows: DataFrame, threshold: float, bits: int, epsilon: float) -> DataFrame:
@@ -254,7 +254,7 @@ def compare_blocks(rows: DataFrame, threshold: float, bits: int, epsilon: float)
             if some.any():
                 yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(links[some])], ["node", "n_links"])
 
-    return rows.mapInArrow(frugal(run), "node bigint, n_links bigint")
+    return map_batches(rows, run, "node bigint, n_links bigint")
 
 
 def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,

@@ -52,6 +52,20 @@ def frugal(task):
     return run
 
 
+#: Rows go to Python in Arrow batches of so many bytes, where the session does not say otherwise.
+BATCH_BYTES = "4m"
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def map_batches(df: DataFrame, task, schema) -> DataFrame:
+    """``df`` through ``task`` over Arrow batches of bounded size. A session that holds Spark's
+    own limit of 64 MB, which two tasks hold in the JVM and in Python at once, gets a lower one."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        conf.set(_BATCH_CONF, BATCH_BYTES)
+    return df.mapInArrow(frugal(task), schema)
+
+
 def text_slices(batch, column: str, max_chars: int = 1_000_000):
     """Row ranges of an Arrow batch that hold about ``max_chars`` bytes of text (one row at least)."""
     import numpy as np

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .binary_neardup import usable
-from .common import by_value, frugal, grouped, materialise
+from .common import by_value, grouped, map_batches, materialise
 
 by_value(__name__)
 
@@ -187,7 +187,7 @@ def index(vectors: DataFrame, shard: int = SHARD, keep: int = 6, **build) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
     schema = "shard int, dim int, n int, entry int, ids binary, offsets binary, raw binary, graph binary"
-    return dealt.mapInArrow(frugal(run), schema)
+    return map_batches(dealt, run, schema)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -237,7 +237,7 @@ def search(shards: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEA
                         out[2].append(each[first])
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(frugal(run), "query_id bigint, vec_id bigint, score double")
+    return map_batches(pairs, run, "query_id bigint, vec_id bigint, score double")
 
 
 def cosines(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ from html import unescape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, by_value, frugal, materialise, salt_of, salted, text_slices
+from .common import BROADCAST_ROWS, by_value, map_batches, materialise, salt_of, salted, text_slices
 
 by_value(__name__)
 
@@ -325,7 +325,7 @@ def votes(pages: DataFrame) -> DataFrame:
                     kinds = [pa.string(), pa.string(), pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["host", "path", "score"])
 
-    return pages.select("host", "html").mapInArrow(frugal(run), "host string, path string, score double")
+    return map_batches(pages.select("host", "html"), run, "host string, path string, score double")
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -364,4 +364,4 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
                 )
 
     kind = joined.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(frugal(run), f"page_id {kind}, url string, text string, n_chars bigint, path string")
+    return map_batches(joined, run, f"page_id {kind}, url string, text string, n_chars bigint, path string")

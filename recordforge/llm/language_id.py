@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_value, frugal, text_slices
+from .common import by_value, map_batches, text_slices
 
 by_value(__name__)
 
@@ -234,7 +234,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(frugal(predict), f"doc_id {kind}, lang_pred string, score double, bits_per_char double")
+    return map_batches(rows, predict, f"doc_id {kind}, lang_pred string, score double, bits_per_char double")
 
 
 def language_id(docs: DataFrame) -> DataFrame:
@@ -257,4 +257,4 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
                 lang, _, _ = fitted.predict(part.column(part.schema.get_field_index(text)).to_pylist())
                 yield part.filter(pa.array([x != UNDETERMINED for x in lang]))
 
-    return docs.mapInArrow(frugal(keep), docs.schema)
+    return map_batches(docs, keep, docs.schema)

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, frugal, text_slices
+from .common import by_value, map_batches, text_slices
 from .license_templates import TEMPLATES
 
 by_value(__name__)
@@ -205,8 +205,9 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        frugal(run),
+    return map_batches(
+        rows,
+        run,
         f"doc_id {kind}, n_words bigint, license string, coverage double, licenses array<string>, "
         "hits array<struct<license:string,coverage:double,first:bigint,end:bigint>>",
     )

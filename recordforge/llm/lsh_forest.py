@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import block_pairs, by_value, frugal, grouped, materialise, merge_labels, small_side, text_slices
+from .common import block_pairs, by_value, grouped, map_batches, materialise, merge_labels, small_side, text_slices
 
 by_value(__name__)
 
@@ -156,7 +156,7 @@ def sketch(docs: DataFrame, prefix: int) -> DataFrame:
                     ["doc_id", "n", "hi", "lo", "keys", "sig"],
                 )
 
-    return docs.mapInArrow(frugal(run), "doc_id bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, sig binary")
+    return map_batches(docs, run, "doc_id bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, sig binary")
 
 
 def unite_in_tries(rows: DataFrame, prefix: int, threshold: float) -> DataFrame:
@@ -195,7 +195,7 @@ def unite_in_tries(rows: DataFrame, prefix: int, threshold: float) -> DataFrame:
         if src:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(src)), pa.array(np.concatenate(dst))], ["src", "dst"])
 
-    return rows.mapInArrow(frugal(run), "src bigint, dst bigint")
+    return map_batches(rows, run, "src bigint, dst bigint")
 
 
 def walk_trie(sig: np.ndarray, path: np.ndarray, prefix: int, least: float) -> np.ndarray:
@@ -251,7 +251,7 @@ def exact_links(rows: DataFrame, threshold: float) -> DataFrame:
                 cols = [node[some], np.rint(weight[some]).astype(np.int64), root[label[some]]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["node", "n_links", "root"])
 
-    return rows.mapInArrow(frugal(run), "node bigint, n_links bigint, root bigint")
+    return map_batches(rows, run, "node bigint, n_links bigint, root bigint")
 
 
 def similar(sets: list[np.ndarray], threshold: float, columns: int = 8192) -> np.ndarray:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_value, frugal, materialise, text_slices
+from .common import by_value, map_batches, materialise, text_slices
 from .tokens import ENCODE_BYTES, END_ID, ChunkEncoder
 
 by_value(__name__)
@@ -115,7 +115,7 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
-    return rows.mapInArrow(frugal(cut), schema)
+    return map_batches(rows, cut, schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROWS, key: tuple = ("doc_id", "piece")) -> DataFrame:
@@ -164,7 +164,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(seq), pa.array(off)], [*out_cols, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{c}` {ranked.schema[c].dataType.simpleString()}" for c in out_cols) + ", sequence_id bigint, offset bigint"
-    return ranked.mapInArrow(frugal(place), schema)
+    return map_batches(ranked, place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import by_value, frugal, text_slices
+from .common import by_value, map_batches, text_slices
 from .tokens import ENCODE_BYTES, END_ID, ChunkEncoder
 
 by_value(__name__)
@@ -181,7 +181,7 @@ def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(frugal(write), MANIFEST).write.parquet(f"{folder}/manifest")
+    map_batches(rows, write, MANIFEST).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
@@ -214,7 +214,7 @@ def read_token_files(spark: SparkSession, folder: str, only: list[int] | None =
                         arrays = [pa.array([d for d, _ in docs], pa.int64()), pa.array(at.astype(np.int64)), pa.array(n), pa.array([i for _, i in docs], pa.binary())]
                         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids"])
 
-    return files.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(frugal(read), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return map_batches(files.repartitionByRange(max(1, manifest.count()), "shard"), read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def token_files(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
