@@ -12,8 +12,9 @@ winning path are extracted; a page that has none falls back to its own best
 path.
 
 Extraction skips menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments inside the container, by tag and by whole
-words in class and id; a header that holds a heading of the article stays. Text
+scripts, styles and reader comments inside the container, by tag, by role and by
+whole words in class and id, unless a part so named turns out to hold the article;
+a header that holds a heading of the article stays. Text
 is collected block by block: character references are decoded, white space
 inside a block is one space, blocks are joined by one space.
 
@@ -60,6 +61,10 @@ SKIP_WORDS = {
     "pager", "pagination", "popup", "promo", "promoted", "related", "replies", "reply", "responses", "share", "sharing", "sidebar", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "widget", "widgets",
 }
+#: Names of parts that readers write, or of other articles, however long they are.
+READER_WORDS = {"comment", "comments", "discussion", "disqus", "feedback", "related", "replies", "reply", "responses"}
+#: The share of a page's text that a part must hold to be kept despite its name.
+MOST = 0.6
 #: Class names that begin so say something of the page, like no-sidebar.
 STATES = {"no", "not", "has", "with", "without", "is"}
 CONTAINERS = {"page", "article", "main", "section", "div", "td", "body", "center", "form", "html"}
@@ -104,10 +109,10 @@ def events(html: str):
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "skip", "inline", "header")
+    __slots__ = ("tag", "parent", "path", "skip", "inline", "header", "number", "named", "hard")
 
-    def __init__(self, tag: str, parent: Element | None, attrs: str):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: Element | None, attrs: str, number: int = 0, exempt: frozenset = frozenset()):
+        self.tag, self.parent, self.number = tag, parent, number
         self.inline = tag in INLINE
         words, classes, off, role = set(), (), False, ""
         if attrs and not attrs.isspace():
@@ -125,11 +130,14 @@ class Element:
                     role = value.strip()
                 elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                     off = True
-        own = not self.inline and tag not in ("page", "html", "body", "article", "main") and (not words.isdisjoint(SKIP_WORDS) or role in SKIP_ROLES)
+        # what its names say; "named" parts are left out unless they turn out to hold the text
+        self.named = frozenset() if self.inline or tag in ("page", "html", "body", "main") else frozenset(words & SKIP_WORDS)
         self.header = parent.header if parent else None
         if tag == "header":
             self.header = self
-        self.skip = bool(parent and parent.skip) or off or own or tag in SKIP_TAGS
+        self.hard = bool(parent and parent.hard) or off or role in SKIP_ROLES or tag in SKIP_TAGS
+        named = bool(self.named) and tag != "article" and number not in exempt
+        self.skip = bool(parent and parent.skip) or self.hard or named
         if self.inline:
             self.path = parent.path if parent else ""
         else:
@@ -137,10 +145,12 @@ class Element:
             self.path = f"{parent.path}>{name}" if parent and parent.path else name
 
 
-def parse(html: str, on_text):
-    """Walk ``html``; calls ``on_text(element, raw text or None)``; None stands for a block's begin or end."""
+def parse(html: str, on_text, exempt: frozenset = frozenset()):
+    """Walk ``html``; calls ``on_text(element, raw text or None)``; None stands for a block's begin or end.
+
+    The elements numbered in ``exempt`` are not left out for their names."""
     root = Element("page", None, "")
-    now = root
+    now, number = root, 0
     for tag, is_close, attrs, text in events(html):
         if tag is TEXT:
             on_text(now, text)
@@ -170,7 +180,8 @@ def parse(html: str, on_text):
         if tag in ("html", "body"):
             if any(e.tag == tag for e in lineage(now)):
                 continue
-        child = Element(tag, now, attrs)
+        number += 1
+        child = Element(tag, now, attrs, number, exempt)
         if not child.inline:
             on_text(now, None)
         if not attrs.endswith("/") or tag not in ("svg", "math"):
@@ -194,6 +205,38 @@ def close_open(now: Element, root: Element, kinds: set, scope: set, on_text) ->
     return now
 
 
+def holding_the_text(html: str) -> frozenset:
+    """Numbers of the elements that names would leave out although they hold the main element, an
+    article that is not so named itself, or, on pages without either, most of the text that is not
+    the readers'."""
+    held: dict[int, int] = {}
+    named: dict[int, frozenset] = {}
+    out: set[int] = set()
+    total, marked = 0, False
+
+    def on_text(e: Element, text: str | None) -> None:
+        nonlocal total, marked
+        if text is None or e.hard or text.isspace():
+            return
+        if not any(x.named and not x.named.isdisjoint(READER_WORDS) for x in lineage(e)):
+            total += len(text)
+        inner = False
+        for x in lineage(e):
+            if x.named and x.tag != "article":
+                named[x.number] = x.named
+                held[x.number] = held.get(x.number, 0) + len(text)
+                if inner:
+                    out.add(x.number)
+            inner = inner or x.tag == "main" or x.tag == "article" and not x.named
+        marked = marked or inner
+
+    parse(html, on_text)
+    if marked:
+        return frozenset(out)
+    out.update(k for k, n in held.items() if n > MOST * total and named[k].isdisjoint(READER_WORDS))
+    return frozenset(out)
+
+
 def container_of(e: Element | None) -> Element | None:
     """The nearest container at or above ``e``."""
     while e is not None and e.parent is not None and (e.inline or e.tag not in CONTAINERS):
@@ -225,7 +268,7 @@ def best_paths(html: str) -> list[tuple[str, float]]:
             block = container_of(block.parent) if block.parent else None
 
     heads: set[str] = set()
-    parse(html, on_text)
+    parse(html, on_text, holding_the_text(html))
     ranked = sorted(((p, s) for p, s in scores.items() if s > 0), key=lambda x: (-x[1], len(x[0]), x[0]))
     if not ranked:
         return []
@@ -279,7 +322,7 @@ def extract(html: str, path: str) -> str | None:
         if not below_skip(e, own):
             current.append(text)
 
-    parse(html, on_text)
+    parse(html, on_text, holding_the_text(html))
     flush()
     return " ".join(blocks) if seen else None
 
@@ -288,7 +331,7 @@ def below_skip(e: Element, top: Element) -> bool:
     """Whether ``e`` is in a part of ``top`` that is not main text."""
     if top.skip:
         return False
-    if e.skip:
+    if e.skip or any(x.tag == "article" and not x.named.isdisjoint(READER_WORDS) for x in until(e, top)):
         return True
     return e.header is not None and e.header is not top.header and not any(x.tag in HEADINGS for x in until(e, e.header))
 

@@ -27,6 +27,10 @@ def own(html):
         ("<article><h1>Title</h1><div class='text'><p>One long paragraph.</p></div><div><p>Two.</p></div></article>", "Title One long paragraph. Two."),
         ("<body><h1>Site</h1><div class='post'><h2>Title</h2><div><p>The long text of it.</p></div></div></body>", "Title The long text of it."),
         ("<body><div class='part'><p>Part one.</p></div><div class='part'><p>Part two.</p></div></body>", "Part one. Part two."),
+        ("<div class='wrapper ad-free'><main><p>Kept text.</p></main><div class='comments'><article class='comment'>No</article></div></div>", "Kept text."),
+        ("<div id='notice-board'><p>The only text of this page.</p></div><div class='related'><p>" + "other " * 50 + "</p></div>", "The only text of this page."),
+        ("<div id='notice-board'><p>The only text of this page.</p></div><footer>Foot</footer>", "The only text of this page."),
+        ("<div class='ad'>" + "buy " * 50 + "</div><article>Short.</article>", "Short."),
         ("plain &amp; simple", "plain & simple"),
         ("<p>unclosed <i>tags", "unclosed tags"),
         ("<article><p>a<b>b</p><p>c</b>d</p></article>", "ab cd"),
