@@ -53,7 +53,7 @@ def frugal(task):
 
 
 #: Rows go to Python in Arrow batches of so many bytes, where the session does not say otherwise.
-BATCH_BYTES = "4m"
+BATCH_BYTES = "6m"
 _BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 

@@ -7,8 +7,8 @@ distinct chunks are encoded once and gathered. Most are a word of Latin letters
 and perhaps some marks, which the splitter separates and the normaliser
 lower-cases: their ids are put together from those of the word and of the marks;
 words not met before are encoded many at a time, told apart by their word-end
-tokens. Other chunks are encoded as they are. The store of words is bounded and
-outlives a task. ``tests/llm/test_tokens.py`` holds the result against
+tokens. Other chunks are encoded as they are. The store of words is bounded (those
+of late and those before them) and outlives a task. ``tests/llm/test_tokens.py`` holds the result against
 whole-text encoding. A tokenizer whose tokens may cross white space encodes
 texts as a whole.
 """
@@ -24,7 +24,7 @@ by_value(__name__)
 DEFAULT_FILE = "word_bpe_49k.json"
 END_ID = 1
 #: Text that is encoded at once.
-ENCODE_BYTES = 4_000_000
+ENCODE_BYTES = 8_000_000
 
 
 def tokenizer_path(path: str | None) -> str:
@@ -52,7 +52,7 @@ def worker_store() -> dict:
 class ChunkEncoder:
     """encode(texts) -> all ids in one array, and where each text's begin."""
 
-    def __init__(self, path: str | None = None, max_words: int = 500_000):
+    def __init__(self, path: str | None = None, max_words: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,7 +63,8 @@ class ChunkEncoder:
         # only a tokenizer that lower-cases and marks word ends lets words be told apart
         self.ends = {i for t, i in self.tok.get_vocab().items() if t.endswith(_END_OF_WORD)}
         self.by_words = bool(self.ends) and self._encode(["Ab,"]) == [b"".join(self._encode(["ab", ","]))]
-        self.words, self.marks = worker_store().setdefault(("ids", tokenizer_path(path)), ({"": b""}, {}))
+        self.store = worker_store().setdefault(("ids", tokenizer_path(path)), {"words": {"": b""}, "older": {}, "marks": {}})
+        self.words, self.marks = self.store["words"], self.store["marks"]
         self.max_words = max_words
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -102,14 +103,18 @@ class ChunkEncoder:
         if not found:
             return []
         own, after = zip(*found)
-        met = set(own)
-        missing = met.difference(words)
-        if len(words) + len(missing) > self.max_words:
+        missing = set(own).difference(words)
+        if len(words) + len(missing) > self.max_words:  # what was met of late stays at hand
+            older = dict(words)
             words.clear()
-            words[""] = b""
             marks.clear()
-            missing = met
-        missing = list(missing - {""})
+            words[""] = b""
+            missing = set(own).difference(words)
+            self.store["older"] = older
+        older = self.store["older"]
+        again = missing.intersection(older)
+        words.update(zip(again, map(older.__getitem__, again)))
+        missing = list(missing - again)
         for at in range(0, len(missing), 5_000):
             part = missing[at : at + 5_000]
             words.update(zip(part, self._encode_words(part)))
