@@ -145,13 +145,13 @@ class Element:
             self.path = f"{parent.path}>{name}" if parent and parent.path else name
 
 
-def parse(html: str, on_text, exempt: frozenset = frozenset()):
-    """Walk ``html``; calls ``on_text(element, raw text or None)``; None stands for a block's begin or end.
+def parse(tokens: list, on_text, exempt: frozenset = frozenset()):
+    """Walk the ``events`` of a page; calls ``on_text(element, raw text or None)``; None stands for a block's begin or end.
 
     The elements numbered in ``exempt`` are not left out for their names."""
     root = Element("page", None, "")
     now, number = root, 0
-    for tag, is_close, attrs, text in events(html):
+    for tag, is_close, attrs, text in tokens:
         if tag is TEXT:
             on_text(now, text)
             continue
@@ -205,7 +205,7 @@ def close_open(now: Element, root: Element, kinds: set, scope: set, on_text) ->
     return now
 
 
-def holding_the_text(html: str) -> frozenset:
+def holding_the_text(tokens: list) -> frozenset:
     """Numbers of the elements that names would leave out although they hold the main element, an
     article that is not so named itself, or, on pages without either, most of the text that is not
     the readers'."""
@@ -230,7 +230,7 @@ def holding_the_text(html: str) -> frozenset:
             inner = inner or x.tag == "main" or x.tag == "article" and not x.named
         marked = marked or inner
 
-    parse(html, on_text)
+    parse(tokens, on_text)
     if marked:
         return frozenset(out)
     out.update(k for k, n in held.items() if n > MOST * total and named[k].isdisjoint(READER_WORDS))
@@ -268,7 +268,8 @@ def best_paths(html: str) -> list[tuple[str, float]]:
             block = container_of(block.parent) if block.parent else None
 
     heads: set[str] = set()
-    parse(html, on_text, holding_the_text(html))
+    tokens = list(events(html))
+    parse(tokens, on_text, holding_the_text(tokens))
     ranked = sorted(((p, s) for p, s in scores.items() if s > 0), key=lambda x: (-x[1], len(x[0]), x[0]))
     if not ranked:
         return []
@@ -322,7 +323,8 @@ def extract(html: str, path: str) -> str | None:
         if not below_skip(e, own):
             current.append(text)
 
-    parse(html, on_text, holding_the_text(html))
+    tokens = list(events(html))
+    parse(tokens, on_text, holding_the_text(tokens))
     flush()
     return " ".join(blocks) if seen else None
 
