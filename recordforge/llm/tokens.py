@@ -92,16 +92,22 @@ class ChunkEncoder:
             self.ends = np.asarray(sorted(self.ends), dtype="<u4")
         return self.ends
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of distinct chunks."""
+    def _chunks(self, chunks) -> list[bytes]:
+        """The ids of distinct chunks, an Arrow array."""
         from operator import add
 
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         words, marks = self.words, self.marks
-        found = _LINES.findall("\n".join([*chunks, ""]).lower()) if self.by_words else []
+        if not len(chunks):
+            return []
+        found = []
+        if self.by_words:  # one string for all is much cheaper than one for each
+            lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), "\n")
+            found = _LINES.findall(f"{lines[0].as_py()}\n".lower())
         if len(found) != len(chunks):
             found = [("", "")] * len(chunks)
-        if not found:
-            return []
         own, after = zip(*found)
         missing = set(own).difference(words)
         if len(words) + len(missing) > self.max_words:  # what was met of late stays at hand
@@ -122,10 +128,10 @@ class ChunkEncoder:
         if missing:
             marks.update(zip(missing, self._encode(missing)))
         out = list(map(add, map(words.__getitem__, own), map(marks.__getitem__, after)))
-        other = [i for i, w in enumerate(own) if not w and chunks[i]]
+        other = [i for i, w in enumerate(own) if not w]
         for at in range(0, len(other), 5_000):
             part = other[at : at + 5_000]
-            for i, ids in zip(part, self._encode([chunks[i] for i in part])):
+            for i, ids in zip(part, self._encode(chunks.take(pa.array(part, pa.int64())).to_pylist())):
                 out[i] = ids
         return out
 
@@ -139,10 +145,10 @@ class ChunkEncoder:
             whole = self._encode(pc.fill_null(texts, "").to_pylist())
             sizes = np.cumsum([0, *(len(b) // 4 for b in whole)])
             return np.frombuffer(b"".join(whole), dtype="<u4"), sizes
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
         bounds = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
-        distinct = self._chunks(coded.dictionary.to_pylist())
+        distinct = self._chunks(coded.dictionary)
         flat = np.frombuffer(b"".join(distinct), dtype="<u4")
         size = np.fromiter(map(len, distinct), dtype=np.int64, count=len(distinct)) // 4
         begin = np.cumsum(size) - size
