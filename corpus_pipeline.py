@@ -6,14 +6,18 @@ return the columns of ``docs``. ``run`` writes each stage's result as Parquet in
 the shared folder and hands the reread table to the next.
 
 Null ids, empty texts and empty tables pass through as each operator's docstring
-says. Rows that repeat (equal id and text) are one document after the join stage.
+says. Rows that repeat (equal id and text) are one document after the join stage;
+different texts that share an id, or have none, stay documents of their own.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordforge.functions.text import py_strip
 from recordforge.llm import language_id, lsh_forest, packing, source_mixing
 from recordforge.llm.common import materialise, small_side, table
 from recordforge.session import scratch_path
@@ -25,28 +29,47 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_id.keep_identified(docs, model)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique ``_row`` and ``_order``, a hash of the row, written once so that no later scan renumbers a row.
+
+    Ids may be null or shared by different texts; copies and removals are joined on ``_row`` alone."""
+    path = scratch_path(docs.sparkSession, "numbered")
+    hashed = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    rows = docs.withColumns({"_row": F.monotonically_increasing_id(), "_order": F.xxhash64(*[f"`{c}`" for c in hashed])})
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    found = lsh_forest.jaccard_join(docs)
-    gone = materialise(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
-    kept = docs.join(small_side(gone), F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"]) if has_repeats(docs) else kept
+    """One document of each group of near copies: the one with the smallest id, of those the first by a hash of the row.
+
+    Every row is a document of its own, whatever its id. Rows without an id or without words
+    are near copies of nothing; of them, those that repeat id and text are one document."""
+    rows = numbered(docs)
+    named = rows.withColumn("_node", F.when(F.col("doc_id").isNotNull(), F.col("_row")))
+    found = lsh_forest.jaccard_join(named, doc_id="_node")
+    linked = materialise(found.filter("n_links > 0").select(F.col("doc_id").alias("_row"), F.col("class_id").alias("_class")))
+    members = rows.select("_row", "doc_id", "_order").join(small_side(linked), "_row")
+    first = members.groupBy("_class").agg(F.min(F.struct("doc_id", "_order", "_row")).alias("_first"))
 
+    wordless = F.col("text").isNull() | (py_strip(F.col("text")) == "")
+    alone = rows.filter(F.col("doc_id").isNull() | wordless)
+    alone = materialise(alone.select("_row", "doc_id", "_order", F.sha2("text", 256).alias("_text")))
+    once = alone.groupBy("doc_id", "_text").agg(F.min(F.struct("_order", "_row")).alias("_first"))
 
-def has_repeats(docs: DataFrame) -> bool:
-    return not docs.groupBy("doc_id", F.xxhash64("text")).count().filter("count > 1").isEmpty()
+    stay = first.select("_first._row").unionByName(once.select("_first._row"))
+    gone = materialise(linked.select("_row").unionByName(alone.select("_row")).join(stay, "_row", "left_anti"))
+    return rows.join(small_side(gone), "_row", "left_anti").select(*docs.columns)
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: documents in as many copies as the mix takes, none of those it leaves.
 
-    Rows that share an id are one document here, with the copies of all of them."""
-    mixed = source_mixing.mix(docs)
-    per = materialise(mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")))
-    if not per.filter("_rows > 1").isEmpty():
-        docs = docs.dropDuplicates(["doc_id"])
-    taken = per.filter("_copies > 0").select("_id", "_copies")
-    rows = docs.join(small_side(taken), F.col("doc_id").eqNullSafe(F.col("_id")))
+    Every row has copies of its own, whatever its id; rows that tie in the ranking go by a hash of the row."""
+    rows = numbered(docs)
+    mixed = source_mixing.mix(rows, ties=("_order", "_row"))
+    taken = materialise(mixed.filter("copies > 0").select("_row", F.col("copies").alias("_copies")))
+    rows = rows.join(small_side(taken), "_row")
     rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
     return rows.select(*docs.columns)
 

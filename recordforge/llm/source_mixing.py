@@ -76,15 +76,18 @@ def mix(
     max_copies: int = MAX_COPIES,
     bucket_rows: int = BUCKET_ROWS,
     seed: str = SEED,
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row per
+    """(doc_id, source, size, source_size, target, copies, taken, *ties), one row per
     input row. ``weight`` names an optional positive column of relative
-    inclusion weights (null counts as 1)."""
+    inclusion weights (null counts as 1). ``ties`` names columns that order rows
+    equal in id and size, so that which of them is taken is determined."""
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         (F.coalesce(F.col(weight).cast("double"), F.lit(1.0)) if weight else F.lit(1.0)).alias("g"),
+        *ties,
     )
     rows = materialise(rows)  # small rows; the texts are scanned once
     stats = source_targets(rows, max_copies)
@@ -102,7 +105,7 @@ def mix(
         F.ceil(F.col("n") / bucket_rows).cast("bigint").alias("n_buckets"),
     )
     stats = materialise(stats)
-    by_id = salt_of("doc_id", "size")
+    by_id = salt_of("doc_id", "size", *ties)
 
     def with_source(df: DataFrame, side: DataFrame) -> DataFrame:
         on = df["source"].eqNullSafe(side["_s"]) & (df["_salt"] == side["_salt"])
@@ -139,12 +142,12 @@ def mix(
     whole = rows.filter(~at_edge).withColumn(
         "extra", (F.col("open") & (F.col("edge_bucket").isNull() | (F.col("bucket") < F.col("edge_bucket")))).cast("bigint")
     )
-    ranked = Window.partitionBy("source").orderBy("q", "size", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = Window.partitionBy("source").orderBy("q", "size", "doc_id", *ties).rowsBetween(Window.unboundedPreceding, 0)
     part = rows.filter(at_edge).withColumn("cum", F.col("before") + F.sum("size").over(ranked))
     part = part.withColumn("extra", (2 * F.col("cum") - F.col("size") <= 2 * F.col("need")).cast("bigint")).drop("cum")
     out = whole.unionByName(part).withColumn("copies", F.col("certain") + F.col("extra"))
     return out.select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *ties
     )
 
 

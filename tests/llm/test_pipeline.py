@@ -78,5 +78,27 @@ def test_repeated_rows_and_null_ids(spark, docs, sf):
     assert P.stage_pack(spark, docs(rows), sf).count() == 6
 
 
+def test_distinct_texts_with_equal_or_null_ids_survive(spark, docs, sf):
+    # every text has a size of its own; ids are null, all 7, or unique
+    texts = [" ".join(f"w{i}x{k}" for k in range(10 + i)) for i in range(60)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 100 + i, t, "en", "ab"[i % 2]) for i, t in enumerate(texts)]
+    df = docs(rows).repartition(3)
+    copies = {r.size: r.copies for r in source_mixing.mix(df).collect()}
+    want = {(r[0], r[1]): copies[len(r[1].split())] for r in rows}
+    got = Counter((r.doc_id, r.text) for r in P.stage_mix(spark, df, sf).collect())
+    assert got == +Counter(want) and {k for k, _ in got} >= {None, 7}
+
+    near = [(1, texts[59] + " more", "en", "a"), (200, texts[58], "fr", "b")]  # of a row with id 100 + 59, and of one with id 7
+    out = P.stage_near_duplicates(spark, docs([*rows, *near]), sf).collect()
+    gone = {(159, texts[59]), (200, texts[58])}
+    assert Counter((r.doc_id, r.text) for r in out) == Counter({(r[0], r[1]) for r in [*rows, *near]} - gone)
+
+
+def test_rows_equal_in_id_and_size_are_taken_by_content(spark, docs, sf):
+    rows = [(None, f"one two {k} four five", "en", "ab"[k % 2]) for k in range(40)]
+    runs = [Counter(r.text for r in P.stage_mix(spark, docs(x).repartition(n), sf).collect()) for x, n in ((rows, 1), (rows[::-1], 5))]
+    assert runs[0] == runs[1] and len(runs[0]) > 2
+
+
 def test_stages():
     assert [n for n, _ in P.STAGES] == ["language ID", "n-gram Jaccard join", "source mix", "best-fit packing"]
