@@ -13,8 +13,9 @@ path.
 
 Extraction skips menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments inside the container, by tag, by role and by
-whole words in class and id, unless a part so named turns out to hold the article;
-a header that holds a heading of the article stays. Text
+whole words in class and id, unless a part so named, a form, a dialog, or a part that is
+hidden or has such a role turns out to hold the article; of a form that stays, the
+controls go. A header that holds a heading of the article stays. Text
 is collected block by block: character references are decoded, white space
 inside a block is one space, blocks are joined by one space.
 
@@ -53,8 +54,10 @@ CLOSES_P = {
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-SKIP_TAGS = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", *RAW_TEXT}
+SKIP_TAGS = {"nav", "footer", "aside", "button", "select", "menu", *RAW_TEXT}
 SKIP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
+#: Of these, the ones that list links, however long they are.
+LINK_ROLES = {"navigation", "menu", "menubar"}
 SKIP_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
     "cookie", "cookies", "discussion", "disqus", "feedback", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
@@ -65,6 +68,8 @@ SKIP_WORDS = {
 READER_WORDS = {"comment", "comments", "discussion", "disqus", "feedback", "related", "replies", "reply", "responses"}
 #: The share of a page's text that a part must hold to be kept despite its name.
 MOST = 0.6
+#: And the share for a dialog and for what is hidden or has another role than form; visible text goes first.
+NEARLY_ALL = 0.8
 #: Class names that begin so say something of the page, like no-sidebar.
 STATES = {"no", "not", "has", "with", "without", "is"}
 CONTAINERS = {"page", "article", "main", "section", "div", "td", "body", "center", "form", "html"}
@@ -109,7 +114,7 @@ def events(html: str):
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "skip", "inline", "header", "number", "named", "hard")
+    __slots__ = ("tag", "parent", "path", "skip", "inline", "header", "number", "named", "hard", "wrap", "wraps", "in_form")
 
     def __init__(self, tag: str, parent: Element | None, attrs: str, number: int = 0, exempt: frozenset = frozenset()):
         self.tag, self.parent, self.number = tag, parent, number
@@ -135,9 +140,16 @@ class Element:
         self.header = parent.header if parent else None
         if tag == "header":
             self.header = self
-        self.hard = bool(parent and parent.hard) or off or role in SKIP_ROLES or tag in SKIP_TAGS
+        # wrappers are left out, too, unless they turn out to hold the text
+        form = tag == "form" or role == "form"
+        self.wrap = ""
+        if off or form or tag == "dialog" or role in SKIP_ROLES:
+            self.wrap = "hidden" if off else "form" if form else "links" if role in LINK_ROLES else "part"
+        self.wraps = (parent.wraps if parent else ()) + ((self,) if self.wrap else ())
+        self.in_form = bool(parent and parent.in_form) or form
+        self.hard = bool(parent and parent.hard) or tag in SKIP_TAGS or tag == "label" and self.in_form
         named = bool(self.named) and tag != "article" and number not in exempt
-        self.skip = bool(parent and parent.skip) or self.hard or named
+        self.skip = bool(parent and parent.skip) or self.hard or named or bool(self.wrap) and -number not in exempt
         if self.inline:
             self.path = parent.path if parent else ""
         else:
@@ -148,7 +160,8 @@ class Element:
 def parse(tokens: list, on_text, exempt: frozenset = frozenset()):
     """Walk the ``events`` of a page; calls ``on_text(element, raw text or None)``; None stands for a block's begin or end.
 
-    The elements numbered in ``exempt`` are not left out for their names."""
+    The elements numbered in ``exempt`` are not left out for their names, those with their number
+    negated there not for being wrappers."""
     root = Element("page", None, "")
     now, number = root, 0
     for tag, is_close, attrs, text in tokens:
@@ -205,38 +218,88 @@ def close_open(now: Element, root: Element, kinds: set, scope: set, on_text) ->
     return now
 
 
+def is_mark(e: Element) -> bool:
+    """Whether ``e`` is the main element or an article that its names leave in."""
+    return e.tag == "main" or e.tag == "article" and not e.named
+
+
 def holding_the_text(tokens: list) -> frozenset:
     """Numbers of the elements that names would leave out although they hold the main element, an
     article that is not so named itself, or, on pages without either, most of the text that is not
-    the readers'."""
+    the readers'; and, negated, the numbers of the wrappers that stay."""
     held: dict[int, int] = {}
     named: dict[int, frozenset] = {}
-    out: set[int] = set()
+    texts: list[tuple[Element, int]] = []
     total, marked = 0, False
 
     def on_text(e: Element, text: str | None) -> None:
-        nonlocal total, marked
-        if text is None or e.hard or text.isspace():
-            return
-        if not any(x.named and not x.named.isdisjoint(READER_WORDS) for x in lineage(e)):
-            total += len(text)
+        if text is not None and not e.hard and not text.isspace():
+            texts.append((e, len(text)))
+
+    parse(tokens, on_text)
+    out: set[int] = wrappers_of_the_text(texts) if any(e.wraps for e, _ in texts) else set()
+    for e, size in texts:
+        if any(-w.number not in out for w in e.wraps):
+            continue
+        if not readers(e):
+            total += size
         inner = False
         for x in lineage(e):
             if x.named and x.tag != "article":
                 named[x.number] = x.named
-                held[x.number] = held.get(x.number, 0) + len(text)
+                held[x.number] = held.get(x.number, 0) + size
                 if inner:
                     out.add(x.number)
-            inner = inner or x.tag == "main" or x.tag == "article" and not x.named
+            inner = inner or is_mark(x)
         marked = marked or inner
-
-    parse(tokens, on_text)
-    if marked:
-        return frozenset(out)
-    out.update(k for k, n in held.items() if n > MOST * total and named[k].isdisjoint(READER_WORDS))
+    if not marked:
+        out.update(k for k, n in held.items() if n > MOST * total and named[k].isdisjoint(READER_WORDS))
     return frozenset(out)
 
 
+def readers(e: Element) -> bool:
+    return any(x.named and not x.named.isdisjoint(READER_WORDS) for x in lineage(e))
+
+
+def wrappers_of_the_text(texts: list[tuple[Element, int]]) -> set[int]:
+    """The negated numbers of the wrappers that hold the text of a page, of which ``texts`` are (element, size).
+
+    A form stays if it holds a mark (main or an article), or most of the text and no mark is outside it.
+    Any other wrapper stays only if no mark is outside wrappers and it holds one, or nearly all text."""
+    held: dict[Element, int] = {}
+    marked: set[Element] = set()
+    total = visible = 0  # with and without what wrappers other than forms hold
+    for e, size in texts:
+        size = 0 if readers(e) else size
+        total += size
+        if all(w.wrap == "form" for w in e.wraps):
+            visible += size
+        inner = apart = False
+        for x in lineage(e) if e.wraps else ():
+            if x.wrap:
+                held[x] = held.get(x, 0) + (0 if apart and x.wrap == "form" else size)
+                if inner:
+                    marked.add(x)
+                apart = apart or x.wrap != "form"
+            inner = inner or is_mark(x)
+
+    out: set[int] = set()
+
+    def open_mark() -> bool:
+        return any(all(-w.number in out for w in e.wraps) and any(map(is_mark, lineage(e))) for e, _ in texts)
+
+    outside = open_mark()
+    for x, size in held.items():
+        if x.wrap == "form":
+            within = any(map(is_mark, lineage(x)))
+            whole = visible if all(w.wrap == "form" for w in x.wraps) else total
+            if x in marked or size > MOST * whole and (within or not outside):
+                out.add(-x.number)
+    if not open_mark():
+        out.update(-x.number for x, n in held.items() if x.wrap != "form" and (x in marked or n > NEARLY_ALL * total and x.wrap != "links"))
+    return out
+
+
 def container_of(e: Element | None) -> Element | None:
     """The nearest container at or above ``e``."""
     while e is not None and e.parent is not None and (e.inline or e.tag not in CONTAINERS):
@@ -279,7 +342,7 @@ def best_paths(html: str) -> list[tuple[str, float]]:
         up = around[up][0]
         if up not in around or up.rpartition(">")[2].partition(".")[0] in ("page", "html", "body"):
             break
-        if around[up][1] or up in heads:
+        if around[up][1] or up in heads and up.rpartition(">")[2].partition(".")[0] != "form":
             best = up
     return [(best, score), *(x for x in ranked if x[0] != best)]
 
@@ -332,7 +395,7 @@ def extract(html: str, path: str) -> str | None:
 def below_skip(e: Element, top: Element) -> bool:
     """Whether ``e`` is in a part of ``top`` that is not main text."""
     if top.skip:
-        return False
+        return e.hard and not top.hard
     if e.skip or any(x.tag == "article" and not x.named.isdisjoint(READER_WORDS) for x in until(e, top)):
         return True
     return e.header is not None and e.header is not top.header and not any(x.tag in HEADINGS for x in until(e, e.header))

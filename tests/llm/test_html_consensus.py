@@ -44,6 +44,40 @@ def test_extraction(html, text):
     assert own(html) == text
 
 
+POST = "<h2>Title</h2><p>The long text of it, at some length.</p>"
+KEPT = "Title The long text of it, at some length."
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<body><form><label>Search</label><input><button>Go</button><article>{POST}</article></form></body>", KEPT),
+        (f"<body><form><h1>Site</h1><div class=post>{POST}</div><select><option>One</select><textarea>No</textarea></form></body>", KEPT),
+        (f"<body><form><input><article>{POST}</article><footer>Foot</footer></body>", KEPT),
+        (f"<body><form action=x><input><div class=post>{POST}</div><footer>Foot</footer>", KEPT),
+        (f"<body><main><form><div>{POST}</div></form></main></body>", KEPT),
+        (f"<body><form><form class=search><p>Name</p></form><article>{POST}</article></body>", KEPT),
+        (f"<body><div role=form><main>{POST}</main></div></body>", KEPT),
+        (f"<body style='display: none'><article>{POST}</article></body>", KEPT),
+        (f"<div hidden><article>{POST}</article></div><footer>Foot</footer>", KEPT),
+        (f"<div aria-hidden=true><form><div class=post>{POST}</div></form></div><nav>Nav</nav>", KEPT),
+        (f"<dialog open><article>{POST}</article></dialog>", KEPT),
+        (f"<article>Short.</article><form><p>{POST}</p></form><div hidden><article>{POST}</article></div>", "Short."),
+        (f"<article>Short.<div hidden>{POST}</div></article><div role=dialog><p>{POST * 3}</p></div>", "Short."),
+        (f"<div class=post><p>Short text.</p></div><div role=navigation>{POST * 3}</div>", "Short text."),
+    ],
+)
+def test_wrappers_that_hold_the_text_stay(html, text):
+    assert own(html) == text
+
+
+def test_host_built_in_forms(spark):
+    body = "<body><form id=aspnetForm><div class=top><a href=/>Home</a></div><div class=post><p>{}</p><label>Mail</label><button>Send</button></div></form></body>"
+    rows = [(i, f"http://f.example/{i}", body.format(f"Text number {i} of this host.")) for i in range(5)]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"Text number {i} of this host." for i in range(5)}
+
+
 def test_paths_are_generalised():
     assert H.best_paths("<body><div class='post-123 x'><p>words</p></div>")[0][0] == "page>body>div.post-#.x"
 
