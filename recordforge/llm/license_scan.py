@@ -6,7 +6,10 @@ side are anchors; the longest run of anchors in rising order (a longest
 increasing subsequence) is kept, matches are extended from each anchor over
 equal neighbours, and every gap between anchors is aligned again in the same
 way, where words that were ambiguous may have become unique. Coverage is the
-share of the template's words that are matched.
+share of the template's words that are matched. Many licences differ in a word: a
+hit must also match the words that tell its template from others of its family
+(its name, version, lesser, affero, nc, nd, sa), and the text may not have another
+such word within the aligned span; else the notice is of a licence not listed.
 
 A text is read whole. Only positions of words that some template has can match,
 so the alignment sees those; they are cut into regions where more words than
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_value, map_batches, text_slices
-from .license_templates import TEMPLATES
+from .license_templates import FAMILIES, TEMPLATES
 
 by_value(__name__)
 
@@ -104,10 +107,33 @@ def unique(words: list[str], lo: int, hi: int) -> dict[str, int]:
     return {w: i for w, i in seen.items() if i >= 0}
 
 
+def telling_apart(words: list[str]) -> tuple[frozenset, frozenset]:
+    """(words of a template that a text must match, words that it may not have in between)."""
+    own = set(words)
+    must, others = set(), set()
+    for family, needed, foreign in FAMILIES:
+        if family <= own:
+            must |= own & needed | {w for w in own if w.isdigit()}
+            others |= foreign - own
+    return frozenset(must), frozenset(others)
+
+
+def genuine(words: list[str], pairs: list[tuple[int, int]], template: list[str], must: frozenset, others: frozenset) -> bool:
+    """Whether the matched (text index, template index) ``pairs`` hold what tells the template from its family."""
+    if not must <= {template[j] for _, j in pairs}:
+        return False
+    for (a, _), (b, j) in zip(pairs, pairs[1:]):
+        between = words[a + 1 : b]
+        if between and (not others.isdisjoint(between) or template[j].isdigit() and any(w.isdigit() for w in between)):
+            return False
+    return True
+
+
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]], min_coverage: float):
         self.min_coverage = min_coverage
         self.templates = [(name, words, Counter(words), set(words) - COMMON) for name, words in ((n, words_of(t)) for n, t in templates) if words]
+        self.apart = [telling_apart(words) for _, words, _, _ in self.templates]
         self.telling = {w for _, _, _, t in self.templates for w in t}
         self.known = self.telling | {w for _, words, _, _ in self.templates for w in words}
 
@@ -121,9 +147,9 @@ class Scanner:
         hits = []
         if at:
             present = {words[i] for i in at}
-            for name, template, counts, own in self.templates:
-                if len(own & present) >= self.min_coverage * len(own) - (len(template) - sum(counts[w] for w in own)):
-                    hits.extend((name, *hit, len(template)) for hit in self.hits(words, [i for i in at if words[i] in own], template, counts))
+            for (name, template, counts, own), apart in zip(self.templates, self.apart):
+                if apart[0] - COMMON <= present and len(own & present) >= self.min_coverage * len(own) - (len(template) - sum(counts[w] for w in own)):
+                    hits.extend((name, *hit, len(template)) for hit in self.hits(words, [i for i in at if words[i] in own], template, counts, apart))
         hits.sort(key=lambda h: (-h[1] * h[4], -h[1], h[0], h[2]))
         kept: list[tuple[str, float, int, int]] = []
         for name, coverage, lo, hi, _ in hits:
@@ -131,7 +157,7 @@ class Scanner:
                 kept.append((name, coverage, lo, hi))
         return len(words), sorted(kept, key=lambda h: (h[2], h[0]))
 
-    def hits(self, words: list[str], at: list[int], template: list[str], counts: Counter):
+    def hits(self, words: list[str], at: list[int], template: list[str], counts: Counter, apart: tuple[frozenset, frozenset]):
         n, known = len(template), counts.keys()
         gap = 2 * n
         regions, start = [], 0  # with the bounds that their text may reach
@@ -151,7 +177,8 @@ class Scanner:
             if len(pairs) >= least:
                 spots = [places[i] for i, _ in pairs]
                 spots = densest(spots, least, gap)
-                if len(spots) >= least:
+                kept = [(places[i], j) for i, j in pairs if spots[0] <= places[i] <= spots[-1]]
+                if len(spots) >= least and genuine(words, kept, template, *apart):
                     yield len(spots) / n, spots[0], spots[-1] + 1
                     before = [i for i in region if i < spots[0]], first, spots[0]
                     after = [i for i in region if i > spots[-1]], spots[-1] + 1, end
@@ -166,7 +193,7 @@ class Scanner:
                     hi = min(end, i + 2 * (n - lead) + 4, spots[k + 1] if k + 1 < len(spots) else len(words))
                     places = [x for x in range(lo, hi) if words[x] in known]
                     pairs = align([words[x] for x in places], template)
-                    if len(pairs) >= least:
+                    if len(pairs) >= least and genuine(words, [(places[x], j) for x, j in pairs], template, *apart):
                         yield len(pairs) / n, places[pairs[0][0]], places[pairs[-1][0]] + 1
 
 

@@ -46,9 +46,56 @@ as published by the Free Software Foundation, either version 3 of the License, o
 distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
 FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
 
+_BSD_ADVERTS = """All advertising materials mentioning features or use of this software must display the following acknowledgement:
+This product includes software developed by the organization."""
+
+_GPL2 = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
+FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+
+_MIT_0 = _MIT[: _MIT.index(", subject to")] + ". " + _MIT[_MIT.index("THE SOFTWARE IS") :]
+_0BSD = _ISC[: _ISC.index(",\nprovided that")] + ". " + _ISC[_ISC.index("THE SOFTWARE IS") :]
+
+
+def _library(text: str) -> str:
+    return text.replace("This program", "This library")
+
+
+def _gnu(text: str, kind: str) -> str:
+    return text.replace("GNU General", f"GNU {kind} General")
+
+
+def _creative_commons():
+    parts = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+    spelt = {"NC": "Non-Commercial", "SA": "Share Alike", "ND": "No Derivatives"}
+    for version, scope in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic"), ("1.0", "Generic")):
+        if version != "4.0":
+            parts["ND"], spelt["ND"] = "NoDerivs", "No Derivs"
+        for kind in ("BY", "BY-SA", "BY-NC", "BY-NC-SA", "BY-ND", "BY-NC-ND"):
+            name = f"CC-{kind}-{version}"
+            yield name, f"Licensed under CC {kind} {version}."
+            for words in (parts, parts | spelt):
+                title = "-".join(words[x] for x in kind.split("-"))
+                yield name, f"This work is licensed under a Creative Commons {title} {version} {scope} License."
+
+
 _MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""
 
+_CC_PARTS = {"nc", "nd", "sa", "noncommercial", "sharealike", "noderivatives", "noderivs", "commercial", "share", "alike", "derivatives", "derivs"}
+#: (words of a template that tell its family, words that must be matched if the template has them, words
+#: that tell another licence of the family if a text has them within the notice and the template has not).
+FAMILIES = [
+    ({"gnu"}, {"gnu", "general", "public", "lesser", "affero"}, {"lesser", "affero"}),
+    ({"cc"}, {"cc", "by", *_CC_PARTS}, _CC_PARTS),
+    ({"creative", "commons"}, {"creative", "commons", "attribution", *_CC_PARTS}, _CC_PARTS),
+    ({"apache"}, {"apache"}, set()),
+    ({"mozilla"}, {"mozilla"}, set()),
+    ({"mit"}, {"mit"}, {"attribution", "0"}),
+    ({"redistributions"}, {"endorse", "advertising"}, {"endorse", "advertising"}),
+]
+
 #: (licence, template), fixed values; a licence may have several.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -72,4 +119,18 @@ TEMPLATES = [
     ("BSD-3-Clause", f"{_BSD_HEAD} {_BSD_NAMES} {_BSD_TAIL}"),
     ("MPL-2.0", _MPL),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # those that share most of their words with one of the above
+    ("MIT-0", "Licensed under the MIT-0 License."),
+    ("MIT-0", _MIT_0),
+    ("0BSD", _0BSD),
+    ("BSD-4-Clause", f"{_BSD_HEAD} {_BSD_ADVERTS} {_BSD_NAMES} {_BSD_TAIL}"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", _GPL2),
+    ("LGPL-2.0", "This work is licensed under the GNU Library General Public License, version 2."),
+    ("LGPL-2.0", _gnu(_library(_GPL2), "Library")),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", _gnu(_library(_GPL2), "Lesser").replace("version 2", "version 2.1")),
+    ("LGPL-3.0", _gnu(_GPL, "Lesser")),
+    ("AGPL-3.0", _gnu(_GPL, "Affero")),
 ]
+TEMPLATES += [x for x in _creative_commons() if x not in TEMPLATES]

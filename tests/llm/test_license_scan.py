@@ -62,6 +62,33 @@ def test_same_licence_more_than_once():
     assert names(f"{MIT} {MIT}") == ["MIT", "MIT"]
 
 
+AGPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public
+License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
+program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."""
+
+
+def test_licences_that_share_most_words():
+    assert names(AGPL) == ["AGPL-3.0"]
+    assert names(AGPL.replace("Affero", "Lesser")) == ["LGPL-3.0"]
+    assert names(AGPL.replace("Affero ", "")) == ["GPL-3.0"]
+    assert names(AGPL.replace("Affero ", "").replace("version 3", "version 2")) == ["GPL-2.0"]
+    assert names(AGPL.replace("Affero ", "").replace("version 3", "version 4")) == []
+    assert names(f"{AGPL} {FILL} {AGPL.replace('Affero ', '')}") == ["AGPL-3.0", "GPL-3.0"]
+    work = "This work is licensed under"
+    assert names(f"{work} the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert names(f"{work} the GNU Lesser General Public License, version 2.1.") == ["LGPL-2.1"]
+    assert names(f"{work} the GNU Free Documentation License, version 1.3.") == []
+    assert names("Licensed under CC BY 3.0.") == ["CC-BY-3.0"]
+    assert names("Licensed under CC BY-NC-ND 4.0.") == ["CC-BY-NC-ND-4.0"]
+    assert names("Licensed under CC BY 9.0.") == names("Licensed under the Foo License.") == []
+    assert names("Licensed under the Apache License, Version 1.1.") == []
+    assert names(f"{work} a Creative Commons Attribution-Share Alike 3.0 United States License.") == ["CC-BY-SA-3.0"]
+    only = [t for t in TEMPLATES if t[0] in ("GPL-3.0", "CC-BY-4.0", "CC-BY-NC-4.0")]  # the others not listed
+    for text in (AGPL, "Licensed under CC BY-NC-ND 4.0.", "Licensed under CC BY-SA 4.0."):
+        assert L.Scanner(only, 0.8).scan(text)[1] == []
+
+
 def test_clean_texts_have_no_hits():
     assert names(FILL * 200) == []
     assert names("A license to thrill: the version of the public work is under way, released or not.") == []
