@@ -15,7 +15,8 @@ A text is read whole. Only positions of words that some template has can match,
 so the alignment sees those; they are cut into regions where more words than
 the template has, twice over, pass without one of its telling words. In a
 region that does not align as a whole, as when a notice stands in it twice, the
-template is aligned around each place of its rarest telling words. A template whose words, counted with
+template is aligned around every place of every telling word, unless the words
+around that place are too few to reach the least coverage. A template whose words, counted with
 repetition, do not reach the least coverage in a region cannot align to it and
 is left out, which loses nothing. Each region yields for each template at most
 one hit; a document's hits are those of at least ``min_coverage`` whose span no
@@ -42,8 +43,6 @@ from .license_templates import FAMILIES, TEMPLATES
 by_value(__name__)
 
 MIN_COVERAGE = 0.8
-#: Words tried in a region that holds a template more than once.
-RARE_WORDS = 5
 _WORD = re.compile(r"[^\W_]+")
 #: Words too common to begin a region on their own.
 COMMON = {"a", "and", "any", "are", "as", "at", "be", "by", "for", "from", "if", "in", "is", "it", "no", "not", "of", "on", "one", "or", "that", "the", "this", "to", "with", "without", "you", "was"}
@@ -184,19 +183,52 @@ class Scanner:
                     after = [i for i in region if i > spots[-1]], spots[-1] + 1, end
                     regions.extend(r for r in (before, after) if 0 < len(r[0]) < len(region))
                     continue
-            # the template may be there more than once: try it around each place of its rarest telling words
-            single = sorted((c, w) for w, c in held.items() if counts[w] == 1 and c > 1)
-            for _, word in single[:RARE_WORDS]:
-                lead, spots = template.index(word), [i for i in region if words[i] == word]
+            # the template may be there more than once, or among other text: try it around each place of its telling words
+            near = within_reach(words, region, first, end, counts, least)
+            tried = set()
+            for word in sorted(held):
+                leads, times, spots = [j for j, w in enumerate(template) if w == word], counts[word], [i for i in region if words[i] == word]
                 for k, i in enumerate(spots):
-                    lo = max(first, i - 2 * lead - 4, spots[k - 1] + 1 if k else 0)
-                    hi = min(end, i + 2 * (n - lead) + 4, spots[k + 1] if k + 1 < len(spots) else len(words))
+                    if i not in near:
+                        continue
+                    lo = max(first, i - 2 * leads[-1] - 4, spots[k - times] + 1 if k >= times else 0)
+                    hi = min(end, i + 2 * (n - leads[0]) + 4, spots[k + times] if k + times < len(spots) else len(words))
+                    if (lo, hi) in tried:
+                        continue
+                    tried.add((lo, hi))
                     places = [x for x in range(lo, hi) if words[x] in known]
+                    if not apart[0] <= (here := Counter(words[x] for x in places)).keys() or sum(min(c, here[w]) for w, c in counts.items()) < least:
+                        continue
                     pairs = align([words[x] for x in places], template)
                     if len(pairs) >= least and genuine(words, [(places[x], j) for x, j in pairs], template, *apart):
                         yield len(pairs) / n, places[pairs[0][0]], places[pairs[-1][0]] + 1
 
 
+def within_reach(words: list[str], spots: list[int], first: int, end: int, counts: Counter, least: float) -> set[int]:
+    """Those of the rising ``spots`` that have enough words of a template within twice its length on either side."""
+    reach = 2 * counts.total() + 4
+    held: Counter = Counter()
+    lo = hi = first
+    common = 0
+    out = set()
+    for i in spots:
+        for x in range(hi, min(end, i + reach)):
+            w = words[x]
+            if w in counts:
+                held[w] += 1
+                common += held[w] <= counts[w]
+        hi = max(hi, min(end, i + reach))
+        for x in range(lo, min(hi, i - reach)):
+            w = words[x]
+            if w in counts:
+                common -= held[w] <= counts[w]
+                held[w] -= 1
+        lo = max(lo, min(hi, i - reach))
+        if common >= least:
+            out.add(i)
+    return out
+
+
 def densest(spots: list[int], least: float, gap: int) -> list[int]:
     """The longest stretch of ``spots`` without a gap of over ``gap`` words."""
     cuts = [0, *(i for i in range(1, len(spots)) if spots[i] - spots[i - 1] > gap), len(spots)]

@@ -62,6 +62,18 @@ def test_same_licence_more_than_once():
     assert names(f"{MIT} {MIT}") == ["MIT", "MIT"]
 
 
+def test_every_telling_word_is_tried():
+    once = sorted(w for w, c in L.Counter(L.words_of(MIT)).items() if c == 1 and w not in L.COMMON)
+    edited = " ".join("changed" if w in once[:5] else w for w in L.words_of(MIT))
+    assert names(f"{edited} {MIT} {MIT}") == ["MIT"] * 3
+    assert names(f"{edited} {MIT} {edited} {MIT}") == ["MIT"] * 4
+    # among other text that has its words, too, in which each telling word stands more often than in the notice, or once
+    other = "software is provided as is without warranty of any kind to the authors or holders of software licensed under apache"
+    assert names(f"{other} {MIT} {other} {MIT}") == ["MIT"] * 2
+    notice = "Licensed under the MIT License."
+    assert names(f"licensed work of MIT license under {notice}") == ["MIT"]
+
+
 AGPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public
 License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
 program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
