@@ -24,7 +24,8 @@ from recordforge.session import scratch_path
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be identified; null texts and texts without letters go."""
+    """Documents in which a language can be identified; null texts and texts without letters go, and
+    nothing else, also where there is no labelled text to learn from."""
     model = language_id.fit(docs.select("doc_id", "text", "lang").filter(~language_id.held_out(F.col("doc_id"))))
     return language_id.keep_identified(docs, model)
 

@@ -244,7 +244,8 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text is not ``und``."""
+    """The rows of ``docs``, with all their columns, whose text is not ``und``. Where ``model`` has learnt
+    no language, so that every text is ``und``, those whose text has a letter."""
     held = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def keep(batches):
@@ -254,7 +255,11 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
         for batch in batches:
             for at, n in text_slices(batch, text, 8_000_000):
                 part = batch.slice(at, n)
-                lang, _, _ = fitted.predict(part.column(part.schema.get_field_index(text)).to_pylist())
-                yield part.filter(pa.array([x != UNDETERMINED for x in lang]))
+                texts = part.column(part.schema.get_field_index(text)).to_pylist()
+                if fitted.languages:
+                    keeps = [x != UNDETERMINED for x in fitted.predict(texts)[0]]
+                else:
+                    keeps = [any(map(str.isalpha, t or "")) for t in texts]
+                yield part.filter(pa.array(keeps, pa.bool_()))
 
     return map_batches(docs, keep, docs.schema)

@@ -100,5 +100,12 @@ def test_rows_equal_in_id_and_size_are_taken_by_content(spark, docs, sf):
     assert runs[0] == runs[1] and len(runs[0]) > 2
 
 
+def test_a_table_without_labels_keeps_its_documents(spark, docs, sf):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for lang in (None, "en"):  # no label, or one on a held-out id alone
+        rows = [(held, "the cat", lang, "a"), (101, "le chat", None, "b"), (102, "12 !", None, "a"), (103, None, None, "a"), (104, "", None, "a")]
+        assert {r.doc_id for r in P.stage_language(spark, docs(rows), sf).collect()} == {held, 101}
+
+
 def test_stages():
     assert [n for n, _ in P.STAGES] == ["language ID", "n-gram Jaccard join", "source mix", "best-fit packing"]
