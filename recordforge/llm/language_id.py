@@ -9,17 +9,20 @@ sample's length (the bits to point at each match); the language of least cost
 wins, ties go to the smaller language name. ``score`` is the winner's share of
 2^-bits over all languages (0 to 1).
 
-Text is read as classes of lower-cased letters; every run of other characters
-is one separator. Parsing a text only descends from the root, so an automaton
-becomes one dense table whose missing moves restart at the root with a flag,
-and a task parses all windows of its texts in step with numpy: one gather per
-language and character. A text is parsed whole, in windows of ``WINDOW``
+Text is read as classes of lower-cased letters; every letter of the samples is a
+class of its own, and every run of other characters is one separator. Parsing a
+text only descends from the root, so an automaton becomes one dense table whose
+missing moves restart at the root with a flag, and a task parses all windows of
+its texts in step with numpy: one gather per language and character. Where the
+samples hold too many letters for that, a table has columns for its own
+language's letters alone; where those are too many (Han), the moves are a sorted
+list, bounded by the sample's length. A text is parsed whole, in windows of ``WINDOW``
 classes, each starting a phrase.
 
 The fit uses a bounded sample: for each language at most ``SAMPLE_DOCS``
 documents, the first by the hash of their text among those allowed for
 learning, each giving at most ``DOC_CLASSES`` classes, together at most
-``SAMPLE_CLASSES``. Nothing else of the corpus goes to the driver. The tables
+``SAMPLE_CLASSES``, of which all documents have equal shares. Nothing else of the corpus goes to the driver. The tables
 that are broadcast are bounded by that and the number of languages.
 
 Texts that are null or have no letter are ``und`` with score 0, as are all
@@ -40,10 +43,10 @@ by_value(__name__)
 SAMPLE_DOCS = 200
 DOC_CLASSES = 2_000
 SAMPLE_CLASSES = 30_000
-ALPHABET = 64  # separator, frequent letters, one class for other letters, padding
+DENSE_CELLS = 6_000_000  # of a table of moves; beyond, they are a sorted list
 WINDOW = 512
 UNDETERMINED = "und"
-SEPARATOR, OTHER, PADDING = 0, ALPHABET - 2, ALPHABET - 1
+SEPARATOR = 0
 
 
 def held_out(doc_id):
@@ -81,34 +84,71 @@ def suffix_automaton(codes) -> list[dict[int, int]]:
     return moves
 
 
-def restart_table(moves: list[dict[int, int]]) -> np.ndarray:
-    """uint32 by state * ALPHABET + class: next state * ALPHABET; the top bit is set where a phrase begins.
+class Moves:
+    """The moves of an automaton on ``width`` classes (the last one is padding), with restarts at the root.
+
+    ``step`` takes states and classes to the next states, the top bit set where a phrase begins. The last
+    state is the one between phrases, in which a text starts and which a class that the sample does not
+    have leads to, a phrase of its own."""
+
+    def __init__(self, moves: list[dict[int, int]], width: int, cells: int = DENSE_CELLS):
+        between = len(moves)
+        self.columns, self.keys, self.scale, padding = None, None, width, width - 1
+        if (between + 1) * width > cells:  # one column for all letters that the sample does not have
+            own = sorted(moves[0])
+            self.columns = np.full(width, len(own), dtype=np.min_scalar_type(len(own) + 1))
+            self.columns[own], self.columns[padding] = np.arange(len(own)), len(own) + 1
+            padding, self.scale = len(own) + 1, len(own) + 2
+            moves = [{int(self.columns[c]): to for c, to in out.items()} for out in moves]
+        root = np.asarray([moves[0].get(c, between) for c in range(self.scale)], dtype=np.uint32) | np.uint32(1 << 31)
+        self.padding = padding
+        if (between + 1) * self.scale > cells:
+            listed = sorted((s * self.scale + c, to) for s, out in enumerate(moves) for c, to in out.items())
+            self.keys, self.table = np.asarray([k for k, _ in listed], dtype=np.int64), np.asarray([to for _, to in listed], dtype=np.uint32)
+            self.root, self.begin = root, between
+            return
+        # uint32 by state * scale + class: next state * scale
+        restart = (root & np.uint32(0x7FFFFFFF)) * np.uint32(self.scale) | np.uint32(1 << 31)
+        table = np.tile(restart, (between + 1, 1))
+        for s, out in enumerate(moves):
+            for c, to in out.items():
+                table[s, c] = to * self.scale
+        table[:, padding] = np.arange(between + 1, dtype=np.uint32) * self.scale
+        self.table, self.begin = table.ravel(), between * self.scale
+
+    def parts(self) -> dict:
+        return self.__dict__
 
-    The last state is the one between phrases, in which a text starts and which
-    a class that the sample does not have leads to, a phrase of its own."""
-    between = len(moves)
-    table = np.zeros((between + 1, ALPHABET), dtype=np.uint32)
-    for c in range(ALPHABET):
-        table[:, c] = moves[0].get(c, between) * ALPHABET + (1 << 31)
-    for s, out in enumerate(moves):
-        for c, to in out.items():
-            table[s, c] = to * ALPHABET
-    table[:, PADDING] = np.arange(between + 1, dtype=np.uint32) * ALPHABET
-    return table.ravel()
+    @classmethod
+    def of(cls, parts: dict) -> Moves:
+        self = cls.__new__(cls)
+        self.__dict__.update(parts)
+        return self
+
+    def step(self, state: np.ndarray, c: np.ndarray, at: np.ndarray) -> None:
+        """``state`` becomes the next states."""
+        if self.keys is None:
+            np.add(state, c, out=at, casting="unsafe")
+            np.take(self.table, at, out=state, mode="clip")
+            return
+        np.multiply(state, self.scale, out=at, casting="unsafe", dtype=np.int64)
+        at += c
+        place = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        to = np.where(self.keys[place] == at, self.table[place], self.root[c])
+        state[:] = np.where(c == self.padding, state, to)
 
 
 def letter_classes(texts: list[str]) -> np.ndarray:
-    """The class of every code point: the frequent letters of ``texts`` have their own."""
-    from collections import Counter
-
-    found = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    own = {c: k + 1 for k, (c, _) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[: OTHER - 1])}
-    classes = np.zeros(0x110000, dtype=np.uint8)
+    """The class of every code point: the letters of ``texts`` have their own, all others the one above."""
+    found = set().union(*(t.lower() for t in texts))
+    own = {c: k + 1 for k, c in enumerate(sorted(c for c in found if c.isalpha()))}
+    other = len(own) + 1
+    classes = np.zeros(0x110000, dtype=np.min_scalar_type(other + 1))
     for cp in range(0x110000):
         ch = chr(cp)
         if ch.isalpha():
             low = ch.lower()
-            classes[cp] = own.get(low if len(low) == 1 else low[0], OTHER)
+            classes[cp] = own.get(low if len(low) == 1 else low[0], other)
     return classes
 
 
@@ -124,11 +164,21 @@ def to_classes(texts: list[str | None], classes: np.ndarray) -> tuple[np.ndarray
     return codes[keep], kept[bounds]
 
 
+def equal_shares(sizes: np.ndarray, most: int, total: int) -> int:
+    """The largest share of at most ``most`` with which ``sizes``, cut to it, sum to at most ``total``."""
+    lo, hi = 0, most
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if np.minimum(sizes, mid).sum() <= total else (lo, mid - 1)
+    return lo
+
+
 class Model:
-    """Languages in order, their tables one after another, and each sample's log2 length."""
+    """Languages in order, their moves one after another, and each sample's log2 length."""
 
-    def __init__(self, languages: list[str], classes: np.ndarray | None, tables: list[np.ndarray], bits: list[float]):
+    def __init__(self, languages: list[str], classes: np.ndarray | None, tables: list[dict], bits: list[float]):
         self.languages, self.classes, self.tables, self.bits = languages, classes, tables, bits
+        self.padding = 0 if classes is None else int(classes.max()) + 1
 
     def parts(self) -> tuple:
         """Plain data to broadcast: executors need not have this package."""
@@ -142,8 +192,9 @@ class Model:
         tables, bits = [], []
         for k in languages:
             codes, bounds = to_classes(samples[k], classes)
-            own = np.concatenate([codes[b : min(e, b + DOC_CLASSES)] for b, e in zip(bounds[:-1], bounds[1:])])[:SAMPLE_CLASSES]
-            tables.append(restart_table(suffix_automaton(own.tolist())))
+            share = equal_shares(np.diff(bounds), DOC_CLASSES, SAMPLE_CLASSES)
+            own = np.concatenate([codes[b : min(e, b + share)] for b, e in zip(bounds[:-1], bounds[1:])])
+            tables.append(Moves(suffix_automaton(own.tolist()), int(classes.max()) + 2).parts())
             bits.append(float(np.log2(max(2, len(own)))))
         return cls(languages, classes, tables, bits)
 
@@ -159,18 +210,17 @@ class Model:
         first = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         start = np.repeat(begins[:-1], lanes) + first * window
         length = np.minimum(window, np.repeat(begins[1:], lanes) - start)
-        padded = np.concatenate([codes, np.full(window, PADDING, dtype=np.uint8)])
+        padded = np.concatenate([codes, np.full(window, self.padding, dtype=codes.dtype)])
         grid = np.lib.stride_tricks.sliding_window_view(padded, window)[start]
-        grid[np.arange(window) >= length[:, None]] = PADDING
+        grid[np.arange(window) >= length[:, None]] = self.padding
         grid = np.ascontiguousarray(grid.T)
-        for k, table in enumerate(self.tables):
-            state = np.full(len(owner), len(table) - ALPHABET, dtype=np.uint32)
+        for k, moves in enumerate(map(Moves.of, self.tables)):
+            state = np.full(len(owner), moves.begin, dtype=np.uint32)
             begun = np.zeros(len(owner), dtype=np.uint32)
             at = np.empty(len(owner), dtype=np.int64)
             flag = np.empty(len(owner), dtype=np.uint32)
             for c in grid:
-                np.add(state, c, out=at, casting="unsafe")
-                np.take(table, at, out=state, mode="clip")
+                moves.step(state, c if moves.columns is None else moves.columns[c], at)
                 np.right_shift(state, 31, out=flag)
                 begun += flag
                 state &= 0x7FFFFFFF

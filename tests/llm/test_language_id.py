@@ -54,6 +54,32 @@ def test_predictions_and_undetermined():
     assert (score[3:] == 0).all() and (score[:3] > 0.9).all() and (score <= 1).all()
 
 
+def test_letters_of_many_scripts_tell_languages_apart():
+    """Two languages in letters that are rare among all: the same words' shapes, different letters."""
+    rare = {"xa": [chr(0x4E00 + k) for k in range(400)], "xb": [chr(0x5E00 + k) for k in range(400)]}
+    rng = np.random.default_rng(5)
+    text = {k: "".join(rng.choice(v, 3000)) for k, v in rare.items()}
+    latin = {"en": [EN * 30], "fr": [FR * 30], "de": [DE * 30]}
+    m = L.Model.train(latin | {k: [v] for k, v in text.items()})
+    texts = [text["xa"][50:90], text["xb"][700:760], EN[10:70], FR[8:70], "и" + text["xa"][:9] + EN[:20]]
+    assert m.predict(texts[:4])[0] == ["xa", "xb", "en", "fr"]
+    # dense on all letters, dense on own letters, and listed moves agree
+    codes, bounds = L.to_classes([text["xa"]], m.classes)
+    moves, width = L.suffix_automaton(codes[: L.DOC_CLASSES].tolist()), int(m.classes.max()) + 2
+    kinds = [L.Moves(moves, width, cells) for cells in (10**8, len(moves) * width - 1, 0)]
+    assert [(k.columns is None, k.keys is None) for k in kinds] == [(True, True), (False, True), (False, False)]
+    at = m.languages.index("xa")
+    counts = [L.Model(["xa"], m.classes, [k.parts()], [1.0]).phrases(texts, 16)[0].tolist() for k in kinds]
+    assert counts[0] == counts[1] == counts[2] == m.phrases(texts, 16)[0][:, at : at + 1].tolist()
+
+
+def test_every_sampled_document_is_learnt_from(monkeypatch):
+    monkeypatch.setattr(L, "SAMPLE_CLASSES", 300)
+    m = L.Model.train({"en": [EN * 20, "zebras vex quizzical jackdaws"], "fr": [FR]})
+    assert m.phrases(["zebras vex quizzical jackdaws"])[0][0, 0] == 1
+    assert L.equal_shares(np.array([10, 50, 500]), 2000, 200) == 140
+
+
 def test_ties_go_to_the_smaller_name():
     m = L.Model.train({"b": [EN], "a": [EN]})
     assert m.predict(["the dog"])[0] == ["a"] and np.isclose(m.predict(["the dog"])[1][0], 0.5)
