@@ -60,6 +60,7 @@ def test_letters_of_many_scripts_tell_languages_apart():
     rng = np.random.default_rng(5)
     text = {k: "".join(rng.choice(v, 3000)) for k, v in rare.items()}
     latin = {"en": [EN * 30], "fr": [FR * 30], "de": [DE * 30]}
+    latin["zz"] = ["".join(chr(0x1200 + k) for k in range(70)) * 50]  # 70 letters more frequent than those
     m = L.Model.train(latin | {k: [v] for k, v in text.items()})
     texts = [text["xa"][50:90], text["xb"][700:760], EN[10:70], FR[8:70], "и" + text["xa"][:9] + EN[:20]]
     assert m.predict(texts[:4])[0] == ["xa", "xb", "en", "fr"]
