@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_neardup, chat_preferences, graph_ann, html_consensus, language_id, license_scan, lsh_forest, packing, seekable_tokens, source_mixing
+from . import binary_neardup, boosted_rules, chat_preferences, graph_ann, html_consensus, language_id, license_scan, lsh_forest, packing, seekable_tokens, source_mixing, token_alignment, whitening
 from .common import table
 
 
@@ -55,5 +55,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.jaccard_join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_language_id, op3_license_scan, op4_html_main_text, op5_embedding_neardup, op6_best_fit_packing, op7_token_files, op8_source_mix, op9_graph_neighbours, op10_ngram_jaccard)}
+def op11_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = boosted_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", *boosted_rules.BASE, "base_failed", "kept", "quality")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_preference_pairs, op2_language_id, op3_license_scan, op4_html_main_text, op5_embedding_neardup, op6_best_fit_packing, op7_token_files, op8_source_mix, op9_graph_neighbours, op10_ngram_jaccard, op11_quality_trees, op12_token_alignment, op13_whitening)}
 ORACLE_SQL = {"op1_preference_pairs": chat_preferences.ORACLE, "op8_source_mix": source_mixing.ORACLE}
