@@ -90,6 +90,12 @@ class PairScorer:
         ok[idx[200 * lcs < t * tot[idx]]] = False
         return ok
 
+    def distances(self, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
+        """Exact InDel distances ``la + lb - 2 * LCS`` of the pairs (ia[k], ib[k])."""
+        la, lb = self.lens[ia], self.lens[ib]
+        swap = la > lb
+        return la + lb - 2 * self._lcs(np.where(swap, ib, ia), np.where(swap, ia, ib))
+
     def _lcs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out = np.zeros(len(a), dtype=np.int64)
         words = -(-self.lens[a] // WORD)

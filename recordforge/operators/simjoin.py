@@ -3,28 +3,37 @@
 Input: distinct match keys ``(cohort, key, node)``. Output: every pair of
 keys of the same cohort whose token-sort similarity reaches the threshold.
 
-Plan (all DataFrame operations, work grows with the data, no driver loop):
+The similarity is one of the InDel distance ``d(a, b) = la + lb - 2 * LCS``, which is
+a metric: a pair matches iff ``100 * d <= (100 - t) * (la + lb)``, and for any pivot ``p``
+``|d(a, p) - d(b, p)| <= d(a, b)``. Plan (all DataFrame operations, work grows with
+the data, no driver loop):
 
-* Keys are range-partitioned by cohort, length and the counts of a few character
-  classes, and cut in that order into *packets* of one cohort, one length and at
+* Every cohort gets pivots: of a bounded sample (the first key by hash of each of
+  ``_SAMPLE`` buckets, a partial aggregate) the one farthest from those chosen,
+  again and again. Every key learns its exact distance to each pivot of its cohort.
+* Keys are range-partitioned by cohort, length, nearest pivot and ring (the distance
+  to it), and cut in that order into *packets* of one cohort, one length and at
   most ``packet_size`` keys. A cohort that holds a third of all rows is spread
   over tasks by its order; no task ever gathers more than its range.
-* A packet keeps the least and largest count of every class. One inserted or
-  deleted character changes one count by one, so two packets whose boxes differ
-  by more than the edits the threshold allows hold no match: such pairs of
-  packets are dropped, and so are those outside the exact length band
-  ``la <= lb <= la * (200 - t) / t``. Only ids and boxes take part in that.
+* A packet keeps the least and largest distance to every pivot, and the least and
+  largest count of a few character classes (one edit changes one count by one). Two
+  packets whose rings around some pivot, or whose counts, lie farther apart than the
+  edits the threshold allows hold no match: such pairs of packets are dropped, and so
+  are those outside the exact length band ``la <= lb <= la * (200 - t) / t``. Only ids
+  and boxes take part in that.
 * Key lists are attached to the remaining packet pairs by equi-joins on one
-  packet id each. Each packet pair is one row carrying both key lists, scored by
-  a vectorised Arrow task (:class:`~recordforge.functions.similarity.PairScorer`)
-  that emits only matching pairs. Candidate pairs exist only inside that task's
-  memory, at most ``packet_size ** 2`` per row, and a task flushes by pairs and
-  by bytes.
+  packet id each. Each packet pair is one row carrying both key lists. An Arrow task
+  drops the pairs whose rings around some pivot lie too far apart (a few comparisons
+  a pair on small integers), scores the others
+  (:class:`~recordforge.functions.similarity.PairScorer`) and emits only matches.
+  Candidate pairs exist only inside that task's memory, at most ``packet_size ** 2``
+  per row, and a task flushes by pairs and by bytes.
+
+Keys may be marked as fresh: then only pairs with a fresh key are wanted, packets hold
+fresh keys or others only, and two packets of others never meet (incremental dedup).
 
 Packets are written once to the checkpoint folder, so a recomputed task cannot
-cut them differently. Every pair of a cohort that the length and the class
-counts admit is scored (the threshold of 85 on short strings admits no selective
-exact signature: pigeonhole segments would be ~3 characters long).
+cut them differently. No filter loses a pair; pivots only decide what is compared.
 """
 
 from __future__ import annotations
@@ -55,13 +64,16 @@ _CHUNK_BYTES = 32_000_000
 
 # Character classes whose counts order the keys and bound their distance.
 _CLASSES = ["01234", "56789", "ae", "iou", "bcdfgh", "jklmn", "pqrs", "tvwxyz"]
-# Shares that the packets of one cohort and length are dealt into when paired.
+# Shares that the packets of one cohort and length are dealt into when paired, and a cohort's keys when they meet its pivots.
 _PAIR_SALTS = 16
+# Keys of a cohort that its pivots are chosen from, and pivots of a cohort.
+_SAMPLE = 256
+PIVOTS = 16
 
 
 def _score_blocks(threshold: int):
     def run(batches):
-        buf = _Chunk()
+        buf = _Chunk(threshold)
         for batch in batches:
             cohort = batch.column("cohort").to_pylist()
             same = batch.column("same").to_pylist()
@@ -75,12 +87,13 @@ def _score_blocks(threshold: int):
             b_nodes = b_flat.field("node").to_numpy(zero_copy_only=False)
             a_keys = a_flat.field("key").to_pylist()
             b_keys = b_flat.field("key").to_pylist()
+            a_rings, b_rings = _rings(a_flat.field("dist")), _rings(b_flat.field("dist"))
             for r in range(batch.num_rows):
                 a0, a1 = a_off[r], a_off[r + 1]
                 b0, b1 = b_off[r], b_off[r + 1]
                 buf.add(
                     cohort[r], bool(same[r]),
-                    a_keys[a0:a1], a_nodes[a0:a1], b_keys[b0:b1], b_nodes[b0:b1],
+                    a_keys[a0:a1], a_nodes[a0:a1], b_keys[b0:b1], b_nodes[b0:b1], a_rings[a0:a1], b_rings[b0:b1],
                 )
                 if buf.pairs >= _CHUNK_PAIRS or buf.bytes >= _CHUNK_BYTES:
                     out = buf.flush(threshold)
@@ -93,10 +106,19 @@ def _score_blocks(threshold: int):
     return run
 
 
+def _rings(column) -> np.ndarray:
+    """Distances to the pivots, a row per key; missing pivots (the same ones for a whole cohort) are 0."""
+    lengths = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(lengths), PIVOTS), dtype=np.int32)
+    out[np.arange(PIVOTS) < lengths[:, None]] = np.asarray(column.flatten())
+    return out
+
+
 class _Chunk:
     """Accumulates packet pairs until enough candidate pairs are pending."""
 
-    def __init__(self):
+    def __init__(self, threshold: int = 0):
+        self.threshold = threshold
         self._reset()
 
     def _reset(self):
@@ -104,28 +126,31 @@ class _Chunk:
         self.ia, self.ib = [], []
         self.pairs = self.bytes = 0
 
-    def add(self, cohort, same, a_keys, a_nodes, b_keys, b_nodes):
-        base = len(self.strings)
-        na = len(a_keys)
-        if same and na < 2:
-            return
-        # code points and histogram of each string
-        self.bytes += sum(4 * len(k) + 260 for k in (a_keys if same else [*a_keys, *b_keys]))
-        self.strings.extend(a_keys)
-        self.nodes.append(np.asarray(a_nodes, dtype=np.int64))
+    def add(self, cohort, same, a_keys, a_nodes, b_keys, b_nodes, a_rings=None, b_rings=None):
+        """The pairs of two packets (of one length each) whose rings around every pivot are close enough."""
         if same:
-            i, j = np.triu_indices(na, 1)
-            ia, ib = base + i, base + j
-        else:
-            nb = len(b_keys)
-            self.strings.extend(b_keys)
-            self.nodes.append(np.asarray(b_nodes, dtype=np.int64))
-            ia = base + np.repeat(np.arange(na), nb)
-            ib = base + na + np.tile(np.arange(nb), na)
-        self.ia.append(ia)
-        self.ib.append(ib)
-        self.cohorts.append((cohort, len(ia)))
-        self.pairs += len(ia)
+            b_keys, b_nodes, b_rings = a_keys, a_nodes, a_rings
+        near = np.ones((len(a_keys), len(b_keys)), dtype=bool)
+        if same:
+            near = np.triu(near, 1)
+        if a_rings is not None:
+            allowed = (len(a_keys[0]) + len(b_keys[0])) * (100 - self.threshold) // 100
+            for k in range(PIVOTS):
+                near &= np.abs(a_rings[:, k][:, None] - b_rings[:, k][None, :]) <= allowed
+        i, j = np.nonzero(near)
+        if not len(i):
+            return
+        base = len(self.strings)
+        for keys, nodes, at, side in ((a_keys, a_nodes, i, self.ia), (b_keys, b_nodes, j, self.ib)):
+            used, own = np.unique(at, return_inverse=True)  # only keys of such pairs are held
+            side.append(base + own)
+            base += len(used)
+            held = [keys[x] for x in used.tolist()]
+            self.strings += held
+            self.nodes.append(np.asarray(nodes, dtype=np.int64)[used])
+            self.bytes += sum(4 * len(x) + 260 for x in held)  # code points and histogram of each string
+        self.cohorts.append((cohort, len(i)))
+        self.pairs += len(i)
 
     def flush(self, threshold):
         if not self.pairs:
@@ -165,6 +190,52 @@ class _Chunk:
         )
 
 
+def farthest_first(strings: list[str], n: int = PIVOTS) -> list[str]:
+    """Up to ``n`` of the strings: the first, then each time the one whose least InDel distance to those chosen is largest."""
+    strings = sorted(set(strings))
+    scorer = PairScorer(strings)
+    everyone = np.arange(len(strings))
+    chosen, nearest = [0], None
+    while True:
+        d = scorer.distances(everyone, np.full(len(strings), chosen[-1]))
+        nearest = d if nearest is None else np.minimum(nearest, d)
+        if len(chosen) == n or not nearest.max():
+            return [strings[i] for i in chosen]
+        chosen.append(int(nearest.argmax()))
+
+
+def _choose_pivots(batches):
+    for batch in batches:
+        chosen = [farthest_first(x) for x in batch.column("sample").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("cohort"), pa.array(chosen, pa.list_(pa.string()))], names=["cohort", "pivots"])
+
+
+def _measure(batches):
+    """Each key's distances to its cohort's pivots, in place of the pivots."""
+    for batch in batches:
+        pivots = batch.column("pivots")
+        keys = batch.column("key").to_pylist()
+        coded = pivots.flatten().dictionary_encode()
+        per_key = np.diff(pivots.offsets.to_numpy())
+        own = np.repeat(np.arange(len(keys)), per_key)
+        scorer = PairScorer([*keys, *coded.dictionary.to_pylist()])
+        d = scorer.distances(own, len(keys) + np.asarray(coded.indices))
+        dist = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_key)]), pa.int32()), pa.array(d, pa.int32()))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cohort", "key", "node", "len", "fresh")), dist], names=["cohort", "key", "node", "len", "fresh", "dist"])
+
+
+def with_pivot_distances(k: DataFrame) -> DataFrame:
+    """``k`` (cohort, key, node, len, fresh) with ``dist``, its distances to the pivots of its cohort."""
+    bucket = F.pmod(F.xxhash64("key"), F.lit(_SAMPLE))
+    sample = k.groupBy("cohort", bucket.alias("bucket")).agg(F.min_by("key", F.struct(F.xxhash64("key", F.lit(1)), "key")).alias("key"))
+    sample = sample.groupBy("cohort").agg(F.collect_list("key").alias("sample"))  # at most _SAMPLE keys
+    pivots = sample.mapInArrow(_choose_pivots, "cohort string, pivots array<string>")
+    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_PAIR_SALTS - 1))))
+    salt = F.pmod(F.xxhash64("key"), F.lit(_PAIR_SALTS)).cast("int")
+    met = k.withColumn("salt", salt).join(pivots, ["cohort", "salt"]).select("cohort", "key", "node", "len", "fresh", "pivots")
+    return met.mapInArrow(_measure, "cohort string, key string, node bigint, len int, fresh boolean, dist array<int>")
+
+
 def similarity_join(
     keys: DataFrame,
     threshold: int,
@@ -172,27 +243,35 @@ def similarity_join(
     key: str = "key",
     node: str = "node",
     packet_size: int = config.SIMJOIN_PACKET_SIZE,
+    fresh: str | None = None,
 ) -> DataFrame:
     """Pairs of distinct keys within a cohort with similarity >= threshold.
 
     ``keys`` must hold one row per distinct ``(cohort, key)``; empty keys are
     ignored. Returns ``cohort, key_a, key_b, node_a, node_b`` with
-    ``key_a < key_b``.
+    ``key_a < key_b``. With ``fresh``, a boolean column, only pairs with a fresh key.
+    Runs a job while it is built (the packets are written).
     """
     t = int(threshold)
     if not 0 < t <= 100:
         raise ValueError("threshold must be in (0, 100]")
     k = (
         keys.select(
-            F.col(cohort).alias("cohort"), F.col(key).alias("key"), F.col(node).cast("bigint").alias("node")
+            F.col(cohort).alias("cohort"),
+            F.col(key).alias("key"),
+            F.col(node).cast("bigint").alias("node"),
+            (F.col(fresh) if fresh else F.lit(True)).alias("fresh"),
         )
         .filter(F.length("key") > 0)
         .withColumn("len", F.length("key"))
     )
     packets = _packets(k, packet_size)
+    # a packet pair is little data and much work: dealt by number, not merged by size
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
         _packet_pairs(packets, t)
         .join(packets.select(F.col("packet").alias("b"), F.col("items").alias("items_b")), "b")
+        .repartition(tasks, "a")
         .join(packets.select(F.col("packet").alias("a"), "cohort", F.col("items").alias("items_a")), "a")
         .select("cohort", (F.col("a") == F.col("b")).alias("same"), "items_a", "items_b")
     )
@@ -200,30 +279,40 @@ def similarity_join(
 
 
 def _packets(k: DataFrame, packet_size: int) -> DataFrame:
-    """(packet, cohort, len, items, lo, hi): keys cut in the order of their class counts."""
+    """(packet, cohort, len, fresh, items, lo, hi): keys cut in the order of their nearest pivots and rings."""
     lower = F.lower("key")
     counts = F.array(*[F.length(lower) - F.length(F.translate(lower, chars, "")) for chars in _CLASSES])
-    dealt = k.withColumn("counts", counts).repartitionByRange("cohort", "len", "counts", "key")
-    dealt = dealt.withColumn("part", F.spark_partition_id())
-    place = F.row_number().over(Window.partitionBy("part", "cohort", "len").orderBy("counts", "key")) - 1
+    ring = F.array_min("dist")
+    order = ["cell", "ring", "counts", "key"]
+    if "fresh" not in k.columns:
+        k = k.withColumn("fresh", F.lit(True))
+    dealt = with_pivot_distances(k).withColumns({"counts": counts, "ring": ring, "cell": F.array_position("dist", ring)})
+    dealt = dealt.repartitionByRange("cohort", "len", "fresh", *order).withColumn("part", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy("part", "cohort", "len", "fresh").orderBy(*order)) - 1
     cut = dealt.withColumn("sub", F.floor(place / packet_size))
-    bounds = [f(F.col("counts")[i]).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max)) for i in range(len(_CLASSES))]
-    packed = cut.groupBy("part", "cohort", "len", "sub").agg(F.collect_list(F.struct("node", "key")).alias("items"), *bounds)
+    bounds = [f(F.get("counts", F.lit(i))).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max)) for i in range(len(_CLASSES))]
+    rings = [f(F.get("dist", F.lit(i))).alias(f"{n}{i}") for n, f in (("near", F.min), ("far", F.max)) for i in range(PIVOTS)]
+    packed = cut.groupBy("part", "cohort", "len", "fresh", "sub").agg(F.collect_list(F.struct("node", "key", "dist")).alias("items"), *bounds, *rings)
     checkpoint_dir(k.sparkSession)
     return packed.drop("part", "sub").withColumn("packet", F.monotonically_increasing_id()).checkpoint()
 
 
 def _packet_pairs(packets: DataFrame, threshold: int) -> DataFrame:
-    """(a, b) ids of the packet pairs that length and class counts admit; a packet pairs with itself, too."""
-    boxes = [f"{n}{i}" for n in ("lo", "hi") for i in range(len(_CLASSES))]
+    """(a, b) ids of the packet pairs that length, class counts and rings admit; a packet pairs with itself, too."""
+    boxes = [f"{n}{i}" for n in ("lo", "hi") for i in range(len(_CLASSES))] + [f"{n}{i}" for n in ("near", "far") for i in range(PIVOTS)]
     salt = F.pmod(F.xxhash64("packet"), F.lit(_PAIR_SALTS)).cast("int")
-    left = packets.select("cohort", F.col("packet").alias("a"), F.col("len").alias("la"), salt.alias("salt"), *[F.col(c).alias(f"a_{c}") for c in boxes])
+    left = packets.select("cohort", F.col("packet").alias("a"), F.col("len").alias("la"), F.col("fresh").alias("fa"), salt.alias("salt"), *[F.col(c).alias(f"a_{c}") for c in boxes])
     left = left.withColumn("lb", F.explode(F.sequence("la", F.floor(F.col("la") * F.lit(200 - threshold) / F.lit(threshold)).cast("int"))))
-    right = packets.select("cohort", F.col("packet").alias("b"), F.col("len").alias("lb"), *[F.col(c).alias(f"b_{c}") for c in boxes])
+    right = packets.select("cohort", F.col("packet").alias("b"), F.col("len").alias("lb"), F.col("fresh").alias("fb"), *[F.col(c).alias(f"b_{c}") for c in boxes])
     right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_PAIR_SALTS - 1))))
-    apart = [
-        F.greatest(F.lit(0), F.col(f"a_lo{i}") - F.col(f"b_hi{i}"), F.col(f"b_lo{i}") - F.col(f"a_hi{i}")) for i in range(len(_CLASSES))
-    ]
-    edits = sum(apart[1:], apart[0])
-    admitted = (edits * 100 <= (F.col("la") + F.col("lb")) * (100 - threshold)) & ((F.col("la") < F.col("lb")) | (F.col("a") <= F.col("b")))
+
+    def apart(low, high, i):
+        gap = F.greatest(F.col(f"a_{low}{i}") - F.col(f"b_{high}{i}"), F.col(f"b_{low}{i}") - F.col(f"a_{high}{i}"), F.lit(0))
+        return gap  # a pivot that a cohort lacks is null on both sides; greatest skips nulls
+
+    edits = sum((apart("lo", "hi", i) for i in range(1, len(_CLASSES))), apart("lo", "hi", 0))
+    between_rings = F.greatest(*[apart("near", "far", i) for i in range(PIVOTS)])
+    allowed = (F.col("la") + F.col("lb")) * (100 - threshold)
+    admitted = (edits * 100 <= allowed) & (between_rings * 100 <= allowed)
+    admitted = admitted & (F.col("fa") | F.col("fb")) & ((F.col("la") < F.col("lb")) | (F.col("a") <= F.col("b")))
     return left.join(right, ["cohort", "lb", "salt"]).filter(admitted).select("a", "b")

@@ -188,3 +188,53 @@ def test_hub_edges_are_dealt_by_salt(spark):
         assert got.filter("component != 0").isEmpty() and got.count() == 50_001
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_pivots_and_rings_bound_the_distance():
+    from recordforge.operators.simjoin import PIVOTS, farthest_first
+
+    rng = random.Random(2)
+    xs = sorted({x for x in _strings(rng, 60) if x})
+    pivots = farthest_first(xs)
+    assert len(pivots) == len(set(pivots)) == min(PIVOTS, len(xs)) and farthest_first(["a", "a"]) == ["a"]
+    sc = PairScorer([*xs, *pivots])
+    n = len(xs)
+    to = np.stack([sc.distances(np.arange(n), np.full(n, n + k)) for k in range(len(pivots))], axis=1)
+    ia, ib = np.triu_indices(n, 1)
+    d = sc.distances(ia, ib)
+    assert (np.abs(to[ia] - to[ib]).max(axis=1) <= d).all()
+    assert d[0] == len(xs[ia[0]]) + len(xs[ib[0]]) - 2 * _dp(xs[ia[0]], xs[ib[0]])
+
+
+def test_only_pairs_with_a_fresh_key(spark):
+    rng = random.Random(4)
+    keys = sorted({" ".join(sorted(s.split())) for s in _strings(rng, 80)} - {""})
+    rows = [("c", k, i, i % 3 == 0) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "cohort string, key string, node long, new boolean")
+    every = {(r.node_a, r.node_b) for r in similarity_join(df, 70, packet_size=4).collect()}
+    some = {(r.node_a, r.node_b) for r in similarity_join(df, 70, packet_size=4, fresh="new").collect()}
+    assert some == {(a, b) for a, b in every if a % 3 == 0 or b % 3 == 0} and 0 < len(some) < len(every)
+
+
+def test_rings_leave_few_pairs_to_score(spark):
+    """One giant cohort: most pairs inside the length band are dropped by their rings, none that matches."""
+    from recordforge.operators import simjoin
+
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 14))) for _ in range(900)]
+    keys = sorted({" ".join(sorted(rng.sample(words, 3) + [str(rng.randint(1, 999))])) for _ in range(700)})
+    keys += [k + "x" for k in keys[:40]]
+    n = len(keys)
+    ia, ib = np.triu_indices(n, 1)
+    sc = PairScorer(keys)
+    hit = sc.matches(ia, ib, 85)
+    want = {tuple(sorted((keys[i], keys[j]))) for i, j in zip(ia[hit], ib[hit])}
+    df = spark.createDataFrame([("hot", k, i) for i, k in enumerate(keys)], "cohort string, key string, node long")
+    got = {(r.key_a, r.key_b) for r in similarity_join(df, 85).collect()}
+    assert got == want and len(want) >= 40
+    pivots = simjoin.farthest_first(keys[:256])
+    both = PairScorer([*keys, *pivots])
+    to = np.stack([both.distances(np.arange(n), np.full(n, n + k)) for k in range(len(pivots))], axis=1)
+    near = 100 * np.abs(to[ia] - to[ib]).max(axis=1) <= 15 * (sc.lens[ia] + sc.lens[ib])
+    band = 200 * np.minimum(sc.lens[ia], sc.lens[ib]) >= 85 * (sc.lens[ia] + sc.lens[ib])
+    assert (near & band).sum() < 0.5 * band.sum()
