@@ -1,19 +1,28 @@
 """Connected components of an edge DataFrame.
 
-Alternating *large-star* / *small-star* rounds (Kiveris et al., "Connected
-Components in MapReduce and Beyond", SoCC 2014). Every round is a few
+Two phases, the same at every size:
+
+1. *Contract*: every task replaces its edges, ``CONTRACT_EDGES`` at a time, by
+   ``node -> smallest node of its local component``, which keeps the components
+   whatever the partitioning. Edges with a ``group`` column (a block no edge crosses,
+   e.g. the cohort) are rebalanced by it before (AQE splits oversized partitions).
+2. *Sample and finish* (after Sutton et al., "Optimizing Parallel Graph Connectivity
+   Computation via Subgraph Sampling", IPDPS 2018): each node keeps two of its
+   edges, to its smallest neighbour and to one drawn by hash, so at most two for
+   each node remain whatever the number of edges. The components of this sample are
+   found by star rounds; most are whole components already, above all the largest.
+   All edges inside one are dropped, the others now link sampled components, and
+   star rounds on those few finish the work.
+
+Star rounds are alternating *large-star* / *small-star* steps (Kiveris et al.,
+"Connected Components in MapReduce and Beyond", SoCC 2014). Every round is a few
 partial aggregations and joins; no node's neighbourhood is ever collected. The
 edges of a hub are dealt by salt as well as by node when they are joined with
-the nodes' minima, of which each salt has a copy, so a hub with a third of all
-edges is spread over tasks. The edge set is checkpointed to the shared checkpoint folder
-every round, which cuts the lineage and survives executor loss.
-
-Contraction saves rounds: a task replaces its edges, ``CONTRACT_EDGES`` at a time,
-by ``node -> smallest node of its local component``, which keeps the components
-whatever the partitioning. Edges with a ``group`` column (a block no edge crosses,
-e.g. the cohort) are rebalanced by it (AQE splits oversized partitions) and
-contracted before the first round. Once a table of edges is counted to fit one
-step, that step ends the work; larger tables go through rounds.
+the nodes' minima or labels, of which each salt has a copy, so a hub with a third of
+all edges is spread over tasks. Edges are checkpointed to the shared checkpoint folder
+every round, which cuts the lineage and survives executor loss. Where the contraction
+leaves a star forest, as it does if all edges of a component met in one task, no
+sample and no round is needed.
 
 Result: one row per node that has an edge, ``component`` = smallest node id.
 """
@@ -122,6 +131,36 @@ def _is_star_forest(e: DataFrame) -> bool:
     return bad.isEmpty()
 
 
+def _sample(e: DataFrame) -> DataFrame:
+    """At most two edges for each node: to its smallest neighbour, and to one by hash."""
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    kept = both.groupBy("u").agg(F.min("v").alias("a"), F.min_by("v", F.struct(F.xxhash64("u", "v"), "v")).alias("b"))
+    return _orient(kept.select("u", F.explode(F.array("a", "b")).alias("v")))
+
+
+def _relabel(e: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges between the labels of their ends (a node without one is its own), less those inside one label."""
+    for end, other in (("u", "v"), ("v", "u")):
+        own = _per_salt(labels.select(F.col("u").alias(end), F.col("v").alias("label")))
+        e = e.select("u", "v", _salt(other)).join(own, [end, "salt"], "left").select(other, F.coalesce("label", end).alias(end))
+    return _orient(e)
+
+
+def _contracted(e: DataFrame, contract: bool) -> DataFrame:
+    return (e.mapInArrow(_contract, "u bigint, v bigint") if contract else e).checkpoint()
+
+
+def _star_rounds(e: DataFrame, contract: bool, max_rounds: int | None) -> tuple[DataFrame, int]:
+    """The star forest of ``e``, and the rounds that it took."""
+    rounds = 0
+    while not _is_star_forest(e):
+        if max_rounds is not None and rounds >= max_rounds:
+            raise RuntimeError("connected components did not converge")
+        e = _contracted(_small_star(_large_star(e)), contract)
+        rounds += 1
+    return e, rounds
+
+
 def connected_components(
     edges: DataFrame,
     src: str = "src",
@@ -129,6 +168,7 @@ def connected_components(
     group: str | None = None,
     max_rounds: int | None = None,
     contract: bool = True,
+    stats: dict | None = None,
 ) -> DataFrame:
     """(node, component) for every node of ``edges`` (long ids); self-loops
     are ignored, so a node seen only in a self-loop is not listed.
@@ -136,30 +176,34 @@ def connected_components(
     ``group`` (optional) names a column no edge crosses; it only steers the
     local contraction's partitioning and never changes the result.
     Rounds run until the edges form a star forest (O(log^2 n) rounds in the
-    worst case); ``max_rounds`` is only a guard for callers who want one.
-    ``contract=False`` leaves out the local contraction.
+    worst case); ``max_rounds`` is only a guard for callers who want one, for each phase.
+    ``contract=False`` leaves out the local contraction. ``stats`` receives the edges
+    after the contraction and those between sampled components (counted for it), and the
+    rounds of both phases. Runs jobs while it is built.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     cols = [F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")]
     if group is not None:
         local = edges.select(group, *cols).hint("rebalance", group).select("u", "v")
+        if contract:
+            local = local.mapInArrow(_contract, "u bigint, v bigint")
     else:
         local = edges.select(*cols)
-    if contract and group is not None:
-        local = local.mapInArrow(_contract, "u bigint, v bigint")
-    e = _orient(local).checkpoint()
-    rounds = 0
-    while True:
-        if contract and e.count() <= CONTRACT_EDGES:  # few enough for one step of one task
-            e = e.coalesce(1).mapInArrow(_contract, "u bigint, v bigint").checkpoint()
-            break
-        if _is_star_forest(e):
-            break
-        if max_rounds is not None and rounds >= max_rounds:
-            raise RuntimeError("connected components did not converge")
-        e = _small_star(_large_star(e)).checkpoint()
-        rounds += 1
+    e = _contracted(_orient(local), contract)
+    seen = {"edges": e.count() if stats is not None else None, "sample_rounds": 0, "rest_rounds": 0, "rest_edges": 0}
+    if not _is_star_forest(e):
+        labels, seen["sample_rounds"] = _star_rounds(_contracted(_sample(e), contract), contract, max_rounds)
+        rest = _contracted(_relabel(e, labels), contract)
+        seen["rest_edges"] = rest.count() if stats is not None else None
+        if not rest.isEmpty():
+            roots, seen["rest_rounds"] = _star_rounds(rest, contract, max_rounds)
+            top = roots.select(F.col("u").alias("v"), F.col("v").alias("root"))
+            salted = labels.select("u", "v", _salt("u")).join(_per_salt(top), ["v", "salt"], "left")
+            labels = salted.select("u", F.coalesce("root", "v").alias("v")).unionByName(roots).checkpoint()
+        e = labels
+    if stats is not None:
+        stats.update(seen)
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component"))
     ).distinct()

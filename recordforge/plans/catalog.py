@@ -173,10 +173,10 @@ def q_fuzzy_pairs_part(spark, sf):
 
 
 def q_order_part_components(spark, sf):
-    """Connected orders and parts (an order is 2k, a part 2k + 1), by star rounds alone."""
+    """Connected orders and parts (an order is 2k, a part 2k + 1)."""
     items = read_table(spark, sf, "lineitem")
     edges = items.select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst"))
-    return connected_components(edges, contract=False)
+    return connected_components(edges)
 
 
 def q_merge_segment(spark, sf):

@@ -238,3 +238,29 @@ def test_rings_leave_few_pairs_to_score(spark):
     near = 100 * np.abs(to[ia] - to[ib]).max(axis=1) <= 15 * (sc.lens[ia] + sc.lens[ib])
     band = 200 * np.minimum(sc.lens[ia], sc.lens[ib]) >= 85 * (sc.lens[ia] + sc.lens[ib])
     assert (near & band).sum() < 0.5 * band.sum()
+
+
+def test_components_by_sample_and_rest(spark):
+    """Phases 1 and 2 with many tasks: dense blocks, chains, bridges and a hub, against a union-find."""
+    rng = random.Random(9)
+    edges = [(b * 100 + rng.randrange(100), b * 100 + rng.randrange(100)) for b in range(12) for _ in range(400)]
+    edges += [(b * 100 + 99, (b + 1) * 100) for b in (0, 1, 4, 7)]  # bridges
+    edges += [(5000 + i, 5001 + i) for i in range(400)] + [(9000, 9001 + i) for i in range(500)]
+    edges = [(a, b) for a, b in edges if a != b]
+    exp = _components(edges)
+    df = spark.createDataFrame(edges, "src long, dst long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for contract in (True, False):
+            stats = {}
+            got = {r.node: r.component for r in connected_components(df.repartition(7), contract=contract, stats=stats).collect()}
+            assert got == exp
+            assert stats["sample_rounds"] > 0 and stats["rest_edges"] < stats["edges"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_components_of_no_edges(spark):
+    none = spark.createDataFrame([], "src long, dst long")
+    assert connected_components(none).collect() == []
+    assert connected_components(spark.createDataFrame([(3, 3)], "src long, dst long")).collect() == []
