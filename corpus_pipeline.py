@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from recordforge.functions.text import py_strip
 from recordforge.llm import language_id, lsh_forest, packing, source_mixing
-from recordforge.llm.common import materialise, small_side, table
+from recordforge.llm.common import materialise, table
 from recordforge.session import scratch_path
 
 
@@ -42,25 +42,25 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id, of those the first by a hash of the row.
+    """One document of each group of near copies: the one with the smallest id (a missing id is larger than
+    any), of those the first by a hash of the row.
 
-    Every row is a document of its own, whatever its id. Rows without an id or without words
-    are near copies of nothing; of them, those that repeat id and text are one document."""
+    Every row is a document of its own, whatever its id, also without one. Texts without words are
+    near copies of nothing; rows that repeat id and such a text are one document."""
     rows = numbered(docs)
-    named = rows.withColumn("_node", F.when(F.col("doc_id").isNotNull(), F.col("_row")))
-    found = lsh_forest.jaccard_join(named, doc_id="_node")
+    found = lsh_forest.jaccard_join(rows, doc_id="_row")
     linked = materialise(found.filter("n_links > 0").select(F.col("doc_id").alias("_row"), F.col("class_id").alias("_class")))
-    members = rows.select("_row", "doc_id", "_order").join(small_side(linked), "_row")
-    first = members.groupBy("_class").agg(F.min(F.struct("doc_id", "_order", "_row")).alias("_first"))
+    nameless = F.col("doc_id").isNull().alias("_nameless")
+    members = rows.select("_row", "doc_id", nameless, "_order").join(linked, "_row")
+    first = members.groupBy("_class").agg(F.min(F.struct("_nameless", "doc_id", "_order", "_row")).alias("_first"))
 
-    wordless = F.col("text").isNull() | (py_strip(F.col("text")) == "")
-    alone = rows.filter(F.col("doc_id").isNull() | wordless)
-    alone = materialise(alone.select("_row", "doc_id", "_order", F.sha2("text", 256).alias("_text")))
-    once = alone.groupBy("doc_id", "_text").agg(F.min(F.struct("_order", "_row")).alias("_first"))
+    wordless = rows.filter(F.col("text").isNull() | (py_strip(F.col("text")) == ""))
+    wordless = materialise(wordless.select("_row", "doc_id", "_order", F.sha2("text", 256).alias("_text")))
+    once = wordless.groupBy("doc_id", "_text").agg(F.min(F.struct("_order", "_row")).alias("_first"))
 
     stay = first.select("_first._row").unionByName(once.select("_first._row"))
-    gone = materialise(linked.select("_row").unionByName(alone.select("_row")).join(stay, "_row", "left_anti"))
-    return rows.join(small_side(gone), "_row", "left_anti").select(*docs.columns)
+    gone = materialise(linked.select("_row").unionByName(wordless.select("_row")).join(stay, "_row", "left_anti"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
     mixed = source_mixing.mix(rows, ties=("_order", "_row"))
     taken = materialise(mixed.filter("copies > 0").select("_row", F.col("copies").alias("_copies")))
-    rows = rows.join(small_side(taken), "_row")
+    rows = rows.join(taken, "_row")
     rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
     return rows.select(*docs.columns)
 
