@@ -92,15 +92,10 @@ def salt_of(*cols, n: int = SALTS):
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
 
 
-#: Rows up to which a materialised side may be broadcast (narrow rows; some tens of MB at most).
+#: Rows up to which a counted side may be broadcast (narrow rows; some tens of MB at most).
 BROADCAST_ROWS = 500_000
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """A materialised narrow side, broadcast only if its counted rows are few; else it is shuffled."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def block_pairs(rows: DataFrame) -> DataFrame:
     """Each row once for each pair (p, q) of blocks, p <= q, that its own block is part of; ``blocks`` counts its group's."""
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))

@@ -41,6 +41,7 @@ by_value(__name__)
 # fixed values of the HTML standard
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW_TEXT = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "template", "svg", "math"}
+RAW_END = {tag: re.compile("</" + tag, re.IGNORECASE | re.ASCII) for tag in RAW_TEXT}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
     "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img",
@@ -89,7 +90,6 @@ TEXT = None  # the tag of a text event
 def events(html: str):
     """(tag, is_close, attributes, text): start tags, end tags, and text with tag None. Raw text elements give no text."""
     at, n = 0, len(html)
-    lower = None
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
@@ -108,9 +108,8 @@ def events(html: str):
             continue
         yield tag, False, m["attrs"], ""
         if tag in RAW_TEXT and not m["attrs"].endswith("/"):
-            lower = lower or html.lower()
-            end = lower.find("</" + tag, at)
-            at = n if end < 0 else end
+            end = RAW_END[tag].search(html, at)  # in the page itself: lower() may change its length
+            at = end.start() if end else n
 
 
 class Element:

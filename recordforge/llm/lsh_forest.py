@@ -18,11 +18,13 @@ text of fewer words is one shingle). Those with Jaccard similarity of at least
 
 No group is ever in one task whole: tries and components above a block size are
 cut into blocks that meet pairwise, and only counts and spanning edges leave a
-task, never all pairs. What is broadcast is counted first.
+task, never all pairs. Nothing is broadcast by force.
 
 Texts that are null or without words link with nothing, and so do rows without
-an id. Repeated rows are copies of each other; rows that share an id share a
-node. An empty table gives an empty result; extra columns are ignored.
+an id. Repeated rows are copies of each other. Different texts that share an id are
+documents of their own, each with its own links; as a class is named by its smallest id, two
+classes may then have the same name. An empty table gives an empty result; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import block_pairs, by_value, grouped, map_batches, materialise, merge_labels, small_side, text_slices
+from .common import block_pairs, by_value, grouped, map_batches, materialise, merge_labels, text_slices
 
 by_value(__name__)
 
@@ -116,7 +118,7 @@ def signatures(sets: list[np.ndarray], n: int = TREES * DEPTH) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, prefix: int) -> DataFrame:
-    """(doc_id, n, hi, lo, keys, sig): shingle count, 128-bit hash of the set, each tree's key, signature;
+    """(doc_id, h, n, hi, lo, keys, sig) from (doc_id, text, h): shingle count, 128-bit hash of the set, each tree's key, signature;
     hi, lo and sig are null for rows without an id or without words."""
 
     def run(batches):
@@ -147,16 +149,17 @@ def sketch(docs: DataFrame, prefix: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(pair[:, 0].copy(), mask=~some),
                         pa.array(pair[:, 1].copy(), mask=~some),
                         pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64).ravel())),
                         pa.array(sig, pa.binary()),
                     ],
-                    ["doc_id", "n", "hi", "lo", "keys", "sig"],
+                    ["doc_id", "h", "n", "hi", "lo", "keys", "sig"],
                 )
 
-    return map_batches(docs, run, "doc_id bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, sig binary")
+    return map_batches(docs, run, "doc_id bigint, h bigint, n bigint, hi bigint, lo bigint, keys array<bigint>, sig binary")
 
 
 def unite_in_tries(rows: DataFrame, prefix: int, threshold: float) -> DataFrame:
@@ -289,14 +292,14 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     class_id is the smallest id that links reach (its own, if none); n_links
     counts the other documents linked directly, copies included; kept marks the
     rows whose id is their class_id (rows without an id are kept)."""
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
     prefix = least_prefix(threshold, recall)
     sketches = materialise(sketch(docs, prefix))
     classes = materialise(
         sketches.filter(F.col("hi").isNotNull()).groupBy("hi", "lo").agg(
-            F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
+            F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
             F.first("keys").alias("keys"), F.first("sig").alias("sig"),
-        )
+        ).withColumn("node", F.monotonically_increasing_id())
     )
     leaves = classes.select("node", F.posexplode("keys").alias("tree", "key"))
     tries = materialise(leaves.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
@@ -307,21 +310,22 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     edges = unite_in_tries(members, prefix, threshold).distinct()
     clusters = connected_components(edges)
 
-    cluster = materialise(clusters.join(classes.select("node", "copies", "n"), "node").withColumnRenamed("component", "cluster"))
+    cluster = materialise(clusters.join(classes.select("node", "rep", "copies", "n"), "node").withColumnRenamed("component", "cluster"))
     sizes = materialise(cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("words")))
     blocks = F.ceil(F.greatest(F.col("m") / exact_block, F.col("words") / EXACT_SHINGLES)).cast("int")
-    cluster = materialise(cluster.join(sizes, "cluster").select("cluster", "node", "copies", blocks.alias("blocks")))
-    texts = docs.join(small_side(cluster), F.col("doc_id") == F.col("node"))
+    cluster = materialise(cluster.join(sizes, "cluster").select("cluster", "node", "rep.*", "copies", blocks.alias("blocks")))
+    texts = docs.join(cluster, ["doc_id", "h"])  # the text of each class's representative
     rows = block_pairs(texts).select("cluster", "p", "q", "block", "node", "copies", "text")
     rows = rows.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q")
     links = materialise(exact_links(rows, threshold))
 
     counts = links.groupBy("node").agg(F.sum("n_links").alias("links"))
     joined = connected_components(links.filter("node != root").select(F.col("node").alias("src"), F.col("root").alias("dst")))
-    result = classes.select("hi", "lo", "node", "copies").join(counts, "node", "left").join(joined, "node", "left")
+    first = joined.join(classes.select("node", F.col("rep.doc_id").alias("first")), "node").groupBy("component").agg(F.min("first").alias("first"))
+    result = classes.select("hi", "lo", "node", "rep", "copies").join(counts, "node", "left").join(joined, "node", "left")
     result = materialise(
-        result.select(
-            "hi", "lo", F.coalesce("component", "node").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        result.join(first, "component", "left").select(
+            "hi", "lo", F.coalesce("first", "rep.doc_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
         )
     )
     rows = sketches.select("doc_id", "hi", "lo").join(result, ["hi", "lo"], "left")

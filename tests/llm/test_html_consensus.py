@@ -111,3 +111,15 @@ def test_table_with_nulls_repeats_extra_columns(spark, monkeypatch):
         got = H.main_text(df).collect()
         assert len(got) == 6 and {(r.page_id, r.text) for r in got} == want and all(r.n_chars == len(r.text) for r in got)
     assert H.main_text(spark.createDataFrame([], PAGES)).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><p>İstanbul İİİ</p><script>var a = 1;</script><p>Second one.</p></article>", "İstanbul İİİ Second one."),
+        ("<html><head><title>İİİİİİİİ</title><STYLE>p > b {}</Style></head><body><article><p>Some text.</p></article></body>", "Some text."),
+        ("<article><p>İ</p><SCRIPT>if (a </b) {}</ScRiPt ><p>After it.</p><style>no end", "İ After it."),
+    ],
+)
+def test_letters_whose_lower_case_is_longer(html, text):
+    assert own(html) == text

@@ -75,6 +75,13 @@ def test_repeated_rows_in_a_group(docs):
     assert got == {(1, 1, 2), (2, 1, 2), (9, 9, 0)}
 
 
+def test_different_texts_that_share_an_id(docs):
+    x, y = ([f"{c}{i}" for i in range(60)] for c in "xy")
+    rows = [(5, " ".join(x)), (5, " ".join(y)), (7, " ".join([*x[:-1], "z"])), (9, " ".join([*y[:-1], "z"])), (3, " ".join([*y[:-1], "zz"]))]
+    got = sorted((r.doc_id, r.class_id, r.n_links, r.kept) for r in J.jaccard_join(docs(rows)).collect())
+    assert got == [(3, 3, 2, True), (5, 3, 2, False), (5, 5, 1, True), (7, 5, 1, False), (9, 3, 2, False)]
+
+
 def test_prefix_reaches_the_recall():
     for recall in (0.9, 0.99, 0.9995):
         d = J.least_prefix(0.8, recall)
