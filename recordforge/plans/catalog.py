@@ -30,6 +30,7 @@ from ..sources.fixture import raw_venues, read_table
 from .batch import run_csv_job
 from .cleaning import prepare, run_cleaning
 from .enrichment import run_enrichment
+from .incremental import add, clean_table
 
 VENUE_COLUMNS = config.REQUIRED_COLUMNS
 
@@ -211,6 +212,27 @@ def q_clean_pipeline(spark, sf):
     return clean(spark, sf)
 
 
+def _in_batches(spark, sf, batches):
+    """The venues brought into a clean table batch by batch (by id modulo 3); the folder, and what the last one took."""
+    folder = scratch_path(spark, "incremental")
+    rows, took = loaded(spark, sf), {}
+    for remainders in batches:
+        took = add(spark, rows.filter((F.col("id").cast("bigint") % 3).isin(remainders)), folder)
+    return folder, took
+
+
+def q_incremental_clean(spark, sf):
+    """All venues in two batches; most venues have records in both. Equal to one run over all."""
+    return clean_table(spark, _in_batches(spark, sf, ([0, 1], [2]))[0])
+
+
+def q_incremental_touched(spark, sf):
+    """What the last batch took: its records, the groups it touched, and all records of those."""
+    _, took = _in_batches(spark, sf, ([0, 1], [2]))
+    names = ["rows_added", "groups_merged", "rows_merged"]
+    return spark.createDataFrame([tuple(took[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def q_classify_lookup(spark, sf):
     d = prepared(spark, sf)
     return d.select("id", "primary_type", C.lookup_expr("primary_type").alias("cuisine"))
@@ -309,6 +331,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fuzzy_clusters": q_fuzzy_clusters,
     "dedup_fuzzy": q_dedup_fuzzy,
     "clean_pipeline": q_clean_pipeline,
+    "incremental_clean": q_incremental_clean,
+    "incremental_touched": q_incremental_touched,
     "classify_lookup": q_classify_lookup,
     "classify_keywords": q_classify_keywords,
     "classify_keywords_part": q_classify_keywords_part,

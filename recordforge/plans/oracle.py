@@ -372,6 +372,15 @@ def build() -> dict[str, str]:
     sq["dedup_fuzzy"] = with_(fz, f"SELECT {sel} FROM fuzzy_merged")
     cl = clean_ctes()
     sq["clean_pipeline"] = with_(cl, f"SELECT {sel} FROM clean")
+    sq["incremental_clean"] = sq["clean_pipeline"]
+    last = "max(CASE WHEN CAST(id AS BIGINT) % 3 = 2 THEN 1 ELSE 0 END) = 1"
+    sq["incremental_touched"] = with_(
+        cl,
+        f"SELECT (SELECT count(*) FROM loaded WHERE CAST(id AS BIGINT) % 3 = 2) AS rows_added, count(*) AS groups_merged, "
+        f"CAST(sum(n) AS BIGINT) AS rows_merged FROM ("
+        f"SELECT count(*) AS n FROM keyed GROUP BY google_place_id HAVING {last} "
+        f"UNION ALL SELECT count(*) FROM clusters GROUP BY cluster_id HAVING {last})",
+    )
     sq["classify_lookup"] = with_(
         b, f"SELECT id, primary_type, {smap('lower(primary_type)', config.PRIMARY_TYPE_TO_CUISINE)} AS cuisine FROM prepared"
     )
