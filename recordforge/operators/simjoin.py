@@ -11,11 +11,11 @@ the data, no driver loop):
 * Every cohort gets pivots: of a bounded sample (the first key by hash of each of
   ``_SAMPLE`` buckets, a partial aggregate) the one farthest from those chosen,
   again and again. Every key learns its exact distance to each pivot of its cohort.
-* Keys are range-partitioned by cohort, length, nearest pivot and ring (the distance
-  to it), and cut in that order into *packets* of one cohort, one length and at
-  most ``packet_size`` keys. A cohort that holds a third of all rows is spread
-  over tasks by its order; no task ever gathers more than its range.
-* A packet keeps the least and largest distance to every pivot, and the least and
+* Keys are dealt to tasks by cohort, length, nearest pivot and salt, and cut in the order
+  of nearest pivot and ring (the distance to it) into *packets* of one cohort, one length
+  and at most ``packet_size`` keys. A cohort that holds a third of all rows is spread
+  over tasks, also where all its keys have one length and one pivot.
+* A packet keeps the least and largest distance to the first pivots, and the least and
   largest count of a few character classes (one edit changes one count by one). Two
   packets whose rings around some pivot, or whose counts, lie farther apart than the
   edits the threshold allows hold no match: such pairs of packets are dropped, and so
@@ -69,6 +69,8 @@ _PAIR_SALTS = 16
 # Keys of a cohort that its pivots are chosen from, and pivots of a cohort.
 _SAMPLE = 256
 PIVOTS = 16
+# Pivots whose rings bound a packet: the first, which lie farthest apart. Pairs are told apart by all.
+_BOX_PIVOTS = 4
 
 
 def _score_blocks(threshold: int):
@@ -287,11 +289,12 @@ def _packets(k: DataFrame, packet_size: int) -> DataFrame:
     if "fresh" not in k.columns:
         k = k.withColumn("fresh", F.lit(True))
     dealt = with_pivot_distances(k).withColumns({"counts": counts, "ring": ring, "cell": F.array_position("dist", ring)})
-    dealt = dealt.repartitionByRange("cohort", "len", "fresh", *order).withColumn("part", F.spark_partition_id())
+    salt = F.pmod(F.xxhash64("key", F.lit(2)), F.lit(_PAIR_SALTS))  # by hash, not by range: a range would measure every key twice, for its sample
+    dealt = dealt.repartition("cohort", "len", "fresh", "cell", salt).withColumn("part", F.spark_partition_id())
     place = F.row_number().over(Window.partitionBy("part", "cohort", "len", "fresh").orderBy(*order)) - 1
     cut = dealt.withColumn("sub", F.floor(place / packet_size))
     bounds = [f(F.get("counts", F.lit(i))).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max)) for i in range(len(_CLASSES))]
-    rings = [f(F.get("dist", F.lit(i))).alias(f"{n}{i}") for n, f in (("near", F.min), ("far", F.max)) for i in range(PIVOTS)]
+    rings = [f(F.get("dist", F.lit(i))).alias(f"{n}{i}") for n, f in (("near", F.min), ("far", F.max)) for i in range(_BOX_PIVOTS)]
     packed = cut.groupBy("part", "cohort", "len", "fresh", "sub").agg(F.collect_list(F.struct("node", "key", "dist")).alias("items"), *bounds, *rings)
     checkpoint_dir(k.sparkSession)
     return packed.drop("part", "sub").withColumn("packet", F.monotonically_increasing_id()).checkpoint()
@@ -299,7 +302,7 @@ def _packets(k: DataFrame, packet_size: int) -> DataFrame:
 
 def _packet_pairs(packets: DataFrame, threshold: int) -> DataFrame:
     """(a, b) ids of the packet pairs that length, class counts and rings admit; a packet pairs with itself, too."""
-    boxes = [f"{n}{i}" for n in ("lo", "hi") for i in range(len(_CLASSES))] + [f"{n}{i}" for n in ("near", "far") for i in range(PIVOTS)]
+    boxes = [f"{n}{i}" for n in ("lo", "hi") for i in range(len(_CLASSES))] + [f"{n}{i}" for n in ("near", "far") for i in range(_BOX_PIVOTS)]
     salt = F.pmod(F.xxhash64("packet"), F.lit(_PAIR_SALTS)).cast("int")
     left = packets.select("cohort", F.col("packet").alias("a"), F.col("len").alias("la"), F.col("fresh").alias("fa"), salt.alias("salt"), *[F.col(c).alias(f"a_{c}") for c in boxes])
     left = left.withColumn("lb", F.explode(F.sequence("la", F.floor(F.col("la") * F.lit(200 - threshold) / F.lit(threshold)).cast("int"))))
@@ -311,7 +314,7 @@ def _packet_pairs(packets: DataFrame, threshold: int) -> DataFrame:
         return gap  # a pivot that a cohort lacks is null on both sides; greatest skips nulls
 
     edits = sum((apart("lo", "hi", i) for i in range(1, len(_CLASSES))), apart("lo", "hi", 0))
-    between_rings = F.greatest(*[apart("near", "far", i) for i in range(PIVOTS)])
+    between_rings = F.greatest(*[apart("near", "far", i) for i in range(_BOX_PIVOTS)])
     allowed = (F.col("la") + F.col("lb")) * (100 - threshold)
     admitted = (edits * 100 <= allowed) & (between_rings * 100 <= allowed)
     admitted = admitted & (F.col("fa") | F.col("fb")) & ((F.col("la") < F.col("lb")) | (F.col("a") <= F.col("b")))
