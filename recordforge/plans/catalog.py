@@ -18,11 +18,13 @@ from ..functions.text import match_key, sorted_tokens
 from ..operators import classify as C
 from ..operators import normalise as N
 from ..operators import score as R
+from ..operators.automaton import first_rule
 from ..operators.components import connected_components
 from ..operators.dedup import dedup_exact, dedup_fuzzy, fuzzy_clusters, key_table, match_keys, pool_with_ids
 from ..operators.merge import merge_groups
 from ..operators.profile import null_profile, nulls_filled
-from ..operators.report import pipeline_metrics, score_summary, top_distinct, top_values, value_distribution
+from ..operators.quantiles import exact_quantiles
+from ..operators.report import frequent_values, pipeline_metrics, score_summary, top_distinct, top_values, value_distribution
 from ..operators.simjoin import similarity_join
 from ..session import scratch_path
 from ..sources.csv import apply_load_types, read_csv, write_csv
@@ -72,6 +74,15 @@ def q_csv_roundtrip(spark, sf):
     return read_csv(spark, path)
 
 
+def q_csv_split(spark, sf):
+    """All documents through CSV, whose quoted cells hold line breaks, read back in ranges."""
+    path = scratch_path(spark, "documents-csv")
+    write_csv(read_table(spark, sf, "documents").select("doc_id", "lang", "source", "text"), path)
+    back = read_csv(spark, path, columns=["doc_id", "text"], numeric=(), split=True)
+    text = [F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5")]
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source", *text)
+
+
 def q_null_profile(spark, sf):
     return null_profile(loaded(spark, sf))
 
@@ -306,8 +317,44 @@ def q_report_bottom(spark, sf):
     return top_distinct(enriched(spark, sf), 5, ascending=True)
 
 
+QUANTILE_COLUMNS = ("l_extendedprice", "l_quantity", "l_discount")
+QUANTILE_PROBS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
+
+
+def q_report_quantiles(spark, sf):
+    """Exact quantiles of the line items' figures; nearly every price is a value of its own."""
+    out = exact_quantiles(read_table(spark, sf, "lineitem"), QUANTILE_COLUMNS, QUANTILE_PROBS)
+    return out.withColumn("value", F.round("value", 6))
+
+
+def _words(spark, sf):
+    text = F.regexp_replace("text", "\n", " ")
+    words = read_table(spark, sf, "documents").select(F.explode(F.split(text, " ")).alias("word"))
+    return words.filter(F.col("word") != "")
+
+
+def q_report_words(spark, sf):
+    """The 20 most frequent words of all documents, of many thousand."""
+    return frequent_values(_words(spark, sf), "word", 20)
+
+
+def q_report_items(spark, sf):
+    """The 10 parts with most line items: even counts, where no bucket can be left out."""
+    return frequent_values(read_table(spark, sf, "lineitem"), "l_partkey", 10)
+
+
+def q_classify_rules_documents(spark, sf):
+    """Documents by a table of rules: a word start of three letters (at most 26^3) is a rule, rarest first."""
+    start = F.substring(F.lower("word"), 1, 3).alias("keyword")
+    rules = _words(spark, sf).select(start).filter(F.col("keyword").rlike("^[a-z]{3}$"))
+    rules = rules.groupBy("keyword").agg(F.count(F.lit(1)).alias("priority"))
+    rules = rules.withColumn("value", F.concat_ws("/", "keyword", F.col("priority").cast("string")))
+    return read_table(spark, sf, "documents").select("doc_id", first_rule(F.col("text"), rules).alias("rule"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_split": q_csv_split,
     "null_profile": q_null_profile,
     "norm_nulls": q_norm_nulls,
     "norm_strip": q_norm_strip,
@@ -349,5 +396,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_labels": q_report_labels,
     "report_categories": q_report_categories,
     "report_top": q_report_top,
+    "report_quantiles": q_report_quantiles,
+    "report_words": q_report_words,
+    "report_items": q_report_items,
+    "classify_rules_documents": q_classify_rules_documents,
     "report_bottom": q_report_bottom,
 }

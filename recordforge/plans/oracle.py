@@ -12,7 +12,7 @@ from ..functions.text import PY_WHITESPACE, regex_literal
 from ..operators.score import SIGNALS
 from ..sources.csv import load_nulls
 from ..sources.fixture import venues_sql_duckdb
-from .catalog import ALT_WEIGHTS, PART_THRESHOLD
+from .catalog import ALT_WEIGHTS, PART_THRESHOLD, QUANTILE_COLUMNS, QUANTILE_PROBS
 
 CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 COLS = config.REQUIRED_COLUMNS
@@ -437,4 +437,28 @@ def build() -> dict[str, str]:
             f"{o}, id ASC) AS rn FROM enriched) WHERE rn = 1 "
             f"ORDER BY romantic_score {o}, name ASC NULLS FIRST LIMIT {k}",
         )
+    sq["csv_split"] = (
+        f"SELECT doc_id, {', '.join(nulls(c, load_nulls()) + ' AS ' + c for c in ('lang', 'source'))}, "
+        "length(t) AS n_chars, md5(t) AS text_md5 "
+        f"FROM (SELECT *, {nulls('text', load_nulls())} AS t FROM documents)"
+    )
+    sq["report_quantiles"] = " UNION ALL ".join(
+        f"SELECT {q(c)} AS \"column\", {dbl(p)} AS prob, count({c}) AS n, round(quantile_cont({c}, {p}), 6) AS value FROM lineitem"
+        for c in QUANTILE_COLUMNS
+        for p in QUANTILE_PROBS
+    )
+    words = "SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word FROM documents"
+    sq["report_words"] = (
+        f"SELECT word, count(*) AS count FROM ({words}) WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 20"
+    )
+    sq["report_items"] = (
+        "SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY l_partkey ORDER BY count DESC, l_partkey NULLS FIRST LIMIT 10"
+    )
+    sq["classify_rules_documents"] = (
+        f"WITH rules AS (SELECT substr(lower(word), 1, 3) AS keyword, count(*) AS priority FROM ({words}) "
+        "WHERE regexp_matches(substr(lower(word), 1, 3), '^[a-z]{3}$') GROUP BY keyword), "
+        "hits AS (SELECT doc_id, arg_min(keyword || '/' || priority, (priority, keyword)) AS rule FROM documents, rules "
+        "WHERE contains(lower(text), keyword) GROUP BY doc_id) "
+        "SELECT doc_id, rule FROM documents LEFT JOIN hits USING (doc_id)"
+    )
     return sq

@@ -14,6 +14,7 @@ CHECKED = [
     "csv_roundtrip", "null_profile", "norm_case", "norm_url_pages", "match_key", "impute_chain",
     "impute_extract", "merge_coords", "dedup_exact", "fuzzy_pairs", "fuzzy_clusters", "clean_pipeline",
     "fuzzy_pairs_name", "fuzzy_pairs_part", "merge_segment", "csv_job", "classify_keywords_part", "score_label", "enrich_pipeline", "report_summary", "report_top",
+    "csv_split", "report_quantiles", "report_words", "report_items", "classify_rules_documents",
 ]
 
 
@@ -31,7 +32,7 @@ def _canon(rows, cols):
 @pytest.fixture(scope="module")
 def duck(sf_small):
     con = duckdb.connect()
-    for name in ("customer", "pages", "part"):
+    for name in ("customer", "pages", "part", "documents", "lineitem"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{os.path.join(sf_small, name)}.parquet')")
     return con
 
