@@ -31,6 +31,7 @@ ignored, an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -54,8 +55,6 @@ def words_of(text: str) -> list[str]:
 
 def rising(values: list[int]) -> list[int]:
     """Indices of a longest strictly increasing subsequence (patience sorting)."""
-    from bisect import bisect_left
-
     tops: list[int] = []
     piles: list[int] = []
     back: list[int] = []
@@ -151,8 +150,11 @@ class Scanner:
                     hits.extend((name, *hit, len(template)) for hit in self.hits(words, [i for i in at if words[i] in own], template, counts, apart))
         hits.sort(key=lambda h: (-h[1] * h[4], -h[1], h[0], h[2]))
         kept: list[tuple[str, float, int, int]] = []
+        taken: list[tuple[int, int]] = []  # apart from each other, in text order
         for name, coverage, lo, hi, _ in hits:
-            if all(hi <= x or y <= lo for _, _, x, y in kept):
+            k = bisect_left(taken, (lo, hi))
+            if (k == 0 or taken[k - 1][1] <= lo) and (k == len(taken) or hi <= taken[k][0]):
+                taken.insert(k, (lo, hi))
                 kept.append((name, coverage, lo, hi))
         return len(words), sorted(kept, key=lambda h: (h[2], h[0]))
 
@@ -162,18 +164,18 @@ class Scanner:
         regions, start = [], 0  # with the bounds that their text may reach
         for i in range(1, len(at) + 1):
             if i == len(at) or at[i] - at[i - 1] > gap:
-                regions.append((at[start:i], 0, len(words)))
+                regions.append((at[start:i], 0, len(words), True))
                 start = i
         while regions:
-            region, first, end = regions.pop()
+            region, first, end, whole = regions.pop()
             held = Counter(words[i] for i in region)
             least = self.min_coverage * n
             if sum(min(c, held[w]) if w not in COMMON else c for w, c in counts.items()) < least:
                 continue
             lo, hi = max(first, region[0] - n), min(end, region[-1] + n + 1)
-            places = [i for i in range(lo, hi) if words[i] in known]
+            places = [i for i in range(lo, hi) if words[i] in known] if whole else []
             pairs = align([words[i] for i in places], template)
-            if len(pairs) >= least:
+            if pairs and len(pairs) >= least:
                 spots = [places[i] for i, _ in pairs]
                 spots = densest(spots, least, gap)
                 kept = [(places[i], j) for i, j in pairs if spots[0] <= places[i] <= spots[-1]]
@@ -181,15 +183,17 @@ class Scanner:
                     yield len(spots) / n, spots[0], spots[-1] + 1
                     before = [i for i in region if i < spots[0]], first, spots[0]
                     after = [i for i in region if i > spots[-1]], spots[-1] + 1, end
-                    regions.extend(r for r in (before, after) if 0 < len(r[0]) < len(region))
+                    # a part that is nearly as long is not aligned as a whole again: many repeats would take a square of time
+                    regions.extend((*r, 4 * len(r[0]) <= 3 * len(region)) for r in (before, after) if 0 < len(r[0]) < len(region))
                     continue
             # the template may be there more than once, or among other text: try it around each place of its telling words
             near = within_reach(words, region, first, end, counts, least)
             tried = set()
+            inside: set[int] = set()  # hits word for word, which no other hit of the template can better
             for word in sorted(held):
                 leads, times, spots = [j for j, w in enumerate(template) if w == word], counts[word], [i for i in region if words[i] == word]
                 for k, i in enumerate(spots):
-                    if i not in near:
+                    if i not in near or i in inside:
                         continue
                     lo = max(first, i - 2 * leads[-1] - 4, spots[k - times] + 1 if k >= times else 0)
                     hi = min(end, i + 2 * (n - leads[0]) + 4, spots[k + times] if k + times < len(spots) else len(words))
@@ -201,7 +205,10 @@ class Scanner:
                         continue
                     pairs = align([words[x] for x in places], template)
                     if len(pairs) >= least and genuine(words, [(places[x], j) for x, j in pairs], template, *apart):
-                        yield len(pairs) / n, places[pairs[0][0]], places[pairs[-1][0]] + 1
+                        lo, hi = places[pairs[0][0]], places[pairs[-1][0]] + 1
+                        if len(pairs) == n == hi - lo:
+                            inside.update(range(lo, hi))
+                        yield len(pairs) / n, lo, hi
 
 
 def within_reach(words: list[str], spots: list[int], first: int, end: int, counts: Counter, least: float) -> set[int]:

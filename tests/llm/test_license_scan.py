@@ -116,3 +116,10 @@ def test_table(docs):
     want += [(5, None, n), (5, None, n), (None, "MIT", 5)]
     assert got == sorted(want, key=repr)
     assert L.scan_licenses(docs([])).collect() == []
+
+
+def test_many_repeats_are_all_found_in_linear_time():
+    scanner = L.Scanner(L.TEMPLATES, L.MIN_COVERAGE)
+    notice = "Licensed under the MIT License. "
+    n, hits = scanner.scan(notice * 20_000)
+    assert n == 100_000 and [h[2:] for h in hits] == [(i, i + 5) for i in range(0, n, 5)] and {h[0] for h in hits} == {"MIT"}
