@@ -29,6 +29,7 @@ ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -85,6 +86,9 @@ _WORDS = re.compile(r"[a-z]+|[0-9]+")
 _DIGITS = re.compile(r"[0-9]+")
 _SPACE = re.compile(r"\s+")
 TEXT = None  # the tag of a text event
+#: Elements nested deeper (browsers stop nesting there, too) count as parts of the one at this depth: they
+#: keep what they inherit, but have no path of their own, and walks to the root pass over those between.
+MAX_DEPTH = 512
 
 
 def events(html: str):
@@ -113,11 +117,14 @@ def events(html: str):
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "skip", "inline", "header", "number", "named", "hard", "wrap", "wraps", "in_form")
+    __slots__ = ("depth", "up", "paths", "tag", "parent", "path", "skip", "inline", "header", "number", "named", "hard", "wrap", "wraps", "in_form")
 
     def __init__(self, tag: str, parent: Element | None, attrs: str, number: int = 0, exempt: frozenset = frozenset()):
         self.tag, self.parent, self.number = tag, parent, number
         self.inline = tag in INLINE
+        self.depth = parent.depth + 1 if parent else 0
+        self.up = parent if not parent or parent.depth <= MAX_DEPTH else parent.up
+        self.paths: dict[str, str] | None = None  # of its children, one string for all that share it
         words, classes, off, role = set(), (), False, ""
         if attrs and not attrs.isspace():
             for name, a, b, c in _ATTR.findall(attrs):
@@ -144,16 +151,21 @@ class Element:
         self.wrap = ""
         if off or form or tag == "dialog" or role in SKIP_ROLES:
             self.wrap = "hidden" if off else "form" if form else "links" if role in LINK_ROLES else "part"
-        self.wraps = (parent.wraps if parent else ()) + ((self,) if self.wrap else ())
+        self.wraps = (parent.wraps if parent else ()) + ((self,) if self.wrap and self.depth <= MAX_DEPTH else ())
         self.in_form = bool(parent and parent.in_form) or form
         self.hard = bool(parent and parent.hard) or tag in SKIP_TAGS or tag == "label" and self.in_form
         named = bool(self.named) and tag != "article" and number not in exempt
         self.skip = bool(parent and parent.skip) or self.hard or named or bool(self.wrap) and -number not in exempt
-        if self.inline:
+        if self.inline or self.depth > MAX_DEPTH:
             self.path = parent.path if parent else ""
         else:
             name = ".".join([tag, *sorted(_DIGITS.sub("#", c) for c in classes)])
-            self.path = f"{parent.path}>{name}" if parent and parent.path else name
+            if parent is None:
+                self.path = name
+            else:
+                if parent.paths is None:
+                    parent.paths = {}
+                self.path = parent.paths.setdefault(name, f"{parent.path}>{name}" if parent.path else name)
 
 
 def parse(tokens: list, on_text, exempt: frozenset = frozenset()):
@@ -163,6 +175,15 @@ def parse(tokens: list, on_text, exempt: frozenset = frozenset()):
     negated there not for being wrappers."""
     root = Element("page", None, "")
     now, number = root, 0
+    held: Counter = Counter()  # open elements by tag: no walk for a tag that none has
+
+    def leave(to: Element) -> Element:
+        up = now
+        while up is not to:
+            held[up.tag] -= 1
+            up = up.parent
+        return to
+
     for tag, is_close, attrs, text in tokens:
         if tag is TEXT:
             on_text(now, text)
@@ -170,7 +191,7 @@ def parse(tokens: list, on_text, exempt: frozenset = frozenset()):
         if is_close:
             if tag == "br":
                 on_text(now, None)
-            up = now
+            up = now if held[tag] else root
             while up is not root and up.tag != tag:
                 if tag in INLINE and not up.inline:  # an inline end tag never closes a block
                     up = root
@@ -179,32 +200,32 @@ def parse(tokens: list, on_text, exempt: frozenset = frozenset()):
             if up is not root:
                 if not up.inline:
                     on_text(now, None)
-                now = up.parent
+                now = leave(up.parent)
             continue
         if tag in VOID:
             if tag not in INLINE:
                 on_text(now, None)
             continue
-        if tag in CLOSES_P:
-            now = close_open(now, root, {"p"}, {"table", "td", "th", "button", "object", "caption"}, on_text)
-        if tag in CLOSES:
-            now = close_open(now, root, CLOSES[tag], SCOPES.get(tag, set()), on_text)
-        if tag in ("html", "body"):
-            if any(e.tag == tag for e in lineage(now)):
-                continue
+        if tag in CLOSES_P and held["p"]:
+            now = leave(close_open(now, root, {"p"}, {"table", "td", "th", "button", "object", "caption"}, on_text))
+        if tag in CLOSES and any(held[k] for k in CLOSES[tag]):
+            now = leave(close_open(now, root, CLOSES[tag], SCOPES.get(tag, set()), on_text))
+        if tag in ("html", "body") and held[tag]:
+            continue
         number += 1
         child = Element(tag, now, attrs, number, exempt)
         if not child.inline:
             on_text(now, None)
         if not attrs.endswith("/") or tag not in ("svg", "math"):
             now = child
+            held[tag] += 1
     on_text(now, None)
 
 
 def lineage(e: Element):
     while e is not None:
         yield e
-        e = e.parent
+        e = e.up
 
 
 def close_open(now: Element, root: Element, kinds: set, scope: set, on_text) -> Element:
@@ -301,8 +322,8 @@ def wrappers_of_the_text(texts: list[tuple[Element, int]]) -> set[int]:
 
 def container_of(e: Element | None) -> Element | None:
     """The nearest container at or above ``e``."""
-    while e is not None and e.parent is not None and (e.inline or e.tag not in CONTAINERS):
-        e = e.parent
+    while e is not None and e.up is not None and (e.inline or e.tag not in CONTAINERS):
+        e = e.up
     return e
 
 
@@ -323,11 +344,11 @@ def best_paths(html: str) -> list[tuple[str, float]]:
             if block is None:
                 break
             if block.path not in scores:
-                up = container_of(block.parent)
+                up = container_of(block.up)
                 around[block.path] = (up.path if up else "", block.tag == "article")
             scores[block.path] = scores.get(block.path, 0.0) + share
             share /= 2
-            block = container_of(block.parent) if block.parent else None
+            block = container_of(block.up) if block.up else None
 
     heads: set[str] = set()
     tokens = list(events(html))
@@ -349,7 +370,7 @@ def best_paths(html: str) -> list[tuple[str, float]]:
 def inline_lineage(e: Element):
     while e is not None and e.inline:
         yield e
-        e = e.parent
+        e = e.up
 
 
 def extract(html: str, path: str) -> str | None:
@@ -366,7 +387,7 @@ def extract(html: str, path: str) -> str | None:
 
     def flush() -> None:
         if current:
-            text = _SPACE.sub(" ", unescape("".join(current)).replace("\x00", "")).strip()
+            text = _SPACE.sub(" ", "".join(current).replace("\x00", "")).strip()
             current.clear()
             if text:
                 blocks.append(text)
@@ -383,7 +404,7 @@ def extract(html: str, path: str) -> str | None:
             return
         seen = True
         if not below_skip(e, own):
-            current.append(text)
+            current.append(unescape(text))  # a reference ends with its piece of text
 
     tokens = list(events(html))
     parse(tokens, on_text, holding_the_text(tokens))
@@ -406,7 +427,7 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 def until(e: Element, top: Element):
     while e is not None and e is not top:
         yield e
-        e = e.parent
+        e = e.up
 
 
 def host(url):

@@ -123,3 +123,14 @@ def test_table_with_nulls_repeats_extra_columns(spark, monkeypatch):
 )
 def test_letters_whose_lower_case_is_longer(html, text):
     assert own(html) == text
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "section", "ul"])
+def test_very_deep_pages_keep_their_text(tag):
+    words = [f"word{i}" for i in range(8000)]
+    body = "<p>First words of the page.</p>" + "".join(f"<{tag}>{w} " for w in words) + f"</{tag}>" * 7900 + "</table>" * 5000
+    html = f"<body><article>{body}<p>Last &<b>amp;</b> words.</p></article><footer>foot</footer></body>"
+    (path, _), *_ = H.best_paths(html)
+    got = H.extract(html, "page>body>article" if path.count(">") > 2 else path)
+    assert got.split()[:2] == ["First", "words"] and [w for w in got.split() if w.startswith("word") and w[4:].isdigit()] == words
+    assert got.endswith("Last &amp; words.") and "foot" not in got
