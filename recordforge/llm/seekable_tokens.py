@@ -23,6 +23,7 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+from pyarrow.fs import FileSelector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from .tokens import ENCODE_BYTES, END_ID, ChunkEncoder
 by_value(__name__)
 
 FRAME_IDS = 65_536  # a frame is closed once it holds as many ids
+RANGE_CHARS = 48  # of a text that tell rows of one id apart where files begin; a file sorts by whole texts
 # fixed values of the zstandard seekable format
 SKIPPABLE_DIRECTORY = 0x184D2A5D
 SKIPPABLE_SEEK_TABLE = 0x184D2A5E
@@ -180,8 +182,13 @@ def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], ["shard", "path", "n_docs", "n_ids", "n_frames", "bytes"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id, or of none, spread by the first letters of their texts, too
+    rows = rows.repartitionByRange("doc_id", F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text")
     map_batches(rows, write, MANIFEST).write.parquet(f"{folder}/manifest")
+    fs, base = open_fs(folder)
+    for left in fs.get_file_info(FileSelector(f"{base}/ids", allow_not_found=True)):
+        if left.path.endswith(".tmp"):  # of a task that failed and was run again
+            fs.delete_file(left.path)
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 

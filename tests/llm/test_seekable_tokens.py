@@ -77,3 +77,18 @@ def test_null_ids_and_empty_table(docs, tmp_path):
     got = S.token_files(docs([(None, "a"), (3, "b")]), str(tmp_path / "a")).orderBy("start").collect()
     assert [r.doc_id for r in got] == [None, 3]
     assert S.token_files(docs([]), str(tmp_path / "b")).collect() == []
+
+
+def test_a_hot_id_is_spread_over_files(spark, docs, tmp_path):
+    rows = [(None if i % 3 == 0 else i, f"{i * 7919 % 3001} words of a text") for i in range(3000)]
+    folder = str(tmp_path / "files")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    try:
+        spark.conf.set(coalesce, "false")
+        sizes = [r.n_docs for r in S.write_token_files(docs(rows), folder).collect()]
+    finally:
+        spark.conf.set(coalesce, before)
+    assert sum(sizes) == 3000 and len(sizes) > 4 and max(sizes) < 2 * 3000 / len(sizes)
+    got = [r.doc_id for r in S.read_token_files(spark, folder).orderBy("start").collect()]
+    assert got == sorted((k for k, _ in rows), key=lambda k: -1 if k is None else k)
