@@ -1,6 +1,7 @@
 """Approximate nearest neighbours on robust-pruned directed graphs (operator 9).
 
-Vectors are dealt by a hash of their id into shards of bounded size. A task
+Vectors are dealt by a hash of their id and values into shards of bounded size
+(rows of one id spread; only rows equal in both, one point, stay together). A task
 builds one graph for a shard: starting from random edges, every point is
 searched greedily from the entry point; the points expanded on the way are its
 candidates, and relaxed distance pruning keeps near and diverse ones (a
@@ -163,7 +164,7 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
 def index(vectors: DataFrame, shard: int = SHARD, keep: int = 6, **build) -> DataFrame:
     """One row per shard and vector length: (shard, dim, n, entry, ids, offsets, raw, graph) as binary."""
     shards = max(1, -(-vectors.count() // shard))
-    dealt = vectors.withColumn("dim", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    dealt = vectors.withColumn("dim", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
     dealt = dealt.select("shard", "dim", "vec_id", "vector").repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "vec_id")
 
     def run(batches):

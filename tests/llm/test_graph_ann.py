@@ -76,3 +76,11 @@ def test_graph_degree_is_bounded():
     for row in graph:
         own = row[row >= 0]
         assert len(set(own.tolist())) == len(own)
+
+
+def test_a_hot_id_is_spread_over_shards(spark):
+    rng = np.random.default_rng(3)
+    rows = [(7 if i % 3 == 0 else i, rng.standard_normal(4).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
+    sizes = [r.n for r in G.index(df, shard=200).select("n").collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 320
