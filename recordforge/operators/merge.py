@@ -20,24 +20,29 @@ because ``min_by`` ignores null orderings.
 
 The midpoint depends on every value and its place, so it is reduced in runs:
 over a run of ``m`` values the fold is the map ``acc -> acc * 2**-m + b``, and
-such maps compose in order. Values are range-partitioned by (group, survivor
-order), each task folds its run of a group, and the few runs of a group are
-composed. A group that holds a third of all rows is spread over tasks by its
+such maps compose in order. Values are range-partitioned and sorted by (group,
+survivor order), each task folds its run of a group in one walk that holds no
+values, and the few runs of a group are composed. A group that holds a third of all rows is spread over tasks by its
 order; a group that fits one run is bit-identical to a sequential fold, and one
 cut into runs differs from it by rounding only. No value is left out.
 """
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StructType
 
 from .. import config
 from ..functions.text import py_strip
 from ..session import checkpoint_dir
 from .normalise import completeness_expr, float_columns
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DEFAULT_RULES = {
     "display_address": "longest",
     "primary_type": "not_generic",
@@ -84,8 +89,41 @@ def survivor_order(order_by=("id",), columns=None, floats=()) -> Column:
     return F.struct(-completeness_expr(columns, floats), *cols)
 
 
-def _fold(values: Column, start: Column) -> Column:
-    return F.aggregate(values, start, lambda acc, s: (acc + s["x"]) / F.lit(2.0))
+_RUN = StructType().add("__run", "long").add("head", "double").add("b", "double").add("a", "double")
+
+
+def _fold_runs(batches):
+    """Rows (keys, x) in order -> one row a run of equal keys: its number, the fold from its first value,
+    and the map ``acc -> acc * a + b``. Holds one run's three numbers, whatever its length."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 40  # tasks ascend with the ranges
+    key, head, b, a, done, kinds = None, 0.0, 0.0, 1.0, [], None
+
+    def pack():
+        values = zip(*[(*k, *rest) for k, rest in done])
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds)], names)
+
+    for batch in batches:
+        if kinds is None:
+            kinds = [*batch.schema.types[:-1], pa.int64(), *[pa.float64()] * 3]
+            names = [*batch.schema.names[:-1], *_RUN.names]
+        keys = zip(*(c.to_pylist() for c in batch.columns[:-1]))
+        for k, x in zip(keys, batch.columns[-1].to_pylist()):
+            if k != key:
+                if key is not None:
+                    done.append((key, (number, head, b, a)))
+                    number += 1
+                key, head, b, a = k, x, x / 2.0, 0.5
+            else:
+                head, b, a = (head + x) / 2.0, (b + x) / 2.0, a / 2.0
+        if done:
+            yield pack()
+            done = []
+    if key is not None:
+        done = [(key, (number, head, b, a))]
+        yield pack()
 
 
 def _midpoints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -102,19 +140,10 @@ def _midpoints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
         .select(*keys, _ORDER, "__m.c", "__m.x")
         .filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
     )
-    dealt = stacked.repartitionByRange(*keys, "c", _ORDER).withColumn("__run", F.spark_partition_id())
-    run = F.array_sort(F.collect_list(F.struct(F.col(_ORDER).alias("o"), F.col("x"))))
-    runs = dealt.groupBy(*keys, "c", "__run").agg(run.alias("v"))
-    runs = runs.select(
-        *keys,
-        "c",
-        F.struct(
-            "__run",
-            _fold(F.slice("v", 2, F.size("v")), F.element_at("v", 1)["x"]).alias("head"),
-            _fold(F.col("v"), F.lit(0.0)).alias("b"),
-            F.pow(F.lit(2.0), -F.size("v")).alias("a"),
-        ).alias("r"),
-    )
+    dealt = stacked.repartitionByRange(*keys, "c", _ORDER).sortWithinPartitions(*keys, "c", _ORDER, "x")
+    fields = [*dealt.select(*keys, "c").schema.fields, *_RUN.fields]
+    runs = dealt.select(*keys, "c", "x").mapInArrow(_fold_runs, StructType(fields))
+    runs = runs.select(*keys, "c", F.struct(*_RUN.names).alias("r"))
 
     def compose(c):
         items = F.array_sort(F.collect_list(F.when(F.col("c") == F.lit(c), F.col("r"))))

@@ -106,3 +106,14 @@ def test_hot_group_is_spread_over_tasks(spark):
         assert "rangepartitioning" in plan
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_midpoint_of_one_long_group(spark):
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("g").alias("g"), F.col("id"), (F.pmod(F.col("id") * 7919, F.lit(10_007)) / 3).alias("x"))
+    got = merge_groups(df, ["g"], columns=["id", "x"], order_by=("id",), rules={"x": "midpoint"}).head()
+    acc = 0.0
+    for i in range(n):
+        v = i * 7919 % 10_007 / 3
+        acc = v if i == 0 else (acc + v) / 2
+    assert got.id == 0 and abs(got.x - acc) < 1e-9 * acc
