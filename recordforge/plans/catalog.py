@@ -7,7 +7,6 @@ DuckDB oracle's (:mod:`recordforge.plans.oracle`).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +28,7 @@ from ..operators.simjoin import similarity_join
 from ..session import scratch_path
 from ..sources.csv import apply_load_types, read_csv, write_csv
 from ..sources.fixture import raw_venues, read_table
-from .batch import run_csv_job
+from .batch import job_tables, run_csv_job
 from .cleaning import prepare, run_cleaning
 from .enrichment import run_enrichment
 from .incremental import add, clean_table
@@ -204,7 +203,7 @@ def q_csv_job(spark, sf):
     path, out = scratch_path(spark, "venues-csv"), scratch_path(spark, "csv-job")
     write_csv(raw_venues(spark, sf), path)
     run_csv_job(spark, path, out)
-    return spark.read.parquet(os.path.join(out, "enriched.parquet"))
+    return spark.read.parquet(job_tables(spark, out)["enriched"])
 
 
 def q_fuzzy_clusters(spark, sf):

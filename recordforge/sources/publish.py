@@ -25,20 +25,27 @@ def _files(spark: SparkSession, folder: str):
     return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _number(spark: SparkSession, folder: str) -> int:
-    """The number of the manifest in force; 0 if there is none."""
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the manifests, ascending."""
     fs, path = _files(spark, folder)
     if not fs.exists(path(folder)):
-        return 0
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(path(folder))]
-    return max((int(m[1]) for n in names if (m := re.fullmatch(r"manifest-(\d{9})\.json", n))), default=0)
+    return sorted(int(m[1]) for n in names if (m := re.fullmatch(r"manifest-(\d{9})\.json", n)))
+
+
+def _number(spark: SparkSession, folder: str) -> int:
+    """The number of the manifest in force; 0 if there is none."""
+    return max(_numbers(spark, folder), default=0)
 
 
 def published(spark: SparkSession, folder: str) -> dict | None:
     """What the manifest in force says; None where nothing was published."""
     n = _number(spark, folder)
-    if not n:
-        return None
+    return _content(spark, folder, n) if n else None
+
+
+def _content(spark: SparkSession, folder: str, n: int) -> dict:
     fs, path = _files(spark, folder)
     stream = fs.open(path(f"{folder}/{_NAME % n}"))
     try:
@@ -70,3 +77,22 @@ def publish(spark: SparkSession, folder: str, content: dict, expected: int | Non
 def version(spark: SparkSession, folder: str) -> int:
     """The number of the manifest in force, for ``publish(expected=...)``."""
     return _number(spark, folder)
+
+
+def expire(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
+    """Delete all manifests but the last ``keep`` (one at least), and the tables, folders within
+    ``folder``, that only deleted ones name; returns those. For manifests that map names to folders.
+
+    Tables go before the manifest that names them, so a call that stops is made good by the next one.
+    Folders that no manifest names, those of a job under way or stopped, are left alone."""
+    fs, path = _files(spark, folder)
+    numbers = _numbers(spark, folder)
+    old, kept = numbers[: -max(1, keep)], numbers[-max(1, keep) :]
+    held = {name for n in kept for name in _content(spark, folder, n).values()}
+    gone = []
+    for n in old:
+        for name in sorted(set(_content(spark, folder, n).values()) - held):
+            if fs.delete(path(f"{folder}/{name}"), True):
+                gone.append(name)
+        fs.delete(path(f"{folder}/{_NAME % n}"), False)
+    return gone

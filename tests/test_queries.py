@@ -119,3 +119,61 @@ def test_batch_job_writes_and_reports(spark, sf_small):
     summary = reports["summary"].first()
     assert abs(stages["enrichment"]["mean"] - summary.mean) < 1e-6
     assert stages["enrichment"]["median"] == summary.median
+
+
+def test_a_job_that_stops_leaves_the_tables_before_it(spark, sf_small, monkeypatch, tmp_path):
+    from recordforge.plans import batch
+    from recordforge.plans.catalog import loaded
+
+    out = str(tmp_path / "job")
+    raw = loaded(spark, sf_small).orderBy("id").limit(40).checkpoint()
+    assert batch.job_tables(spark, out) == {}
+
+    def rows(name):
+        return sorted(map(repr, spark.read.parquet(batch.job_tables(spark, out)[name]).collect()))
+
+    batch.run_job(spark, raw, out)
+    first = batch.job_tables(spark, out)
+    assert set(first) == {"clean", "enriched", "clean_csv", "enriched_csv"} and all(map(os.path.isdir, first.values()))
+    before = rows("clean"), rows("enriched")
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    fewer = spark.read.parquet(first["clean"]).orderBy("id").limit(15).checkpoint()
+    monkeypatch.setattr(batch, "run_cleaning", lambda _: fewer)
+    # between the two writes, in a later one and before the end
+    for name in ("run_enrichment", "write_csv", "publish"):
+        with monkeypatch.context() as m:
+            m.setattr(batch, name, stop)
+            with pytest.raises(RuntimeError, match="stopped"):
+                batch.run_job(spark, raw, out)
+        assert batch.job_tables(spark, out) == first and (rows("clean"), rows("enriched")) == before
+
+    batch.run_job(spark, raw, out, write_csv_outputs=False)
+    second = batch.job_tables(spark, out)
+    assert set(second) == {"clean", "enriched"} and len(rows("clean")) == len(rows("enriched")) == 15
+    assert all(map(os.path.isdir, first.values()))  # for readers that began before
+    batch.run_job(spark, raw, out, write_csv_outputs=False)
+    assert not any(map(os.path.exists, first.values())) and all(map(os.path.isdir, second.values()))
+
+
+def test_two_jobs_at_once_do_not_mix(spark, sf_small, monkeypatch, tmp_path):
+    from recordforge.plans import batch
+    from recordforge.plans.catalog import loaded, prepared
+
+    out = str(tmp_path / "job")
+    clean = prepared(spark, sf_small).orderBy("id").limit(20).checkpoint()
+    raw = loaded(spark, sf_small)
+    monkeypatch.setattr(batch, "run_cleaning", lambda _: clean)
+    enrich = batch.run_enrichment
+
+    def other_first(*args):
+        monkeypatch.setattr(batch, "run_enrichment", enrich)
+        batch.run_job(spark, raw, out, write_csv_outputs=False)
+        return enrich(*args)
+
+    monkeypatch.setattr(batch, "run_enrichment", other_first)
+    with pytest.raises(RuntimeError, match="published meanwhile"):
+        batch.run_job(spark, raw, out, write_csv_outputs=False)
+    assert len(batch.job_tables(spark, out)) == 2
