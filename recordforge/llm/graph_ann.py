@@ -9,17 +9,20 @@ candidate is dropped if ``alpha`` times its distance to a kept neighbour is no
 more than its distance to the point). Kept edges are also added backwards and
 pruned where a point has too many. Two passes run, the first with alpha 1.
 
-Queries, the rows of a stated set, meet every shard in blocks; a beam search
-walks each shard's graph, and the best of all shards are ranked by the cosine in
-double precision of the original vectors. Points are searched in step with
+Queries, the rows of a stated set, are sent to every shard in blocks: a task
+holds one shard and walks its graph by beam search for one block after the
+other, and a shard is copied once for every ``SPREAD`` blocks. The best of all
+shards are ranked by the cosine in double precision of the original vectors. Points are searched in step with
 numpy, a batch at a time. Equal vectors of a shard are one point that keeps its
 smallest ids, as many as may be asked for, so copies of any number neither
 crowd the graph nor break ties wrongly.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and
 rows without an id, take no part, as query or candidate. Vectors of different
-length are never compared. Rows that repeat an id: a query excludes all rows of
-its own id. Ties go to the smaller id. Extra columns are ignored; an empty table
+length are never compared. Every query row is answered, also rows that share
+an id or are equal throughout: their results have the ranks 1..k each. A query
+excludes all rows of its own id; where these fill its beam, its block's shard is
+compared in full. Ties go to the smaller id. Extra columns are ignored; an empty table
 or query set gives an empty result.
 """
 
@@ -40,6 +43,7 @@ BUILD_BEAM = 64
 SEARCH_BEAM = 96
 ALPHA = 1.2
 QUERY_BLOCK = 2048
+SPREAD = 16  # blocks of queries that one copy of a shard meets
 
 
 def beam_search(points: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int, visits: bool = False):
@@ -161,7 +165,7 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
     return graph, entry
 
 
-def index(vectors: DataFrame, shard: int = SHARD, keep: int = 6, **build) -> DataFrame:
+def index(vectors: DataFrame, shard: int = SHARD, keep: int = 5, **build) -> DataFrame:
     """One row per shard and vector length: (shard, dim, n, entry, ids, offsets, raw, graph) as binary."""
     shards = max(1, -(-vectors.count() // shard))
     dealt = vectors.withColumn("dim", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
@@ -177,9 +181,7 @@ def index(vectors: DataFrame, shard: int = SHARD, keep: int = 6, **build) -> Dat
             _, first, member = np.unique(raw + 0.0, axis=0, return_index=True, return_inverse=True)
             by = np.argsort(member.ravel(), kind="stable")  # ids ascend within a point
             count = np.bincount(member.ravel())
-            place = np.arange(len(by)) - np.repeat(np.cumsum(count) - count, count)
-            ids = vec_id[by[place < keep]]
-            offsets = np.concatenate([[0], np.cumsum(np.minimum(count, keep))])
+            ids, offsets = smallest_ids(vec_id[by], count, keep)
             points = raw[first]
             graph, entry = build_graph(unit(points).astype(np.float32), **build)
             row = [group.column("shard")[0].as_py(), dim, len(points), entry, ids.tobytes(), offsets.tobytes(), points.tobytes(), graph.astype(np.int32).tobytes()]
@@ -191,19 +193,42 @@ def index(vectors: DataFrame, shard: int = SHARD, keep: int = 6, **build) -> Dat
     return map_batches(dealt, run, schema)
 
 
+def smallest_ids(ids: np.ndarray, count: np.ndarray, keep: int):
+    """(ids, offsets): of every point's ascending ``ids`` (``count`` each) the first 2 ``keep``, an id at most ``keep``
+    times. Without the rows of any one id they hold the first ``keep`` of the others, or all."""
+    point = np.repeat(np.arange(len(count)), count)
+
+    def nth(new):  # place of each entry since the last new one
+        start = np.nonzero(new)[0]
+        return np.arange(len(new)) - np.repeat(start, np.diff(np.append(start, len(new))))
+
+    few = nth(np.append(True, (ids[1:] != ids[:-1]) | (point[1:] != point[:-1]))) < keep
+    ids, point = ids[few], point[few]
+    few = nth(np.append(True, point[1:] != point[:-1])) < 2 * keep
+    return ids[few], np.concatenate([[0], np.cumsum(np.bincount(point[few], minlength=len(count)))])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def search(shards: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM, batch: int = 256) -> DataFrame:
-    """Each shard's best (query_id, vec_id, score) for each query, at most ``k``."""
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    held = queries.withColumn("dim", F.size("vector")).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    # a block is bounded: about QUERY_BLOCK rows by construction
-    held = held.groupBy("dim", "block").agg(F.collect_list("vec_id").alias("qid"), F.flatten(F.collect_list("vector")).alias("q"))
-    pairs = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(held, ["dim", "block"])
-    pairs = pairs.select("shard", "dim", "n", "entry", "ids", "offsets", "raw", "graph", "qid", "q").repartition("shard", F.xxhash64("qid"))
+def search(shards: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM, batch: int = 256,
+           block: int = QUERY_BLOCK, spread: int = SPREAD) -> DataFrame:
+    """Each shard's best (query, query_id, vec_id, score) for each row of ``queries`` (query, vec_id, vector), at most ``k``;
+    ``query`` tells query rows apart."""
+    blocks = max(1, -(-queries.count() // block))
+    held = queries.withColumn("dim", F.size("vector")).withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
+    # a block is bounded: about ``block`` rows by construction
+    one = F.collect_list(F.struct("query", "vec_id", "vector"))
+    held = held.groupBy("dim", "block").agg(one.alias("rows"))
+    held = held.select("dim", "block", F.col("rows.query").alias("query"), F.col("rows.vec_id").alias("qid"), F.flatten("rows.vector").alias("q"))
+    places = shards.select("shard", "dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    sent = held.join(places, ["dim", "block"]).withColumn("part", F.floor(F.col("block") / spread).cast("int"))
+    copies = shards.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // spread)))).withColumn("block", F.lit(-1))
+    both = copies.unionByName(sent, allowMissingColumns=True)
+    both = both.select("shard", "dim", "part", "block", "n", "entry", "ids", "offsets", "raw", "graph", "query", "qid", "q")
+    both = both.repartition("shard", "dim", "part").sortWithinPartitions("shard", "dim", "part", "block")
 
     def run(batches):
         import pyarrow as pa
@@ -211,34 +236,44 @@ def search(shards: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEA
         for table in batches:
             for row in range(table.num_rows):
                 get = lambda c: table.column(table.schema.get_field_index(c))[row]
-                dim, n = get("dim").as_py(), get("n").as_py()
-                raw = np.frombuffer(get("raw").as_py(), dtype=np.float64).reshape(n, dim)
-                ids, offsets = (np.frombuffer(get(c).as_py(), dtype=np.int64) for c in ("ids", "offsets"))
-                graph = np.frombuffer(get("graph").as_py(), dtype=np.int32).reshape(n, -1).astype(np.int64)
-                qid = np.asarray(get("qid").values)
+                if get("block").as_py() < 0:  # a shard; its blocks of queries follow
+                    dim, n, entry = (get(c).as_py() for c in ("dim", "n", "entry"))
+                    raw = np.frombuffer(get("raw").as_py(), dtype=np.float64).reshape(n, dim)
+                    ids, offsets = (np.frombuffer(get(c).as_py(), dtype=np.int64) for c in ("ids", "offsets"))
+                    graph = np.frombuffer(get("graph").as_py(), dtype=np.int32).reshape(n, -1)
+                    exact = unit(raw)
+                    points = exact.astype(np.float32)
+                    least, most = np.minimum.reduceat(ids, offsets[:-1]), np.maximum.reduceat(ids, offsets[:-1])
+                    continue
+                query, qid = np.asarray(get("query").values), np.asarray(get("qid").values)
                 q = np.asarray(get("q").values).reshape(-1, dim)
-                exact = unit(raw)
-                points = exact.astype(np.float32)
                 for lo in range(0, len(qid), batch):
                     own = unit(q[lo : lo + batch])
-                    near, _ = beam_search(points, graph, get("entry").as_py(), own.astype(np.float32), beam)
-                    out = [[], [], []]
-                    for query, vector, original, found in zip(qid[lo : lo + batch], own, q[lo : lo + batch], near):
+                    near, _ = beam_search(points, graph, entry, own.astype(np.float32), beam)
+                    out = [[], [], [], []]
+                    for number, name, vector, original, found in zip(query[lo : lo + batch], qid[lo : lo + batch], own, q[lo : lo + batch], near):
                         found = found[found >= 0]
+                        found = found[(least[found] != name) | (most[found] != name)]
+                        if len(found) < min(k, n):  # the beam was full of the query's own id
+                            found = np.nonzero((least != name) | (most != name))[0]
+                        if not len(found):
+                            continue
                         score = exact[found] @ vector
-                        kth = max(0, len(score) - k - 1)  # one more than asked for: the query may be among them
+                        kth = max(0, len(score) - k)
                         top = found[score >= np.partition(score, kth)[kth] - 1e-9]
                         who = np.concatenate([ids[offsets[x] : offsets[x + 1]] for x in top])
                         each = np.repeat(cosines(raw[top], original), offsets[top + 1] - offsets[top])
-                        other = who != query
+                        other = who != name
                         who, each = who[other], each[other]
                         first = np.lexsort((who, -each))[:k]
-                        out[0].append(np.full(len(first), query))
-                        out[1].append(who[first])
-                        out[2].append(each[first])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
+                        out[0].append(np.full(len(first), number))
+                        out[1].append(np.full(len(first), name))
+                        out[2].append(who[first])
+                        out[3].append(each[first])
+                    if out[0]:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query", "query_id", "vec_id", "score"])
 
-    return map_batches(pairs, run, "query_id bigint, vec_id bigint, score double")
+    return map_batches(both, run, "query bigint, query_id bigint, vec_id bigint, score double")
 
 
 def cosines(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
@@ -254,8 +289,10 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_
         df = df.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
         return df.filter(F.col("vec_id").isNotNull() & F.coalesce(usable("vector"), F.lit(False)))
 
-    shards = materialise(index(clean(rows), shard, keep=k + 1, **build))
-    found = search(shards, clean(queries).dropDuplicates(["vec_id"]), k, beam)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    shards = materialise(index(clean(rows), shard, keep=k, **build))
+    # numbered once, in the checkpoint folder: no later scan renumbers a row
+    asked = materialise(clean(queries).withColumn("query", F.monotonically_increasing_id()))
+    found = search(shards, asked, k, beam)
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -55,8 +55,8 @@ def test_ties_copies_bad_vectors_and_few_candidates(spark):
 
 def test_repeated_ids_and_empty(spark):
     rows = [(10, [1.0, 0.0], 0), (10, [1.0, 0.1], 0), (3, [1.0, 0.2], 0)]
-    got = found(nearest(spark.createDataFrame(rows, SCHEMA)))
-    assert [i for i, _ in got[10]] == [3]
+    got = nearest(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [(10, 1, 3)] * 2  # both rows are answered
     assert nearest(spark.createDataFrame([], SCHEMA)).collect() == []
     assert nearest(spark.createDataFrame([(1, [1.0], 0)], SCHEMA)).collect() == []
 
@@ -84,3 +84,34 @@ def test_a_hot_id_is_spread_over_shards(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
     sizes = [r.n for r in G.index(df, shard=200).select("n").collect()]
     assert sum(sizes) == 3000 and max(sizes) < 320
+
+
+def test_every_row_of_a_repeated_query_id_is_answered(spark):
+    rng = np.random.default_rng(4)
+    hot = [rng.standard_normal(6).tolist() for _ in range(120)]
+    rows = [(50, v) for v in hot] + [(50, hot[0])] * 9 + [(i, rng.standard_normal(6).tolist()) for i in range(1, 40)] + [(41, hot[0])] * 3 + [(43, hot[0])]
+    df = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA).repartition(3)
+    others = [(i, np.asarray(v, dtype=np.float32).astype(float)) for i, v in rows if i != 50]
+    want = []
+    for v in [*hot, *[hot[0]] * 9]:
+        x = np.asarray(v, dtype=np.float32).astype(float)
+        best = sorted((-float(G.cosines(y[None, :], x)[0]), i) for i, y in others)[:5]
+        want += [(50, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    for shard in (4096, 30):
+        got = G.nearest(df, df.filter("vec_id = 50"), shard=shard).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_many_blocks_meet_each_copy_of_a_shard(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(5).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, vector array<double>")
+    shards = G.index(df, shard=80).checkpoint()
+    asked = df.withColumn("query", F.col("vec_id") + 1000)
+    few = G.search(shards, asked, 3, block=10, spread=2)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, G.search(shards, asked, 3).collect()))
+
+
+def test_smallest_ids_hold_enough_without_any_one():
+    ids, offsets = G.smallest_ids(np.array([5, 5, 5, 5, 7, 8, 9, 9, 1, 2, 2]), np.array([8, 3]), 2)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [[5, 5, 7, 8], [1, 2, 2]]
