@@ -10,8 +10,8 @@ to bring the turns of a conversation together.
 A conversation is one record, one row of the result, so its turns meet in one
 row by nature; a group of many conversations never does. Null text is empty,
 null role is ``none``, a null turn number comes first; turns with equal numbers
-are ordered by role and text, and repeated turns stay. Conversations without an
-id are one conversation. A pair that lacks a side has that side empty. Extra
+are ordered by role and text, and repeated turns stay. Turns without an id belong
+to no common conversation: each is one of its own, with a null id. A pair that lacks a side has that side empty. Extra
 columns are ignored; an empty table gives an empty result.
 """
 
@@ -24,13 +24,16 @@ LEARN_ROLE = "assistant"
 
 
 def turn_arrays(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, turns): every conversation's turns in order, an array of (turn, role, text)."""
+    """(conv_id, turns): every conversation's turns in order, an array of (turn, role, text). A turn without an id is
+    a conversation of its own, so rows without one never meet."""
     one = F.struct(
         F.coalesce(F.col(turn).cast("bigint"), F.lit(-1).cast("bigint")).alias("turn"),
         F.coalesce(F.col(role), F.lit("none")).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    return turns.groupBy(F.col(conv_id).alias("conv_id")).agg(F.array_sort(F.collect_list(one)).alias("turns"))
+    turns = turns.select(F.col(conv_id).alias("conv_id"), one.alias("one"))
+    named = turns.filter(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.array_sort(F.collect_list("one")).alias("turns"))
+    return named.unionByName(turns.filter(F.col("conv_id").isNull()).select("conv_id", F.array("one").alias("turns")))
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -91,8 +94,11 @@ def swapped_answers(turns: DataFrame) -> DataFrame:
     last = F.element_at(F.filter("turns", lambda t: t["role"] == LEARN_ROLE), -1)
     has = F.exists("turns", lambda t: t["role"] == LEARN_ROLE)
     convs = convs.withColumn("last", F.when(has, last))
-    other = convs.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("_id"), F.col("last")["text"].alias("_text"))
-    pairs = convs.join(other, F.col("conv_id") == F.col("_id"), "left")
+    # conversations without an id have no neighbour and stay out of the join
+    named = convs.filter(F.col("conv_id").isNotNull())
+    other = named.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("_id"), F.col("last")["text"].alias("_text"))
+    pairs = named.join(other, F.col("conv_id") == F.col("_id"), "left").drop("_id")
+    pairs = pairs.unionByName(convs.filter(F.col("conv_id").isNull()).withColumn("_text", F.lit(None).cast("string")))
     size = F.size("turns")
     # the last answer's place: the array is in order, so it is found from the end
     back = F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"]), LEARN_ROLE)
@@ -110,7 +116,8 @@ ORACLE = """
 WITH t AS (
   SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'none') AS role, coalesce(text, '') AS text FROM conversations
 ), convs AS (
-  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id
+  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM t WHERE conv_id IS NOT NULL GROUP BY conv_id
+  UNION ALL SELECT conv_id, [{'turn': turn, 'role': role, 'text': text}] FROM t WHERE conv_id IS NULL
 ), last AS (
   SELECT *, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')[-1] AS at FROM convs
 ), pairs AS (

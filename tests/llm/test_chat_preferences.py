@@ -52,6 +52,19 @@ def test_query_equals_sql(spark):
     assert sorted(map(repr, (tuple(r) for r in got.select(*want.columns).collect()))) == sorted(map(repr, want.fetchall()))
 
 
+def test_turns_without_an_id_are_conversations_of_their_own(spark):
+    lost = [(None, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(50)] + [(None, 3, "assistant", "t3")]
+    df = spark.createDataFrame(rows() + lost, TURNS).repartition(4)
+    got = [r for r in C.format_pairs(C.swapped_answers(df)).collect() if r.pair_id is None]
+    assert len(got) == 52 and all(r.rejected == "" for r in got)
+    assert sorted(r.chosen for r in got if r.chosen) == sorted(f"<|assistant|>\n{t}<|end|>\n" for _, _, role, t in lost if role == "assistant")
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
+    want = con.sql(C.ORACLE)
+    out = C.format_pairs(C.swapped_answers(df)).select(*want.columns).collect()
+    assert sorted(map(repr, map(tuple, out))) == sorted(map(repr, want.fetchall()))
+
+
 def test_empty_table_and_native_plan(spark):
     empty = spark.createDataFrame([], TURNS)
     out = C.format_pairs(C.swapped_answers(empty))
