@@ -4,7 +4,7 @@ Every source has a target in words. A document's expected copies are its
 source's target over the source's size (times a relative document weight, if
 one is given), at most ``max_copies``. The whole part is allocated for certain;
 the fraction is the inclusion probability ``p`` of one more copy. Documents are
-ranked by ``(u / (1 - u)) / (p / (1 - p))`` with ``u`` a hash of the id (Rosén's
+ranked by ``(u / (1 - u)) / (p / (1 - p))`` with ``u`` a hash of id and text (Rosén's
 Pareto order sampling), and the ranking is taken until the source's remaining
 words are used up, the document at the edge only if that comes nearer.
 
@@ -15,8 +15,9 @@ density of at most one. Joins with per-source figures are salted, so a hot
 source spreads over tasks. Only DataFrame functions are used.
 
 Null or empty text has size 0; a null source is a source of its own, last in
-order. Documents of size 0 are never taken. Equal ids share one ``u``; rows
-equal in id and size are interchangeable. An empty table gives an empty result.
+order. Documents of size 0 are never taken. Different texts that share an id, or
+have none, draw numbers of their own; rows equal in id and text share one and are
+interchangeable. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ MAX_COPIES = 3
 SEED = "mix-1"
 
 
-def uniform(doc_id, seed: str = SEED):
-    """A number in (0, 1) from the first 52 bits of md5(seed:id)."""
-    digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")))), 1, 13)
+def uniform(doc_id, text, seed: str = SEED):
+    """A number in (0, 1) from the first 52 bits of md5(seed:id:md5(text)); a null text counts as empty."""
+    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    digits = F.substring(F.md5(key), 1, 13)
     return (F.conv(digits, 16, 10).cast("bigint").cast("double") + 0.5) / F.lit(float(2**52))
 
 
@@ -87,6 +89,7 @@ def mix(
         F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         (F.coalesce(F.col(weight).cast("double"), F.lit(1.0)) if weight else F.lit(1.0)).alias("g"),
+        uniform(F.col(doc_id), F.col(text), seed).alias("u"),
         *ties,
     )
     rows = materialise(rows)  # small rows; the texts are scanned once
@@ -105,7 +108,7 @@ def mix(
         F.ceil(F.col("n") / bucket_rows).cast("bigint").alias("n_buckets"),
     )
     stats = materialise(stats)
-    by_id = salt_of("doc_id", "size", *ties)
+    by_id = salt_of("doc_id", "u", *ties)
 
     def with_source(df: DataFrame, side: DataFrame) -> DataFrame:
         on = df["source"].eqNullSafe(side["_s"]) & (df["_salt"] == side["_salt"])
@@ -113,13 +116,11 @@ def mix(
 
     rows = with_source(rows.withColumn("_salt", by_id), salted(stats))
     copies = F.least(F.lit(float(max_copies)), F.col("rate") * F.col("g"))
-    u = uniform(F.col("doc_id"), seed)
     p = F.col("p")
     rows = (
         rows.withColumn("expected", F.when(F.col("size") > 0, copies).otherwise(0.0))
         .withColumn("certain", F.floor("expected").cast("bigint"))
         .withColumn("p", F.col("expected") - F.col("certain"))
-        .withColumn("u", u)
         .withColumn("open", (p > 0) & (F.col("size") > 0) & (F.col("certain") < max_copies))
         .withColumn("q", F.when(F.col("open"), (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))))
         .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * F.col("n_buckets")).cast("bigint"))
@@ -153,7 +154,8 @@ def mix(
 
 ORACLE = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size,
+         md5(coalesce(text, '')) AS text_md5 FROM documents
 ), per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS w
@@ -175,7 +177,7 @@ WITH d AS (
 ), odds AS (
   SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
          CASE WHEN d.size > 0 AND t.source_size > 0 THEN least({MAX_COPIES}.0::DOUBLE, t.target / t.source_size) ELSE 0.0::DOUBLE END AS expected,
-         (CAST(('0x' || substr(md5('{SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT AS DOUBLE) + 0.5) / 4503599627370496.0::DOUBLE AS u
+         (CAST(('0x' || substr(md5('{SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':' || d.text_md5), 1, 13))::BIGINT AS DOUBLE) + 0.5) / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 ), keyed AS (
   SELECT *, CAST(floor(expected) AS BIGINT) AS certain, expected - floor(expected) AS p FROM odds

@@ -15,7 +15,7 @@ def texts(n, source, words=lambda i: 3 + i % 7, first=0):
 
 def by_sql(df):
     con = duckdb.connect()
-    con.register("documents", df.toPandas())
+    con.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
     return sorted(con.sql(M.ORACLE).fetchall(), key=repr)
 
 
@@ -57,6 +57,15 @@ def test_repeated_rows_null_ids_extra_columns_and_empty(docs):
     assert M.mix(df.filter("false")).collect() == []
 
 
+def test_texts_without_an_id_or_with_one_in_common_draw_numbers_of_their_own(docs):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"a b c d w{i}", None, "a") for i in range(1800)] + texts(900, "b", lambda i: 5, 5000)
+    df = docs(rows)
+    got = [r for r in M.mix(df, bucket_rows=64).collect() if r.source == "a"]
+    means = [sum(r.copies for r in own) / len(own) for own in ([r for r in got if test(r.doc_id)] for test in (lambda i: i is None, lambda i: i == 7, lambda i: i not in (None, 7)))]
+    assert max(means) - min(means) < 0.1 and 0.2 < means[0] < 0.9
+    assert sorted(map(repr, mixed(df, bucket_rows=64))) == sorted(map(repr, by_sql(df)))
+
+
 def test_plan_has_no_python(docs):
     plan = M.mix(docs(texts(10, "a")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
