@@ -26,6 +26,12 @@ LEARN_ROLE = "assistant"
 def turn_arrays(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, turns): every conversation's turns in order, an array of (turn, role, text). A turn without an id is
     a conversation of its own, so rows without one never meet."""
+    named, alone = _named_and_alone(turns, conv_id, turn, role, text)
+    return named.unionByName(alone)
+
+
+def _named_and_alone(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"):
+    """``turn_arrays`` in two: conversations with an id, and turns without one."""
     one = F.struct(
         F.coalesce(F.col(turn).cast("bigint"), F.lit(-1).cast("bigint")).alias("turn"),
         F.coalesce(F.col(role), F.lit("none")).alias("role"),
@@ -33,7 +39,7 @@ def turn_arrays(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     )
     turns = turns.select(F.col(conv_id).alias("conv_id"), one.alias("one"))
     named = turns.filter(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.array_sort(F.collect_list("one")).alias("turns"))
-    return named.unionByName(turns.filter(F.col("conv_id").isNull()).select("conv_id", F.array("one").alias("turns")))
+    return named, turns.filter(F.col("conv_id").isNull()).select("conv_id", F.array("one").alias("turns"))
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -90,15 +96,16 @@ def swapped_answers(turns: DataFrame) -> DataFrame:
     is preferred to itself with its last answer replaced by that of its neighbour (ids 2k and
     2k + 1), where it ends. Without such a neighbour the rejected side ends before that answer;
     a conversation without an answer is paired with itself."""
-    convs = turn_arrays(turns)
+    named, alone = _named_and_alone(turns)
     last = F.element_at(F.filter("turns", lambda t: t["role"] == LEARN_ROLE), -1)
     has = F.exists("turns", lambda t: t["role"] == LEARN_ROLE)
-    convs = convs.withColumn("last", F.when(has, last))
-    # conversations without an id have no neighbour and stay out of the join
-    named = convs.filter(F.col("conv_id").isNotNull())
-    other = named.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("_id"), F.col("last")["text"].alias("_text"))
+    neighbour = F.col("conv_id").bitwiseXOR(F.lit(1))
+    # the join asks this of one side; asked of both, they are one plan, and the turns are shuffled once
+    named = named.filter(neighbour.isNotNull()).withColumn("last", F.when(has, last))
+    other = named.select(neighbour.alias("_id"), F.col("last")["text"].alias("_text"))
     pairs = named.join(other, F.col("conv_id") == F.col("_id"), "left").drop("_id")
-    pairs = pairs.unionByName(convs.filter(F.col("conv_id").isNull()).withColumn("_text", F.lit(None).cast("string")))
+    # turns without an id have no neighbour and stay out of the join
+    pairs = pairs.unionByName(alone.withColumns({"last": F.when(has, last), "_text": F.lit(None).cast("string")}))
     size = F.size("turns")
     # the last answer's place: the array is in order, so it is found from the end
     back = F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"]), LEARN_ROLE)
