@@ -11,23 +11,25 @@ the data, no driver loop):
 * Every cohort gets pivots: of a bounded sample (the first key by hash of each of
   ``_SAMPLE`` buckets, a partial aggregate) the one farthest from those chosen,
   again and again. Every key learns its exact distance to each pivot of its cohort.
-* Keys are dealt to tasks by cohort, length, nearest pivot and salt, and cut in the order
-  of nearest pivot and ring (the distance to it) into *packets* of one cohort, one length
-  and at most ``packet_size`` keys. A cohort that holds a third of all rows is spread
-  over tasks, also where all its keys have one length and one pivot.
-* A packet keeps the least and largest distance to the first pivots, and the least and
-  largest count of a few character classes (one edit changes one count by one). Two
+* Every key also gets a *signature* of 128 bits, two for each of 64 classes of characters: their
+  count modulo 4 as a cyclic code, in which one step changes one bit. An edit changes one
+  count by one, so signatures that differ in more bits than the threshold allows edits are no match.
+* Keys are dealt to tasks by cohort and salt, and cut in the order of length, nearest pivot and
+  ring (the distance to it) into *packets* of one cohort and at most ``packet_size`` keys, fewer
+  where keys are long. A cohort that holds a third of all rows is spread over tasks. How keys are
+  cut does not depend on the number of tasks.
+* A packet keeps its least and largest length, distance to the first pivots and
+  count of a few character classes (one edit changes one count by one). Two
   packets whose rings around some pivot, or whose counts, lie farther apart than the
   edits the threshold allows hold no match: such pairs of packets are dropped, and so
-  are those outside the exact length band ``la <= lb <= la * (200 - t) / t``. Only ids
+  are those outside the length band ``la <= lb <= la * (200 - t) / t``. Only ids
   and boxes take part in that.
 * Key lists are attached to the remaining packet pairs by equi-joins on one
-  packet id each. Each packet pair is one row carrying both key lists. An Arrow task
-  drops the pairs whose rings around some pivot lie too far apart (a few comparisons
-  a pair on small integers), scores the others
-  (:class:`~recordforge.functions.similarity.PairScorer`) and emits only matches.
-  Candidate pairs exist only inside that task's memory, at most ``packet_size ** 2``
-  per row, and a task flushes by pairs and by bytes.
+  packet id each, and the pairs are dealt evenly. Each packet pair is one row carrying both key lists.
+  An Arrow task goes through a pair tile by tile, in the length band: it drops the pairs of keys whose
+  signatures differ too much (two machine words a pair), then those whose rings around some pivot lie
+  too far apart, scores the others (:class:`~recordforge.functions.similarity.PairScorer`) and emits
+  only matches. Candidate pairs exist only inside that task's memory, which flushes by pairs and by bytes.
 
 Keys may be marked as fresh: then only pairs with a fresh key are wanted, packets hold
 fresh keys or others only, and two packets of others never meet (incremental dedup).
@@ -59,48 +61,41 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 EDGE_SCHEMA = "cohort string, key_a string, key_b string, node_a bigint, node_b bigint"
 
 # candidate pairs and bytes of strings scored per vectorised call inside a task
-_CHUNK_PAIRS = 200_000
+_CHUNK_PAIRS = 100_000
 _CHUNK_BYTES = 32_000_000
+# Keys of either packet whose signatures are compared at a time; the words of a tile stay in the processor's cache.
+_TILE_A, _TILE_B = 64, 1024
+# Characters of a key that count as one key of a packet.
+_KEY_CHARS = 256
 
 # Character classes whose counts order the keys and bound their distance.
 _CLASSES = ["01234", "56789", "ae", "iou", "bcdfgh", "jklmn", "pqrs", "tvwxyz"]
-# Shares that the packets of one cohort and length are dealt into when paired, and a cohort's keys when they meet its pivots.
+# Shares that the packets of one cohort are dealt into when paired, and a cohort's keys when they meet its pivots.
 _PAIR_SALTS = 16
 # Keys of a cohort that its pivots are chosen from, and pivots of a cohort.
 _SAMPLE = 256
 PIVOTS = 16
 # Pivots whose rings bound a packet: the first, which lie farthest apart. Pairs are told apart by all.
 _BOX_PIVOTS = 4
+_SIGNATURE = ["sig0", "sig1"]
 
 
 def _score_blocks(threshold: int):
     def run(batches):
-        buf = _Chunk(threshold)
+        buf = _Chunk()
         for batch in batches:
             cohort = batch.column("cohort").to_pylist()
             same = batch.column("same").to_pylist()
-            ia_items = batch.column("items_a")
-            ib_items = batch.column("items_b")
-            a_off = ia_items.offsets.to_numpy()
-            b_off = ib_items.offsets.to_numpy()
-            a_flat = ia_items.flatten()
-            b_flat = ib_items.flatten()
-            a_nodes = a_flat.field("node").to_numpy(zero_copy_only=False)
-            b_nodes = b_flat.field("node").to_numpy(zero_copy_only=False)
-            a_keys = a_flat.field("key").to_pylist()
-            b_keys = b_flat.field("key").to_pylist()
-            a_rings, b_rings = _rings(a_flat.field("dist")), _rings(b_flat.field("dist"))
-            for r in range(batch.num_rows):
-                a0, a1 = a_off[r], a_off[r + 1]
-                b0, b1 = b_off[r], b_off[r + 1]
-                buf.add(
-                    cohort[r], bool(same[r]),
-                    a_keys[a0:a1], a_nodes[a0:a1], b_keys[b0:b1], b_nodes[b0:b1], a_rings[a0:a1], b_rings[b0:b1],
-                )
-                if buf.pairs >= _CHUNK_PAIRS or buf.bytes >= _CHUNK_BYTES:
-                    out = buf.flush(threshold)
-                    if out is not None:
-                        yield out
+            sides = [batch.column("items_a"), batch.column("items_b")]
+            offsets = [x.offsets.to_numpy() for x in sides]
+            for r in range(batch.num_rows):  # one packet pair is unpacked at a time
+                a, b = (_Packet(x.values.slice(at[r], at[r + 1] - at[r])) for x, at in zip(sides, offsets))
+                for i, j in _near_pairs(a, b, bool(same[r]), threshold):
+                    buf.add(cohort[r], False, a.keys, a.nodes, b.keys, b.nodes, (i, j))
+                    if buf.pairs >= _CHUNK_PAIRS or buf.bytes >= _CHUNK_BYTES:
+                        out = buf.flush(threshold)
+                        if out is not None:
+                            yield out
         out = buf.flush(threshold)
         if out is not None:
             yield out
@@ -108,19 +103,72 @@ def _score_blocks(threshold: int):
     return run
 
 
+class _Packet:
+    """The keys of a packet by ascending length: lengths, signatures, rings, nodes."""
+
+    def __init__(self, items):
+        lens = items.field("len").to_numpy(zero_copy_only=False)
+        order = np.argsort(lens, kind="stable")
+        self.lens = lens[order].astype(np.int64)
+        self.nodes = items.field("node").to_numpy(zero_copy_only=False)[order]
+        self.words = [items.field(w).to_numpy(zero_copy_only=False)[order].view(np.uint64) for w in _SIGNATURE]
+        self.rings = _rings(items.field("dist"))[order]
+        self.keys = items.field("key").take(pa.array(order)).to_pylist()
+
+
+def _near_pairs(a: _Packet, b: _Packet, same: bool, threshold: int):
+    """Runs of candidate pairs (i, j): inside the length band, with signatures and rings close enough. Loses no match."""
+    held, n = [], 0
+    words, bits = np.empty(_TILE_A * _TILE_B, np.uint64), np.empty((2, _TILE_A * _TILE_B), np.uint8)
+    for i0 in range(0, len(a.lens), _TILE_A):
+        la = a.lens[i0 : i0 + _TILE_A]
+        first = np.searchsorted(b.lens * (200 - threshold), la[0] * threshold)
+        last = np.searchsorted(b.lens * threshold, la[-1] * (200 - threshold), side="right")
+        for j0 in range(max(first, i0 + 1) if same else first, last, _TILE_B):
+            j1 = min(last, j0 + _TILE_B)
+            size, shape = len(la) * (j1 - j0), (len(la), j1 - j0)
+            for k in (0, 1):
+                unlike = np.bitwise_xor(a.words[k][i0 : i0 + _TILE_A, None], b.words[k][None, j0:j1], out=words[:size].reshape(shape))
+                np.bitwise_count(unlike.ravel(), out=bits[k, :size])
+            differ = np.add(bits[0, :size], bits[1, :size], out=bits[0, :size])
+            at = np.flatnonzero(differ <= min(255, (la[-1] + b.lens[j1 - 1]) * (100 - threshold) // 100))
+            i, j = i0 + at // (j1 - j0), j0 + at % (j1 - j0)
+            short, long = np.minimum(a.lens[i], b.lens[j]), a.lens[i] + b.lens[j]
+            allowed = long * (100 - threshold) // 100
+            near = (200 * short >= threshold * long) & (differ[at] <= allowed)
+            if same:
+                near &= i < j
+            i, j, allowed = i[near], j[near], allowed[near]
+            near = (np.abs(a.rings[i] - b.rings[j]) <= allowed[:, None]).all(axis=1)
+            held.append((i[near], j[near]))
+            n += len(held[-1][0])
+            if n >= _CHUNK_PAIRS:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, n = [], 0
+    if n:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def signatures(hist: np.ndarray) -> np.ndarray:
+    """128 bits a row of 64 counts, as two int64: each count modulo 4 as 00, 10, 11, 01. The bits in which two
+    rows differ are at most the sum of the counts' differences, a lower bound of the InDel distance."""
+    m = hist % 4
+    bits = np.concatenate([(m == 1) | (m == 2), m >= 2], axis=1)
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def _rings(column) -> np.ndarray:
     """Distances to the pivots, a row per key; missing pivots (the same ones for a whole cohort) are 0."""
     lengths = np.diff(column.offsets.to_numpy())
-    out = np.zeros((len(lengths), PIVOTS), dtype=np.int32)
+    out = np.zeros((len(lengths), PIVOTS), dtype=np.int16)
     out[np.arange(PIVOTS) < lengths[:, None]] = np.asarray(column.flatten())
     return out
 
 
 class _Chunk:
-    """Accumulates packet pairs until enough candidate pairs are pending."""
+    """Accumulates candidate pairs of packet pairs until enough are pending."""
 
-    def __init__(self, threshold: int = 0):
-        self.threshold = threshold
+    def __init__(self):
         self._reset()
 
     def _reset(self):
@@ -128,18 +176,11 @@ class _Chunk:
         self.ia, self.ib = [], []
         self.pairs = self.bytes = 0
 
-    def add(self, cohort, same, a_keys, a_nodes, b_keys, b_nodes, a_rings=None, b_rings=None):
-        """The pairs of two packets (of one length each) whose rings around every pivot are close enough."""
-        if same:
-            b_keys, b_nodes, b_rings = a_keys, a_nodes, a_rings
-        near = np.ones((len(a_keys), len(b_keys)), dtype=bool)
-        if same:
-            near = np.triu(near, 1)
-        if a_rings is not None:
-            allowed = (len(a_keys[0]) + len(b_keys[0])) * (100 - self.threshold) // 100
-            for k in range(PIVOTS):
-                near &= np.abs(a_rings[:, k][:, None] - b_rings[:, k][None, :]) <= allowed
-        i, j = np.nonzero(near)
+    def add(self, cohort, same, a_keys, a_nodes, b_keys, b_nodes, near=None):
+        """The pairs ``near`` of two packets, or else all: with ``same`` those of one packet with itself."""
+        if near is None:
+            near = np.triu_indices(len(a_keys), 1) if same else np.indices((len(a_keys), len(b_keys))).reshape(2, -1)
+        i, j = near
         if not len(i):
             return
         base = len(self.strings)
@@ -213,7 +254,7 @@ def _choose_pivots(batches):
 
 
 def _measure(batches):
-    """Each key's distances to its cohort's pivots, in place of the pivots."""
+    """Each key's signature and its distances to its cohort's pivots, in place of the pivots."""
     for batch in batches:
         pivots = batch.column("pivots")
         keys = batch.column("key").to_pylist()
@@ -222,12 +263,15 @@ def _measure(batches):
         own = np.repeat(np.arange(len(keys)), per_key)
         scorer = PairScorer([*keys, *coded.dictionary.to_pylist()])
         d = scorer.distances(own, len(keys) + np.asarray(coded.indices))
-        dist = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_key)]), pa.int32()), pa.array(d, pa.int32()))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cohort", "key", "node", "len", "fresh")), dist], names=["cohort", "key", "node", "len", "fresh", "dist"])
+        d = np.minimum(d, np.iinfo(np.int16).max)  # cut off, rings are no farther apart than before
+        dist = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_key)]), pa.int32()), pa.array(d, pa.int16()))
+        words = [pa.array(w) for w in signatures(scorer.hist[: len(keys)]).T]
+        own = ["cohort", "key", "node", "len", "fresh"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *words, dist], names=[*own, *_SIGNATURE, "dist"])
 
 
 def with_pivot_distances(k: DataFrame) -> DataFrame:
-    """``k`` (cohort, key, node, len, fresh) with ``dist``, its distances to the pivots of its cohort."""
+    """``k`` (cohort, key, node, len, fresh) with its signature and ``dist``, its distances to the pivots of its cohort."""
     bucket = F.pmod(F.xxhash64("key"), F.lit(_SAMPLE))
     sample = k.groupBy("cohort", bucket.alias("bucket")).agg(F.min_by("key", F.struct(F.xxhash64("key", F.lit(1)), "key")).alias("key"))
     sample = sample.groupBy("cohort").agg(F.collect_list("key").alias("sample"))  # at most _SAMPLE keys
@@ -235,7 +279,7 @@ def with_pivot_distances(k: DataFrame) -> DataFrame:
     pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_PAIR_SALTS - 1))))
     salt = F.pmod(F.xxhash64("key"), F.lit(_PAIR_SALTS)).cast("int")
     met = k.withColumn("salt", salt).join(pivots, ["cohort", "salt"]).select("cohort", "key", "node", "len", "fresh", "pivots")
-    return met.mapInArrow(_measure, "cohort string, key string, node bigint, len int, fresh boolean, dist array<int>")
+    return met.mapInArrow(_measure, "cohort string, key string, node bigint, len int, fresh boolean, sig0 bigint, sig1 bigint, dist array<smallint>")
 
 
 def similarity_join(
@@ -272,41 +316,44 @@ def similarity_join(
     tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
         _packet_pairs(packets, t)
+        .repartition(tasks, "b")
         .join(packets.select(F.col("packet").alias("b"), F.col("items").alias("items_b")), "b")
         .repartition(tasks, "a")
         .join(packets.select(F.col("packet").alias("a"), "cohort", F.col("items").alias("items_a")), "a")
+        .repartition(tasks, "a", "b")
         .select("cohort", (F.col("a") == F.col("b")).alias("same"), "items_a", "items_b")
     )
     return blocks.mapInArrow(_score_blocks(t), EDGE_SCHEMA)
 
 
 def _packets(k: DataFrame, packet_size: int) -> DataFrame:
-    """(packet, cohort, len, fresh, items, lo, hi): keys cut in the order of their nearest pivots and rings."""
+    """(packet, cohort, fresh, items, short, long, lo, hi): keys cut in the order of length, nearest pivot and ring."""
     lower = F.lower("key")
     counts = F.array(*[F.length(lower) - F.length(F.translate(lower, chars, "")) for chars in _CLASSES])
     ring = F.array_min("dist")
-    order = ["cell", "ring", "counts", "key"]
+    order = ["len", "cell", "ring", "counts", "key"]
     if "fresh" not in k.columns:
         k = k.withColumn("fresh", F.lit(True))
     dealt = with_pivot_distances(k).withColumns({"counts": counts, "ring": ring, "cell": F.array_position("dist", ring)})
-    salt = F.pmod(F.xxhash64("key", F.lit(2)), F.lit(_PAIR_SALTS))  # by hash, not by range: a range would measure every key twice, for its sample
-    dealt = dealt.repartition("cohort", "len", "fresh", "cell", salt).withColumn("part", F.spark_partition_id())
-    place = F.row_number().over(Window.partitionBy("part", "cohort", "len", "fresh").orderBy(*order)) - 1
-    cut = dealt.withColumn("sub", F.floor(place / packet_size))
+    # by hash, not by range: a range would measure every key twice, for its sample
+    dealt = dealt.withColumn("deal", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(_PAIR_SALTS)))
+    weight = F.greatest(F.lit(1), F.ceil(F.col("len") / F.lit(_KEY_CHARS)))
+    before = F.sum(weight).over(Window.partitionBy("cohort", "fresh", "deal").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - weight
+    cut = dealt.withColumn("sub", F.floor(before / packet_size))
     bounds = [f(F.get("counts", F.lit(i))).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max)) for i in range(len(_CLASSES))]
     rings = [f(F.get("dist", F.lit(i))).alias(f"{n}{i}") for n, f in (("near", F.min), ("far", F.max)) for i in range(_BOX_PIVOTS)]
-    packed = cut.groupBy("part", "cohort", "len", "fresh", "sub").agg(F.collect_list(F.struct("node", "key", "dist")).alias("items"), *bounds, *rings)
+    bounds += [F.min("len").alias("short"), F.max("len").alias("long")]
+    packed = cut.groupBy("cohort", "fresh", "deal", "sub").agg(F.collect_list(F.struct("node", "key", "len", *_SIGNATURE, "dist")).alias("items"), *bounds, *rings)
     checkpoint_dir(k.sparkSession)
-    return packed.drop("part", "sub").withColumn("packet", F.monotonically_increasing_id()).checkpoint()
+    return packed.drop("deal", "sub").withColumn("packet", F.monotonically_increasing_id()).checkpoint()
 
 
 def _packet_pairs(packets: DataFrame, threshold: int) -> DataFrame:
     """(a, b) ids of the packet pairs that length, class counts and rings admit; a packet pairs with itself, too."""
-    boxes = [f"{n}{i}" for n in ("lo", "hi") for i in range(len(_CLASSES))] + [f"{n}{i}" for n in ("near", "far") for i in range(_BOX_PIVOTS)]
+    boxes = ["short", "long"] + [f"{n}{i}" for n in ("lo", "hi") for i in range(len(_CLASSES))] + [f"{n}{i}" for n in ("near", "far") for i in range(_BOX_PIVOTS)]
     salt = F.pmod(F.xxhash64("packet"), F.lit(_PAIR_SALTS)).cast("int")
-    left = packets.select("cohort", F.col("packet").alias("a"), F.col("len").alias("la"), F.col("fresh").alias("fa"), salt.alias("salt"), *[F.col(c).alias(f"a_{c}") for c in boxes])
-    left = left.withColumn("lb", F.explode(F.sequence("la", F.floor(F.col("la") * F.lit(200 - threshold) / F.lit(threshold)).cast("int"))))
-    right = packets.select("cohort", F.col("packet").alias("b"), F.col("len").alias("lb"), F.col("fresh").alias("fb"), *[F.col(c).alias(f"b_{c}") for c in boxes])
+    left = packets.select("cohort", F.col("packet").alias("a"), F.col("fresh").alias("fa"), salt.alias("salt"), *[F.col(c).alias(f"a_{c}") for c in boxes])
+    right = packets.select("cohort", F.col("packet").alias("b"), F.col("fresh").alias("fb"), *[F.col(c).alias(f"b_{c}") for c in boxes])
     right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_PAIR_SALTS - 1))))
 
     def apart(low, high, i):
@@ -315,7 +362,8 @@ def _packet_pairs(packets: DataFrame, threshold: int) -> DataFrame:
 
     edits = sum((apart("lo", "hi", i) for i in range(1, len(_CLASSES))), apart("lo", "hi", 0))
     between_rings = F.greatest(*[apart("near", "far", i) for i in range(_BOX_PIVOTS)])
-    allowed = (F.col("la") + F.col("lb")) * (100 - threshold)
-    admitted = (edits * 100 <= allowed) & (between_rings * 100 <= allowed)
-    admitted = admitted & (F.col("fa") | F.col("fb")) & ((F.col("la") < F.col("lb")) | (F.col("a") <= F.col("b")))
-    return left.join(right, ["cohort", "lb", "salt"]).filter(admitted).select("a", "b")
+    allowed = (F.col("a_long") + F.col("b_long")) * (100 - threshold)
+    admitted = (edits * 100 <= allowed) & (between_rings * 100 <= allowed) & (F.col("fa") | F.col("fb")) & (F.col("a") <= F.col("b"))
+    for x, y in (("a", "b"), ("b", "a")):
+        admitted = admitted & (F.col(f"{x}_short") * threshold <= F.col(f"{y}_long") * (200 - threshold))
+    return left.join(right, ["cohort", "salt"]).filter(admitted).select("a", "b")

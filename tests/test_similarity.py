@@ -264,3 +264,32 @@ def test_components_of_no_edges(spark):
     none = spark.createDataFrame([], "src long, dst long")
     assert connected_components(none).collect() == []
     assert connected_components(spark.createDataFrame([(3, 3)], "src long, dst long")).collect() == []
+
+
+def test_signatures_bound_the_distance():
+    from recordforge.operators.simjoin import signatures
+
+    rng = random.Random(12)
+    xs = sorted({x for x in _strings(rng, 80) if x}) + ["a" * 9, "a" * 4, "a" * 400]
+    sc = PairScorer(xs)
+    words = signatures(sc.hist)
+    ia, ib = np.triu_indices(len(xs), 1)
+    bits = np.bitwise_count((words[ia] ^ words[ib]).view(np.uint64)).sum(axis=1)
+    assert (bits <= sc.distances(ia, ib)).all() and bits.max() > 10
+
+
+def test_packets_do_not_shrink_with_more_tasks(spark):
+    """A cohort's packets are cut by its keys, also where keys have many lengths and tasks are many; long keys make small packets."""
+    from recordforge.operators.simjoin import _packets
+
+    key = F.substring(F.repeat(F.md5(F.col("id").cast("string")), 2), 1, (F.col("id") % 40 + 20).cast("int"))
+    keys = spark.range(8_000).select(F.lit("hot").alias("cohort"), key.alias("key"), F.col("id").alias("node")).withColumn("len", F.length("key"))
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert _packets(keys, 512).count() <= 2 * 16
+        long = keys.limit(64).withColumn("key", F.concat("key", F.repeat(F.lit("x"), 2000))).withColumn("len", F.length("key"))
+        sizes = [r.n for r in _packets(long, 8).select(F.size("items").alias("n")).collect()]
+        assert sum(sizes) == 64 and max(sizes) <= 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
