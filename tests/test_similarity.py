@@ -293,3 +293,34 @@ def test_packets_do_not_shrink_with_more_tasks(spark):
         assert sum(sizes) == 64 and max(sizes) <= 2
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", tasks)
+
+
+def test_only_hubs_are_copied_for_their_salts(spark):
+    """The minima of nodes that are no hubs meet their edges in one copy: copies of all would be many times the nodes."""
+    from recordforge.operators import components
+
+    edges = [(10_000 + i, i % 4_000) for i in range(8_000)] + [(30_000 + i, 7) for i in range(3_000)]
+    e = spark.createDataFrame(edges, "u long, v long")
+    hubs = components._hubs(e)
+    assert hubs["v"] == [7] and hubs["u"] == []
+    for node, some in (("v", hubs["v"]), ("u", hubs["u"])):
+        rows = e.select(node).distinct()
+        assert components._per_salt(rows, node, some).count() == rows.count() + (components.EDGE_SALTS - 1) * len(some)
+    salts = e.filter("v = 7").select(components._dealt("u", "v", hubs["v"])).distinct().count()
+    assert salts == components.EDGE_SALTS
+    got = {r.node: r.component for r in connected_components(e, "u", "v").collect()}
+    assert got == _components(edges)
+
+
+def test_dense_edges_are_contracted_as_they_are_read():
+    import pyarrow as pa
+    from recordforge.operators.components import _contract
+
+    def run(edges):
+        u, v = (pa.array(x, pa.int64()) for x in zip(*edges))
+        return [tuple(r.values()) for b in _contract([pa.RecordBatch.from_arrays([u, v], names=["u", "v"])], dense=True) for r in b.to_pylist()]
+
+    block = [(a, b) for a in range(1, 20) for b in range(a)]
+    assert run(block) == [(a, 0) for a in range(1, 20)]
+    chain = [(i + 1, i) for i in range(50)]
+    assert run(chain) == chain
