@@ -20,8 +20,8 @@ SHOWN = {
     "dedup_exact": "Partial SortAggregate before the exchange (map-side merge rules); the "
     "midpoint branch is range-partitioned by group and order and folds one run per task; both "
     "read the input written once to the checkpoint folder.",
-    "fuzzy_pairs": "Packets (at most 256 keys, written once to the checkpoint folder) pair by cohort, "
-    "length and salt under the box filter; their key lists are attached by equi-joins on one "
+    "fuzzy_pairs": "Packets (at most 4,096 keys, written once to the checkpoint folder) pair by cohort "
+    "and salt under the box filter; their key lists are attached by equi-joins on one "
     "packet id each; MapInArrow scores pairs inside tasks. No pair rows, no cartesian product.",
     "report_top": "Per-name winner by a partial min_by aggregate, then TakeOrderedAndProject "
     "(top-k) instead of a global sort or a window over all rows.",
