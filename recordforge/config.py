@@ -318,4 +318,4 @@ ENRICHED_COLUMNS = [
 
 # Distinct match keys per similarity-join packet; a packet pair is one unit
 # of work in the block join, so this bounds per-task memory and time.
-SIMJOIN_PACKET_SIZE = 4096
+SIMJOIN_PACKET_SIZE = 8192

@@ -17,7 +17,8 @@ The kernel is vectorised with numpy over all candidate pairs of a chunk:
 
 Both filters are lossless; only step 3 decides. Step 3 works through the
 remaining pairs in slices of at most ``SLICE_BYTES`` of masks and characters, by
-ascending length, so one long string costs its own slice only.
+ascending length, so one long string costs its own slice only; within a slice the
+recurrence goes through ``LANES`` pairs at a time, whose state stays in the processor's cache.
 """
 
 from __future__ import annotations
@@ -28,12 +29,7 @@ WORD = 64
 MAX_WORDS = 16
 HIST_BUCKETS = 64
 SLICE_BYTES = 32_000_000
-
-
-def encode(strings) -> tuple[list[np.ndarray], np.ndarray]:
-    codes = [np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32) for s in strings]
-    lens = np.fromiter((len(c) for c in codes), dtype=np.int64, count=len(codes))
-    return codes, lens
+LANES = 8_192
 
 
 def _lcs_bigint(a: str, b: str) -> int:
@@ -60,13 +56,22 @@ class PairScorer:
 
     def __init__(self, strings):
         self.strings = list(strings)
-        self.codes, self.lens = encode(self.strings)
-        n = len(self.codes)
+        n = len(self.strings)
+        self.lens = np.fromiter(map(len, self.strings), dtype=np.int64, count=n)
+        self.flat = np.frombuffer("".join(self.strings).encode("utf-32-le"), dtype=np.uint32)
+        self.starts = np.cumsum(self.lens) - self.lens
         # character histogram folded into HIST_BUCKETS buckets (still a bound)
-        flat = np.concatenate(self.codes).astype(np.int64) if n and self.lens.sum() else np.zeros(0, np.int64)
-        cell = np.repeat(np.arange(n), self.lens) * HIST_BUCKETS + flat % HIST_BUCKETS
+        bucket = (self.flat ^ (self.flat >> 1 & 32)) % HIST_BUCKETS  # apart: small letters, and digits with signs
+        cell = np.repeat(np.arange(n) * HIST_BUCKETS, self.lens) + bucket
         self.hist = np.bincount(cell, minlength=n * HIST_BUCKETS).reshape(n, HIST_BUCKETS).astype(np.int32)
 
+    def _chars(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All characters of the strings ``ids``: their codes, and for each its string (as a place in ``ids``) and its place there."""
+        lens = self.lens[ids]
+        owner = np.repeat(np.arange(len(ids)), lens)
+        pos = np.arange(len(owner)) - np.repeat(np.cumsum(lens) - lens, lens)
+        return self.flat[self.starts[ids][owner] + pos], owner, pos
+
     def matches(self, ia: np.ndarray, ib: np.ndarray, threshold: int) -> np.ndarray:
         """Boolean mask over pairs (ia[k], ib[k]) with similarity >= threshold."""
         t = int(threshold)
@@ -100,6 +105,7 @@ class PairScorer:
         out = np.zeros(len(a), dtype=np.int64)
         words = -(-self.lens[a] // WORD)
         order = np.lexsort((self.lens[b], words))
+        order = order[np.searchsorted(words[order], 1) :]  # an empty string has nothing in common with any
         long = np.searchsorted(words[order], MAX_WORDS, side="right")
         for k in order[long:]:
             out[k] = _lcs_bigint(self.strings[a[k]], self.strings[b[k]])
@@ -119,44 +125,30 @@ class PairScorer:
         short = np.unique(a)
         longest = int(self.lens[b].max())
         words = -(-int(self.lens[short].max()) // WORD)
-        vocab = len(np.unique(np.concatenate([self.codes[i] for i in short])))
+        vocab = np.count_nonzero(np.bincount(self._chars(short)[0]))
         return 8 * words * (len(short) * (vocab + 1) + 4 * len(a)) + 4 * longest * len(np.unique(b))
 
     def _lcs_words(self, a: np.ndarray, b: np.ndarray, words: int) -> np.ndarray:
+        order = np.argsort(self.lens[b], kind="stable")
+        a, b = a[order], b[order]
         la, lb = self.lens[a], self.lens[b]
-        order = np.argsort(-lb, kind="stable")
-        a, b, la, lb = a[order], b[order], la[order], lb[order]
         short, own_a = np.unique(a, return_inverse=True)
         long, own_b = np.unique(b, return_inverse=True)
-        vocab, flat = np.unique(np.concatenate([self.codes[i] for i in short]), return_inverse=True)
-        owner = np.repeat(np.arange(len(short)), self.lens[short])
-        pos = np.arange(len(flat)) - np.repeat(np.cumsum(self.lens[short]) - self.lens[short], self.lens[short])
-        masks = np.zeros((len(short), len(vocab) + 1, words), dtype=np.uint64)
-        np.bitwise_or.at(masks, (owner, flat, pos // WORD), np.left_shift(np.uint64(1), (pos % WORD).astype(np.uint64)))
-        steps = int(lb.max())
-        chars = np.full((len(long), steps), len(vocab), dtype=np.int32)  # the last column of the masks is empty
-        for row, i in enumerate(long):
-            code = self.codes[i]
-            spot = np.searchsorted(vocab, code)
-            known = (spot < len(vocab)) & (vocab[np.minimum(spot, len(vocab) - 1)] == code)
-            chars[row, : len(code)] = np.where(known, spot, len(vocab))
+        flat, owner, pos = self._chars(short)
+        vocab = np.flatnonzero(np.bincount(flat))
+        spot = np.full(int(vocab[-1]) + 2, len(vocab), dtype=np.int32)  # a character of its own for all others, with empty masks
+        spot[vocab] = np.arange(len(vocab))
+        masks = np.zeros(len(short) * (len(vocab) + 1) * words, dtype=np.uint64)
+        np.bitwise_or.at(masks, (owner * (len(vocab) + 1) + spot[flat]) * words + pos // WORD, np.left_shift(np.uint64(1), (pos % WORD).astype(np.uint64)))
+        masks = masks.reshape(-1, words)
+        # step by step the characters of each long string; past its end come empty masks, which change nothing
+        flat, owner, pos = self._chars(long)
+        chars = np.full((int(lb[-1]), len(long)), len(vocab), dtype=np.int32)
+        chars[pos, owner] = spot[np.minimum(flat, len(spot) - 1)]
         v = np.full((words, len(a)), np.uint64(0xFFFFFFFFFFFFFFFF), dtype=np.uint64)
-        active = len(a)
-        for k in range(steps):
-            # pairs are sorted by lb desc, so the still-running ones are a prefix
-            while active and lb[active - 1] <= k:
-                active -= 1
-            mask = masks[own_a[:active], chars[own_b[:active], k]]
-            carry = np.zeros(active, dtype=np.uint64)
-            for w in range(words):
-                vw = v[w, :active]
-                u = vw & mask[:, w]
-                total = vw + u
-                over = total < vw
-                total += carry
-                over |= total < carry
-                v[w, :active] = total | (vw ^ u)
-                carry = over.astype(np.uint64)
+        for at in range(0, len(a), LANES):
+            part = slice(at, at + LANES)
+            self._recur(v[:, part], masks, own_a[part] * (len(vocab) + 1), chars, own_b[part], int(lb[part][-1]))
         # zeros of V within the short string's length
         zeros = np.zeros(len(a), dtype=np.int64)
         for w in range(words):
@@ -167,6 +159,36 @@ class PairScorer:
         out[order] = zeros
         return out
 
+    @staticmethod
+    def _recur(v, masks, base, chars, own_b, steps):
+        """``steps`` characters of the recurrence on the words ``v``, in place."""
+        n, words = len(base), len(v)
+        at, u, total = np.empty(n, np.int64), np.empty(n, np.uint64), np.empty(n, np.uint64)
+        if words == 1:
+            masks, v = masks[:, 0], v[0]
+            for k in range(steps):
+                np.add(chars[k].take(own_b), base, out=at)
+                np.take(masks, at, out=u, mode="clip")
+                np.bitwise_and(v, u, out=u)
+                np.add(v, u, out=total)
+                np.bitwise_xor(v, u, out=u)
+                np.bitwise_or(total, u, out=v)
+            return
+        for k in range(steps):
+            np.add(chars[k].take(own_b), base, out=at)
+            mask = masks.take(at, axis=0)
+            carry = np.zeros(n, dtype=np.uint64)
+            for w in range(words):
+                vw = v[w]
+                np.bitwise_and(vw, mask[:, w], out=u)
+                np.add(vw, u, out=total)
+                over = total < vw
+                total += carry
+                over |= total < carry
+                np.bitwise_xor(vw, u, out=u)
+                np.bitwise_or(total, u, out=vw)
+                carry = over.astype(np.uint64)
+
 
 def token_sort_ratio(a: str, b: str) -> float:
     """Scalar reference: 100 * 2 * LCS / (la + lb) on sorted tokens."""

@@ -11,13 +11,13 @@ the data, no driver loop):
 * Every cohort gets pivots: of a bounded sample (the first key by hash of each of
   ``_SAMPLE`` buckets, a partial aggregate) the one farthest from those chosen,
   again and again. Every key learns its exact distance to each pivot of its cohort.
-* Every key also gets a *signature* of 128 bits, two for each of 64 classes of characters: their
-  count modulo 4 as a cyclic code, in which one step changes one bit. An edit changes one
+* Every key also gets a *signature* of 192 bits, three for each of 64 classes of characters: their
+  count modulo 6 as a cyclic code, in which one step changes one bit. An edit changes one
   count by one, so signatures that differ in more bits than the threshold allows edits are no match.
-* Keys are dealt to tasks by cohort and salt, and cut in the order of length, nearest pivot and
-  ring (the distance to it) into *packets* of one cohort and at most ``packet_size`` keys, fewer
-  where keys are long. A cohort that holds a third of all rows is spread over tasks. How keys are
-  cut does not depend on the number of tasks.
+* Keys are dealt by cohort into as many shares as full packets need (at most ``_DEALS``), and a share is cut in
+  the order of length, nearest pivot and ring (the distance to it) into *packets* of one cohort and at
+  most ``packet_size`` keys, fewer where keys are long. A cohort that holds a third of all rows is
+  spread over tasks. How keys are cut does not depend on the number of tasks.
 * A packet keeps its least and largest length, distance to the first pivots and
   count of a few character classes (one edit changes one count by one). Two
   packets whose rings around some pivot, or whose counts, lie farther apart than the
@@ -25,11 +25,12 @@ the data, no driver loop):
   are those outside the length band ``la <= lb <= la * (200 - t) / t``. Only ids
   and boxes take part in that.
 * Key lists are attached to the remaining packet pairs by equi-joins on one
-  packet id each, and the pairs are dealt evenly. Each packet pair is one row carrying both key lists.
-  An Arrow task goes through a pair tile by tile, in the length band: it drops the pairs of keys whose
-  signatures differ too much (two machine words a pair), then those whose rings around some pivot lie
-  too far apart, scores the others (:class:`~recordforge.functions.similarity.PairScorer`) and emits
-  only matches. Candidate pairs exist only inside that task's memory, which flushes by pairs and by bytes.
+  packet id each, and the pairs are dealt evenly. Each packet pair is one row carrying both key lists,
+  whose keys flow to an Arrow task one after another, so the task holds one packet pair and never a batch of them.
+  It goes through a pair tile by tile, in the length band: it drops the pairs of keys whose signatures differ
+  too much in the 64 bits that tell most in these packets (one machine word a pair), then those that all bits or the
+  rings around some pivot set too far apart, scores the others (:class:`~recordforge.functions.similarity.PairScorer`)
+  and emits only matches. Candidate pairs exist only inside that task's memory, which flushes by pairs and by bytes.
 
 Keys may be marked as fresh: then only pairs with a fresh key are wanted, packets hold
 fresh keys or others only, and two packets of others never meet (incremental dedup).
@@ -72,30 +73,26 @@ _KEY_CHARS = 256
 _CLASSES = ["01234", "56789", "ae", "iou", "bcdfgh", "jklmn", "pqrs", "tvwxyz"]
 # Shares that the packets of one cohort are dealt into when paired, and a cohort's keys when they meet its pivots.
 _PAIR_SALTS = 16
+# Most shares that a cohort's keys are dealt into when they are cut into packets; what a share may hold more than another.
+_DEALS, _UNEVEN = 32, 1.1
 # Keys of a cohort that its pivots are chosen from, and pivots of a cohort.
 _SAMPLE = 256
 PIVOTS = 16
 # Pivots whose rings bound a packet: the first, which lie farthest apart. Pairs are told apart by all.
 _BOX_PIVOTS = 4
-_SIGNATURE = ["sig0", "sig1"]
+_SIGNATURE = ["sig0", "sig1", "sig2"]
 
 
 def _score_blocks(threshold: int):
     def run(batches):
         buf = _Chunk()
-        for batch in batches:
-            cohort = batch.column("cohort").to_pylist()
-            same = batch.column("same").to_pylist()
-            sides = [batch.column("items_a"), batch.column("items_b")]
-            offsets = [x.offsets.to_numpy() for x in sides]
-            for r in range(batch.num_rows):  # one packet pair is unpacked at a time
-                a, b = (_Packet(x.values.slice(at[r], at[r + 1] - at[r])) for x, at in zip(sides, offsets))
-                for i, j in _near_pairs(a, b, bool(same[r]), threshold):
-                    buf.add(cohort[r], False, a.keys, a.nodes, b.keys, b.nodes, (i, j))
-                    if buf.pairs >= _CHUNK_PAIRS or buf.bytes >= _CHUNK_BYTES:
-                        out = buf.flush(threshold)
-                        if out is not None:
-                            yield out
+        for cohort, a, b in _packet_pairs_of(batches):
+            for i, j in _near_pairs(a, b or a, b is None, threshold):
+                buf.add(cohort, False, a.keys, a.nodes, (b or a).keys, (b or a).nodes, (i, j))
+                if buf.pairs >= _CHUNK_PAIRS or buf.bytes >= _CHUNK_BYTES:
+                    out = buf.flush(threshold)
+                    if out is not None:
+                        yield out
         out = buf.flush(threshold)
         if out is not None:
             yield out
@@ -103,57 +100,93 @@ def _score_blocks(threshold: int):
     return run
 
 
+def _packet_pairs_of(batches):
+    """(cohort, packet, other packet or None if it is the same) of rows that come pair by pair, first ``a``, then ``b``."""
+    now, cohort, held = None, None, ([], [])
+
+    def pair():
+        return cohort, _Packet(held[0]), _Packet(held[1]) if held[1] else None
+
+    for batch in batches:
+        a, b = (batch.column(c).to_numpy() for c in "ab")
+        second = batch.column("second").to_numpy(zero_copy_only=False)
+        cut = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (second[1:] != second[:-1])) + 1
+        for at, to in zip([0, *cut.tolist()], [*cut.tolist(), len(a)]):
+            if at == to:
+                continue
+            if now != (a[at], b[at]):
+                if now is not None:
+                    yield pair()
+                now, cohort, held = (a[at], b[at]), batch.column("cohort")[at].as_py(), ([], [])
+            held[int(second[at])].append(batch.slice(at, to - at))
+    if now is not None:
+        yield pair()
+
+
 class _Packet:
     """The keys of a packet by ascending length: lengths, signatures, rings, nodes."""
 
-    def __init__(self, items):
-        lens = items.field("len").to_numpy(zero_copy_only=False)
+    def __init__(self, rows: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+        lens = rows.column("len").to_numpy()
         order = np.argsort(lens, kind="stable")
         self.lens = lens[order].astype(np.int64)
-        self.nodes = items.field("node").to_numpy(zero_copy_only=False)[order]
-        self.words = [items.field(w).to_numpy(zero_copy_only=False)[order].view(np.uint64) for w in _SIGNATURE]
-        self.rings = _rings(items.field("dist"))[order]
-        self.keys = items.field("key").take(pa.array(order)).to_pylist()
+        self.nodes = rows.column("node").to_numpy()[order]
+        self.words = np.ascontiguousarray(np.stack([rows.column(w).to_numpy() for w in _SIGNATURE], axis=1)[order]).view(np.uint64)
+        self.rings = _rings(rows.column("dist"))[order]
+        self.keys = rows.column("key").take(pa.array(order)).to_pylist()
 
 
 def _near_pairs(a: _Packet, b: _Packet, same: bool, threshold: int):
     """Runs of candidate pairs (i, j): inside the length band, with signatures and rings close enough. Loses no match."""
     held, n = [], 0
-    words, bits = np.empty(_TILE_A * _TILE_B, np.uint64), np.empty((2, _TILE_A * _TILE_B), np.uint8)
+    word_a, word_b = _telling_bits(a.words, b.words)
+    words, bits = np.empty(_TILE_A * _TILE_B, np.uint64), np.empty(_TILE_A * _TILE_B, np.uint8)
     for i0 in range(0, len(a.lens), _TILE_A):
         la = a.lens[i0 : i0 + _TILE_A]
         first = np.searchsorted(b.lens * (200 - threshold), la[0] * threshold)
         last = np.searchsorted(b.lens * threshold, la[-1] * (200 - threshold), side="right")
         for j0 in range(max(first, i0 + 1) if same else first, last, _TILE_B):
             j1 = min(last, j0 + _TILE_B)
-            size, shape = len(la) * (j1 - j0), (len(la), j1 - j0)
-            for k in (0, 1):
-                unlike = np.bitwise_xor(a.words[k][i0 : i0 + _TILE_A, None], b.words[k][None, j0:j1], out=words[:size].reshape(shape))
-                np.bitwise_count(unlike.ravel(), out=bits[k, :size])
-            differ = np.add(bits[0, :size], bits[1, :size], out=bits[0, :size])
+            size = len(la) * (j1 - j0)
+            np.bitwise_xor(word_a[i0 : i0 + _TILE_A, None], word_b[None, j0:j1], out=words[:size].reshape(len(la), j1 - j0))
+            differ = np.bitwise_count(words[:size], out=bits[:size])
             at = np.flatnonzero(differ <= min(255, (la[-1] + b.lens[j1 - 1]) * (100 - threshold) // 100))
-            i, j = i0 + at // (j1 - j0), j0 + at % (j1 - j0)
-            short, long = np.minimum(a.lens[i], b.lens[j]), a.lens[i] + b.lens[j]
-            allowed = long * (100 - threshold) // 100
-            near = (200 * short >= threshold * long) & (differ[at] <= allowed)
-            if same:
-                near &= i < j
-            i, j, allowed = i[near], j[near], allowed[near]
-            near = (np.abs(a.rings[i] - b.rings[j]) <= allowed[:, None]).all(axis=1)
-            held.append((i[near], j[near]))
-            n += len(held[-1][0])
+            held.append((i0 + at // (j1 - j0), j0 + at % (j1 - j0)))
+            n += len(at)
             if n >= _CHUNK_PAIRS:
-                yield tuple(map(np.concatenate, zip(*held)))
+                yield _nearer(a, b, same, threshold, *map(np.concatenate, zip(*held)))
                 held, n = [], 0
     if n:
-        yield tuple(map(np.concatenate, zip(*held)))
+        yield _nearer(a, b, same, threshold, *map(np.concatenate, zip(*held)))
+
+
+def _telling_bits(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One word a key: the 64 bits of its signature in which most pairs of the two packets differ. Any choice loses no match."""
+    a, b = (np.unpackbits(x.view(np.uint8), axis=1) for x in (a, b))
+    p, q = a.mean(axis=0), b.mean(axis=0)
+    most = np.argsort(-(p + q - 2 * p * q), kind="stable")[:64]
+    return tuple(np.ascontiguousarray(np.packbits(x[:, most], axis=1)).view(np.uint64)[:, 0] for x in (a, b))
+
+
+def _nearer(a: _Packet, b: _Packet, same: bool, threshold: int, i, j):
+    """Of the pairs (i, j) those inside the length band whose whole signatures and whose rings are close enough."""
+    if same:
+        i, j = i[i < j], j[i < j]
+    short, long = np.minimum(a.lens[i], b.lens[j]), a.lens[i] + b.lens[j]
+    allowed = long * (100 - threshold) // 100
+    differ = np.bitwise_count(a.words[i] ^ b.words[j]).sum(axis=1, dtype=np.int64)
+    near = (200 * short >= threshold * long) & (differ <= allowed)
+    i, j, allowed = i[near], j[near], allowed[near]
+    near = (np.abs(a.rings[i] - b.rings[j]) <= allowed[:, None]).all(axis=1)
+    return i[near], j[near]
 
 
 def signatures(hist: np.ndarray) -> np.ndarray:
-    """128 bits a row of 64 counts, as two int64: each count modulo 4 as 00, 10, 11, 01. The bits in which two
-    rows differ are at most the sum of the counts' differences, a lower bound of the InDel distance."""
-    m = hist % 4
-    bits = np.concatenate([(m == 1) | (m == 2), m >= 2], axis=1)
+    """192 bits a row of 64 counts, as three int64: each count modulo 6 as 000, 100, 110, 111, 011, 001. The bits in which
+    two rows differ are at most the sum of the counts' differences, a lower bound of the InDel distance."""
+    m = hist % 6
+    bits = np.concatenate([(m >= k) & (m < k + 3) for k in (1, 2, 3)], axis=1)
     return np.packbits(bits, axis=1).view(np.int64)
 
 
@@ -250,7 +283,11 @@ def farthest_first(strings: list[str], n: int = PIVOTS) -> list[str]:
 def _choose_pivots(batches):
     for batch in batches:
         chosen = [farthest_first(x) for x in batch.column("sample").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("cohort"), pa.array(chosen, pa.list_(pa.string()))], names=["cohort", "pivots"])
+        columns = [batch.column("cohort"), pa.array(chosen, pa.list_(pa.string())), batch.column("new"), batch.column("old")]
+        yield pa.RecordBatch.from_arrays(columns, names=["cohort", "pivots", "new", "old"])
+
+
+_OWN = ["cohort", "key", "node", "len", "fresh", "weight", "total"]
 
 
 def _measure(batches):
@@ -266,20 +303,25 @@ def _measure(batches):
         d = np.minimum(d, np.iinfo(np.int16).max)  # cut off, rings are no farther apart than before
         dist = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_key)]), pa.int32()), pa.array(d, pa.int16()))
         words = [pa.array(w) for w in signatures(scorer.hist[: len(keys)]).T]
-        own = ["cohort", "key", "node", "len", "fresh"]
+        own = _OWN
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *words, dist], names=[*own, *_SIGNATURE, "dist"])
 
 
 def with_pivot_distances(k: DataFrame) -> DataFrame:
-    """``k`` (cohort, key, node, len, fresh) with its signature and ``dist``, its distances to the pivots of its cohort."""
+    """``k`` (cohort, key, node, len, fresh) with its weight (the keys it counts as), the ``total`` of its cohort's fresh keys or
+    others, its signature and ``dist``, its distances to the pivots of its cohort."""
+    k = k.withColumn("weight", F.greatest(F.lit(1), F.ceil(F.col("len") / F.lit(_KEY_CHARS))).cast("bigint"))
     bucket = F.pmod(F.xxhash64("key"), F.lit(_SAMPLE))
-    sample = k.groupBy("cohort", bucket.alias("bucket")).agg(F.min_by("key", F.struct(F.xxhash64("key", F.lit(1)), "key")).alias("key"))
-    sample = sample.groupBy("cohort").agg(F.collect_list("key").alias("sample"))  # at most _SAMPLE keys
-    pivots = sample.mapInArrow(_choose_pivots, "cohort string, pivots array<string>")
+    weights = [F.sum(F.when(F.col("fresh") == new, F.col("weight")).otherwise(0)).alias(n) for n, new in (("new", True), ("old", False))]
+    sample = k.groupBy("cohort", bucket.alias("bucket")).agg(F.min_by("key", F.struct(F.xxhash64("key", F.lit(1)), "key")).alias("key"), *weights)
+    sample = sample.groupBy("cohort").agg(F.collect_list("key").alias("sample"), F.sum("new").alias("new"), F.sum("old").alias("old"))  # at most _SAMPLE keys
+    pivots = sample.mapInArrow(_choose_pivots, "cohort string, pivots array<string>, new bigint, old bigint")
     pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_PAIR_SALTS - 1))))
     salt = F.pmod(F.xxhash64("key"), F.lit(_PAIR_SALTS)).cast("int")
-    met = k.withColumn("salt", salt).join(pivots, ["cohort", "salt"]).select("cohort", "key", "node", "len", "fresh", "pivots")
-    return met.mapInArrow(_measure, "cohort string, key string, node bigint, len int, fresh boolean, sig0 bigint, sig1 bigint, dist array<smallint>")
+    met = k.withColumn("salt", salt).join(pivots, ["cohort", "salt"])
+    met = met.withColumn("total", F.when(F.col("fresh"), F.col("new")).otherwise(F.col("old"))).select(*_OWN, "pivots")
+    own = "cohort string, key string, node bigint, len int, fresh boolean, weight bigint, total bigint"
+    return met.mapInArrow(_measure, f"{own}, {', '.join(f'{w} bigint' for w in _SIGNATURE)}, dist array<smallint>")
 
 
 def similarity_join(
@@ -321,8 +363,11 @@ def similarity_join(
         .repartition(tasks, "a")
         .join(packets.select(F.col("packet").alias("a"), "cohort", F.col("items").alias("items_a")), "a")
         .repartition(tasks, "a", "b")
-        .select("cohort", (F.col("a") == F.col("b")).alias("same"), "items_a", "items_b")
     )
+    # a pair's keys flow one by one, first those of a; a packet that meets itself comes once
+    sides = [F.struct(F.lit(n == "b").alias("second"), F.col(f"items_{n}").alias("items")) for n in "ab"]
+    blocks = blocks.withColumn("side", F.explode(F.when(F.col("a") == F.col("b"), F.array(sides[0])).otherwise(F.array(*sides))))
+    blocks = blocks.select("cohort", "a", "b", "side.second", F.explode("side.items").alias("x")).select("cohort", "a", "b", "second", "x.*")
     return blocks.mapInArrow(_score_blocks(t), EDGE_SCHEMA)
 
 
@@ -336,10 +381,12 @@ def _packets(k: DataFrame, packet_size: int) -> DataFrame:
         k = k.withColumn("fresh", F.lit(True))
     dealt = with_pivot_distances(k).withColumns({"counts": counts, "ring": ring, "cell": F.array_position("dist", ring)})
     # by hash, not by range: a range would measure every key twice, for its sample
-    dealt = dealt.withColumn("deal", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(_PAIR_SALTS)))
-    weight = F.greatest(F.lit(1), F.ceil(F.col("len") / F.lit(_KEY_CHARS)))
-    before = F.sum(weight).over(Window.partitionBy("cohort", "fresh", "deal").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - weight
-    cut = dealt.withColumn("sub", F.floor(before / packet_size))
+    deals = F.least(F.lit(_DEALS), F.ceil(F.col("total") * _UNEVEN / packet_size))
+    dealt = dealt.withColumns({"deals": deals, "deal": F.pmod(F.xxhash64("key", F.lit(2)), deals)})
+    share = F.col("total") * _UNEVEN / F.col("deals")  # of one size where a share makes several packets
+    size = F.least(F.lit(packet_size), F.ceil(share / F.ceil(share / packet_size)))
+    before = F.sum("weight").over(Window.partitionBy("cohort", "fresh", "deal").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")
+    cut = dealt.withColumn("sub", F.floor(before / size))
     bounds = [f(F.get("counts", F.lit(i))).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max)) for i in range(len(_CLASSES))]
     rings = [f(F.get("dist", F.lit(i))).alias(f"{n}{i}") for n, f in (("near", F.min), ("far", F.max)) for i in range(_BOX_PIVOTS)]
     bounds += [F.min("len").alias("short"), F.max("len").alias("long")]

@@ -324,3 +324,63 @@ def test_dense_edges_are_contracted_as_they_are_read():
     assert run(block) == [(a, 0) for a in range(1, 20)]
     chain = [(i + 1, i) for i in range(50)]
     assert run(chain) == chain
+
+
+def test_small_cohorts_make_one_packet_and_large_ones_full_packets(spark):
+    """Few keys of a cohort are not cut into many packets: the pairs of packets grow with the square of full packets only."""
+    from recordforge.operators.simjoin import _packets
+
+    key = F.md5(F.col("id").cast("string"))
+    keys = spark.range(3_000).select(F.when(F.col("id") < 1_000, "a").otherwise("b").alias("cohort"), key.alias("key"), F.col("id").alias("node"), F.lit(32).alias("len"))
+    fresh = keys.withColumn("fresh", F.col("node") % 10 == 0)
+    sizes = sorted((r.cohort, r.fresh, r.n) for r in _packets(fresh, 1_200).select("cohort", "fresh", F.size("items").alias("n")).collect())
+    assert [(c, f) for c, f, _ in sizes] == [("a", False), ("a", True), ("b", False), ("b", False), ("b", True)]
+    assert sum(n for *_, n in sizes) == 3_000 and max(n for *_, n in sizes) <= 1_200
+
+
+def _packet_rows(keys, nodes, a, b, second):
+    import pyarrow as pa
+    from recordforge.operators.simjoin import signatures
+
+    words = signatures(PairScorer(keys).hist)
+    n = len(keys)
+    columns = {"cohort": ["c"] * n, "a": [a] * n, "b": [b] * n, "second": [second] * n, "node": nodes, "key": keys, "len": pa.array(map(len, keys), pa.int32())}
+    columns |= {f"sig{k}": words[:, k] for k in range(3)} | {"dist": pa.array([[0]] * n, pa.list_(pa.int16()))}
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def test_packet_pairs_flow_key_by_key():
+    """Batches that end anywhere: a task takes one packet pair at a time, a packet with itself or with another."""
+    import pyarrow as pa
+    from recordforge.operators.simjoin import _packet_pairs_of
+
+    parts = [_packet_rows(["aa", "b"], [1, 2], 5, 5, False), _packet_rows(["aa", "b"], [1, 2], 5, 6, False), _packet_rows(["ccc", "d", "ee"], [3, 4, 5], 5, 6, True)]
+    rows = pa.Table.from_batches(parts)
+    for size in (1, 2, 3, 7):
+        got = [(c, a.keys, b and b.keys, a.nodes.tolist()) for c, a, b in _packet_pairs_of(rows.combine_chunks().to_batches(max_chunksize=size))]
+        assert got == [("c", ["b", "aa"], None, [2, 1]), ("c", ["b", "aa"], ["d", "ee", "ccc"], [2, 1])]
+    assert list(_packet_pairs_of([])) == []
+
+
+def test_near_pairs_lose_no_match_and_leave_few():
+    """The 64 bits that tell most and then all bits: no match is lost, and of digits and letters nearly all other pairs go."""
+    from recordforge.operators.simjoin import _Packet, _near_pairs
+
+    rng = random.Random(21)
+    keys = sorted({f"{rng.randint(1, 99_999)} chicago {''.join(rng.choice('abcdefghijklmnop') for _ in range(14))} road" for _ in range(600)})
+    keys += [k.replace("road", "rd") for k in keys[:50]] + ["ü" * 3, "z" * 400, "z" * 390]
+    packet = _Packet([_packet_rows(keys, list(range(len(keys))), 1, 1, False)])
+    sc = PairScorer(packet.keys)
+    ia, ib = np.triu_indices(len(keys), 1)
+    hit = sc.matches(ia, ib, 85)
+    near = {(int(i), int(j)) for run in _near_pairs(packet, packet, True, 85) for i, j in zip(*run)}
+    assert hit.sum() >= 51 and near >= {(int(i), int(j)) for i, j in zip(ia[hit], ib[hit])}
+    assert len(near) < 0.005 * len(ia)
+
+
+def test_distances_of_empty_and_of_unknown_characters():
+    sc = PairScorer(["", "abc", "xyz", "\U0010ffff", "abc" * 40])
+    ia, ib = np.indices((5, 5)).reshape(2, -1)
+    want = [len(sc.strings[i]) + len(sc.strings[j]) - 2 * _dp(sc.strings[i], sc.strings[j]) for i, j in zip(ia, ib)]
+    assert sc.distances(ia, ib).tolist() == want
+    assert (PairScorer(["p", "0"]).hist.argmax(axis=1) != PairScorer(["0", "p"]).hist.argmax(axis=1)).all()
