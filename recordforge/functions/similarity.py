@@ -23,12 +23,14 @@ recurrence goes through ``LANES`` pairs at a time, whose state stays in the proc
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 WORD = 64
 MAX_WORDS = 16
 HIST_BUCKETS = 64
-SLICE_BYTES = 32_000_000
+SLICE_BYTES = 8_000_000
 LANES = 8_192
 
 
@@ -60,10 +62,14 @@ class PairScorer:
         self.lens = np.fromiter(map(len, self.strings), dtype=np.int64, count=n)
         self.flat = np.frombuffer("".join(self.strings).encode("utf-32-le"), dtype=np.uint32)
         self.starts = np.cumsum(self.lens) - self.lens
-        # character histogram folded into HIST_BUCKETS buckets (still a bound)
+
+    @cached_property
+    def hist(self) -> np.ndarray:
+        """Character histograms folded into HIST_BUCKETS buckets (still a bound), made when they are first asked for."""
+        n = len(self.strings)
         bucket = (self.flat ^ (self.flat >> 1 & 32)) % HIST_BUCKETS  # apart: small letters, and digits with signs
         cell = np.repeat(np.arange(n) * HIST_BUCKETS, self.lens) + bucket
-        self.hist = np.bincount(cell, minlength=n * HIST_BUCKETS).reshape(n, HIST_BUCKETS).astype(np.int32)
+        return np.bincount(cell, minlength=n * HIST_BUCKETS).reshape(n, HIST_BUCKETS).astype(np.int32)
 
     def _chars(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All characters of the strings ``ids``: their codes, and for each its string (as a place in ``ids``) and its place there."""
@@ -72,15 +78,16 @@ class PairScorer:
         pos = np.arange(len(owner)) - np.repeat(np.cumsum(lens) - lens, lens)
         return self.flat[self.starts[ids][owner] + pos], owner, pos
 
-    def matches(self, ia: np.ndarray, ib: np.ndarray, threshold: int) -> np.ndarray:
-        """Boolean mask over pairs (ia[k], ib[k]) with similarity >= threshold."""
+    def matches(self, ia: np.ndarray, ib: np.ndarray, threshold: int, histograms: bool = True) -> np.ndarray:
+        """Boolean mask over pairs (ia[k], ib[k]) with similarity >= threshold. Without ``histograms`` (for pairs
+        that such a bound has passed already) all pairs in the length band are scored."""
         t = int(threshold)
         la = self.lens[ia]
         lb = self.lens[ib]
         tot = la + lb
         ok = (200 * np.minimum(la, lb) >= t * tot) & (tot > 0)
         idx = np.nonzero(ok)[0]
-        for at in range(0, len(idx), 10_000):  # the gathered histograms fit the processor's cache
+        for at in range(0, len(idx) if histograms else 0, 10_000):  # the gathered histograms fit the processor's cache
             part = idx[at : at + 10_000]
             l1 = np.abs(self.hist[ia[part]] - self.hist[ib[part]]).sum(axis=1)
             ok[part[100 * l1 > (100 - t) * tot[part]]] = False
@@ -112,7 +119,7 @@ class PairScorer:
         order = order[:long]
         at = 0
         while at < len(order):
-            to = min(len(order), at + 65_536)
+            to = min(len(order), at + 32_768)
             # halve the slice until its masks and characters fit
             while to - at > 1 and self._slice_bytes(a[order[at:to]], b[order[at:to]]) > SLICE_BYTES:
                 to = at + (to - at) // 2

@@ -28,7 +28,7 @@ the data, no driver loop):
   packet id each, and the pairs are dealt evenly. Each packet pair is one row carrying both key lists,
   whose keys flow to an Arrow task one after another, so the task holds one packet pair and never a batch of them.
   It goes through a pair tile by tile, in the length band: it drops the pairs of keys whose signatures differ
-  too much in the 64 bits that tell most in these packets (one machine word a pair), then those that all bits or the
+  too much in the 64 bits that tell most in these packets (one machine word a pair), then, word by word, those that all bits or the
   rings around some pivot set too far apart, scores the others (:class:`~recordforge.functions.similarity.PairScorer`)
   and emits only matches. Candidate pairs exist only inside that task's memory, which flushes by pairs and by bytes.
 
@@ -62,10 +62,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 EDGE_SCHEMA = "cohort string, key_a string, key_b string, node_a bigint, node_b bigint"
 
 # candidate pairs and bytes of strings scored per vectorised call inside a task
-_CHUNK_PAIRS = 100_000
-_CHUNK_BYTES = 32_000_000
-# Keys of either packet whose signatures are compared at a time; the words of a tile stay in the processor's cache.
-_TILE_A, _TILE_B = 64, 1024
+_CHUNK_PAIRS = 50_000
+_CHUNK_BYTES = 8_000_000
+# Pairs of keys whose signatures are compared at a time, and most keys of one side; the words of a tile stay in the processor's cache.
+_TILE, _TILE_B = 32_768, 4096
+# Keys measured at a time.
+_MEASURED = 1024
 # Characters of a key that count as one key of a packet.
 _KEY_CHARS = 256
 
@@ -140,43 +142,52 @@ class _Packet:
 def _near_pairs(a: _Packet, b: _Packet, same: bool, threshold: int):
     """Runs of candidate pairs (i, j): inside the length band, with signatures and rings close enough. Loses no match."""
     held, n = [], 0
-    word_a, word_b = _telling_bits(a.words, b.words)
-    words, bits = np.empty(_TILE_A * _TILE_B, np.uint64), np.empty(_TILE_A * _TILE_B, np.uint8)
-    for i0 in range(0, len(a.lens), _TILE_A):
-        la = a.lens[i0 : i0 + _TILE_A]
+    words_a, words_b = _telling_bits(a.words, b.words)
+    word_a, word_b = words_a[0], words_b[0]
+    words, bits = np.empty(_TILE, np.uint64), np.empty(_TILE, np.uint8)
+    rows = min(_TILE // min(len(b.lens), _TILE_B), 256)
+    for i0 in range(0, len(a.lens), rows):
+        la = a.lens[i0 : i0 + rows]
         first = np.searchsorted(b.lens * (200 - threshold), la[0] * threshold)
         last = np.searchsorted(b.lens * threshold, la[-1] * (200 - threshold), side="right")
         for j0 in range(max(first, i0 + 1) if same else first, last, _TILE_B):
             j1 = min(last, j0 + _TILE_B)
             size = len(la) * (j1 - j0)
-            np.bitwise_xor(word_a[i0 : i0 + _TILE_A, None], word_b[None, j0:j1], out=words[:size].reshape(len(la), j1 - j0))
+            np.bitwise_xor(word_a[i0 : i0 + rows, None], word_b[None, j0:j1], out=words[:size].reshape(len(la), j1 - j0))
             differ = np.bitwise_count(words[:size], out=bits[:size])
             at = np.flatnonzero(differ <= min(255, (la[-1] + b.lens[j1 - 1]) * (100 - threshold) // 100))
-            held.append((i0 + at // (j1 - j0), j0 + at % (j1 - j0)))
+            i = at // (j1 - j0)
+            held.append((i0 + i, j0 + at - i * (j1 - j0), differ[at]))
             n += len(at)
-            if n >= _CHUNK_PAIRS:
-                yield _nearer(a, b, same, threshold, *map(np.concatenate, zip(*held)))
+            if n >= 2 * _CHUNK_PAIRS:
+                yield _nearer(a, b, same, threshold, words_a, words_b, *map(np.concatenate, zip(*held)))
                 held, n = [], 0
     if n:
-        yield _nearer(a, b, same, threshold, *map(np.concatenate, zip(*held)))
+        yield _nearer(a, b, same, threshold, words_a, words_b, *map(np.concatenate, zip(*held)))
 
 
 def _telling_bits(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One word a key: the 64 bits of its signature in which most pairs of the two packets differ. Any choice loses no match."""
+    """Three words a key: all bits of its signature, in the first word the 64 in which most pairs of the two packets differ, in
+    the last those in which fewest do. Any order loses no match."""
     a, b = (np.unpackbits(x.view(np.uint8), axis=1) for x in (a, b))
     p, q = a.mean(axis=0), b.mean(axis=0)
-    most = np.argsort(-(p + q - 2 * p * q), kind="stable")[:64]
-    return tuple(np.ascontiguousarray(np.packbits(x[:, most], axis=1)).view(np.uint64)[:, 0] for x in (a, b))
+    most = np.argsort(-(p + q - 2 * p * q), kind="stable")
+    return tuple(np.ascontiguousarray(np.ascontiguousarray(np.packbits(x[:, most], axis=1)).view(np.uint64).T) for x in (a, b))
 
 
-def _nearer(a: _Packet, b: _Packet, same: bool, threshold: int, i, j):
-    """Of the pairs (i, j) those inside the length band whose whole signatures and whose rings are close enough."""
+def _nearer(a: _Packet, b: _Packet, same: bool, threshold: int, words_a, words_b, i, j, differ):
+    """Of the pairs (i, j), whose first words differ in ``differ`` bits, those inside the length band whose whole signatures
+    and whose rings are close enough. Word by word, so most pairs are gone after the second."""
     if same:
-        i, j = i[i < j], j[i < j]
-    short, long = np.minimum(a.lens[i], b.lens[j]), a.lens[i] + b.lens[j]
+        near = i < j
+        i, j, differ = i[near], j[near], differ[near]
+    long = a.lens[i] + b.lens[j]
     allowed = long * (100 - threshold) // 100
-    differ = np.bitwise_count(a.words[i] ^ b.words[j]).sum(axis=1, dtype=np.int64)
-    near = (200 * short >= threshold * long) & (differ <= allowed)
+    for wa, wb in zip(words_a[1:], words_b[1:]):
+        differ = differ + np.bitwise_count(wa[i] ^ wb[j])  # at most 192
+        near = differ <= allowed
+        i, j, differ, allowed, long = i[near], j[near], differ[near], allowed[near], long[near]
+    near = 200 * np.minimum(a.lens[i], b.lens[j]) >= threshold * long
     i, j, allowed = i[near], j[near], allowed[near]
     near = (np.abs(a.rings[i] - b.rings[j]) <= allowed[:, None]).all(axis=1)
     return i[near], j[near]
@@ -224,7 +235,7 @@ class _Chunk:
             held = [keys[x] for x in used.tolist()]
             self.strings += held
             self.nodes.append(np.asarray(nodes, dtype=np.int64)[used])
-            self.bytes += sum(4 * len(x) + 260 for x in held)  # code points and histogram of each string
+            self.bytes += sum(4 * len(x) + 100 for x in held)  # code points of each string, and the string
         self.cohorts.append((cohort, len(i)))
         self.pairs += len(i)
 
@@ -238,7 +249,7 @@ class _Chunk:
         names = [c for c, _ in self.cohorts]
         nodes = np.concatenate(self.nodes)
         scorer = PairScorer(self.strings)
-        hit = scorer.matches(ia, ib, threshold)
+        hit = scorer.matches(ia, ib, threshold, histograms=False)  # their signatures have told what histograms can
         ia, ib, coh = ia[hit], ib[hit], coh[hit]
         strings = self.strings
         self._reset()
@@ -292,11 +303,11 @@ _OWN = ["cohort", "key", "node", "len", "fresh", "weight", "total"]
 
 def _measure(batches):
     """Each key's signature and its distances to its cohort's pivots, in place of the pivots."""
-    for batch in batches:
+    for batch in (whole.slice(at, _MEASURED) for whole in batches for at in range(0, whole.num_rows, _MEASURED)):
         pivots = batch.column("pivots")
         keys = batch.column("key").to_pylist()
         coded = pivots.flatten().dictionary_encode()
-        per_key = np.diff(pivots.offsets.to_numpy())
+        per_key = np.diff(pivots.offsets.to_numpy())  # flatten() and offsets go by the slice
         own = np.repeat(np.arange(len(keys)), per_key)
         scorer = PairScorer([*keys, *coded.dictionary.to_pylist()])
         d = scorer.distances(own, len(keys) + np.asarray(coded.indices))
@@ -318,7 +329,9 @@ def with_pivot_distances(k: DataFrame) -> DataFrame:
     pivots = sample.mapInArrow(_choose_pivots, "cohort string, pivots array<string>, new bigint, old bigint")
     pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_PAIR_SALTS - 1))))
     salt = F.pmod(F.xxhash64("key"), F.lit(_PAIR_SALTS)).cast("int")
-    met = k.withColumn("salt", salt).join(pivots, ["cohort", "salt"])
+    # a key is little data and much work: dealt by number, neither merged nor broadcast by size
+    tasks = int(k.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = k.withColumn("salt", salt).repartition(tasks, "cohort", "salt").join(pivots.hint("merge"), ["cohort", "salt"])
     met = met.withColumn("total", F.when(F.col("fresh"), F.col("new")).otherwise(F.col("old"))).select(*_OWN, "pivots")
     own = "cohort string, key string, node bigint, len int, fresh boolean, weight bigint, total bigint"
     return met.mapInArrow(_measure, f"{own}, {', '.join(f'{w} bigint' for w in _SIGNATURE)}, dist array<smallint>")

@@ -384,3 +384,58 @@ def test_distances_of_empty_and_of_unknown_characters():
     want = [len(sc.strings[i]) + len(sc.strings[j]) - 2 * _dp(sc.strings[i], sc.strings[j]) for i, j in zip(ia, ib)]
     assert sc.distances(ia, ib).tolist() == want
     assert (PairScorer(["p", "0"]).hist.argmax(axis=1) != PairScorer(["0", "p"]).hist.argmax(axis=1)).all()
+
+
+def test_pairs_are_scored_alike_without_histograms():
+    rng = random.Random(9)
+    xs = _strings(rng, 80)
+    sc = PairScorer(xs)
+    ia, ib = np.triu_indices(len(xs), 1)
+    got = sc.matches(ia, ib, 85, histograms=False)
+    assert "hist" not in vars(sc)  # none were made
+    assert got.any() and (got == sc.matches(ia, ib, 85)).all()
+
+
+def test_keys_are_measured_a_bounded_number_at_a_time():
+    import pyarrow as pa
+    from recordforge.operators import simjoin
+
+    rng = random.Random(4)
+    n = 2 * simjoin._MEASURED + 300
+    keys = [f"{k} " + "".join(rng.choice("abcdef") for _ in range(9)) for k in range(n)]
+    pivots = [keys[k % 7 : k % 7 + k % 4] for k in range(n)]  # some have none
+    columns = [pa.array(["c"] * n), pa.array(keys), pa.array(range(n), pa.int64()), pa.array(map(len, keys), pa.int32())]
+    columns += [pa.array([True] * n), pa.array([1] * n, pa.int64()), pa.array([n] * n, pa.int64()), pa.array(pivots, pa.list_(pa.string()))]
+    out = list(simjoin._measure([pa.RecordBatch.from_arrays(columns, names=[*simjoin._OWN, "pivots"])]))
+    assert [b.num_rows for b in out] == [simjoin._MEASURED] * 2 + [300]
+    got = pa.Table.from_batches(out)
+    assert got.column("key").to_pylist() == keys
+    want = [[len(k) + len(p) - 2 * _dp(k, p) for p in ps] for k, ps in zip(keys, pivots)]
+    assert got.column("dist").to_pylist() == want
+
+
+def test_few_keys_are_measured_by_many_tasks(spark):
+    """Some thousand short keys are few bytes, which Spark would merge into one task."""
+    from recordforge.operators.simjoin import with_pivot_distances
+
+    keys = spark.range(4_000).select(F.when(F.col("id") >= 0, "hot").alias("cohort"), F.md5(F.col("id").cast("string")).alias("key"), F.col("id").alias("node"))
+    keys = keys.groupBy("cohort", "key").agg(F.min("node").alias("node")).withColumns({"len": F.length("key"), "fresh": F.lit(True)})
+    measured = with_pivot_distances(keys).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in measured.groupBy("task").count().collect()]
+    assert len(sizes) > 3 and sum(sizes) == 4_000 and max(sizes) < 2_000
+
+
+def test_rest_of_a_signature_decides():
+    """Keys that differ by classes the first word cannot all hold: no pair too far apart is left, none near is lost."""
+    from recordforge.operators.simjoin import _Packet, _near_pairs
+
+    rng = random.Random(12)
+    keys = sorted({"".join(rng.sample("abcdefghijklmnopqrstuvwxyz0123456789", 30)) for _ in range(120)} | {"abcdefghijklmnopqrstuvwxyz0123", "abcdefghijklmnopqrstuvwxyz012"})
+    packet = _Packet([_packet_rows(keys, list(range(len(keys))), 1, 1, False)])
+    sc = PairScorer(packet.keys)
+    near = [(int(i), int(j)) for run in _near_pairs(packet, packet, True, 85) for i, j in zip(*run)]
+    ia, ib = np.triu_indices(len(keys), 1)
+    hit = sc.matches(ia, ib, 85)
+    assert {(int(i), int(j)) for i, j in zip(ia[hit], ib[hit])} <= set(near) and len(near) == len(set(near))
+    differ = [np.bitwise_count(packet.words[i] ^ packet.words[j]).sum() for i, j in near]
+    assert all(15 * (sc.lens[i] + sc.lens[j]) >= 100 * d for (i, j), d in zip(near, differ))
