@@ -9,6 +9,7 @@ work grows with the input. The same SQL text runs in Spark SQL and DuckDB.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 VENUES_SQL = """
 WITH b AS (
@@ -63,8 +64,20 @@ def venues_from_customer(spark: SparkSession, customer: DataFrame) -> DataFrame:
     return spark.sql(VENUES_SQL, customer=customer.select("c_custkey"))
 
 
+#: Neighbouring rows that are dealt out together.
+BLOCK = 256
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to as many tasks as a shuffle has, in blocks of neighbours (so a partial aggregate still finds them
+    together); a table of few files or row groups would leave all that follows to few tasks. By place, so no value is hot."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.withColumn("__block", F.floor(F.monotonically_increasing_id() / BLOCK))
+    return placed.repartition(tasks, "__block").drop("__block")
+
+
 def raw_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return venues_from_customer(spark, read_table(spark, sf_dir, "customer"))
+    return venues_from_customer(spark, spread(read_table(spark, sf_dir, "customer").select("c_custkey")))
 
 
 def venues_sql_duckdb() -> str:

@@ -75,3 +75,19 @@ def test_nan_counts_as_null(spark):
 
     df = spark.createDataFrame([("a", float("nan")), (None, 1.0)], "s string, x double")
     assert {(r.column, r.nulls) for r in null_profile(df).collect()} == {("s", 1), ("x", 1)}
+
+
+def test_venues_of_one_row_group_are_made_by_many_tasks(spark, tmp_path):
+    """A table of one file and row group is dealt out in blocks of neighbours; the rows stay the same."""
+    from pyspark.sql import functions as F
+
+    from recordforge.sources.fixture import BLOCK, raw_venues, venues_from_customer
+
+    n = 40 * BLOCK + 17
+    keys = spark.range(n).select(F.when(F.col("id") % 1000 != 5, F.col("id") - F.col("id") % 7).alias("c_custkey"))  # some twice, some null
+    keys.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    made = raw_venues(spark, str(tmp_path))
+    tasks = made.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert len(tasks) > 4 and sum(r["count"] for r in tasks) == n and max(r["count"] for r in tasks) < n / 2
+    want = venues_from_customer(spark, spark.read.parquet(str(tmp_path / "customer.parquet")))
+    assert made.exceptAll(want).isEmpty() and made.count() == want.count()
