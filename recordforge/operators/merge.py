@@ -61,25 +61,26 @@ def _present(df: DataFrame, c: str) -> Column:
     return F.col(c).isNotNull() & (py_strip(F.col(c).cast("string")) != F.lit(""))
 
 
-def _first(df, c):
-    return F.coalesce(F.min_by(c, F.when(_present(df, c), F.col(_ORDER))), F.min_by(c, _ORDER))
+def _first(df, c, head):
+    return F.coalesce(F.min_by(c, F.when(_present(df, c), F.col(_ORDER))), head[c])
 
 
-def _rule_expr(df: DataFrame, c: str, rule: str, generic: str) -> Column:
+def _rule_expr(df: DataFrame, c: str, rule: str, generic: str, head: Column) -> Column:
+    """The rule's aggregate; ``head`` is the group's first row, one aggregate for all columns."""
     o = F.col(_ORDER)
     pres = _present(df, c)
     if rule == "first":
-        return _first(df, c)
+        return _first(df, c, head)
     if rule == "longest":
-        return F.coalesce(F.min_by(c, F.when(pres, F.struct(-F.length(c), o))), F.min_by(c, o))
+        return F.coalesce(F.min_by(c, F.when(pres, F.struct(-F.length(c), o))), head[c])
     if rule == "shortest":
-        return F.coalesce(F.min_by(c, F.when(pres, F.struct(F.length(c), o))), F.min_by(c, o))
+        return F.coalesce(F.min_by(c, F.when(pres, F.struct(F.length(c), o))), head[c])
     if rule == "not_generic":
         specific = pres & (F.lower(py_strip(F.col(c))) != F.lit(generic))
-        return F.coalesce(F.min_by(c, F.when(specific, o)), F.max_by(c, F.when(pres, o)), F.min_by(c, o))
+        return F.coalesce(F.min_by(c, F.when(specific, o)), F.max_by(c, F.when(pres, o)), head[c])
     if rule == "mixed_case":
         mixed = pres & (F.col(c) != F.upper(c)) & (F.col(c) != F.lower(c))
-        return F.coalesce(F.min_by(c, F.when(mixed, o)), _first(df, c))
+        return F.coalesce(F.min_by(c, F.when(mixed, o)), _first(df, c, head))
     raise ValueError(f"unknown merge rule {rule!r} for column {c!r}")
 
 
@@ -178,15 +179,11 @@ def merge_groups(
     columns = list(columns or [c for c in df.columns if c not in keys])
     rules = {**DEFAULT_RULES, **(rules or {})}
     d = df.withColumn(_ORDER, survivor_order(order_by, columns, float_columns(df)))
-    aggs, mids = [], []
-    for c in columns:
-        if c in keys:
-            continue
-        rule = rules.get(c, "first")
-        if rule == "midpoint":
-            mids.append(c)
-        else:
-            aggs.append(_rule_expr(d, c, rule, generic).alias(c))
+    ruled = {c: rules.get(c, "first") for c in columns if c not in keys}
+    mids = [c for c, rule in ruled.items() if rule == "midpoint"]
+    plain = [c for c in ruled if c not in mids]
+    head = F.min_by(F.struct(*plain), _ORDER)
+    aggs = [_rule_expr(d, c, ruled[c], generic, head).alias(c) for c in plain]
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("__n")]
     if mids and reuse:

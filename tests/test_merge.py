@@ -117,3 +117,16 @@ def test_midpoint_of_one_long_group(spark):
         v = i * 7919 % 10_007 / 3
         acc = v if i == 0 else (acc + v) / 2
     assert got.id == 0 and abs(got.x - acc) < 1e-9 * acc
+
+
+def test_first_row_of_a_group_is_one_aggregate(spark):
+    """The value that a rule falls back on comes from the group's first row, found once for all columns."""
+    rows = spark.createDataFrame(
+        [("1", 7, None, " ", "A", None), ("2", 7, "x", None, "B", None), ("3", 8, " ", None, None, "")],
+        "id string, g int, a string, b string, c string, d string",
+    )
+    out = merge_groups(rows, ["g"], columns=["id", "a", "b", "c", "d"], rules={"b": "longest", "d": "shortest"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min_by(") == 5 + 1
+    got = {r.g: (r.id, r.a, r.b, r.c, r.d) for r in out.collect()}
+    assert got == {7: ("1", "x", " ", "A", None), 8: ("3", " ", None, None, "")}
